@@ -82,15 +82,15 @@ def drift_report(drift: DataFrame, tables: DataFrame | None = None) -> DataFrame
                     lambda x: F.concat(F.lit("- "), x["column_name"], F.lit(": "), x["baseline_type"],
                                        F.lit(" → "), x["current_type"]))
     has = F.coalesce(F.size(F.col("items")), F.lit(0)) > 0
-    body = F.when(has, F.regexp_replace(F.concat(added, removed, changed), "\n$", "")).otherwise(
+    body = F.when(has, F.regexp_replace(F.concat(added, removed, changed), "\n\\z", "")).otherwise(
         F.lit("No schema drift detected."))
     return per.select("table_name", F.concat(F.lit("# Schema Drift Summary\n\n"), body).alias("report"))
 
 
 # ---------------------------------------------------------------- S1 inference
-INT_RE = r"^[+-]?[0-9]+$"
-DEC_RE = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
-DATE_RE = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$"
+INT_RE = r"^[+-]?[0-9]+\z"
+DEC_RE = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\z"
+DATE_RE = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}\z"
 
 
 def infer_types(df: DataFrame, table_name: str) -> DataFrame:

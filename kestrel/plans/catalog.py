@@ -104,3 +104,110 @@ def q_payment_method_counts(spark, sf_dir):
 @register("top_payment_method")
 def q_top_payment_method(spark, sf_dir):
     return gold.top_payment_method(gold.payment_method_counts(silver(spark, sf_dir, "transactions")))
+
+
+# ---------------------------------------------------------------- profiling
+from kestrel.operators import drift as D  # noqa: E402
+from kestrel.operators import profile as P  # noqa: E402
+from kestrel.operators import quality as Q  # noqa: E402
+from kestrel.operators import rules as R  # noqa: E402
+
+FEEDS = ("customers", "sales", "transactions")
+
+
+def _per_feed(prefix: str, build):
+    for feed in FEEDS:
+        def q(spark, sf_dir, _feed=feed):
+            return build(spark, sf_dir, _feed)
+        q.__name__ = f"q_{prefix}_{feed}"
+        register(f"{prefix}_{feed}")(q)
+
+
+_per_feed("column_profile", lambda s, d, f: edge(P.column_profile(silver(s, d, f))))
+_per_feed("null_anomalies", lambda s, d, f: edge(P.null_anomalies(silver(s, d, f))))
+_per_feed("zscore_outliers", lambda s, d, f: edge(P.zscore_outliers(silver(s, d, f))))
+_per_feed("business_rules", lambda s, d, f: R.business_rules(
+    silver(s, d, f), schemas.SILVER_TABLE_NAMES[f], as_of=AS_OF))
+
+
+@register("outlier_examples")
+def q_outlier_examples(spark, sf_dir):
+    """A17 over the sales feed (quantity outliers exist there)."""
+    return P.outlier_examples(silver(spark, sf_dir, "sales"), k=3.0, n=5)
+
+
+@register("range_outliers")
+def q_range_outliers(spark, sf_dir):
+    """Q20: documented simple thresholds on the customer and sales numerics."""
+    c = P.range_outliers(silver(spark, sf_dir, "customers"), {"age": (18, 90)})
+    s = P.range_outliers(silver(spark, sf_dir, "sales"), {"quantity": (1, 50), "amount": (1, 100000)})
+    return (c.withColumn("table_name", F.lit("customers_silver"))
+            .unionByName(s.withColumn("table_name", F.lit("sales_silver"))))
+
+
+@register("null_anomalies_selected")
+def q_null_anomalies_selected(spark, sf_dir):
+    """Q23: null summary restricted to chosen columns."""
+    return P.null_anomalies(silver(spark, sf_dir, "customers"), columns=["email", "phone"])
+
+
+# ---------------------------------------------------------------- schema drift
+def raw_as_text(spark, sf_dir, feed):
+    """A raw feed as its CSV carries it: every column as text."""
+    r = raw(spark, sf_dir, feed)
+    return r.select([F.col(c).cast("string").alias(c) for c in r.columns])
+
+
+def _drift_all(spark, sf_dir):
+    out = None
+    for feed in FEEDS:
+        name = schemas.SILVER_TABLE_NAMES[feed]
+        base = D.schema_snapshot(spark, name, schemas.SILVER[feed])
+        cur = D.infer_types(raw_as_text(spark, sf_dir, feed), name)
+        d = D.schema_drift(base, cur)
+        out = d if out is None else out.unionByName(d)
+    return out
+
+
+@register("schema_drift")
+def q_schema_drift(spark, sf_dir):
+    """Declared silver contract vs types inferred from the raw values."""
+    return _drift_all(spark, sf_dir)
+
+
+@register("schema_drift_report")
+def q_schema_drift_report(spark, sf_dir):
+    names = spark.createDataFrame([(schemas.SILVER_TABLE_NAMES[f],) for f in FEEDS], "table_name string")
+    return D.drift_report(_drift_all(spark, sf_dir), names)
+
+
+@register("inferred_schema")
+def q_inferred_schema(spark, sf_dir):
+    """S1 type inference as one distributed aggregate per feed."""
+    out = None
+    for feed in FEEDS:
+        r = D.infer_types(raw_as_text(spark, sf_dir, feed), schemas.SILVER_TABLE_NAMES[feed])
+        out = r if out is None else out.unionByName(r)
+    return out
+
+
+# ---------------------------------------------------------------- quality log
+def quality_log(spark, sf_dir, run_id=RUN_ID, ts=RUN_TS):
+    return Q.profile_tables(silver_tables(spark, sf_dir), run_id, ts,
+                            baselines={schemas.SILVER_TABLE_NAMES[f]: schemas.SILVER[f] for f in FEEDS},
+                            as_of=AS_OF)
+
+
+@register("quality_log")
+def q_quality_log(spark, sf_dir):
+    return quality_log(spark, sf_dir)
+
+
+@register("quality_score")
+def q_quality_score(spark, sf_dir):
+    return quality_log(spark, sf_dir).select("table_name", "quality_score")
+
+
+@register("quality_summary")
+def q_quality_summary(spark, sf_dir):
+    return quality_log(spark, sf_dir).select("table_name", "quality_score", "ai_summary")

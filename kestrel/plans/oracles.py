@@ -51,3 +51,183 @@ SELECT b.*, t.most_used_payment_method FROM (
   FROM transactions_silver GROUP BY customer_id) b
 LEFT JOIN top_method t ON b.customer_id = t.customer_id""",
        {"payment_counts": _PAYMENT_COUNTS, "top_method": _TOP_METHOD})
+
+# ---------------------------------------------------------------- profiling
+from kestrel import schemas  # noqa: E402
+from kestrel.operators.rules import DEFAULT_RULES  # noqa: E402
+from kestrel.schemas import kind_of  # noqa: E402
+
+FEEDS = ("customers", "sales", "transactions")
+AS_OF_SQL = "DATE '2024-02-01'"
+
+
+def _cols(feed):
+    return [(i, f.name, kind_of(f.dataType)) for i, f in enumerate(schemas.SILVER[feed].fields)]
+
+
+def _silver(feed):
+    return schemas.SILVER_TABLE_NAMES[feed]
+
+
+def profile_sql(feed):
+    parts = []
+    for i, c, k in _cols(feed):
+        if k == "other":
+            continue
+        avg = f"round(avg({c}), 4)" if k == "numeric" else "CAST(NULL AS DOUBLE)"
+        mn = f"CAST(min({c}) AS VARCHAR)" if k in ("numeric", "date") else "CAST(NULL AS VARCHAR)"
+        mx = f"CAST(max({c}) AS VARCHAR)" if k in ("numeric", "date") else "CAST(NULL AS VARCHAR)"
+        parts.append(f"SELECT {i} AS ordinal, '{c}' AS column_name, '{k}' AS kind, count({c}) AS count, "
+                     f"count(DISTINCT {c}) AS distinct_count, count(*) FILTER (WHERE {c} IS NULL) AS null_count, "
+                     f"{avg} AS avg, {mn} AS min, {mx} AS max FROM {_silver(feed)}")
+    return "\nUNION ALL ".join(parts)
+
+
+def nulls_sql(feed, columns=None, threshold=20):
+    parts = []
+    for i, c, _ in _cols(feed):
+        if columns and c not in columns:
+            continue
+        pct = f"(CASE WHEN count(*) > 0 THEN count(*) FILTER (WHERE {c} IS NULL) * 100.0 / count(*) ELSE 0.0 END)"
+        parts.append(f"SELECT {i} AS ordinal, '{c}' AS column_name, count(*) FILTER (WHERE {c} IS NULL) AS null_count, "
+                     f"count(*) AS total_rows, round({pct}, 2) AS null_percentage, "
+                     f"CASE WHEN {pct} > {threshold} THEN 'High null percentage' ELSE 'OK' END AS issue "
+                     f"FROM {_silver(feed)}")
+    return "\nUNION ALL ".join(parts)
+
+
+def zscore_sql(feed, k=3):
+    num = [(i, c) for i, c, kind in _cols(feed) if kind == "numeric"]
+    stats = ", ".join(f"avg({c}) AS a{i}, stddev_samp({c}) AS s{i}" for i, c in num)
+    counts = ", ".join(
+        f"count(*) FILTER (WHERE st.s{i} IS NOT NULL AND st.s{i} <> 0 AND (t.{c} - st.a{i}) / st.s{i} > {k}) AS o{i}"
+        for i, c in num)
+    parts = []
+    for i, c in num:
+        var = f"(s{i} IS NOT NULL AND s{i} <> 0)"
+        parts.append(f"SELECT {i} AS ordinal, '{c}' AS column_name, CASE WHEN {var} THEN round(a{i}, 4) END AS mean, "
+                     f"CASE WHEN {var} THEN round(s{i}, 4) END AS stddev, CASE WHEN {var} THEN o{i} ELSE 0 END AS outlier_count, "
+                     f"CASE WHEN {var} THEN NULL ELSE 'No variance' END AS reason FROM st, oc")
+    return ("WITH st AS (SELECT " + stats + f" FROM {_silver(feed)}), oc AS (SELECT " + counts +
+            f" FROM {_silver(feed)} t, st) " + "\nUNION ALL ".join(parts))
+
+
+def rules_sql(feed):
+    name = _silver(feed)
+    parts = [f"SELECT '{r}' AS rule_name, count(*) FILTER (WHERE {p.replace('{as_of}', AS_OF_SQL)}) AS violations FROM {name}"
+             for t, r, p in DEFAULT_RULES if t == name]
+    return "\nUNION ALL ".join(parts)
+
+
+for _f in FEEDS:
+    oracle(f"column_profile_{_f}", profile_sql(_f))
+    oracle(f"null_anomalies_{_f}", nulls_sql(_f))
+    oracle(f"zscore_outliers_{_f}", f"SELECT * FROM ({zscore_sql(_f)})")
+    oracle(f"business_rules_{_f}", rules_sql(_f))
+
+oracle("null_anomalies_selected", nulls_sql("customers", ["email", "phone"]))
+
+oracle("outlier_examples", """
+SELECT column_name, list(value ORDER BY value DESC) AS examples FROM (
+  SELECT column_name, value, row_number() OVER (PARTITION BY column_name ORDER BY value DESC) AS rn FROM (
+    SELECT 'quantity' AS column_name, CAST(quantity AS DOUBLE) AS value FROM sales_silver, st
+      WHERE sq IS NOT NULL AND sq <> 0 AND (quantity - aq) / sq > 3
+    UNION ALL
+    SELECT 'amount', CAST(amount AS DOUBLE) FROM sales_silver, st
+      WHERE sa IS NOT NULL AND sa <> 0 AND (amount - aa) / sa > 3))
+WHERE rn <= 5 GROUP BY column_name""",
+       {"st": "SELECT avg(quantity) AS aq, stddev_samp(quantity) AS sq, avg(amount) AS aa, stddev_samp(amount) AS sa FROM sales_silver"})
+
+oracle("range_outliers", """
+SELECT 'age' AS column_name, 18.0 AS low, 90.0 AS high, count(*) FILTER (WHERE age < 18 OR age > 90) AS out_of_range_count,
+       'customers_silver' AS table_name FROM customers_silver
+UNION ALL SELECT 'quantity', 1.0, 50.0, count(*) FILTER (WHERE quantity < 1 OR quantity > 50), 'sales_silver' FROM sales_silver
+UNION ALL SELECT 'amount', 1.0, 100000.0, count(*) FILTER (WHERE amount < 1 OR amount > 100000), 'sales_silver' FROM sales_silver""")
+
+
+# ---------------------------------------------------------------- schema drift
+def _infer_sql(feed):
+    raw = f"{feed}_raw"
+    parts = []
+    for i, f in enumerate(schemas.SILVER[feed].fields):
+        v = f"trim(CAST({f.name} AS VARCHAR))"
+        present = f"({v} IS NOT NULL AND {v} <> '')"
+        isint = f"regexp_full_match({v}, '[+-]?[0-9]+')"
+        n = f"count(*) FILTER (WHERE {present})"
+        i32 = f"count(*) FILTER (WHERE {present} AND {isint} AND TRY_CAST({v} AS BIGINT) BETWEEN -2147483648 AND 2147483647)"
+        i64 = f"count(*) FILTER (WHERE {present} AND {isint} AND TRY_CAST({v} AS BIGINT) IS NOT NULL)"
+        dec = f"count(*) FILTER (WHERE {present} AND regexp_full_match({v}, '[+-]?([0-9]+\\.?[0-9]*|\\.[0-9]+)([eE][+-]?[0-9]+)?'))"
+        dte = f"count(*) FILTER (WHERE {present} AND regexp_full_match({v}, '[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}') AND TRY_CAST({v} AS DATE) IS NOT NULL)"
+        typ = (f"CASE WHEN {n} = 0 THEN 'StringType()' WHEN {i32} = {n} THEN 'IntegerType()' "
+               f"WHEN {i64} = {n} THEN 'LongType()' WHEN {dec} = {n} THEN 'DoubleType()' "
+               f"WHEN {dte} = {n} THEN 'DateType()' ELSE 'StringType()' END")
+        parts.append(f"SELECT '{_silver(feed)}' AS table_name, '{f.name}' AS column_name, {typ} AS data_type, "
+                     f"{i} AS ordinal FROM {raw}")
+    return "\nUNION ALL ".join(parts)
+
+
+def _declared_sql():
+    rows = []
+    for feed in FEEDS:
+        for i, f in enumerate(schemas.SILVER[feed].fields):
+            rows.append(f"('{_silver(feed)}', '{f.name}', '{f.dataType}', {i})")
+    return "SELECT * FROM (VALUES " + ", ".join(rows) + ") AS v(table_name, column_name, data_type, ordinal)"
+
+
+_INFERRED = "\nUNION ALL ".join(f"SELECT * FROM ({_infer_sql(f)})" for f in FEEDS)
+_DRIFT = """
+SELECT coalesce(b.table_name, c.table_name) AS table_name, coalesce(b.column_name, c.column_name) AS column_name,
+       CASE WHEN c.data_type IS NULL THEN 'missing' WHEN b.data_type IS NULL THEN 'new' ELSE 'type_mismatch' END AS change_type,
+       b.data_type AS baseline_type, c.data_type AS current_type
+FROM declared b FULL OUTER JOIN inferred c ON b.table_name = c.table_name AND b.column_name = c.column_name
+WHERE b.data_type IS NULL OR c.data_type IS NULL OR b.data_type <> c.data_type"""
+_DRIFT_CTES = {"declared": _declared_sql(), "inferred": _INFERRED, "drift": _DRIFT}
+
+oracle("inferred_schema", "SELECT * FROM inferred", _DRIFT_CTES)
+oracle("schema_drift", "SELECT * FROM drift", _DRIFT_CTES)
+oracle("schema_drift_report", r"""
+SELECT t.table_name, '# Schema Drift Summary' || chr(10) || chr(10) ||
+  CASE WHEN count(d.column_name) = 0 THEN 'No schema drift detected.' ELSE
+    regexp_replace(
+      coalesce('## Added Columns:' || chr(10) || string_agg(CASE WHEN d.change_type = 'new' THEN '- ' || d.column_name || ': ' || d.current_type END, chr(10) ORDER BY d.column_name) || chr(10) || chr(10), '') ||
+      coalesce('## Removed Columns:' || chr(10) || string_agg(CASE WHEN d.change_type = 'missing' THEN '- ' || d.column_name || ': previously ' || d.baseline_type END, chr(10) ORDER BY d.column_name) || chr(10) || chr(10), '') ||
+      coalesce('## Columns With Changed Datatypes:' || chr(10) || string_agg(CASE WHEN d.change_type = 'type_mismatch' THEN '- ' || d.column_name || ': ' || d.baseline_type || ' → ' || d.current_type END, chr(10) ORDER BY d.column_name) || chr(10) || chr(10), ''),
+      '\n$', '')
+  END AS report
+FROM (SELECT DISTINCT table_name FROM declared) t LEFT JOIN drift d ON t.table_name = d.table_name
+GROUP BY t.table_name""", _DRIFT_CTES)
+
+
+# ---------------------------------------------------------------- quality score / summary
+def _quality_sql(feed, threshold=20):
+    t = _silver(feed)
+    nulls = f"SELECT * FROM ({nulls_sql(feed)})"
+    outl = f"SELECT * FROM ({zscore_sql(feed)})"
+    return f"""
+SELECT '{t}' AS table_name,
+  CAST(greatest(100 - 10 * (SELECT count(*) FROM n_{feed} WHERE null_percentage > {threshold})
+                    - 5 * (SELECT count(*) FROM o_{feed} WHERE outlier_count > 0), 0) AS INTEGER) AS quality_score,
+  concat_ws(chr(10),
+    '✔ No schema drift detected in {t}. Schema matches baseline.',
+    CASE WHEN (SELECT count(*) FROM n_{feed} WHERE null_percentage > {threshold}) > 0
+         THEN '⚠ High null percentages found in: ' || (SELECT string_agg(column_name, ', ' ORDER BY ordinal) FROM n_{feed} WHERE null_percentage > {threshold}) || '.'
+         ELSE '✔ No significant null anomalies detected in {t}.' END,
+    CASE WHEN (SELECT count(*) FROM o_{feed} WHERE outlier_count > 0) > 0
+         THEN '⚠ Outliers detected in numeric columns: ' || (SELECT string_agg(column_name, ', ' ORDER BY ordinal) FROM o_{feed} WHERE outlier_count > 0) || '.'
+         ELSE '✔ No numeric outliers detected in {t}.' END,
+    '✔ Overall, {t} looks healthy and ready for downstream use.') AS ai_summary""", {f"n_{feed}": nulls, f"o_{feed}": outl}
+
+
+def _quality_all():
+    parts, ctes = [], {}
+    for f in FEEDS:
+        body, c = _quality_sql(f)
+        parts.append(body)
+        ctes.update(c)
+    return "\nUNION ALL ".join(parts), ctes
+
+
+_Q_BODY, _Q_CTES = _quality_all()
+_Q_CTES["quality"] = _Q_BODY
+oracle("quality_score", "SELECT table_name, quality_score FROM quality", _Q_CTES)
+oracle("quality_summary", "SELECT table_name, quality_score, ai_summary FROM quality", _Q_CTES)
