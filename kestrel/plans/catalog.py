@@ -211,3 +211,321 @@ def q_quality_score(spark, sf_dir):
 @register("quality_summary")
 def q_quality_summary(spark, sf_dir):
     return quality_log(spark, sf_dir).select("table_name", "quality_score", "ai_summary")
+
+
+# ---------------------------------------------------------------- quarantine / silver checks
+@register("quarantine_null_keys")
+def q_quarantine_null_keys(spark, sf_dir):
+    """Rows held back from silver because the declared non-null key is NULL.
+
+    The key-less transactions of the feed are the customer-less ones; the
+    check runs on every feed's declared key.
+    """
+    out = None
+    for feed in FEEDS:
+        q = ingest.quarantine(raw(spark, sf_dir, feed), feed)
+        q = q.select(F.lit(schemas.SILVER_TABLE_NAMES[feed]).alias("table_name"),
+                     F.col(schemas.KEYS[feed]).alias("record_key"), "quarantine_reason")
+        out = q if out is None else out.unionByName(q)
+    return out
+
+
+@register("silver_range_checks")
+def q_silver_range_checks(spark, sf_dir):
+    """P25: rows quarantined by silver range checks, counted per table and reason."""
+    out = None
+    as_of = F.lit(AS_OF)
+    for feed in FEEDS:
+        q = ingest.quarantine(raw(spark, sf_dir, feed), feed, ingest.silver_range_checks(feed, as_of))
+        q = q.select(F.lit(schemas.SILVER_TABLE_NAMES[feed]).alias("table_name"), "quarantine_reason")
+        out = q if out is None else out.unionByName(q)
+    return out.groupBy("table_name", "quarantine_reason").agg(F.count(F.lit(1)).alias("rows"))
+
+
+# ---------------------------------------------------------------- run over run
+def history_log(spark, sf_dir):
+    """Two runs of the profiler: the raw feeds (run_000) and silver (run_001)."""
+    raws = {schemas.SILVER_TABLE_NAMES[f]: ingest.enforce(raw(spark, sf_dir, f), schemas.SILVER[f]) for f in FEEDS}
+    base = {schemas.SILVER_TABLE_NAMES[f]: schemas.SILVER[f] for f in FEEDS}
+    r0 = Q.profile_tables(raws, "run_000", "2024-01-31T00:00:00", baselines=base, as_of=AS_OF)
+    return r0.unionByName(quality_log(spark, sf_dir))
+
+
+@register("run_over_run")
+def q_run_over_run(spark, sf_dir):
+    """Q22: each profiling run against the previous run of the same table."""
+    return Q.run_over_run(history_log(spark, sf_dir))
+
+
+# ---------------------------------------------------------------- text layer
+from kestrel.operators import docs as DOC  # noqa: E402
+from kestrel.operators import summaries as SUM  # noqa: E402
+from kestrel.functions import text as TF  # noqa: E402
+
+
+@register("llm_inputs")
+def q_llm_inputs(spark, sf_dir):
+    """Q12: model inputs from the quality log (JSON context, payload)."""
+    return SUM.build_inputs(quality_log(spark, sf_dir))
+
+
+@register("render_prompts")
+def q_render_prompts(spark, sf_dir):
+    """F8 + Q19: the three rendered prompts and the template version hash."""
+    return SUM.render_prompts(SUM.build_inputs(quality_log(spark, sf_dir))).drop(*SUM.CONTEXT)
+
+
+@register("generate_dry_run")
+def q_generate_dry_run(spark, sf_dir):
+    """Q13 dry run: "[DRY_RUN]" + prompt, no generator call."""
+    return SUM.generate(SUM.build_inputs(quality_log(spark, sf_dir)), dry_run=True)
+
+
+def raw_outputs(spark, sf_dir):
+    return SUM.generate(SUM.build_inputs(history_log(spark, sf_dir)))
+
+
+@register("generate_summaries")
+def q_generate_summaries(spark, sf_dir):
+    """Q13 live: generator over Arrow batches (mapInPandas) -> llm_raw_outputs."""
+    return raw_outputs(spark, sf_dir)
+
+
+def llm_summaries(spark, sf_dir):
+    return SUM.clean_outputs(raw_outputs(spark, sf_dir))
+
+
+@register("clean_summaries")
+def q_clean_summaries(spark, sf_dir):
+    """Q14: sanitised paragraphs and filtered root-cause bullets -> llm_summaries."""
+    return llm_summaries(spark, sf_dir)
+
+
+@register("validate_summaries")
+def q_validate_summaries(spark, sf_dir):
+    """Q21: prompt-rule compliance flags per generated summary."""
+    return SUM.validate_summaries(llm_summaries(spark, sf_dir))
+
+
+@register("summary_export")
+def q_summary_export(spark, sf_dir):
+    return SUM.summary_export(llm_summaries(spark, sf_dir))
+
+
+@register("run_metadata")
+def q_run_metadata(spark, sf_dir):
+    return SUM.run_metadata(llm_summaries(spark, sf_dir))
+
+
+@register("sanitize_text")
+def q_sanitize_text(spark, sf_dir):
+    """F10 over every document (whole texts; the 4000-character cap is the contract)."""
+    d = feeds.table(spark, sf_dir, "documents").select("doc_id", "text")
+    return d.select("doc_id", TF.sanitize_text(F.col("text")).alias("clean_text"))
+
+
+@register("clean_root_causes")
+def q_clean_root_causes(spark, sf_dir):
+    """F11 over every conversation turn (whole texts)."""
+    c = feeds.table(spark, sf_dir, "conversations").select("conv_id", "turn", "text")
+    return c.select("conv_id", "turn", TF.clean_root_causes(F.col("text")).alias("bullets"))
+
+
+# ---------------------------------------------------------------- findings / classification
+def findings(spark, sf_dir):
+    return DOC.findings(history_log(spark, sf_dir))
+
+
+@register("classify_anomaly")
+def q_classify_anomaly(spark, sf_dir):
+    """Q9 over every finding of both profiling runs."""
+    return DOC.classify(findings(spark, sf_dir)).drop("affected_pct")
+
+
+@register("anomaly_severity")
+def q_anomaly_severity(spark, sf_dir):
+    """Severity score and band per classified finding."""
+    return edge(DOC.severity(DOC.classify(findings(spark, sf_dir))))
+
+
+def suggestions(spark, sf_dir):
+    out = None
+    for feed in FEEDS:
+        prof = P.column_profile(silver(spark, sf_dir, feed))
+        s = DOC.suggested_rules(prof, schemas.SILVER_TABLE_NAMES[feed])
+        out = s if out is None else out.unionByName(s)
+    return out
+
+
+@register("suggested_rules")
+def q_suggested_rules(spark, sf_dir):
+    """Rules suggested from the silver profiles."""
+    return suggestions(spark, sf_dir)
+
+
+@register("parse_rules")
+def q_parse_rules(spark, sf_dir):
+    """Q10 over the suggested rule texts (flattened structs)."""
+    p = R.parse_rules(suggestions(spark, sf_dir).select("table_name", "rule_text"), created_at=str(AS_OF))
+    return p.select("table_name", "rule_id", "description", "column", "rule_type",
+                    F.col("thresholds.max").alias("threshold_max"), "severity", "action")
+
+
+@register("evaluate_rules")
+def q_evaluate_rules(spark, sf_dir):
+    """Q11: checks implied by the parsed rules, counted on each silver table (one pass each)."""
+    parsed = R.parse_rules(suggestions(spark, sf_dir).select("table_name", "rule_text"), created_at=str(AS_OF))
+    out = None
+    for feed in FEEDS:
+        name = schemas.SILVER_TABLE_NAMES[feed]
+        checks = R.rule_checks(parsed.filter(F.col("table_name") == name))
+        e = R.evaluate_rules(silver(spark, sf_dir, feed), checks).withColumn("table_name", F.lit(name))
+        out = e if out is None else out.unionByName(e)
+    return out
+
+
+@register("table_documentation")
+def q_table_documentation(spark, sf_dir):
+    """Q16: documentation per silver table from schema, rules and classified findings."""
+    from kestrel.operators.drift import schema_snapshot
+
+    snaps = None
+    for feed in FEEDS:
+        s = schema_snapshot(spark, schemas.SILVER_TABLE_NAMES[feed], schemas.SILVER[feed])
+        snaps = s if snaps is None else snaps.unionByName(s)
+    rules = spark.createDataFrame(
+        [(t, i, f"{r}: flags rows where {p.replace('{as_of}', 'the run date')}", "high")
+         for i, (t, r, p) in enumerate(R.DEFAULT_RULES)],
+        "table_name string, ordinal int, description string, severity string")
+    anomalies = DOC.classify(DOC.findings(quality_log(spark, sf_dir)))
+    return DOC.table_documentation(snaps, rules, anomalies, RUN_TS)
+
+
+@register("metadata_summary")
+def q_metadata_summary(spark, sf_dir):
+    """Q15 over S20 ingest metadata of the silver tables."""
+    from kestrel.sources import io as IO
+
+    meta, snap, nulls = None, None, None
+    for feed in FEEDS:
+        name = schemas.SILVER_TABLE_NAMES[feed]
+        df = silver(spark, sf_dir, feed)
+        m = IO.ingest_metadata(df, name)
+        n = P.null_anomalies(df).select(F.lit(name).alias("table_name"), "ordinal", "column_name", "null_percentage")
+        s = D.schema_snapshot(spark, name, df)
+        meta = m if meta is None else meta.unionByName(m)
+        nulls = n if nulls is None else nulls.unionByName(n)
+        snap = s if snap is None else snap.unionByName(s)
+    return DOC.metadata_summary(meta.select("table_name", "row_count", "file_size_mb"), snap, nulls)
+
+
+@register("rules_end_to_end")
+def q_rules_end_to_end(spark, sf_dir):
+    """Q17: parse -> evaluate -> classify the violated checks, per table."""
+    ev = q_evaluate_rules(spark, sf_dir)
+    text = F.concat(F.col("violations").cast("string"), F.lit(" rows violate rule: "), F.col("description"))
+    return DOC.classify(ev.filter(F.col("violations").isNotNull()).withColumn("anomaly_text", text), "anomaly_text")
+
+
+# ---------------------------------------------------------------- KPIs
+from kestrel.operators import kpi as K  # noqa: E402
+
+
+def gold_sales(spark, sf_dir):
+    return gold.customer_sales(silver(spark, sf_dir, "sales"), silver(spark, sf_dir, "customers"))
+
+
+@register("kpi_customers")
+def q_kpi_customers(spark, sf_dir):
+    return edge(K.customer_kpis(gold_sales(spark, sf_dir)))
+
+
+@register("kpi_cards")
+def q_kpi_cards(spark, sf_dir):
+    return K.kpi_cards(K.customer_kpis(gold_sales(spark, sf_dir)))
+
+
+@register("kpi_health")
+def q_kpi_health(spark, sf_dir):
+    return K.health_counts(llm_summaries(spark, sf_dir))
+
+
+@register("daily_usage")
+def q_daily_usage(spark, sf_dir):
+    """A14 over the events table as the usage log."""
+    return K.daily_counts(feeds.table(spark, sf_dir, "events"), "ts")
+
+
+@register("top_customers")
+def q_top_customers(spark, sf_dir):
+    return edge(K.top_customers(gold_sales(spark, sf_dir), 10))
+
+
+@register("customer_drilldown")
+def q_customer_drilldown(spark, sf_dir):
+    return edge(K.customer_drilldown(gold_sales(spark, sf_dir), 100000, F.lit(AS_OF)))
+
+
+@register("sum_by_key")
+def q_sum_by_key(spark, sf_dir):
+    """P18 + A16: sales above 50000, total amount per customer."""
+    return K.sum_by_key(silver(spark, sf_dir, "sales"), "customer_id", "amount", 50000)
+
+
+@register("run_selector")
+def q_run_selector(spark, sf_dir):
+    """A15 + P16 + O3: run ids of one table, and the first row of the selection."""
+    log = history_log(spark, sf_dir).select("table_name", "run_id", "timestamp", "quality_score")
+    sel = K.select_run(log, "ALL", "sales_silver")
+    return K.first_rows(sel, [F.col("timestamp").desc(), F.col("run_id").desc()], 1)
+
+
+@register("selector_values")
+def q_selector_values(spark, sf_dir):
+    log = history_log(spark, sf_dir)
+    return K.distinct_values(log, "run_id", F.col("table_name") == "customers_silver")
+
+
+# ---------------------------------------------------------------- ML
+from kestrel.operators import ml as ML  # noqa: E402
+
+
+@register("high_value_label")
+def q_high_value_label(spark, sf_dir):
+    return edge(ML.label_high_value(gold_sales(spark, sf_dir)))
+
+
+@register("train_test_split")
+def q_train_test_split(spark, sf_dir):
+    lab = ML.label_high_value(gold_sales(spark, sf_dir))
+    return lab.withColumn("split", F.when(ML.split_flag(F.col("customer_id")), "train").otherwise("test")) \
+        .groupBy("split", ML.LABEL).agg(F.count(F.lit(1)).alias("rows"))
+
+
+def _fit(spark, sf_dir):
+    lab = ML.label_high_value(gold_sales(spark, sf_dir))
+    train, test = ML.train_test_split(lab)
+    return ML.fit_classifier(train), test, lab
+
+
+@register("rf_metrics")
+def q_rf_metrics(spark, sf_dir):
+    """M3 + M4: random forest on the train split, accuracy / F1 on the test split."""
+    model, test, _ = _fit(spark, sf_dir)
+    return ML.classification_metrics(model.transform(test))
+
+
+@register("rf_predictions")
+def q_rf_predictions(spark, sf_dir):
+    """M5: batch scoring of every gold customer."""
+    model, _, lab = _fit(spark, sf_dir)
+    return ML.predict(model, lab)
+
+
+@register("clv_regression_metrics")
+def q_clv_regression_metrics(spark, sf_dir):
+    """M6: random-forest regression of total_spend; MAE / RMSE / R^2 on the test split."""
+    feats = ML.regression_features(gold_sales(spark, sf_dir))
+    train, test = ML.train_test_split(feats)
+    model = ML.regressor_pipeline().fit(train)
+    return ML.regression_metrics(model.transform(test))

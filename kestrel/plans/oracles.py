@@ -83,7 +83,8 @@ def profile_sql(feed):
     return "\nUNION ALL ".join(parts)
 
 
-def nulls_sql(feed, columns=None, threshold=20):
+def nulls_sql(feed, columns=None, threshold=20, src=None):
+    src = src or _silver(feed)
     parts = []
     for i, c, _ in _cols(feed):
         if columns and c not in columns:
@@ -92,11 +93,12 @@ def nulls_sql(feed, columns=None, threshold=20):
         parts.append(f"SELECT {i} AS ordinal, '{c}' AS column_name, count(*) FILTER (WHERE {c} IS NULL) AS null_count, "
                      f"count(*) AS total_rows, round({pct}, 2) AS null_percentage, "
                      f"CASE WHEN {pct} > {threshold} THEN 'High null percentage' ELSE 'OK' END AS issue "
-                     f"FROM {_silver(feed)}")
+                     f"FROM {src}")
     return "\nUNION ALL ".join(parts)
 
 
-def zscore_sql(feed, k=3):
+def zscore_sql(feed, k=3, src=None):
+    src = src or _silver(feed)
     num = [(i, c) for i, c, kind in _cols(feed) if kind == "numeric"]
     stats = ", ".join(f"avg({c}) AS a{i}, stddev_samp({c}) AS s{i}" for i, c in num)
     counts = ", ".join(
@@ -108,13 +110,14 @@ def zscore_sql(feed, k=3):
         parts.append(f"SELECT {i} AS ordinal, '{c}' AS column_name, CASE WHEN {var} THEN round(a{i}, 4) END AS mean, "
                      f"CASE WHEN {var} THEN round(s{i}, 4) END AS stddev, CASE WHEN {var} THEN o{i} ELSE 0 END AS outlier_count, "
                      f"CASE WHEN {var} THEN NULL ELSE 'No variance' END AS reason FROM st, oc")
-    return ("WITH st AS (SELECT " + stats + f" FROM {_silver(feed)}), oc AS (SELECT " + counts +
-            f" FROM {_silver(feed)} t, st) " + "\nUNION ALL ".join(parts))
+    return ("WITH st AS (SELECT " + stats + f" FROM {src}), oc AS (SELECT " + counts +
+            f" FROM {src} t, st) " + "\nUNION ALL ".join(parts))
 
 
-def rules_sql(feed):
+def rules_sql(feed, src=None):
     name = _silver(feed)
-    parts = [f"SELECT '{r}' AS rule_name, count(*) FILTER (WHERE {p.replace('{as_of}', AS_OF_SQL)}) AS violations FROM {name}"
+    src = src or name
+    parts = [f"SELECT '{r}' AS rule_name, count(*) FILTER (WHERE {p.replace('{as_of}', AS_OF_SQL)}) AS violations FROM {src}"
              for t, r, p in DEFAULT_RULES if t == name]
     return "\nUNION ALL ".join(parts)
 
@@ -231,3 +234,144 @@ _Q_BODY, _Q_CTES = _quality_all()
 _Q_CTES["quality"] = _Q_BODY
 oracle("quality_score", "SELECT table_name, quality_score FROM quality", _Q_CTES)
 oracle("quality_summary", "SELECT table_name, quality_score, ai_summary FROM quality", _Q_CTES)
+
+
+# ---------------------------------------------------------------- quarantine
+_KEYS = {"customers": "customer_id", "sales": "sale_id", "transactions": "transaction_id"}
+oracle("quarantine_null_keys", "\nUNION ALL ".join(
+    f"SELECT '{_silver(f)}' AS table_name, CAST(NULL AS VARCHAR) AS record_key, '{_KEYS[f]}_is_null' AS quarantine_reason "
+    f"FROM {f}_raw WHERE trim({_KEYS[f]}) IS NULL" for f in FEEDS))
+
+_RANGE_REASONS = {
+    "customers": [("age_out_of_range", "age < 0 OR age > 120"), ("signup_in_future", f"signup_date > {AS_OF_SQL}")],
+    "sales": [("quantity_not_positive", "quantity <= 0"), ("amount_negative", "amount < 0"),
+              ("sale_in_future", f"sale_date > {AS_OF_SQL}")],
+    "transactions": [("amount_negative", "amount < 0"), ("transaction_in_future", f"transaction_date > {AS_OF_SQL}")],
+}
+_CLEAN = {"customers": "SELECT trim(customer_id) AS customer_id, age, signup_date FROM customers_raw",
+          "sales": "SELECT DISTINCT trim(sale_id) AS sale_id, trim(customer_id) AS customer_id, trim(product_id) AS product_id, sale_date, quantity, amount FROM sales_raw",
+          "transactions": "SELECT DISTINCT trim(transaction_id) AS transaction_id, trim(customer_id) AS customer_id, transaction_date, lower(trim(payment_method)) AS payment_method, lower(trim(status)) AS status, amount FROM transactions_raw"}
+
+
+def _reason_sql(f):
+    checks = [(f"{_KEYS[f]}_is_null", f"{_KEYS[f]} IS NULL")] + _RANGE_REASONS[f]
+    parts = ", ".join(f"CASE WHEN {p} THEN '{n}' END" for n, p in checks)
+    return (f"SELECT '{_silver(f)}' AS table_name, concat_ws(',', {parts}) AS quarantine_reason "
+            f"FROM ({_CLEAN[f]})")
+
+
+oracle("silver_range_checks", "SELECT table_name, quarantine_reason, count(*) AS rows FROM (" +
+       "\nUNION ALL ".join(_reason_sql(f) for f in FEEDS) + ") WHERE quarantine_reason <> '' GROUP BY ALL")
+
+# ---------------------------------------------------------------- whole-text functions
+PY_WS = r"[\t\n\x{0B}\f\r\x{1C}-\x{1F} \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
+_STRIP = lambda e: f"regexp_replace({e}, '^{PY_WS}+|{PY_WS}+$', '', 'g')"
+oracle("sanitize_text", f"""
+SELECT doc_id, CASE WHEN length(c) > 4000 THEN substring(c, 1, 3997) || '...' ELSE c END AS clean_text FROM (
+  SELECT doc_id, {_STRIP(f"regexp_replace(coalesce(text, ''), '{PY_WS}+', ' ', 'g')")} AS c FROM documents)""")
+
+from kestrel.functions.text import ROOT_CAUSE_SKIP  # noqa: E402
+
+_SKIP = " OR ".join(f"contains(lower(x), '{p}')" for p in ROOT_CAUSE_SKIP)
+oracle("clean_root_causes", f"""
+SELECT conv_id, turn, array_to_string(list_slice(list_filter(
+         list_transform(string_split(coalesce(text, ''), chr(10)), lambda x: {_STRIP('x')}),
+         lambda x: starts_with(x, '- ') AND NOT ({_SKIP})), 1, 4), chr(10)) AS bullets
+FROM conversations""")
+
+
+# ---------------------------------------------------------------- findings / classification
+def _findings_sql(feed, run, src):
+    t = _silver(feed)
+    total = f"(SELECT count(*) FROM {src})"
+    return f"""
+SELECT '{t}' AS table_name, '{run}' AS run_id, column_name, 'nulls' AS source,
+       'Column ' || column_name || ' has ' || CAST(null_percentage AS VARCHAR) || '% null values' AS description,
+       null_percentage AS affected_pct FROM ({nulls_sql(feed, src=src)}) WHERE issue <> 'OK'
+UNION ALL
+SELECT '{t}', '{run}', column_name, 'outliers',
+       CAST(outlier_count AS VARCHAR) || ' values in ' || column_name || ' lie above 3 standard deviations from the mean',
+       CASE WHEN {total} > 0 THEN round(outlier_count * 100.0 / {total}, 2) ELSE 0.0 END
+FROM ({zscore_sql(feed, src=src)}) WHERE outlier_count > 0
+UNION ALL
+SELECT '{t}', '{run}', rule_name, 'rules', 'Rule ' || rule_name || ' has ' || CAST(violations AS VARCHAR) || ' violating rows',
+       CASE WHEN {total} > 0 THEN round(violations * 100.0 / {total}, 2) ELSE 0.0 END
+FROM ({rules_sql(feed, src=src)}) WHERE violations > 0"""
+
+
+_FINDINGS = "\nUNION ALL ".join(
+    f"SELECT * FROM ({_findings_sql(f, run, src)})"
+    for f in FEEDS for run, src in (("run_000", f"{f}_raw"), ("run_001", _silver(f))))
+_CLASSIFIED = """
+SELECT *, CASE
+  WHEN contains(l, 'new column') OR contains(l, 'column mismatch') OR contains(l, 'schema') THEN 'schema_drift'
+  WHEN contains(l, 'null') OR contains(l, 'missing') THEN 'missing_values'
+  WHEN regexp_matches(l, '\\b(outlier|above|below|greater than|> )\\b') THEN 'outlier'
+  WHEN contains(l, 'distribution') OR contains(l, 'skew') OR contains(l, 'drift') THEN 'distribution_shift'
+  WHEN contains(l, 'rule') OR contains(l, 'violation') OR contains(l, 'constraint') THEN 'business_rule_violation'
+  ELSE 'unknown' END AS anomaly_type
+FROM (SELECT *, lower(description) AS l FROM findings)"""
+_EXPLAIN = """
+SELECT table_name, run_id, column_name, source, description, affected_pct, anomaly_type,
+  CASE anomaly_type WHEN 'distribution_shift' THEN 'medium' WHEN 'unknown' THEN 'medium' ELSE 'high' END AS severity,
+  CASE anomaly_type
+    WHEN 'schema_drift' THEN 'A schema-level change was detected.'
+    WHEN 'missing_values' THEN 'Records contain missing or null values.'
+    WHEN 'outlier' THEN 'Several values fall outside expected numeric range.'
+    WHEN 'distribution_shift' THEN 'Data distribution has changed compared to historical patterns.'
+    WHEN 'business_rule_violation' THEN 'Detected a violation of predefined business logic.'
+    ELSE 'Unable to determine anomaly type from description.' END AS explanation
+FROM classified"""
+_F_CTES = {"findings": _FINDINGS, "classified": _CLASSIFIED, "explained": _EXPLAIN}
+oracle("classify_anomaly", "SELECT * EXCLUDE (affected_pct) FROM explained", _F_CTES)
+oracle("anomaly_severity", """
+SELECT *, CASE WHEN severity_score >= 50 THEN 'critical' WHEN severity_score >= 20 THEN 'high'
+               WHEN severity_score >= 5 THEN 'medium' ELSE 'low' END AS severity_band FROM (
+  SELECT *, round(CASE anomaly_type WHEN 'schema_drift' THEN 1.0 WHEN 'missing_values' THEN 0.8
+                   WHEN 'business_rule_violation' THEN 0.7 WHEN 'outlier' THEN 0.6 WHEN 'distribution_shift' THEN 0.5
+                   ELSE 0.3 END * least(greatest(coalesce(affected_pct, 100.0), 0.0), 100.0), 2) AS severity_score
+  FROM explained)""", _F_CTES)
+
+
+# ---------------------------------------------------------------- suggested / parsed rules
+_SUGGEST = "\nUNION ALL ".join(f"""
+SELECT '{_silver(f)}' AS table_name, ordinal, column_name, 'not_null' AS kind,
+       'Flag {_silver(f)} rows where ' || column_name || ' is missing' AS rule_text, column_name || ' IS NULL' AS predicate
+FROM ({profile_sql(f)}) WHERE null_count = 0 AND count > 0
+UNION ALL
+SELECT '{_silver(f)}', ordinal, column_name, 'upper_bound',
+       'Flag {_silver(f)} rows where ' || column_name || ' above ' || max, column_name || ' > ' || max
+FROM ({profile_sql(f)}) WHERE kind = 'numeric' AND max IS NOT NULL""" for f in FEEDS)
+oracle("suggested_rules", "SELECT * FROM suggest", {"suggest": _SUGGEST})
+oracle("parse_rules", r"""
+SELECT table_name, 'rule_' || substring(sha1(rule_text), 1, 6) AS rule_id, rule_text AS description,
+       array_to_string(list_transform(regexp_extract_all(rule_text, '(?i)\b([a-z_]+_id|amount|price|quantity|date)\b', 1), lambda x: lower(x)), ',') AS column,
+       CASE WHEN contains(lower(rule_text), 'missing') OR contains(lower(rule_text), 'null') THEN 'null_check' ELSE 'business_rule' END AS rule_type,
+       thr AS threshold_max,
+       CASE WHEN thr IS NOT NULL AND thr <> 0 THEN 'high' ELSE 'medium' END AS severity, 'flag' AS action
+FROM (SELECT *, TRY_CAST(NULLIF(replace(regexp_extract(rule_text, '(?i)(?:>|greater than|above)\s*([\d,]+)', 1), ',', ''), '') AS DOUBLE) AS thr
+      FROM suggest)""", {"suggest": _SUGGEST})
+
+# ---------------------------------------------------------------- KPIs / labels
+_GOLD_SALES = """SELECT customer_id, sum(amount) AS total_spend, count(sale_id) AS total_orders, avg(amount) AS avg_order_value,
+  min(sale_date) AS first_purchase_date, max(sale_date) AS last_purchase_date FROM sales_silver GROUP BY customer_id"""
+_G = {"gold_sales": _GOLD_SALES}
+oracle("kpi_customers", """SELECT count(*) AS customers, round(coalesce(avg(avg_order_value), 0.0), 4) AS avg_order_value,
+  round(coalesce(CAST(sum(total_spend) AS DOUBLE), 0.0), 4) AS total_revenue FROM gold_sales""", _G)
+oracle("kpi_cards", """SELECT CAST(count(*) AS VARCHAR) AS customers_card,
+  '₹' || format('{:,.0f}', coalesce(CAST(sum(total_spend) AS DOUBLE), 0.0)) AS revenue_card,
+  '₹' || format('{:,.2f}', coalesce(avg(avg_order_value), 0.0)) AS aov_card FROM gold_sales""", _G)
+oracle("daily_usage", "SELECT CAST(ts AS DATE) AS date, count(*) AS events FROM events GROUP BY 1")
+oracle("top_customers", """SELECT customer_id, CAST(total_spend AS BIGINT) AS total_spend, total_orders,
+  round(avg_order_value, 4) AS avg_order_value, first_purchase_date, last_purchase_date
+  FROM gold_sales ORDER BY total_spend DESC, customer_id LIMIT 10""", _G)
+oracle("customer_drilldown", f"""SELECT customer_id, CAST(total_spend AS BIGINT) AS total_spend, total_orders,
+  round(avg_order_value, 4) AS avg_order_value, first_purchase_date, last_purchase_date,
+  datediff('day', last_purchase_date, {AS_OF_SQL}) AS days_since_last_purchase
+  FROM gold_sales WHERE total_spend >= 100000""", _G)
+oracle("sum_by_key", """SELECT customer_id, CAST(sum(amount) AS BIGINT) AS total_amount FROM sales_silver
+  WHERE amount > 50000 GROUP BY customer_id""")
+oracle("high_value_label", """SELECT customer_id, CAST(total_spend AS BIGINT) AS total_spend, total_orders,
+  round(avg_order_value, 4) AS avg_order_value,
+  CAST(CASE WHEN total_spend >= 5000 OR avg_order_value >= 200 THEN 1 ELSE 0 END AS INTEGER) AS is_high_value
+  FROM gold_sales WHERE total_spend IS NOT NULL AND total_orders IS NOT NULL AND avg_order_value IS NOT NULL""", _G)
