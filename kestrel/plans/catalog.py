@@ -529,3 +529,140 @@ def q_clv_regression_metrics(spark, sf_dir):
     train, test = ML.train_test_split(feats)
     model = ML.regressor_pipeline().fit(train)
     return ML.regression_metrics(model.transform(test))
+
+
+# ---------------------------------------------------------------- streaming (batch forms)
+from kestrel.streaming import monitors as MON  # noqa: E402
+
+
+def tx_events(spark, sf_dir):
+    """Raw transactions with their event time (the transaction stream, as a batch)."""
+    ev = feeds.table(spark, sf_dir, "events")
+    return feeds.transactions_from_events(ev, keep=("ts",))
+
+
+@register("rolling_quality")
+def q_rolling_quality(spark, sf_dir):
+    """T5 batch form: daily windows of transaction quality rates."""
+    return edge(MON.quality_windows(tx_events(spark, sf_dir), "ts", "1 day"))
+
+
+@register("volume_alerts")
+def q_volume_alerts(spark, sf_dir):
+    """T6 batch form: hourly event volume per type with trailing-24 alerting."""
+    counts = MON.volume_counts(feeds.table(spark, sf_dir, "events"), "ts", "1 hour", "event_type")
+    return edge(MON.volume_alerts(counts, "event_type", history=24, k=3.0))
+
+
+@register("sessions")
+def q_sessions(spark, sf_dir):
+    """T10 batch form: 30-minute-gap sessions per user."""
+    return edge(MON.sessions(feeds.table(spark, sf_dir, "events"), "ts", "30 minutes", "user_id"))
+
+
+# ---------------------------------------------------------------- streaming (live)
+from kestrel.streaming import batches as SB  # noqa: E402
+from kestrel.streaming import sources as SS  # noqa: E402
+
+STREAM_FILES = 4
+
+
+def _landed_events(spark, sf_dir):
+    path = SS.scratch(spark, "landing-events")
+    return SS.land(feeds.table(spark, sf_dir, "events"), path, STREAM_FILES, "ts")
+
+
+def _event_stream(spark, sf_dir, max_files=1):
+    return SS.with_event_time(SS.read_stream(spark, _landed_events(spark, sf_dir), SS.EVENTS_SCHEMA,
+                                             max_files_per_trigger=max_files))
+
+
+@register("stream_bronze")
+def q_stream_bronze(spark, sf_dir):
+    """T1 + T2 + T11: landed event files -> append-only bronze (checkpointed)."""
+    out, ck = SS.scratch(spark, "bronze"), SS.scratch(spark, "bronze-ck")
+    SS.drain(SS.write_files(SS.bronze_stream(_event_stream(spark, sf_dir), "events"), out, ck))
+    return spark.read.parquet(out).select("event_id", "ts", "user_id", "event_type", "value", "_source")
+
+
+@register("stream_windows")
+def q_stream_windows(spark, sf_dir):
+    """T5 on a stream: watermark 1 hour, daily windows, append mode (closed windows only)."""
+    tx = feeds.transactions_from_events(_event_stream(spark, sf_dir), keep=("event_time",))
+    out, ck = SS.scratch(spark, "windows"), SS.scratch(spark, "windows-ck")
+    SS.drain(SS.write_files(MON.quality_windows(tx, "event_time", "1 day", watermark="1 hour"), out, ck))
+    return spark.read.parquet(out)
+
+
+@register("stream_sessions")
+def q_stream_sessions(spark, sf_dir):
+    """T10 on a stream: session windows with a watermark (closed sessions)."""
+    out, ck = SS.scratch(spark, "sessions"), SS.scratch(spark, "sessions-ck")
+    s = MON.sessions(_event_stream(spark, sf_dir), "event_time", "30 minutes", "user_id", watermark="1 hour")
+    SS.drain(SS.write_files(s, out, ck))
+    return spark.read.parquet(out)
+
+
+def _stream_profile_paths(spark, sf_dir):
+    log, alerts, drift = (SS.scratch(spark, n) for n in ("stream-log", "stream-alerts", "stream-drift"))
+    ck = SS.scratch(spark, "stream-profile-ck")
+    name = schemas.SILVER_TABLE_NAMES["transactions"]
+    sink = SB.ProfileBatches(
+        name, log, alerts, drift,
+        prepare=lambda b: ingest.silver(feeds.transactions_from_events(b), "transactions"),
+        baseline=schemas.TRANSACTIONS_SILVER, as_of=AS_OF, payload_col="props", payload_keys=["k"])
+    SS.drain(SS.run_foreach_batch(_event_stream(spark, sf_dir), sink, ck))
+    return log, alerts, drift
+
+
+@register("stream_profile")
+def q_stream_profile(spark, sf_dir):
+    """T3 + T11: every micro-batch of transactions profiled into the quality log."""
+    log, _, _ = _stream_profile_paths(spark, sf_dir)
+    return spark.read.parquet(log).select("table_name", "run_id", "quality_score", "ai_summary",
+                                          "business_rules_json", "null_anomalies_json", "outlier_report_json")
+
+
+@register("stream_classify")
+def q_stream_classify(spark, sf_dir):
+    """T7 + T12: findings of each micro-batch classified and scored as alerts."""
+    _, alerts, _ = _stream_profile_paths(spark, sf_dir)
+    return spark.read.parquet(alerts)
+
+
+@register("stream_schema_drift")
+def q_stream_schema_drift(spark, sf_dir):
+    """Per micro-batch, table schema and JSON payload keys against the baseline."""
+    _, _, drift = _stream_profile_paths(spark, sf_dir)
+    return spark.read.parquet(drift)
+
+
+@register("stream_incremental_summaries")
+def q_stream_incremental_summaries(spark, sf_dir):
+    """T4: the quality log read as a stream; only runs not yet summarised are summarised."""
+    log, _, _ = _stream_profile_paths(spark, sf_dir)
+    summaries, ck = SS.scratch(spark, "stream-summaries"), SS.scratch(spark, "stream-summaries-ck")
+    schema = spark.read.parquet(log).schema
+    stream = spark.readStream.schema(schema).parquet(log)
+    SS.drain(SS.run_foreach_batch(stream, SB.SummarizeNewRuns(summaries), ck))
+    return spark.read.parquet(summaries)
+
+
+@register("stream_volume_alerts")
+def q_stream_volume_alerts(spark, sf_dir):
+    """T6 on a stream: hourly counts (watermarked) appended, alerts over closed windows."""
+    counts_path, ck = SS.scratch(spark, "volume"), SS.scratch(spark, "volume-ck")
+    counts = MON.volume_counts(_event_stream(spark, sf_dir), "event_time", "1 hour", "event_type", "1 hour")
+    SS.drain(SS.write_files(counts, counts_path, ck))
+    return MON.volume_alerts(spark.read.parquet(counts_path), "event_type", 24, 3.0)
+
+
+@register("stream_predict")
+def q_stream_predict(spark, sf_dir):
+    """A model fitted on gold scores gold rows as they land (streaming transform)."""
+    model, _, lab = _fit(spark, sf_dir)
+    landing = SS.land(lab, SS.scratch(spark, "landing-gold"), STREAM_FILES, "customer_id")
+    stream = SS.read_stream(spark, landing, lab.schema.simpleString()[len("struct<"):-1].replace(":", " "))
+    out, ck = SS.scratch(spark, "predict"), SS.scratch(spark, "predict-ck")
+    SS.drain(SS.write_files(ML.predict(model, stream), out, ck))
+    return spark.read.parquet(out)

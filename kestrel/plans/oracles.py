@@ -375,3 +375,45 @@ oracle("high_value_label", """SELECT customer_id, CAST(total_spend AS BIGINT) AS
   round(avg_order_value, 4) AS avg_order_value,
   CAST(CASE WHEN total_spend >= 5000 OR avg_order_value >= 200 THEN 1 ELSE 0 END AS INTEGER) AS is_high_value
   FROM gold_sales WHERE total_spend IS NOT NULL AND total_orders IS NOT NULL AND avg_order_value IS NOT NULL""", _G)
+
+
+# ---------------------------------------------------------------- windowed monitors (batch forms)
+_TX_EVENTS = TRANSACTIONS_RAW_WITH_TS = """
+SELECT ts, CASE WHEN event_id % 90 = 0 THEN NULL ELSE 'C' || lpad(CAST(user_id AS VARCHAR), 6, '0') END AS customer_id,
+       CASE event_id % 5 WHEN 0 THEN 'UPI ' WHEN 1 THEN 'Card' WHEN 2 THEN 'NetBanking' WHEN 3 THEN ' wallet'
+            ELSE CASE WHEN event_id % 3 = 0 THEN NULL ELSE 'Cheque' END END AS payment_method,
+       CASE event_type WHEN 'purchase' THEN ' SUCCESS' WHEN 'error' THEN 'Failed ' ELSE event_type END AS status,
+       CASE WHEN event_id % 70 = 4 THEN 0 ELSE CAST(floor(value) AS INT) END AS amount
+FROM events"""
+oracle("rolling_quality", """
+SELECT window_start, window_start + INTERVAL 1 DAY AS window_end, rows, null_customer, null_method, bad_status,
+       bad_method, bad_amount,
+       round(null_customer * 100.0 / rows, 2) AS null_customer_pct, round(bad_status * 100.0 / rows, 2) AS bad_status_pct,
+       round(bad_method * 100.0 / rows, 2) AS bad_method_pct, round(bad_amount * 100.0 / rows, 2) AS bad_amount_pct
+FROM (SELECT date_trunc('day', ts) AS window_start, count(*) AS rows,
+             count(*) FILTER (WHERE customer_id IS NULL) AS null_customer,
+             count(*) FILTER (WHERE payment_method IS NULL) AS null_method,
+             count(*) FILTER (WHERE NOT lower(trim(status)) IN ('success', 'failed')) AS bad_status,
+             count(*) FILTER (WHERE NOT lower(trim(payment_method)) IN ('upi', 'card', 'netbanking', 'wallet')) AS bad_method,
+             count(*) FILTER (WHERE amount <= 0) AS bad_amount
+      FROM tx_events GROUP BY 1)""", {"tx_events": _TX_EVENTS})
+
+oracle("volume_alerts", """
+SELECT *, CASE WHEN is_alert THEN CASE WHEN events > trailing_mean THEN 'spike' ELSE 'drop' END END AS direction FROM (
+  SELECT event_type, window_start, window_end, events, round(trailing_mean, 4) AS trailing_mean,
+         round(trailing_sd, 4) AS trailing_sd, trailing_n,
+         coalesce(trailing_n >= 3 AND trailing_sd IS NOT NULL AND trailing_sd > 0
+                  AND abs(events - trailing_mean) > 3 * trailing_sd, false) AS is_alert
+  FROM (SELECT *, avg(events) OVER w AS trailing_mean, stddev_samp(events) OVER w AS trailing_sd,
+               count(events) OVER w AS trailing_n
+        FROM (SELECT event_type, date_trunc('hour', ts) AS window_start, date_trunc('hour', ts) + INTERVAL 1 HOUR AS window_end,
+                     count(*) AS events FROM events GROUP BY 1, 2, 3)
+        WINDOW w AS (PARTITION BY event_type ORDER BY window_start ROWS BETWEEN 24 PRECEDING AND 1 PRECEDING)))""")
+
+oracle("sessions", """
+SELECT user_id, min(ts) AS session_start, max(ts) + INTERVAL 30 MINUTE AS session_end, count(*) AS events,
+       round(sum(value), 4) AS total_value
+FROM (SELECT *, sum(CASE WHEN prev IS NULL OR ts >= prev + INTERVAL 30 MINUTE THEN 1 ELSE 0 END)
+                  OVER (PARTITION BY user_id ORDER BY ts, event_id) AS sid
+      FROM (SELECT *, lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS prev FROM events))
+GROUP BY user_id, sid""")

@@ -94,7 +94,15 @@ def sales_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def transactions_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw transactions feed derived from ``events``."""
-    e = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value")
+    return transactions_from_events(table(spark, sf_dir, "events"))
+
+
+def transactions_from_events(events: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Row-wise mapping events -> raw transactions; works on batch or streaming frames.
+
+    ``keep`` carries extra event columns through (e.g. the event time of a stream).
+    """
+    e = events
     eid = F.col("event_id")
     method = (
         F.when(eid % 5 == 0, F.lit("UPI "))
@@ -110,6 +118,7 @@ def transactions_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(F.col("event_type"))
     )
     return e.select(
+        *[F.col(k) for k in keep],
         F.concat(F.lit(" T"), eid.cast("string")).alias("transaction_id"),
         F.when(eid % 90 == 0, F.lit(None).cast("string"))
         .otherwise(F.concat(F.lit("C"), _lpad_key(F.col("user_id"), 6, "0"))).alias("customer_id"),
