@@ -18,49 +18,48 @@ from kestrel.functions import text as tf
 def findings(log: DataFrame) -> DataFrame:
     """Anomaly descriptions from quality-log rows (one per flagged item).
 
-    (table_name, run_id, column_name, source, description, affected_pct)
+    (table_name, run_id, column_name, source, description, affected_pct).
+    One projection builds every finding of a log row as an array of structs
+    and one ``explode`` emits them, so the log is read once.
     """
-    total = F.col("_total")
-    base = log.select("table_name", "run_id", "null_summary", "outlier_summary", "business_rule_violations",
-                      "schema_drift_summary",
-                      F.aggregate(F.map_values("null_summary"), F.lit(0).cast("long"),
-                                  lambda acc, v: F.greatest(acc, v["total_rows"])).alias("_total"))
+    total = F.aggregate(F.map_values("null_summary"), F.lit(0).cast("long"),
+                        lambda acc, v: F.greatest(acc, v["total_rows"]))
     pct = lambda n: F.when(total > 0, F.round(n * 100.0 / total, 2)).otherwise(F.lit(0.0))
-    nulls = (base.select("table_name", "run_id", "_total", F.explode("null_summary").alias("column_name", "v"))
-             .filter(F.col("v.issue") != "OK")
-             .select("table_name", "run_id", "column_name", F.lit("nulls").alias("source"),
-                     F.concat(F.lit("Column "), F.col("column_name"), F.lit(" has "),
-                              F.col("v.null_percentage").cast("string"), F.lit("% null values")).alias("description"),
-                     F.col("v.null_percentage").alias("affected_pct")))
-    outl = (base.select("table_name", "run_id", "_total", F.explode("outlier_summary").alias("column_name", "v"))
-            .filter(F.coalesce(F.col("v.outlier_count"), F.lit(0)) > 0)
-            .select("table_name", "run_id", "column_name", F.lit("outliers").alias("source"),
-                    F.concat(F.col("v.outlier_count").cast("string"), F.lit(" values in "), F.col("column_name"),
-                             F.lit(" lie above 3 standard deviations from the mean")).alias("description"),
-                    pct(F.col("v.outlier_count")).alias("affected_pct")))
-    rules = (base.select("table_name", "run_id", "_total",
-                         F.explode("business_rule_violations").alias("column_name", "n"))
-             .filter(F.col("n") > 0)
-             .select("table_name", "run_id", "column_name", F.lit("rules").alias("source"),
-                     F.concat(F.lit("Rule "), F.col("column_name"), F.lit(" has "), F.col("n").cast("string"),
-                              F.lit(" violating rows")).alias("description"),
-                     pct(F.col("n")).alias("affected_pct")))
-    drift_items = F.concat(
+    item = lambda c, src, d, p: F.struct(c.alias("column_name"), F.lit(src).alias("source"),
+                                         d.alias("description"), p.cast("double").alias("affected_pct"))
+    nulls = F.transform(
+        F.filter(F.map_entries("null_summary"), lambda e: e["value"]["issue"] != "OK"),
+        lambda e: item(e["key"], "nulls",
+                       F.concat(F.lit("Column "), e["key"], F.lit(" has "),
+                                e["value"]["null_percentage"].cast("string"), F.lit("% null values")),
+                       e["value"]["null_percentage"]))
+    outl = F.transform(
+        F.filter(F.map_entries("outlier_summary"), lambda e: F.coalesce(e["value"]["outlier_count"], F.lit(0)) > 0),
+        lambda e: item(e["key"], "outliers",
+                       F.concat(e["value"]["outlier_count"].cast("string"), F.lit(" values in "), e["key"],
+                                F.lit(" lie above 3 standard deviations from the mean")),
+                       pct(e["value"]["outlier_count"])))
+    rules = F.transform(
+        F.filter(F.map_entries("business_rule_violations"), lambda e: e["value"] > 0),
+        lambda e: item(e["key"], "rules",
+                       F.concat(F.lit("Rule "), e["key"], F.lit(" has "), e["value"].cast("string"),
+                                F.lit(" violating rows")),
+                       pct(e["value"])))
+    hundred = F.lit(100.0)
+    drift = F.concat(
         F.transform("schema_drift_summary.missing_columns",
-                    lambda c: F.struct(c.alias("c"), F.concat(F.lit("Schema change: column "), c,
-                                                              F.lit(" is missing from the table")).alias("d"))),
+                    lambda c: item(c, "schema", F.concat(F.lit("Schema change: column "), c,
+                                                         F.lit(" is missing from the table")), hundred)),
         F.transform("schema_drift_summary.new_columns",
-                    lambda c: F.struct(c.alias("c"), F.concat(F.lit("Schema change: new column "), c,
-                                                              F.lit(" appeared")).alias("d"))),
+                    lambda c: item(c, "schema", F.concat(F.lit("Schema change: new column "), c,
+                                                         F.lit(" appeared")), hundred)),
         F.transform("schema_drift_summary.type_mismatches",
-                    lambda m: F.struct(m["column"].alias("c"),
-                                       F.concat(F.lit("Schema change: column mismatch on "), m["column"],
-                                                F.lit(" ("), m["baseline_type"], F.lit(" to "),
-                                                m["current_type"], F.lit(")")).alias("d"))))
-    drift = (base.select("table_name", "run_id", F.explode(drift_items).alias("x"))
-             .select("table_name", "run_id", F.col("x.c").alias("column_name"), F.lit("schema").alias("source"),
-                     F.col("x.d").alias("description"), F.lit(100.0).alias("affected_pct")))
-    return nulls.unionByName(outl).unionByName(rules).unionByName(drift)
+                    lambda m: item(m["column"], "schema",
+                                   F.concat(F.lit("Schema change: column mismatch on "), m["column"], F.lit(" ("),
+                                            m["baseline_type"], F.lit(" to "), m["current_type"], F.lit(")")),
+                                   hundred)))
+    return (log.select("table_name", "run_id", F.explode(F.concat(nulls, outl, rules, drift)).alias("f"))
+            .select("table_name", "run_id", "f.*"))
 
 
 def classify(df: DataFrame, text_col: str = "description") -> DataFrame:

@@ -87,12 +87,13 @@ def top_per_group(df: DataFrame, keys: list[str], order: list, n: int = 1) -> Da
     return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= n).drop("_rn")
 
 
-METHOD_ORDER = [F.col("method_count").desc(), F.col("payment_method").asc_nulls_last()]
+def method_order() -> list:
+    return [F.col("method_count").desc(), F.col("payment_method").asc_nulls_last()]
 
 
 def top_payment_method(counts: DataFrame) -> DataFrame:
     """The most used method per customer; ties go to the smaller method name."""
-    return top_per_group(counts, ["customer_id"], METHOD_ORDER).select(
+    return top_per_group(counts, ["customer_id"], method_order()).select(
         "customer_id", F.col("payment_method").alias("most_used_payment_method"))
 
 

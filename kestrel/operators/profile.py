@@ -18,6 +18,18 @@ from kestrel.schemas import kind_of
 
 HIGH_NULL = "High null percentage"
 
+STATS_T = ("array<struct<ordinal:int,column_name:string,kind:string,count:bigint,distinct_count:bigint,"
+           "null_count:bigint,avg:double,min:string,max:string>>")
+NULLS_T = ("array<struct<ordinal:int,column_name:string,null_count:bigint,total_rows:bigint,"
+           "null_percentage:double,issue:string>>")
+OUTLIERS_T = ("array<struct<ordinal:int,column_name:string,mean:double,stddev:double,outlier_count:bigint,"
+              "reason:string>>")
+
+
+def _typed_array(items: list[Column], t: str) -> Column:
+    """``array(items)``; an empty list still gets its element type."""
+    return F.array(*items) if items else F.array().cast(t)
+
 
 def _columns(df: DataFrame, kinds: tuple[str, ...] | None = None,
              columns: list[str] | None = None) -> list[tuple[int, str, str]]:
@@ -87,7 +99,7 @@ def column_stats_array(df: DataFrame) -> Column:
             (F.col(_m(i, "min")).cast("string") if has_range else null_s).alias("min"),
             (F.col(_m(i, "max")).cast("string") if has_range else null_s).alias("max"),
         ))
-    return F.array(*items)
+    return _typed_array(items, STATS_T)
 
 
 def column_profile(df: DataFrame, approx: bool = False) -> DataFrame:
@@ -114,7 +126,7 @@ def _null_struct(i: int, name: str, threshold: float) -> Column:
 
 
 def null_stats_array(df: DataFrame, threshold: float = 20.0, columns: list[str] | None = None) -> Column:
-    return F.array(*[_null_struct(i, n, threshold) for i, n, _ in _columns(df, columns=columns)])
+    return _typed_array([_null_struct(i, n, threshold) for i, n, _ in _columns(df, columns=columns)], NULLS_T)
 
 
 def null_anomalies(df: DataFrame, threshold: float = 20.0, columns: list[str] | None = None) -> DataFrame:
@@ -149,7 +161,7 @@ def outlier_counts(df: DataFrame, stats: DataFrame, k: float = 3.0,
     joined = df.crossJoin(F.broadcast(stats))
     aggs = []
     for i, n, _ in numeric:
-        z = (F.col(f"`{n}`") - F.col(_m(i, "avg"))) / F.col(_m(i, "sd"))
+        z = F.try_divide(F.col(f"`{n}`") - F.col(_m(i, "avg")), F.col(_m(i, "sd")))
         aggs.append(F.count_if(_has_variance(i) & (z > k)).alias(_m(i, "outliers")))
     for j, (n, (lo, hi)) in enumerate((ranges or {}).items()):
         c = F.col(f"`{n}`")
@@ -172,7 +184,7 @@ def outlier_stats_array(df: DataFrame) -> Column:
             F.when(var, F.col(_m(i, "outliers"))).otherwise(F.lit(0).cast("long")).alias("outlier_count"),
             F.when(var, F.lit(None).cast("string")).otherwise(F.lit("No variance")).alias("reason"),
         ))
-    return F.array(*items)
+    return _typed_array(items, OUTLIERS_T)
 
 
 def zscore_outliers(df: DataFrame, k: float = 3.0) -> DataFrame:
@@ -207,7 +219,7 @@ def outlier_examples(df: DataFrame, k: float = 3.0, n: int = 5) -> DataFrame:
     numeric = _columns(df, ("numeric",))
     stats = _stats_frame(df, numeric)
     tagged = F.array(*[
-        F.when(_has_variance(i) & ((F.col(f"`{c}`") - F.col(_m(i, "avg"))) / F.col(_m(i, "sd")) > k),
+        F.when(_has_variance(i) & (F.try_divide(F.col(f"`{c}`") - F.col(_m(i, "avg")), F.col(_m(i, "sd"))) > k),
                F.struct(F.lit(c).alias("column_name"), F.col(f"`{c}`").cast("double").alias("value")))
         for i, c, _ in numeric
     ])

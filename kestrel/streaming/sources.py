@@ -24,13 +24,23 @@ def scratch(spark: SparkSession, name: str) -> str:
 
 
 def land(df: DataFrame, path: str, files: int, order_col: str) -> str:
-    """Write ``df`` as ``files`` time-ordered parquet files (a landing zone).
+    """Write ``df`` into a landing folder as ``files`` time slices, in time order.
 
-    Range partitioning on the event time makes each file one slice of time,
-    the way files arrive from an upstream writer.
+    A helper that stands in for an upstream writer (tests, demos, the
+    registered streaming queries); production streams read real arrivals.
+
+    The file source processes files by modification time, so the slices are
+    appended one after another (oldest first), the way an upstream writer
+    delivers them.  The data is range-partitioned and staged once; each
+    append then reads only its own staged partition.
     """
-    (df.repartitionByRange(files, F.col(order_col)).sortWithinPartitions(order_col)
-     .write.mode("overwrite").parquet(path))
+    staging = path.rstrip("/") + "-staging"
+    (df.repartitionByRange(files, F.col(order_col)).withColumn("_slice", F.spark_partition_id())
+     .write.mode("overwrite").partitionBy("_slice").parquet(staging))
+    staged = df.sparkSession.read.parquet(staging)
+    for i in range(files):
+        staged.filter(F.col("_slice") == i).drop("_slice").sortWithinPartitions(order_col) \
+            .coalesce(1).write.mode("append").parquet(path)
     return path
 
 
