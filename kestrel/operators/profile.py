@@ -150,15 +150,32 @@ def _has_variance(i: int) -> Column:
     return sd.isNotNull() & (sd != 0)
 
 
+def _is_count(name: str) -> bool:
+    return name == "total_rows" or name.startswith("rule") or name.endswith(("_nulls", "_count", "_distinct"))
+
+
+def second_pass(df: DataFrame, one_row: DataFrame, aggs: list[Column]) -> DataFrame:
+    """Aggregate ``df x broadcast(one_row)`` with ``aggs``, carrying ``one_row`` along.
+
+    The first-pass row rides through the second pass as ``max`` of a
+    constant, so the plan references the first pass once and the table is
+    scanned exactly twice.  Over an empty table the carried counts are 0,
+    exactly what the first pass held.
+    """
+    carried = [(F.coalesce(F.max(c), F.lit(0).cast("long")) if _is_count(c) else F.max(c)).alias(c)
+               for c in one_row.columns]
+    return df.crossJoin(F.broadcast(one_row)).agg(*carried, *aggs)
+
+
 def outlier_counts(df: DataFrame, stats: DataFrame, k: float = 3.0,
                    ranges: dict[str, tuple[float, float]] | None = None) -> DataFrame:
     """Second pass: count ``(x - mean) / sd > k`` per numeric column.
 
     ``stats`` is a one-row frame, so the cross join is broadcast and the test
     runs inside the scan's codegen stage.  Range checks ride the same pass.
+    The result holds the ``stats`` columns plus the counts.
     """
     numeric = _columns(df, ("numeric",))
-    joined = df.crossJoin(F.broadcast(stats))
     aggs = []
     for i, n, _ in numeric:
         z = F.try_divide(F.col(f"`{n}`") - F.col(_m(i, "avg")), F.col(_m(i, "sd")))
@@ -168,7 +185,7 @@ def outlier_counts(df: DataFrame, stats: DataFrame, k: float = 3.0,
         aggs.append(F.count_if((c < lo) | (c > hi)).alias(f"r{j}_out"))
     if not aggs:
         aggs = [F.count(F.lit(1)).alias("_rows")]
-    return joined.agg(*aggs)
+    return second_pass(df, stats, aggs)
 
 
 def outlier_stats_array(df: DataFrame) -> Column:
@@ -193,9 +210,8 @@ def zscore_outliers(df: DataFrame, k: float = 3.0) -> DataFrame:
     empty = "ordinal int, column_name string, mean double, stddev double, outlier_count bigint, reason string"
     if not numeric:
         return df.sparkSession.createDataFrame([], empty)
-    stats = _stats_frame(df, numeric)
-    counts = outlier_counts(df, stats, k)
-    return stats.crossJoin(counts).select(F.inline(outlier_stats_array(df)))
+    both = outlier_counts(df, _stats_frame(df, numeric), k)
+    return both.select(F.inline(outlier_stats_array(df)))
 
 
 def range_outliers(df: DataFrame, ranges: dict[str, tuple[float, float]]) -> DataFrame:

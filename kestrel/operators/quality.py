@@ -115,11 +115,9 @@ def table_quality(df: DataFrame, table_name: str, run_id: str, timestamp: str,
                   k: float = 3.0, threshold: float = 20.0, approx: bool = False) -> DataFrame:
     """Q18 for one table: the full quality-log row, from two scans of ``df``."""
     rs = R.rules_for(table_name, rules, as_of)
-    wide = df.agg(*P.profile_measures(df, approx), *R.rule_measures(rs))
+    wide = df.agg(*P.profile_measures(df, approx), *R.rule_measures(rs))        # pass 1
     numeric = P._columns(df, ("numeric",))
-    stat_cols = [P._m(i, w) for i, _, _ in numeric for w in ("avg", "sd")]
-    counts = P.outlier_counts(df, wide.select(*stat_cols), k) if numeric else None
-    both = wide.crossJoin(counts) if counts is not None else wide
+    both = P.outlier_counts(df, wide, k) if numeric else wide                  # pass 2
     t = F.lit(table_name)
     drift = drift_struct(baseline, df.schema)
     nulls = P.null_stats_array(df, threshold)

@@ -51,7 +51,14 @@ def main():
     import __spark_entry__ as E
     from kestrel.session import get_session
 
-    spark = get_session("local[8]", 8)
+    import os
+
+    if os.environ.get("PLAIN"):
+        from pyspark.sql import SparkSession
+
+        spark = SparkSession.builder.master("local[*]").config("spark.sql.shuffle.partitions", "8").getOrCreate()
+    else:
+        spark = get_session("local[8]", 8)
     con = duckdb.connect()
     for t in TABLES:
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf_dir}/{t}.parquet')")
