@@ -417,3 +417,102 @@ FROM (SELECT *, sum(CASE WHEN prev IS NULL OR ts >= prev + INTERVAL 30 MINUTE TH
                   OVER (PARTITION BY user_id ORDER BY ts, event_id) AS sid
       FROM (SELECT *, lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS prev FROM events))
 GROUP BY user_id, sid""")
+
+
+# ---------------------------------------------------------------- history (two runs) and run-over-run
+_RUNS = (("run_000", "2024-01-31T00:00:00", "{f}_raw"), ("run_001", "2024-02-01T00:00:00", "{s}"))
+
+
+def _history_sql():
+    parts = []
+    for f in FEEDS:
+        t = _silver(f)
+        for run, ts, src_t in _RUNS:
+            src = src_t.format(f=f, s=t)
+            n, z = nulls_sql(f, src=src), zscore_sql(f, src=src)
+            parts.append(f"""
+SELECT '{t}' AS table_name, '{run}' AS run_id, '{ts}' AS timestamp,
+  CAST(greatest(100 - 10 * (SELECT count(*) FROM ({n}) WHERE null_percentage > 20)
+                    - 5 * (SELECT count(*) FROM ({z}) WHERE outlier_count > 0), 0) AS INTEGER) AS quality_score,
+  coalesce((SELECT list_sort(list(column_name)) FROM ({n}) WHERE issue <> 'OK'), []::VARCHAR[]) AS hn,
+  coalesce((SELECT list_sort(list(column_name)) FROM ({z}) WHERE outlier_count > 0), []::VARCHAR[]) AS oc""")
+    return "\nUNION ALL ".join(f"SELECT * FROM ({p})" for p in parts)
+
+
+_H = {"history": _history_sql()}
+oracle("run_over_run", """
+SELECT table_name, run_id, timestamp, quality_score, previous_run_id, quality_score - prev_score AS score_change,
+       []::VARCHAR[] AS newly_drifted_columns,
+       list_filter(hn, lambda x: NOT list_contains(coalesce(prev_hn, []::VARCHAR[]), x)) AS new_high_null_columns,
+       list_filter(oc, lambda x: NOT list_contains(coalesce(prev_oc, []::VARCHAR[]), x)) AS new_outlier_columns
+FROM (SELECT *, lag(run_id) OVER w AS previous_run_id, lag(quality_score) OVER w AS prev_score,
+             lag(hn) OVER w AS prev_hn, lag(oc) OVER w AS prev_oc
+      FROM history WINDOW w AS (PARTITION BY table_name ORDER BY timestamp, run_id))""", _H)
+oracle("selector_values", "SELECT DISTINCT run_id FROM history WHERE table_name = 'customers_silver'", _H)
+oracle("run_selector", """SELECT table_name, run_id, timestamp, quality_score FROM history
+WHERE table_name = 'sales_silver' ORDER BY timestamp DESC, run_id DESC LIMIT 1""", _H)
+
+
+# ---------------------------------------------------------------- evaluate_rules
+_PARSED = r"""
+SELECT table_name, rule_text AS description, 'rule_' || substring(sha1(rule_text), 1, 6) AS rule_id,
+       list_filter(list_transform(regexp_extract_all(rule_text, '(?i)\b([a-z_]+_id|amount|price|quantity|date)\b', 1),
+                                  lambda x: lower(x)), lambda x: trim(x) <> '') AS cols,
+       CASE WHEN contains(lower(rule_text), 'missing') OR contains(lower(rule_text), 'null') THEN 'null_check' ELSE 'business_rule' END AS rule_type,
+       TRY_CAST(NULLIF(replace(regexp_extract(rule_text, '(?i)(?:>|greater than|above)\s*([\d,]+)', 1), ',', ''), '') AS DOUBLE) AS thr
+FROM suggest"""
+_CHECKS = """
+SELECT table_name, rule_id, description, i - 1 AS check_no, 'is_null' AS "check", cols[i] AS column_name,
+       CAST(NULL AS DOUBLE) AS threshold
+FROM (SELECT *, generate_subscripts(cols, 1) AS i FROM parsed WHERE rule_type = 'null_check' AND len(cols) > 0)
+UNION ALL
+SELECT table_name, rule_id, description, CASE WHEN rule_type = 'null_check' THEN len(cols) ELSE 0 END, 'greater_than',
+       cols[1], thr
+FROM parsed WHERE thr IS NOT NULL AND len(cols) > 0"""
+
+
+def _long_sql():
+    parts = []
+    for f in FEEDS:
+        for c in schemas.SILVER[f].fields:
+            parts.append(f"SELECT '{_silver(f)}' AS table_name, '{c.name}' AS column_name, {c.name} IS NULL AS isn, "
+                         f"TRY_CAST({c.name} AS DOUBLE) AS v FROM {_silver(f)}")
+    return "\nUNION ALL ".join(parts)
+
+
+oracle("evaluate_rules", """
+SELECT k.rule_id, k.description, k.check_no, k."check", k.column_name, k.threshold,
+       count(*) FILTER (WHERE (k."check" = 'is_null' AND l.isn) OR (k."check" = 'greater_than' AND l.v > k.threshold)) AS violations,
+       CAST(NULL AS VARCHAR) AS error, k.table_name
+FROM checks k JOIN long_values l ON k.table_name = l.table_name AND k.column_name = l.column_name
+GROUP BY ALL""", {"suggest": _SUGGEST, "parsed": _PARSED, "checks": _CHECKS, "long_values": _long_sql()})
+
+
+# ---------------------------------------------------------------- table_documentation
+def _doc_static():
+    sch, rl = [], []
+    for f in FEEDS:
+        for i, c in enumerate(schemas.SILVER[f].fields):
+            sch.append(f"('{_silver(f)}', {i}, '- {c.name}: {c.dataType}')")
+    for i, (t, r, p) in enumerate(DEFAULT_RULES):
+        line = f"- {r}: flags rows where {p.replace('{as_of}', 'the run date')} (severity: high)".replace("'", "''")
+        rl.append(f"('{t}', {i}, '{line}')")
+    return ("SELECT * FROM (VALUES " + ", ".join(sch) + ") AS s(table_name, ordinal, l)",
+            "SELECT * FROM (VALUES " + ", ".join(rl) + ") AS r(table_name, ordinal, l)")
+
+
+_DOC_S, _DOC_R = _doc_static()
+_DOC_CTES = dict(_F_CTES)
+_DOC_CTES.update({"doc_schema": _DOC_S, "doc_rules": _DOC_R})
+oracle("table_documentation", """
+SELECT s.table_name,
+  '# Documentation for Table: ' || s.table_name || chr(10) || chr(10) || 'Generated at: 2024-02-01T00:00:00' || chr(10) || chr(10) ||
+  '## Purpose' || chr(10) || 'This table stores transactional or analytical data for `' || s.table_name ||
+  '`, used across ingestion, profiling, and ML workflows.' || chr(10) || chr(10) || '## Schema Overview' || chr(10) || s.lines ||
+  chr(10) || chr(10) || '## Data Quality Rules' || chr(10) || coalesce(r.lines, '- No rules defined.') || chr(10) || chr(10) ||
+  '## Anomaly Summary' || chr(10) || coalesce(a.lines, '- No anomalies detected.') || chr(10) AS documentation
+FROM (SELECT table_name, string_agg(l, chr(10) ORDER BY ordinal) AS lines FROM doc_schema GROUP BY 1) s
+LEFT JOIN (SELECT table_name, string_agg(l, chr(10) ORDER BY ordinal) AS lines FROM doc_rules GROUP BY 1) r USING (table_name)
+LEFT JOIN (SELECT table_name, string_agg(l, chr(10) ORDER BY l) AS lines FROM (
+             SELECT table_name, '- ' || anomaly_type || ': ' || explanation || ' (severity: ' || severity || ')' AS l
+             FROM explained WHERE run_id = 'run_001') GROUP BY 1) a USING (table_name)""", _DOC_CTES)
