@@ -556,8 +556,8 @@ def q_volume_alerts(spark, sf_dir):
 
 @register("sessions")
 def q_sessions(spark, sf_dir):
-    """T10 batch form: 30-minute-gap sessions per user."""
-    return edge(MON.sessions(feeds.table(spark, sf_dir, "events"), "ts", "30 minutes", "user_id"))
+    """T10 batch form: 30-minute-gap sessions per user, skew-safe (bucketed) plan."""
+    return edge(MON.sessions_bucketed(feeds.table(spark, sf_dir, "events"), "ts", 30, "user_id", 60))
 
 
 # ---------------------------------------------------------------- streaming (live)

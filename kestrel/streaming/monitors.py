@@ -90,3 +90,53 @@ def dedupe_events(events: DataFrame, key: str, time_col: str, watermark: str) ->
 def payload_keys(df: DataFrame, json_col: str = "props") -> DataFrame:
     """T8 input: the distinct top-level keys of a JSON payload column."""
     return df.select(F.explode(F.json_object_keys(F.col(json_col))).alias("key")).distinct()
+
+
+def sessions_bucketed(events: DataFrame, time_col: str, gap_minutes: int = 30, key: str = "user_id",
+                      bucket_minutes: int = 60) -> DataFrame:
+    """T10 batch form that stays parallel when one key owns a large share of events.
+
+    ``session_window`` orders all events of a key in one task.  Here:
+
+    1. events are sessionized locally inside (key, time bucket) partitions
+       (lag + running sum), so a hot key is spread over its buckets;
+    2. each bucket is summarised to one row (first/last event, local session
+       count) and a running sum over those per-key bucket rows -- one row per
+       bucket, not per event -- numbers the sessions globally, joining the
+       first local session of a bucket to the previous bucket's last one when
+       the gap is shorter than ``gap_minutes``;
+    3. local sessions are rolled up by (key, global session number).
+
+    Same sessions as ``session_window(ts, gap)``: a new session starts when an
+    event is at least ``gap`` after the previous one; the end is last + gap.
+    """
+    gap_us, bucket_us = gap_minutes * 60_000_000, bucket_minutes * 60_000_000
+    ts = F.col(time_col)
+    is_ntz = dict(events.dtypes)[time_col] == "timestamp_ntz"
+    epoch = F.expr("TIMESTAMP_NTZ '1970-01-01 00:00:00'" if is_ntz else "TIMESTAMP '1970-01-01 00:00:00+00:00'")
+    us = F.timestamp_diff("MICROSECOND", epoch, ts)
+    e = events.select(F.col(key), ts.alias("_t"), F.col("value"), us.alias("_us")) \
+        .withColumn("_b", F.floor(F.col("_us") / bucket_us))
+    w = Window.partitionBy(key, "_b").orderBy("_us")
+    prev = F.lag("_us").over(w)
+    e = e.withColumn("_new", F.when(prev.isNull() | (F.col("_us") - prev >= gap_us), 1).otherwise(0))
+    e = e.withColumn("_ls", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    local = e.groupBy(key, "_b", "_ls").agg(
+        F.min("_t").alias("_start"), F.max("_t").alias("_last"), F.min("_us").alias("_start_us"),
+        F.max("_us").alias("_last_us"), F.count(F.lit(1)).alias("events"), F.sum("value").alias("total_value"))
+    wb = Window.partitionBy(key).orderBy("_b")
+    buckets = local.groupBy(key, "_b").agg(F.min("_start_us").alias("_first_us"), F.max("_last_us").alias("_blast"),
+                                           F.count(F.lit(1)).alias("_k"))
+    prev_last = F.lag("_blast").over(wb)
+    buckets = buckets.withColumn("_first_new", F.when(prev_last.isNull() | (F.col("_first_us") - prev_last >= gap_us), 1)
+                                 .otherwise(0))
+    starts = F.col("_first_new") + F.col("_k") - 1
+    buckets = buckets.withColumn("_before", F.coalesce(
+        F.sum(starts).over(wb.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    numbered = local.join(buckets.select(key, "_b", "_first_new", "_before"), [key, "_b"]) \
+        .withColumn("_gid", F.col("_before") + F.col("_first_new") + F.col("_ls") - 1)
+    return numbered.groupBy(key, "_gid").agg(
+        F.min("_start").alias("session_start"), F.max("_last").alias("_end_last"),
+        F.sum("events").alias("events"), F.sum("total_value").alias("total_value"),
+    ).select(key, "session_start", (F.col("_end_last") + F.expr(f"INTERVAL {gap_minutes} MINUTES")).alias("session_end"),
+             "events", "total_value")

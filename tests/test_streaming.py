@@ -58,3 +58,22 @@ def test_foreach_batch_profile_is_idempotent(spark):
     log = spark.read.parquet(paths[0])
     assert sorted(r["run_id"] for r in log.select("run_id").collect()) == ["batch_000007", "batch_000008"]
     assert spark.read.parquet(paths[2]).filter(F.col("has_drift")).count() == 0
+
+
+def test_bucketed_sessions_equal_session_window_with_hot_user(spark):
+    # user 0 owns a third of the events, including sessions that chain across many hourly buckets
+    t0 = dt.datetime(2024, 1, 1)
+    rows = []
+    for i in range(3000):
+        if i % 3 == 0:
+            rows.append((i, t0 + dt.timedelta(minutes=10 * (i // 3) + (400 if i > 1500 else 0)), 0, "v", 1.0, "{}"))
+        else:
+            rows.append((i, t0 + dt.timedelta(minutes=7 * i), 1 + i % 50, "v", float(i % 7), "{}"))
+    ev = spark.createDataFrame(rows, SS.EVENTS_SCHEMA)
+    a = {(r["user_id"], r["session_start"], r["session_end"], r["events"], round(r["total_value"], 6))
+         for r in MON.sessions_bucketed(ev, "ts", 30, "user_id", 60).collect()}
+    b = {(r["user_id"], r["session_start"], r["session_end"], r["events"], round(r["total_value"], 6))
+         for r in MON.sessions(ev, "ts", "30 minutes", "user_id").collect()}
+    assert a == b
+    hot = sorted((r for r in a if r[0] == 0), key=lambda r: r[1])
+    assert len(hot) == 2 and hot[0][3] > 400    # one long chained session, then a new one after the gap
