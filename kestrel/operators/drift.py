@@ -126,3 +126,15 @@ def infer_types(df: DataFrame, table_name: str) -> DataFrame:
         items.append(F.struct(F.lit(table_name).alias("table_name"), F.lit(name).alias("column_name"),
                               t.alias("data_type"), F.lit(i).alias("ordinal")))
     return df.agg(*aggs).select(F.inline(F.array(*items)))
+
+
+def column_sets(baseline: DataFrame, current: DataFrame) -> DataFrame:
+    """Per table, sorted added / removed / common column names (set algebra on arrays)."""
+    b = baseline.groupBy("table_name").agg(F.collect_set("column_name").alias("b"))
+    c = current.groupBy("table_name").agg(F.collect_set("column_name").alias("c"))
+    e = F.array().cast("array<string>")
+    j = b.join(c, "table_name", "full_outer").select("table_name", F.coalesce("b", e).alias("b"),
+                                                     F.coalesce("c", e).alias("c"))
+    return j.select("table_name", F.array_sort(F.array_except("c", "b")).alias("added"),
+                    F.array_sort(F.array_except("b", "c")).alias("removed"),
+                    F.array_sort(F.array_intersect("b", "c")).alias("common"))

@@ -135,3 +135,27 @@ def with_event_parts(df: DataFrame, date_col: str) -> DataFrame:
         f"{date_col}_month": F.month(d),
         f"{date_col}_month_start": F.trunc(d, "month"),
     })
+
+
+def filter_not_null(df: DataFrame, *cols: str) -> DataFrame:
+    """Keep rows where every listed column is present."""
+    cond = None
+    for c in cols:
+        t = F.col(c).isNotNull()
+        cond = t if cond is None else cond & t
+    return df.filter(cond) if cond is not None else df
+
+
+def filter_null(df: DataFrame, col: str) -> DataFrame:
+    """Rows where ``col`` is NULL."""
+    return df.filter(F.col(col).isNull())
+
+
+def select_columns(df: DataFrame, cols: list[str]) -> DataFrame:
+    """Column-list projection (unknown names fail at analysis, not at run time)."""
+    return df.select(*[F.col(f"`{c}`") for c in cols])
+
+
+def run_timestamp() -> Column:
+    """the run's UTC timestamp as ISO text (session time zone is UTC)."""
+    return F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")

@@ -103,3 +103,13 @@ def feature_importances(model: PipelineModel, names: list[str]) -> list[tuple[st
     """M7: (feature, importance) of the fitted forest (model metadata, tiny)."""
     imp = model.stages[-1].featureImportances
     return [(n, float(imp[i])) for i, n in enumerate(names)]
+
+
+def save_model(model: PipelineModel, path: str) -> None:
+    """M7: persist the fitted pipeline (shared storage; no pickle)."""
+    model.write().overwrite().save(path)
+
+
+def load_model(path: str) -> PipelineModel:
+    """M7: reload a fitted pipeline for batch or streaming scoring."""
+    return PipelineModel.load(path)

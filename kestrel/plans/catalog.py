@@ -666,3 +666,24 @@ def q_stream_predict(spark, sf_dir):
     out, ck = SS.scratch(spark, "predict"), SS.scratch(spark, "predict-ck")
     SS.drain(SS.write_files(ML.predict(model, stream), out, ck))
     return spark.read.parquet(out)
+
+
+# ---------------------------------------------------------------- small operators
+@register("sales_with_product")
+def q_sales_with_product(spark, sf_dir):
+    """P13 + P19: sales that name a product, three columns."""
+    return ingest.select_columns(ingest.filter_not_null(silver(spark, sf_dir, "sales"), "product_id"),
+                                 ["sale_id", "product_id", "amount"])
+
+
+@register("column_sets")
+def q_column_sets(spark, sf_dir):
+    """Added / removed / common columns, declared contract vs the raw feed as it arrives."""
+    base = cur = None
+    for feed in FEEDS:
+        name = schemas.SILVER_TABLE_NAMES[feed]
+        b = D.schema_snapshot(spark, name, schemas.SILVER[feed])
+        c = D.infer_types(raw_as_text(spark, sf_dir, feed), name)
+        base = b if base is None else base.unionByName(b)
+        cur = c if cur is None else cur.unionByName(c)
+    return D.column_sets(base, cur)

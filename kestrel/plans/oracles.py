@@ -516,3 +516,13 @@ LEFT JOIN (SELECT table_name, string_agg(l, chr(10) ORDER BY ordinal) AS lines F
 LEFT JOIN (SELECT table_name, string_agg(l, chr(10) ORDER BY l) AS lines FROM (
              SELECT table_name, '- ' || anomaly_type || ': ' || explanation || ' (severity: ' || severity || ')' AS l
              FROM explained WHERE run_id = 'run_001') GROUP BY 1) a USING (table_name)""", _DOC_CTES)
+
+oracle("sales_with_product", "SELECT sale_id, product_id, amount FROM sales_silver WHERE product_id IS NOT NULL")
+oracle("column_sets", """
+SELECT coalesce(b.table_name, c.table_name) AS table_name,
+       list_sort(list_filter(coalesce(c.cols, []::VARCHAR[]), lambda x: NOT list_contains(coalesce(b.cols, []::VARCHAR[]), x))) AS added,
+       list_sort(list_filter(coalesce(b.cols, []::VARCHAR[]), lambda x: NOT list_contains(coalesce(c.cols, []::VARCHAR[]), x))) AS removed,
+       list_sort(list_filter(coalesce(b.cols, []::VARCHAR[]), lambda x: list_contains(coalesce(c.cols, []::VARCHAR[]), x))) AS common
+FROM (SELECT table_name, list(DISTINCT column_name) AS cols FROM declared GROUP BY 1) b
+FULL OUTER JOIN (SELECT table_name, list(DISTINCT column_name) AS cols FROM inferred GROUP BY 1) c
+  ON b.table_name = c.table_name""", _DRIFT_CTES)

@@ -157,3 +157,21 @@ def ingest_metadata(df: DataFrame, table_name: str) -> DataFrame:
         F.lit(table_name).alias("table_name"), "row_count",
         F.round(F.coalesce(F.col("bytes"), F.lit(0)) / (1024 * 1024), 2).alias("file_size_mb"),
         "files", F.lit(df.schema.json()).alias("schema_json"))
+
+
+def preview(df: DataFrame, n: int = 5) -> DataFrame:
+    """A bounded peek (``limit``), for the edge of a job only."""
+    return df.limit(n)
+
+
+def materialize(df: DataFrame, name: str, fmt: str = "parquet") -> DataFrame:
+    """Cut lineage: write ``df`` under the shared checkpoint folder and read it back.
+
+    A lost executor then recomputes from the written files, not from the
+    raw sources.  (``localCheckpoint`` is never used: it dies with the executor.)
+    """
+    from kestrel.session import scratch_path
+
+    path = scratch_path(df.sparkSession, f"tables/{name}")
+    df.write.mode("overwrite").format(fmt).save(path)
+    return df.sparkSession.read.format(fmt).load(path)
