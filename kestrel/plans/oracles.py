@@ -142,7 +142,7 @@ WHERE rn <= 5 GROUP BY column_name""",
        {"st": "SELECT avg(quantity) AS aq, stddev_samp(quantity) AS sq, avg(amount) AS aa, stddev_samp(amount) AS sa FROM sales_silver"})
 
 oracle("range_outliers", """
-SELECT 'age' AS column_name, 18.0 AS low, 90.0 AS high, count(*) FILTER (WHERE age < 18 OR age > 90) AS out_of_range_count,
+SELECT 'age' AS column_name, CAST(18.0 AS DOUBLE) AS low, CAST(90.0 AS DOUBLE) AS high, count(*) FILTER (WHERE age < 18 OR age > 90) AS out_of_range_count,
        'customers_silver' AS table_name FROM customers_silver
 UNION ALL SELECT 'quantity', 1.0, 50.0, count(*) FILTER (WHERE quantity < 1 OR quantity > 50), 'sales_silver' FROM sales_silver
 UNION ALL SELECT 'amount', 1.0, 100000.0, count(*) FILTER (WHERE amount < 1 OR amount > 100000), 'sales_silver' FROM sales_silver""")
@@ -327,9 +327,9 @@ oracle("classify_anomaly", "SELECT * EXCLUDE (affected_pct) FROM explained", _F_
 oracle("anomaly_severity", """
 SELECT *, CASE WHEN severity_score >= 50 THEN 'critical' WHEN severity_score >= 20 THEN 'high'
                WHEN severity_score >= 5 THEN 'medium' ELSE 'low' END AS severity_band FROM (
-  SELECT *, round(CASE anomaly_type WHEN 'schema_drift' THEN 1.0 WHEN 'missing_values' THEN 0.8
+  SELECT *, round(CAST(CASE anomaly_type WHEN 'schema_drift' THEN 1.0 WHEN 'missing_values' THEN 0.8
                    WHEN 'business_rule_violation' THEN 0.7 WHEN 'outlier' THEN 0.6 WHEN 'distribution_shift' THEN 0.5
-                   ELSE 0.3 END * least(greatest(coalesce(affected_pct, 100.0), 0.0), 100.0), 2) AS severity_score
+                   ELSE 0.3 END AS DOUBLE) * least(greatest(coalesce(affected_pct, 100.0), 0.0), 100.0), 2) AS severity_score
   FROM explained)""", _F_CTES)
 
 
@@ -367,7 +367,7 @@ oracle("top_customers", """SELECT customer_id, CAST(total_spend AS BIGINT) AS to
   FROM gold_sales ORDER BY total_spend DESC, customer_id LIMIT 10""", _G)
 oracle("customer_drilldown", f"""SELECT customer_id, CAST(total_spend AS BIGINT) AS total_spend, total_orders,
   round(avg_order_value, 4) AS avg_order_value, first_purchase_date, last_purchase_date,
-  datediff('day', last_purchase_date, {AS_OF_SQL}) AS days_since_last_purchase
+  CAST(datediff('day', last_purchase_date, {AS_OF_SQL}) AS INTEGER) AS days_since_last_purchase
   FROM gold_sales WHERE total_spend >= 100000""", _G)
 oracle("sum_by_key", """SELECT customer_id, CAST(sum(amount) AS BIGINT) AS total_amount FROM sales_silver
   WHERE amount > 50000 GROUP BY customer_id""")
@@ -462,11 +462,11 @@ SELECT table_name, rule_text AS description, 'rule_' || substring(sha1(rule_text
        TRY_CAST(NULLIF(replace(regexp_extract(rule_text, '(?i)(?:>|greater than|above)\s*([\d,]+)', 1), ',', ''), '') AS DOUBLE) AS thr
 FROM suggest"""
 _CHECKS = """
-SELECT table_name, rule_id, description, i - 1 AS check_no, 'is_null' AS "check", cols[i] AS column_name,
+SELECT table_name, rule_id, description, CAST(i - 1 AS INTEGER) AS check_no, 'is_null' AS "check", cols[i] AS column_name,
        CAST(NULL AS DOUBLE) AS threshold
 FROM (SELECT *, generate_subscripts(cols, 1) AS i FROM parsed WHERE rule_type = 'null_check' AND len(cols) > 0)
 UNION ALL
-SELECT table_name, rule_id, description, CASE WHEN rule_type = 'null_check' THEN len(cols) ELSE 0 END, 'greater_than',
+SELECT table_name, rule_id, description, CAST(CASE WHEN rule_type = 'null_check' THEN len(cols) ELSE 0 END AS INTEGER), 'greater_than',
        cols[1], thr
 FROM parsed WHERE thr IS NOT NULL AND len(cols) > 0"""
 
@@ -480,12 +480,14 @@ def _long_sql():
     return "\nUNION ALL ".join(parts)
 
 
-oracle("evaluate_rules", """
+ORACLES_EVAL = """
 SELECT k.rule_id, k.description, k.check_no, k."check", k.column_name, k.threshold,
        count(*) FILTER (WHERE (k."check" = 'is_null' AND l.isn) OR (k."check" = 'greater_than' AND l.v > k.threshold)) AS violations,
        CAST(NULL AS VARCHAR) AS error, k.table_name
 FROM checks k JOIN long_values l ON k.table_name = l.table_name AND k.column_name = l.column_name
-GROUP BY ALL""", {"suggest": _SUGGEST, "parsed": _PARSED, "checks": _CHECKS, "long_values": _long_sql()})
+GROUP BY ALL"""
+oracle("evaluate_rules", "SELECT * FROM evaluated",
+       {"suggest": _SUGGEST, "parsed": _PARSED, "checks": _CHECKS, "long_values": _long_sql(), "evaluated": ORACLES_EVAL})
 
 
 # ---------------------------------------------------------------- table_documentation
@@ -526,3 +528,24 @@ SELECT coalesce(b.table_name, c.table_name) AS table_name,
 FROM (SELECT table_name, list(DISTINCT column_name) AS cols FROM declared GROUP BY 1) b
 FULL OUTER JOIN (SELECT table_name, list(DISTINCT column_name) AS cols FROM inferred GROUP BY 1) c
   ON b.table_name = c.table_name""", _DRIFT_CTES)
+
+oracle("rules_end_to_end", """
+SELECT *, CASE anomaly_type WHEN 'distribution_shift' THEN 'medium' WHEN 'unknown' THEN 'medium' ELSE 'high' END AS severity,
+  CASE anomaly_type
+    WHEN 'schema_drift' THEN 'A schema-level change was detected.'
+    WHEN 'missing_values' THEN 'Records contain missing or null values.'
+    WHEN 'outlier' THEN 'Several values fall outside expected numeric range.'
+    WHEN 'distribution_shift' THEN 'Data distribution has changed compared to historical patterns.'
+    WHEN 'business_rule_violation' THEN 'Detected a violation of predefined business logic.'
+    ELSE 'Unable to determine anomaly type from description.' END AS explanation
+FROM (SELECT * EXCLUDE (l), CASE
+  WHEN contains(l, 'new column') OR contains(l, 'column mismatch') OR contains(l, 'schema') THEN 'schema_drift'
+  WHEN contains(l, 'null') OR contains(l, 'missing') THEN 'missing_values'
+  WHEN regexp_matches(l, '\\b(outlier|above|below|greater than|> )\\b') THEN 'outlier'
+  WHEN contains(l, 'distribution') OR contains(l, 'skew') OR contains(l, 'drift') THEN 'distribution_shift'
+  WHEN contains(l, 'rule') OR contains(l, 'violation') OR contains(l, 'constraint') THEN 'business_rule_violation'
+  ELSE 'unknown' END AS anomaly_type
+  FROM (SELECT *, CAST(violations AS VARCHAR) || ' rows violate rule: ' || description AS anomaly_text,
+               lower(CAST(violations AS VARCHAR) || ' rows violate rule: ' || description) AS l
+        FROM evaluated WHERE violations IS NOT NULL))""", {"suggest": _SUGGEST, "parsed": _PARSED, "checks": _CHECKS,
+                                                          "long_values": _long_sql(), "evaluated": ORACLES_EVAL})
