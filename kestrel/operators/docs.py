@@ -75,12 +75,15 @@ def severity(df: DataFrame) -> DataFrame:
 
 
 # ---------------------------------------------------------------- T9
-def suggested_rules(profile: DataFrame, table_name: str, max_set: int = 5) -> DataFrame:
+def suggested_rules(profile: DataFrame, table_name: str, df: DataFrame | None = None,
+                    max_set: int = 5) -> DataFrame:
     """Validation rules suggested by a column profile (Q1 rows).
 
-    Not-null where a column had no nulls; an upper bound at the observed
-    max for numeric columns.  Each suggestion is a natural-language text the
-    rule parser understands plus the equivalent SQL predicate.
+    Not-null where a column had no nulls; an upper bound at the observed max
+    for numeric columns; and, when the profiled ``df`` is given, an allowed
+    value set for string columns with at most ``max_set`` distinct values.
+    Each suggestion is a natural-language text plus the SQL predicate that is
+    TRUE for a violating row.
     """
     t = F.lit(table_name)
     not_null = (profile.filter((F.col("null_count") == 0) & (F.col("count") > 0))
@@ -93,7 +96,37 @@ def suggested_rules(profile: DataFrame, table_name: str, max_set: int = 5) -> Da
                      F.concat(F.lit("Flag "), t, F.lit(" rows where "), F.col("column_name"), F.lit(" above "),
                               F.col("max")).alias("rule_text"),
                      F.concat(F.col("column_name"), F.lit(" > "), F.col("max")).alias("predicate")))
-    return not_null.unionByName(upper)
+    out = not_null.unionByName(upper)
+    if df is not None:
+        out = out.unionByName(allowed_value_rules(df, profile, table_name, max_set))
+    return out
+
+
+def allowed_value_rules(df: DataFrame, profile: DataFrame, table_name: str, max_set: int = 5) -> DataFrame:
+    """T9 allowed sets: one rule per low-cardinality string column.
+
+    The profile (one row per column) is read on the driver to pick the
+    columns with 1..``max_set`` distinct values; only those columns are then
+    scanned, and each group collects at most ``max_set`` values.
+    """
+    low = [(r["ordinal"], r["column_name"]) for r in profile.filter(
+        (F.col("kind") == "string") & (F.col("distinct_count") > 0) & (F.col("distinct_count") <= max_set)
+    ).select("ordinal", "column_name").collect()]
+    schema = "table_name string, ordinal int, column_name string, kind string, rule_text string, predicate string"
+    if not low:
+        return df.sparkSession.createDataFrame([], schema)
+    pairs = F.array(*[F.struct(F.lit(i).alias("ordinal"), F.lit(c).alias("column_name"),
+                               F.col(f"`{c}`").alias("value")) for i, c in low])
+    values = (df.select(F.explode(pairs).alias("p")).select("p.*").filter(F.col("value").isNotNull())
+              .groupBy("ordinal", "column_name").agg(F.sort_array(F.collect_set("value")).alias("vals")))
+    quoted = F.transform("vals", lambda v: F.concat(F.lit("'"), F.replace(v, F.lit("'"), F.lit("''")), F.lit("'")))
+    return values.select(
+        F.lit(table_name).alias("table_name"), F.col("ordinal").cast("int").alias("ordinal"), "column_name",
+        F.lit("allowed_set").alias("kind"),
+        F.concat(F.lit("Flag "), F.lit(table_name), F.lit(" rows where "), F.col("column_name"),
+                 F.lit(" is not one of: "), F.array_join("vals", ", ")).alias("rule_text"),
+        F.concat(F.lit("NOT "), F.col("column_name"), F.lit(" IN ("), F.array_join(quoted, ", "),
+                 F.lit(")")).alias("predicate"))
 
 
 # ---------------------------------------------------------------- Q15 / S20

@@ -122,8 +122,6 @@ def rule_based_generator(batch: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame(out, index=batch.index)
 
 
-_GENERATORS: dict[str, Generator] = {}
-
 
 def generate(inputs: DataFrame, generator: Generator | None = None, dry_run: bool = False,
              model_name: str = "rule-based-v1", echo_prompt: bool = False) -> DataFrame:

@@ -351,8 +351,8 @@ def q_anomaly_severity(spark, sf_dir):
 def suggestions(spark, sf_dir):
     out = None
     for feed in FEEDS:
-        prof = P.column_profile(silver(spark, sf_dir, feed))
-        s = DOC.suggested_rules(prof, schemas.SILVER_TABLE_NAMES[feed])
+        df = silver(spark, sf_dir, feed)
+        s = DOC.suggested_rules(P.column_profile(df), schemas.SILVER_TABLE_NAMES[feed], df, max_set=5)
         out = s if out is None else out.unionByName(s)
     return out
 
@@ -687,3 +687,10 @@ def q_column_sets(spark, sf_dir):
         base = b if base is None else base.unionByName(b)
         cur = c if cur is None else cur.unionByName(c)
     return D.column_sets(base, cur)
+
+
+@register("quality_log_flat")
+def q_quality_log_flat(spark, sf_dir):
+    """Q18 as the flat columns the reference's log holds (JSON text of drift, nulls and rules)."""
+    return quality_log(spark, sf_dir).select("table_name", "run_id", "timestamp", "quality_score", "ai_summary",
+                                             "schema_drift_json", "null_anomalies_json", "business_rules_json")

@@ -334,6 +334,11 @@ SELECT *, CASE WHEN severity_score >= 50 THEN 'critical' WHEN severity_score >=
 
 
 # ---------------------------------------------------------------- suggested / parsed rules
+def _values_sql(feed):
+    return "\nUNION ALL ".join(
+        f"SELECT '{c.name}' AS column_name, list_sort(list(DISTINCT {c.name}) FILTER (WHERE {c.name} IS NOT NULL)) AS vals "
+        f"FROM {_silver(feed)}" for c in schemas.SILVER[feed].fields if kind_of(c.dataType) == "string")
+
 _SUGGEST = "\nUNION ALL ".join(f"""
 SELECT '{_silver(f)}' AS table_name, ordinal, column_name, 'not_null' AS kind,
        'Flag {_silver(f)} rows where ' || column_name || ' is missing' AS rule_text, column_name || ' IS NULL' AS predicate
@@ -341,7 +346,14 @@ FROM ({profile_sql(f)}) WHERE null_count = 0 AND count > 0
 UNION ALL
 SELECT '{_silver(f)}', ordinal, column_name, 'upper_bound',
        'Flag {_silver(f)} rows where ' || column_name || ' above ' || max, column_name || ' > ' || max
-FROM ({profile_sql(f)}) WHERE kind = 'numeric' AND max IS NOT NULL""" for f in FEEDS)
+FROM ({profile_sql(f)}) WHERE kind = 'numeric' AND max IS NOT NULL
+UNION ALL
+SELECT '{_silver(f)}', ordinal, column_name, 'allowed_set',
+       'Flag {_silver(f)} rows where ' || column_name || ' is not one of: ' || array_to_string(vals, ', '),
+       'NOT ' || column_name || ' IN (' || array_to_string(list_transform(vals, lambda v: chr(39) || replace(v, chr(39), chr(39) || chr(39)) || chr(39)), ', ') || ')'
+FROM (SELECT p.ordinal, p.column_name, v.vals FROM ({profile_sql(f)}) p
+      JOIN ({_values_sql(f)}) v ON p.column_name = v.column_name
+      WHERE p.kind = 'string' AND p.distinct_count > 0 AND p.distinct_count <= 5)""" for f in FEEDS)
 oracle("suggested_rules", "SELECT * FROM suggest", {"suggest": _SUGGEST})
 oracle("parse_rules", r"""
 SELECT table_name, 'rule_' || substring(sha1(rule_text), 1, 6) AS rule_id, rule_text AS description,
@@ -549,3 +561,25 @@ FROM (SELECT * EXCLUDE (l), CASE
                lower(CAST(violations AS VARCHAR) || ' rows violate rule: ' || description) AS l
         FROM evaluated WHERE violations IS NOT NULL))""", {"suggest": _SUGGEST, "parsed": _PARSED, "checks": _CHECKS,
                                                           "long_values": _long_sql(), "evaluated": ORACLES_EVAL})
+
+
+def _flat_sql(feed):
+    t = _silver(feed)
+    rules = [(r, p) for tt, r, p in DEFAULT_RULES if tt == t]
+    n = nulls_sql(feed)
+    order = "CASE rule_name " + " ".join(f"WHEN '{r}' THEN {i}" for i, (r, _) in enumerate(rules)) + " END"
+    return f"""
+SELECT '{t}' AS table_name,
+  (SELECT '{{' || string_agg('"' || column_name || '":{{"null_count":' || CAST(null_count AS VARCHAR) || ',"total_rows":' ||
+          CAST(total_rows AS VARCHAR) || ',"null_percentage":' || CAST(null_percentage AS VARCHAR) || ',"issue":"' || issue || '"}}',
+          ',' ORDER BY ordinal) || '}}' FROM ({n})) AS null_anomalies_json,
+  (SELECT '{{' || string_agg('"' || rule_name || '":' || CAST(violations AS VARCHAR), ',' ORDER BY k) || '}}'
+   FROM (SELECT {order} AS k, * FROM ({rules_sql(feed)}))) AS business_rules_json"""
+
+
+oracle("quality_log_flat", """
+SELECT q.table_name, 'run_001' AS run_id, '2024-02-01T00:00:00' AS timestamp, q.quality_score, q.ai_summary,
+       '{"missing_columns":[],"new_columns":[],"type_mismatches":[]}' AS schema_drift_json,
+       f.null_anomalies_json, f.business_rules_json
+FROM quality q JOIN (""" + "\nUNION ALL ".join(f"SELECT * FROM ({_flat_sql(f)})" for f in FEEDS) + """) f USING (table_name)""",
+       _Q_CTES)

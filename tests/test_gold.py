@@ -70,3 +70,27 @@ def test_dedupe_on_key_is_deterministic(spark):
     df = spark.createDataFrame([("k", 1, "b"), ("k", 2, "a"), ("j", 0, None)], "key string, x int, y string")
     got = {r["key"]: (r["x"], r["y"]) for r in ingest.dedupe_on_key(df, "key").collect()}
     assert got == {"k": (2, "a"), "j": (0, None)}
+
+
+def test_dedup_when_a_third_of_rows_are_copies(spark):
+    import datetime as dt
+    d = dt.date(2024, 1, 1)
+    n = 30000
+    base = spark.range(n).select(
+        F.when(F.col("id") % 3 == 0, F.lit("DUP")).otherwise(F.col("id").cast("string")).alias("sale_id"),
+        F.lit(" C1").alias("customer_id"), F.lit("P1").alias("product_id"), F.lit(d).alias("sale_date"),
+        F.lit(1).alias("quantity"), F.lit(5).alias("amount")).repartition(8)
+    s = ingest.silver(base, "sales")
+    assert s.count() == n - n // 3 + 1
+    assert s.filter(F.col("sale_id") == "DUP").count() == 1
+
+
+def test_approx_profile_close_to_exact(spark):
+    from kestrel.operators import profile as P
+    from kestrel.plans import catalog
+
+    df = catalog.silver(spark, SF_SMALL, "sales")
+    exact = {r["column_name"]: r["distinct_count"] for r in P.column_profile(df).collect()}
+    approx = {r["column_name"]: r["distinct_count"] for r in P.column_profile(df, approx=True).collect()}
+    for c, v in exact.items():
+        assert abs(approx[c] - v) <= max(2, 0.1 * v)

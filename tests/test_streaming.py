@@ -77,3 +77,14 @@ def test_bucketed_sessions_equal_session_window_with_hot_user(spark):
     assert a == b
     hot = sorted((r for r in a if r[0] == 0), key=lambda r: r[1])
     assert len(hot) == 2 and hot[0][3] > 400    # one long chained session, then a new one after the gap
+
+
+def test_incremental_summaries_skip_summarised_runs(spark):
+    log = catalog.quality_log(spark, SF_SMALL)
+    path = SS.scratch(spark, "summaries")
+    sink = SB.SummarizeNewRuns(path)
+    sink(log, 0)
+    sink(log, 0)                                   # replay: nothing new to summarise
+    sink(log.withColumn("run_id", F.lit("run_002")), 1)
+    got = spark.read.parquet(path).groupBy("run_id").count().collect()
+    assert sorted((r["run_id"], r["count"]) for r in got) == [("run_001", 3), ("run_002", 3)]
