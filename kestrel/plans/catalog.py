@@ -694,3 +694,27 @@ def q_quality_log_flat(spark, sf_dir):
     """Q18 as the flat columns the reference's log holds (JSON text of drift, nulls and rules)."""
     return quality_log(spark, sf_dir).select("table_name", "run_id", "timestamp", "quality_score", "ai_summary",
                                              "schema_drift_json", "null_anomalies_json", "business_rules_json")
+
+
+# ---------------------------------------------------------------- log layout and evolution
+@register("log_schema_evolution")
+def q_log_schema_evolution(spark, sf_dir):
+    """The flat log generation (run_time_utc + JSON) unioned with the typed one by name."""
+    from kestrel.sources import io as IO
+
+    log = quality_log(spark, sf_dir)
+    old = log.select("table_name", F.col("timestamp").alias("run_time_utc"), "quality_score", "ai_summary",
+                     "business_rules_json")
+    new = log.select("table_name", "run_id", "timestamp", "quality_score", "ai_summary")
+    return IO.union_evolving(old, new)
+
+
+@register("partitioned_log")
+def q_partitioned_log(spark, sf_dir):
+    """Log written by table/date (clustered by run), read back with partition pruning."""
+    from kestrel.sources import io as IO
+
+    path = SS.scratch(spark, "partitioned-log")
+    IO.write_partitioned_log(quality_log(spark, sf_dir).select("table_name", "run_id", "timestamp", "quality_score"),
+                             path)
+    return IO.read_log(spark, path).filter(F.col("table_name") == "sales_silver")

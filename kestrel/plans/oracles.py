@@ -583,3 +583,14 @@ SELECT q.table_name, 'run_001' AS run_id, '2024-02-01T00:00:00' AS timestamp, q.
        f.null_anomalies_json, f.business_rules_json
 FROM quality q JOIN (""" + "\nUNION ALL ".join(f"SELECT * FROM ({_flat_sql(f)})" for f in FEEDS) + """) f USING (table_name)""",
        _Q_CTES)
+
+oracle("stream_bronze", "SELECT event_id, ts, user_id, event_type, value, 'events' AS _source FROM events")
+
+oracle("log_schema_evolution", """
+SELECT q.table_name, '2024-02-01T00:00:00' AS run_time_utc, q.quality_score, q.ai_summary, f.business_rules_json,
+       CAST(NULL AS VARCHAR) AS run_id, CAST(NULL AS VARCHAR) AS timestamp
+FROM quality q JOIN (""" + "\nUNION ALL ".join(f"SELECT * FROM ({_flat_sql(f)})" for f in FEEDS) + """) f USING (table_name)
+UNION ALL
+SELECT table_name, NULL, quality_score, ai_summary, NULL, 'run_001', '2024-02-01T00:00:00' FROM quality""", _Q_CTES)
+oracle("partitioned_log", """SELECT table_name, 'run_001' AS run_id, '2024-02-01T00:00:00' AS timestamp, quality_score,
+  DATE '2024-02-01' AS run_date FROM quality WHERE table_name = 'sales_silver'""", _Q_CTES)
