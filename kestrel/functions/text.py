@@ -62,9 +62,10 @@ def clean_root_causes(c: Column, max_bullets: int = 4) -> Column:
 
 
 # ---------------------------------------------------------------- F7 / P21
-def value_text(c: Column) -> Column:
-    """Complex value -> JSON text; NULL -> the text "None"."""
-    return F.when(c.isNotNull(), F.to_json(c)).otherwise(F.lit("None"))
+def value_text(c: Column, complex_type: bool = True) -> Column:
+    """complex value -> JSON text, scalar -> its text; NULL -> the text "None"."""
+    text = F.to_json(c) if complex_type else c.cast("string")
+    return F.when(c.isNotNull(), text).otherwise(F.lit("None"))
 
 
 # ---------------------------------------------------------------- F8

@@ -28,11 +28,15 @@ SUMMARY_SCHEMA = ("table_name string, run_id string, anomaly_summary string, dat
 def build_inputs(log: DataFrame) -> DataFrame:
     """Q12: one row per (table_name, run_id) with the context as JSON text.
 
-    Complex columns become JSON (NULL -> "None").  When a (table, run) has
+    Complex columns become JSON, text columns (the flat log's JSON strings)
+    pass through, NULL becomes "None".  When a (table, run) has
     several rows, the latest timestamp wins; ties are broken by the texts
     themselves, so the choice is deterministic (``max`` of a struct).
     """
-    texts = [tf.value_text(F.col(c)).alias(c) for c in CONTEXT]
+    from pyspark.sql.types import ArrayType, MapType, StructType
+
+    kinds = {f.name: isinstance(f.dataType, (ArrayType, MapType, StructType)) for f in log.schema.fields}
+    texts = [tf.value_text(F.col(c), kinds[c]).alias(c) for c in CONTEXT]
     latest = F.max(F.struct(F.col("timestamp"), *[F.col(c) for c in CONTEXT])).alias("_latest")
     return (
         log.select("table_name", "run_id", "timestamp", *texts)

@@ -75,3 +75,12 @@ def test_default_generator_output_is_compliant(spark):
 
     v = SUM.validate_summaries(catalog.llm_summaries(spark, SF_SMALL))
     assert v.filter(~F.col("compliant")).count() == 0
+
+
+def test_inputs_from_flat_json_log(spark):
+    flat = spark.createDataFrame(
+        [("t", "r", "2024", '{"a":1}', None, "{}", "{}", '{"rule":2}')],
+        "table_name string, run_id string, timestamp string, statistics string, null_summary string, "
+        "outlier_summary string, schema_drift_summary string, business_rule_violations string")
+    r = SUM.build_inputs(flat).first()
+    assert (r["statistics"], r["null_summary"], r["business_rule_violations"]) == ('{"a":1}', "None", '{"rule":2}')
