@@ -3,7 +3,9 @@
 Each layer is written once to storage and read back, so every later step
 works from the stored table (lineage cut at each layer; a lost executor
 recomputes from files, not from the raw sources), and profiling reads the
-stored silver twice instead of re-running its cleaning and dedup.
+stored silver twice instead of re-running its cleaning and dedup.  Silver
+and gold are overwritten; the quality log and summaries only receive
+(table, run) keys they lack, so re-running a failed job is safe.
 """
 
 from __future__ import annotations
@@ -13,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from kestrel import schemas
 from kestrel.operators import gold, ingest
 from kestrel.operators import quality as Q
-from kestrel.operators import summaries as SUM
+from kestrel.streaming.batches import SummarizeNewRuns
 from kestrel.sources import feeds
 from kestrel.sources import io as IO
 
@@ -38,10 +40,9 @@ def run(spark: SparkSession, sf_dir: str, out_dir: str, run_id: str, timestamp:
         out[name] = IO.read_path(spark, f"{out_dir}/gold/{name}", fmt)
     log = Q.profile_tables({n: out[n] for n in (schemas.SILVER_TABLE_NAMES[f] for f in FEEDS)}, run_id, timestamp,
                            baselines={schemas.SILVER_TABLE_NAMES[f]: schemas.SILVER[f] for f in FEEDS}, as_of=as_of)
-    IO.write_partitioned_log(log, f"{out_dir}/quality_log", fmt)
+    IO.append_new_runs(log, f"{out_dir}/quality_log", fmt)
     out["quality_log"] = IO.read_log(spark, f"{out_dir}/quality_log", fmt)
     this_run = out["quality_log"].filter(f"run_id = '{run_id}'")
-    summaries = SUM.clean_outputs(SUM.generate(SUM.build_inputs(this_run)))
-    IO.write_path(summaries, f"{out_dir}/llm_summaries", fmt, mode="append")
+    SummarizeNewRuns(f"{out_dir}/llm_summaries")(this_run, 0)
     out["llm_summaries"] = IO.read_path(spark, f"{out_dir}/llm_summaries", fmt)
     return out

@@ -95,6 +95,22 @@ def write_partitioned_log(log: DataFrame, path: str, fmt: str = "parquet",
      .write.mode("append").format(fmt).partitionBy(*partition_cols).save(path))
 
 
+def append_new_runs(log: DataFrame, path: str, fmt: str = "parquet",
+                    keys: tuple[str, ...] = ("table_name", "run_id")) -> None:
+    """S7 made re-runnable: append only (table, run) rows the log does not hold yet.
+
+    The stored key set is one row per table and run (small); a retried job
+    therefore appends nothing twice.
+    """
+    spark = log.sparkSession
+    try:
+        done = spark.read.format(fmt).load(path).select(*keys).distinct()
+    except Exception:  # first write: no log yet
+        done = None
+    new = log.join(done, list(keys), "left_anti") if done is not None else log
+    write_partitioned_log(new, path, fmt)
+
+
 def read_log(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
     """S18 read side: merge the schemas of every appended generation."""
     return spark.read.format(fmt).option("mergeSchema", "true").load(path)

@@ -41,3 +41,12 @@ def test_small_operators(spark):
     s2 = spark.createDataFrame([("t", "b", "x", 0), ("t", "c", "x", 1)], D.SNAPSHOT_SCHEMA)
     r = D.column_sets(s1, s2).first()
     assert (r["added"], r["removed"], r["common"]) == (["c"], ["a"], ["b"])
+
+
+def test_medallion_rerun_does_not_duplicate(spark):
+    out = scratch(spark, "medallion-rerun")
+    medallion.run(spark, SF_SMALL, out, "run_a", "2024-02-01T00:00:00", as_of=catalog.AS_OF)
+    t = medallion.run(spark, SF_SMALL, out, "run_a", "2024-02-01T00:00:00", as_of=catalog.AS_OF)
+    assert t["quality_log"].count() == 3 and t["llm_summaries"].count() == 3
+    t = medallion.run(spark, SF_SMALL, out, "run_b", "2024-02-02T00:00:00", as_of=catalog.AS_OF)
+    assert t["quality_log"].count() == 6 and t["llm_summaries"].count() == 6
