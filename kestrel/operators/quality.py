@@ -18,14 +18,49 @@ from kestrel.operators import profile as P
 from kestrel.operators import rules as R
 from kestrel.schemas import type_text
 
-# Summary lines (⚠ = finding, ✔ = clean) and score penalties.
-DRIFT_LINE = "⚠ Schema drift detected in {t}. Please review structural changes."
-NO_DRIFT_LINE = "✔ No schema drift detected in {t}. Schema matches baseline."
-NULL_LINE = "⚠ High null percentages found in: {cols}."
-NO_NULL_LINE = "✔ No significant null anomalies detected in {t}."
-OUTLIER_LINE = "⚠ Outliers detected in numeric columns: {cols}."
-NO_OUTLIER_LINE = "✔ No numeric outliers detected in {t}."
-CLOSING_LINE = "✔ Overall, {t} looks healthy and ready for downstream use."
+# The summary lines (⚠ = finding, ✔ = clean) -- drift, no drift,
+# high nulls, no high nulls, outliers, no outliers, closing -- of the master
+# profiler (canonical) and of the three per-table profilers; {t} is the table
+# name and {cols} the comma-joined column list.
+SUMMARY_TEMPLATES = {
+    "master": (
+        "⚠ Schema drift detected in {t}. Please review structural changes.",
+        "✔ No schema drift detected in {t}. Schema matches baseline.",
+        "⚠ High null percentages found in: {cols}.",
+        "✔ No significant null anomalies detected in {t}.",
+        "⚠ Outliers detected in numeric columns: {cols}.",
+        "✔ No numeric outliers detected in {t}.",
+        "✔ Overall, {t} looks healthy and ready for downstream use.",
+    ),
+    "customers": (
+        "⚠ Schema drift detected. Please review the structural changes.",
+        "✔ No schema drift detected. The structure matches the baseline schema.",
+        "⚠ High null percentages found in: {cols}.",
+        "✔ No significant null anomalies detected. All columns are complete.",
+        "⚠ Outliers detected in: {cols}.",
+        "✔ No numeric outliers detected. Value distributions look normal.",
+        "✔ Dataset appears clean, consistent, and ready for downstream transformations.",
+    ),
+    "sales": (
+        "⚠ Schema drift detected in sales_silver. Please review the changes.",
+        "✔ No schema drift detected in sales_silver. Schema matches baseline.",
+        "⚠ High null percentages in: {cols}.",
+        "✔ No significant null anomalies detected in sales_silver.",
+        "⚠ Outliers detected in numeric columns: {cols}.",
+        "✔ No numeric outliers detected in sales_silver.",
+        "✔ Dataset looks healthy and ready for GOLD aggregations.",
+    ),
+    "transactions": (
+        "⚠ Schema drift detected in transactions_silver. Please review the structural changes.",
+        "✔ No schema drift detected in transactions_silver. Schema matches the baseline.",
+        "⚠ High null percentages found in: {cols}.",
+        "✔ No significant null anomalies detected in transactions_silver.",
+        "⚠ Outliers detected in numeric columns: {cols}.",
+        "✔ No numeric outliers detected in transactions_silver.",
+        "✔ Dataset appears consistent and ready for downstream fraud analysis or payment behavior modelling.",
+    ),
+}
+# Score penalties.
 PENALTY_MISSING, PENALTY_NEW, PENALTY_MISMATCH = 30, 10, 20
 PENALTY_NULL_COLUMN, PENALTY_OUTLIER_COLUMN = 10, 5
 
@@ -93,15 +128,20 @@ def _fmt(template: str, t: Column, cols: Column | None = None) -> Column:
 
 
 def quality_summary(table: Column, drift: Column, nulls: Column, outliers: Column,
-                    threshold: float = 20.0) -> Column:
-    """Q7: four lines (drift / nulls / outliers / closing) joined by newline."""
+                    threshold: float = 20.0, template: str = "master") -> Column:
+    """Q7: four lines (drift / nulls / outliers / closing) joined by newline.
+
+    ``template`` selects the wording: "master" (canonical) or one of the
+    per-table variants "customers", "sales", "transactions".
+    """
+    drift_l, ok_drift, null_l, ok_null, out_l, ok_out, closing = SUMMARY_TEMPLATES[template]
     hn, oc = high_null_columns(nulls, threshold), outlier_columns(outliers)
     return F.concat_ws(
         "\n",
-        F.when(has_drift(drift), _fmt(DRIFT_LINE, table)).otherwise(_fmt(NO_DRIFT_LINE, table)),
-        F.when(F.size(hn) > 0, _fmt(NULL_LINE, table, hn)).otherwise(_fmt(NO_NULL_LINE, table)),
-        F.when(F.size(oc) > 0, _fmt(OUTLIER_LINE, table, oc)).otherwise(_fmt(NO_OUTLIER_LINE, table)),
-        _fmt(CLOSING_LINE, table),
+        F.when(has_drift(drift), _fmt(drift_l, table)).otherwise(_fmt(ok_drift, table)),
+        F.when(F.size(hn) > 0, _fmt(null_l, table, hn)).otherwise(_fmt(ok_null, table)),
+        F.when(F.size(oc) > 0, _fmt(out_l, table, oc)).otherwise(_fmt(ok_out, table)),
+        _fmt(closing, table),
     )
 
 
@@ -112,7 +152,8 @@ def _as_map(arr: Column, value_fields: list[str]) -> Column:
 
 def table_quality(df: DataFrame, table_name: str, run_id: str, timestamp: str,
                   baseline: T.StructType | None = None, rules=None, as_of=None,
-                  k: float = 3.0, threshold: float = 20.0, approx: bool = False) -> DataFrame:
+                  k: float = 3.0, threshold: float = 20.0, approx: bool = False,
+                  summary_template: str = "master") -> DataFrame:
     """Q18 for one table: the full quality-log row, from two scans of ``df``."""
     rs = R.rules_for(table_name, rules, as_of)
     wide = df.agg(*P.profile_measures(df, approx), *R.rule_measures(rs))        # pass 1
@@ -130,7 +171,8 @@ def table_quality(df: DataFrame, table_name: str, run_id: str, timestamp: str,
     row = row.select(
         "table_name", "run_id", "timestamp",
         quality_score(F.col("schema_drift_summary"), F.col("_nulls"), F.col("_outliers"), threshold).alias("quality_score"),
-        quality_summary(t, F.col("schema_drift_summary"), F.col("_nulls"), F.col("_outliers"), threshold).alias("ai_summary"),
+        quality_summary(t, F.col("schema_drift_summary"), F.col("_nulls"), F.col("_outliers"), threshold,
+                        summary_template).alias("ai_summary"),
         "statistics",
         _as_map(F.col("_nulls"), ["null_count", "total_rows", "null_percentage", "issue"]).alias("null_summary"),
         _as_map(F.col("_outliers"), ["mean", "stddev", "outlier_count", "reason"]).alias("outlier_summary"),

@@ -71,3 +71,16 @@ def test_outlier_examples_bounded(spark):
     df = spark.createDataFrame([(v,) for v in vals], "x int")
     got = P.outlier_examples(df, k=3.0, n=2).first()
     assert got["examples"] == [10002.0, 10001.0]
+
+
+def test_summary_templates(spark):
+    df = spark.range(10).select(F.lit(None).cast("string").alias("c"), F.lit(1).alias("n"))
+    master = Q.table_quality(df, "t", "r", "ts").first()["ai_summary"].split("\n")
+    assert master == ["✔ No schema drift detected in t. Schema matches baseline.",
+                      "⚠ High null percentages found in: c.",
+                      "✔ No numeric outliers detected in t.",
+                      "✔ Overall, t looks healthy and ready for downstream use."]
+    sales = Q.table_quality(df, "t", "r", "ts", summary_template="sales").first()["ai_summary"].split("\n")
+    assert sales[1] == "⚠ High null percentages in: c." and sales[3] == "✔ Dataset looks healthy and ready for GOLD aggregations."
+    cust = Q.table_quality(df, "t", "r", "ts", summary_template="customers").first()["ai_summary"].split("\n")
+    assert cust[0] == "✔ No schema drift detected. The structure matches the baseline schema."
