@@ -48,22 +48,26 @@ def _m(i: int, what: str) -> str:
     return f"m{i}_{what}"
 
 
-def profile_measures(df: DataFrame, approx: bool = False, zscore: bool = True) -> list[Column]:
+def profile_measures(df: DataFrame, approx: bool = False, zscore: bool = True,
+                     distinct: bool = True) -> list[Column]:
     """The aggregate expressions of a full profile (one global ``agg``).
 
     count, distinct, nulls for every profiled column; avg/min/max for
     numerics; min/max for dates; mean and sample stddev for the z-score.
     Exact distinct counts make Spark expand rows once per column before the
-    partial aggregate; ``approx=True`` uses HyperLogLog++ sketches instead.
+    partial aggregate; ``approx=True`` uses HyperLogLog++ sketches instead,
+    and ``distinct=False`` leaves them to :func:`distinct_counts`.
     """
     exprs: list[Column] = [F.count(F.lit(1)).alias("total_rows")]
-    distinct = F.approx_count_distinct if approx else F.count_distinct
+    count_distinct = F.approx_count_distinct if approx else F.count_distinct
     for i, name, kind in _columns(df):
         c = F.col(f"`{name}`")
         exprs.append(F.count_if(c.isNull()).alias(_m(i, "nulls")))
         if kind == "other":
             continue
-        exprs += [F.count(c).alias(_m(i, "count")), distinct(c).alias(_m(i, "distinct"))]
+        exprs.append(F.count(c).alias(_m(i, "count")))
+        if distinct:
+            exprs.append(count_distinct(c).alias(_m(i, "distinct")))
         if kind == "numeric":
             exprs += [F.avg(c).alias(_m(i, "avg")), F.min(c).alias(_m(i, "min")),
                       F.max(c).alias(_m(i, "max"))]
@@ -74,8 +78,31 @@ def profile_measures(df: DataFrame, approx: bool = False, zscore: bool = True) -
     return exprs
 
 
-def profile_row(df: DataFrame, approx: bool = False, extra: list[Column] | None = None) -> DataFrame:
-    """One-row frame holding every measure of ``df`` (plus ``extra`` aggregates)."""
+def distinct_counts(df: DataFrame, chunk: int) -> DataFrame:
+    """Exact distinct counts in passes of at most ``chunk`` columns (one row).
+
+    For very wide tables: each pass expands a row at most ``chunk + 1`` times
+    instead of once per column; the one-row results are cross-joined.
+    """
+    cols = [(i, n) for i, n, k in _columns(df) if k != "other"]
+    out = None
+    for start in range(0, len(cols), chunk):
+        part = df.agg(*[F.count_distinct(F.col(f"`{n}`")).alias(_m(i, "distinct")) for i, n in cols[start:start + chunk]])
+        out = part if out is None else out.crossJoin(part)
+    return out if out is not None else df.sparkSession.range(1).select()
+
+
+def profile_row(df: DataFrame, approx: bool = False, extra: list[Column] | None = None,
+                distinct_chunk: int | None = None) -> DataFrame:
+    """One-row frame holding every measure of ``df`` (plus ``extra`` aggregates).
+
+    ``distinct_chunk`` moves exact distinct counts into :func:`distinct_counts`
+    (more scans, bounded expansion) -- the option for tables with hundreds of
+    columns.
+    """
+    if distinct_chunk and not approx:
+        base = df.agg(*profile_measures(df, approx, distinct=False), *(extra or []))
+        return base.crossJoin(distinct_counts(df, distinct_chunk))
     return df.agg(*profile_measures(df, approx), *(extra or []))
 
 
@@ -101,9 +128,9 @@ def column_stats_array(df: DataFrame) -> Column:
     return _typed_array(items, STATS_T)
 
 
-def column_profile(df: DataFrame, approx: bool = False) -> DataFrame:
+def column_profile(df: DataFrame, approx: bool = False, distinct_chunk: int | None = None) -> DataFrame:
     """Q1: one row per numeric/string/date column from a single scan."""
-    row = profile_row(df, approx)
+    row = profile_row(df, approx, distinct_chunk=distinct_chunk)
     return row.select(F.inline(column_stats_array(df)))
 
 

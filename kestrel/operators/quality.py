@@ -153,10 +153,14 @@ def _as_map(arr: Column, value_fields: list[str]) -> Column:
 def table_quality(df: DataFrame, table_name: str, run_id: str, timestamp: str,
                   baseline: T.StructType | None = None, rules=None, as_of=None,
                   k: float = 3.0, threshold: float = 20.0, approx: bool = False,
-                  summary_template: str = "master") -> DataFrame:
-    """Q18 for one table: the full quality-log row, from two scans of ``df``."""
+                  summary_template: str = "master", distinct_chunk: int | None = None) -> DataFrame:
+    """Q18 for one table: the full quality-log row, from two scans of ``df``.
+
+    ``distinct_chunk`` (very wide tables) computes exact distinct counts in
+    extra passes of that many columns each.
+    """
     rs = R.rules_for(table_name, rules, as_of)
-    wide = df.agg(*P.profile_measures(df, approx), *R.rule_measures(rs))        # pass 1
+    wide = P.profile_row(df, approx, R.rule_measures(rs), distinct_chunk)      # pass 1
     numeric = P._columns(df, ("numeric",))
     both = P.outlier_counts(df, wide, k) if numeric else wide                  # pass 2
     t = F.lit(table_name)

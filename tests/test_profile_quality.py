@@ -84,3 +84,16 @@ def test_summary_templates(spark):
     assert sales[1] == "⚠ High null percentages in: c." and sales[3] == "✔ Dataset looks healthy and ready for GOLD aggregations."
     cust = Q.table_quality(df, "t", "r", "ts", summary_template="customers").first()["ai_summary"].split("\n")
     assert cust[0] == "✔ No schema drift detected. The structure matches the baseline schema."
+
+
+def test_chunked_distincts_equal_single_pass(spark):
+    from tests.conftest import SF_SMALL
+    from kestrel.plans import catalog
+
+    df = catalog.silver(spark, SF_SMALL, "customers")
+    one = P.column_profile(df).collect()
+    chunked = P.column_profile(df, distinct_chunk=2).collect()
+    assert sorted(one) == sorted(chunked)
+    a = Q.table_quality(df, "customers_silver", "r", "t").first()
+    b = Q.table_quality(df, "customers_silver", "r", "t", distinct_chunk=3).first()
+    assert a["statistics"] == b["statistics"] and a["quality_score"] == b["quality_score"]
