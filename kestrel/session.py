@@ -49,6 +49,11 @@ def checkpoint_dir(spark: SparkSession) -> str:
     (local tests) do we pick a private scratch folder of our own.
     """
     configured = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    if not configured:
+        try:
+            configured = spark.conf.get("spark.checkpoint.dir", None)
+        except Exception:  # not readable as a session setting
+            configured = None
     if configured:
         if not spark.sparkContext.getCheckpointDir():
             spark.sparkContext.setCheckpointDir(configured)
