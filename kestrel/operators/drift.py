@@ -138,3 +138,36 @@ def column_sets(baseline: DataFrame, current: DataFrame) -> DataFrame:
     return j.select("table_name", F.array_sort(F.array_except("c", "b")).alias("added"),
                     F.array_sort(F.array_except("b", "c")).alias("removed"),
                     F.array_sort(F.array_intersect("b", "c")).alias("common"))
+
+
+def store_snapshots(snapshots: DataFrame, path: str, run_id: str, fmt: str = "parquet") -> None:
+    """Append this run's schema snapshots (table, column, type, ordinal, run_id).
+
+    Only (table, run) pairs not stored yet are appended, so a retried run is
+    harmless.  Snapshot tables are schema-sized.
+    """
+    spark = snapshots.sparkSession
+    snap = snapshots.withColumns({"run_id": F.lit(run_id), "stored_at": F.current_timestamp()})
+    try:
+        done = spark.read.format(fmt).load(path).select("table_name", "run_id").distinct()
+        snap = snap.join(done, ["table_name", "run_id"], "left_anti")
+    except Exception:  # nothing stored yet
+        pass
+    snap.write.mode("append").format(fmt).save(path)
+
+
+def stored_baselines(spark: SparkSession, path: str, fmt: str = "parquet") -> dict[str, dict[str, str]]:
+    """The first stored snapshot of every table as ``{table: {column: type}}``.
+
+    Read on the driver: one row per column of each table (schema-sized).
+    """
+    try:
+        snaps = spark.read.format(fmt).load(path)
+    except Exception:
+        return {}
+    first = snaps.groupBy("table_name").agg(F.min_by("run_id", F.struct("stored_at", "run_id")).alias("run_id"))
+    rows = snaps.join(first, ["table_name", "run_id"]).select("table_name", "column_name", "data_type").collect()
+    out: dict[str, dict[str, str]] = {}
+    for r in rows:
+        out.setdefault(r["table_name"], {})[r["column_name"]] = r["data_type"]
+    return out

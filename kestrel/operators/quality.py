@@ -67,12 +67,17 @@ PENALTY_NULL_COLUMN, PENALTY_OUTLIER_COLUMN = 10, 5
 MISMATCH_T = "array<struct<column:string,baseline_type:string,current_type:string>>"
 
 
-def drift_struct(baseline: T.StructType | None, current: T.StructType) -> Column:
+def drift_struct(baseline: T.StructType | dict[str, str] | None, current: T.StructType) -> Column:
     """Drift of two in-hand schemas as a literal struct (schema-sized metadata).
 
-    With no baseline (first run) the current schema is the baseline.
+    ``baseline`` is a declared schema or a stored snapshot as
+    ``{column: type text}``; with none (first run) the current schema is the
+    baseline.
     """
-    b = {f.name: type_text(f.dataType) for f in (baseline or current).fields}
+    if isinstance(baseline, dict):
+        b = dict(baseline)
+    else:
+        b = {f.name: type_text(f.dataType) for f in (baseline or current).fields}
     c = {f.name: type_text(f.dataType) for f in current.fields}
     missing = sorted(x for x in b if x not in c)
     new = sorted(x for x in c if x not in b)
@@ -151,7 +156,7 @@ def _as_map(arr: Column, value_fields: list[str]) -> Column:
 
 
 def table_quality(df: DataFrame, table_name: str, run_id: str, timestamp: str,
-                  baseline: T.StructType | None = None, rules=None, as_of=None,
+                  baseline: T.StructType | dict[str, str] | None = None, rules=None, as_of=None,
                   k: float = 3.0, threshold: float = 20.0, approx: bool = False,
                   summary_template: str = "master", distinct_chunk: int | None = None) -> DataFrame:
     """Q18 for one table: the full quality-log row, from two scans of ``df``.

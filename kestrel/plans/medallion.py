@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from kestrel import schemas
+from kestrel.operators import drift as D
 from kestrel.operators import gold, ingest
 from kestrel.operators import quality as Q
 from kestrel.streaming.batches import SummarizeNewRuns
@@ -38,8 +39,17 @@ def run(spark: SparkSession, sf_dir: str, out_dir: str, run_id: str, timestamp:
                      ("gold_product_sales", gold.product_sales(sales))):
         IO.write_path(df, f"{out_dir}/gold/{name}", fmt)
         out[name] = IO.read_path(spark, f"{out_dir}/gold/{name}", fmt)
-    log = Q.profile_tables({n: out[n] for n in (schemas.SILVER_TABLE_NAMES[f] for f in FEEDS)}, run_id, timestamp,
-                           baselines={schemas.SILVER_TABLE_NAMES[f]: schemas.SILVER[f] for f in FEEDS}, as_of=as_of)
+    silver_names = [schemas.SILVER_TABLE_NAMES[f] for f in FEEDS]
+    # Drift baseline: the first stored snapshot of each table; the declared contract before any run.
+    stored = D.stored_baselines(spark, f"{out_dir}/schema_snapshots", fmt)
+    baselines = {schemas.SILVER_TABLE_NAMES[f]: stored.get(schemas.SILVER_TABLE_NAMES[f], schemas.SILVER[f])
+                 for f in FEEDS}
+    log = Q.profile_tables({n: out[n] for n in silver_names}, run_id, timestamp, baselines=baselines, as_of=as_of)
+    snaps = None
+    for n in silver_names:
+        s = D.schema_snapshot(spark, n, out[n])
+        snaps = s if snaps is None else snaps.unionByName(s)
+    D.store_snapshots(snaps, f"{out_dir}/schema_snapshots", run_id, fmt)
     IO.append_new_runs(log, f"{out_dir}/quality_log", fmt)
     out["quality_log"] = IO.read_log(spark, f"{out_dir}/quality_log", fmt)
     this_run = out["quality_log"].filter(f"run_id = '{run_id}'")

@@ -50,3 +50,23 @@ def test_medallion_rerun_does_not_duplicate(spark):
     assert t["quality_log"].count() == 3 and t["llm_summaries"].count() == 3
     t = medallion.run(spark, SF_SMALL, out, "run_b", "2024-02-02T00:00:00", as_of=catalog.AS_OF)
     assert t["quality_log"].count() == 6 and t["llm_summaries"].count() == 6
+
+
+def test_drift_against_stored_snapshot(spark):
+    from pyspark.sql import functions as F
+    from kestrel.operators import quality as Q
+
+    out = scratch(spark, "snapshots")
+    snap = D.schema_snapshot(spark, "t", spark.range(1).select(F.col("id").cast("int").alias("a"), F.lit("x").alias("b")))
+    D.store_snapshots(snap, out, "run_1")
+    D.store_snapshots(snap, out, "run_1")          # retried run: no duplicate
+    assert spark.read.parquet(out).count() == 2
+    base = D.stored_baselines(spark, out)
+    assert base == {"t": {"a": "IntegerType()", "b": "StringType()"}}
+    now = spark.range(1).select(F.col("id").alias("a"), F.lit(1).alias("c"))   # a: int -> long, b gone, c new
+    row = Q.table_quality(now, "t", "run_2", "ts", baseline=base["t"]).first()
+    d = row["schema_drift_summary"]
+    assert d["missing_columns"] == ["b"] and d["new_columns"] == ["c"]
+    assert [(m["column"], m["baseline_type"], m["current_type"]) for m in d["type_mismatches"]] == [
+        ("a", "IntegerType()", "LongType()")]
+    assert row["quality_score"] == 100 - 30 - 10 - 20
