@@ -650,11 +650,11 @@ def q_stream_incremental_summaries(spark, sf_dir):
 
 @register("stream_volume_alerts")
 def q_stream_volume_alerts(spark, sf_dir):
-    """T6 on a stream: hourly counts (watermarked) appended, alerts over closed windows."""
-    counts_path, ck = SS.scratch(spark, "volume"), SS.scratch(spark, "volume-ck")
+    """T6 on a stream: hourly counts (watermarked, closed windows) scored per micro-batch."""
+    counts_path, alerts_path, ck = (SS.scratch(spark, n) for n in ("volume", "volume-alerts", "volume-ck"))
     counts = MON.volume_counts(_event_stream(spark, sf_dir), "event_time", "1 hour", "event_type", "1 hour")
-    SS.drain(SS.write_files(counts, counts_path, ck))
-    return MON.volume_alerts(spark.read.parquet(counts_path), "event_type", 24, 3.0)
+    SS.drain(SS.run_foreach_batch(counts, SB.VolumeAlertBatches(counts_path, alerts_path, "event_type", 24, 3.0), ck))
+    return spark.read.parquet(alerts_path)
 
 
 @register("stream_predict")

@@ -102,3 +102,41 @@ class SummarizeNewRuns:
         new = batch.join(done, ["run_id", "table_name"], "left_anti")
         out = SUM.clean_outputs(SUM.generate(SUM.build_inputs(new), self.generator))
         out.write.mode("append").parquet(self.summaries_path)
+
+
+class VolumeAlertBatches:
+    """T6 as event-based alerting: each micro-batch of closed window counts is
+    appended to the counts history, and alerts are raised for exactly those
+    windows against the trailing windows of the same key.
+
+    The history is one row per (key, window) -- bounded by time span, not by
+    events -- and both appends skip (key, window) rows already stored, so a
+    replayed micro-batch changes nothing.
+    """
+
+    def __init__(self, counts_path: str, alerts_path: str, key: str = "event_type", history: int = 24,
+                 k: float = 3.0):
+        self.counts_path, self.alerts_path = counts_path, alerts_path
+        self.key, self.history, self.k = key, history, k
+
+    def _append_new(self, df: DataFrame, path: str) -> None:
+        spark = df.sparkSession
+        try:
+            done = spark.read.parquet(path).select(self.key, "window_start")
+            df = df.join(done, [self.key, "window_start"], "left_anti")
+        except Exception:  # first batch
+            pass
+        df.write.mode("append").parquet(path)
+
+    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        from kestrel.streaming.monitors import volume_alerts
+
+        batch = batch.persist()
+        try:
+            self._append_new(batch, self.counts_path)
+            history = batch.sparkSession.read.parquet(self.counts_path)
+            scored = volume_alerts(history, self.key, self.history, self.k)
+            fresh = scored.join(batch.select(self.key, "window_start"), [self.key, "window_start"], "left_semi")
+            self._append_new(fresh.withColumn("batch_id", F.lit(batch_id)), self.alerts_path)
+        finally:
+            batch.unpersist()

@@ -88,3 +88,14 @@ def test_incremental_summaries_skip_summarised_runs(spark):
     sink(log.withColumn("run_id", F.lit("run_002")), 1)
     got = spark.read.parquet(path).groupBy("run_id").count().collect()
     assert sorted((r["run_id"], r["count"]) for r in got) == [("run_001", 3), ("run_002", 3)]
+
+
+def test_stream_volume_alerts_match_batch_on_closed_windows(spark):
+    got = catalog.q_stream_volume_alerts(spark, SF_SMALL)
+    rows = got.collect()
+    assert rows and got.groupBy("event_type", "window_start").count().filter("count > 1").count() == 0
+    ev = SS.with_event_time(feeds.table(spark, SF_SMALL, "events"))
+    batch = {(r["event_type"], r["window_start"]): (r["events"], r["is_alert"])
+             for r in MON.volume_alerts(MON.volume_counts(ev, "event_time", "1 hour", "event_type")).collect()}
+    for r in rows:
+        assert (r["events"], r["is_alert"]) == batch[(r["event_type"], r["window_start"])]
