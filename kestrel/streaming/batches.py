@@ -37,11 +37,10 @@ class ProfileBatches:
 
     def __init__(self, table_name: str, log_path: str, alerts_path: str, drift_path: str,
                  prepare=None, baseline: T.StructType | None = None, as_of=None,
-                 timestamp_col: str | None = None, payload_col: str | None = None,
-                 payload_keys: list[str] | None = None):
+                 payload_col: str | None = None, payload_keys: list[str] | None = None):
         self.table_name, self.log_path, self.alerts_path, self.drift_path = table_name, log_path, alerts_path, drift_path
         self.prepare, self.baseline, self.as_of = prepare, baseline, as_of
-        self.timestamp_col, self.payload_col, self.payload_keys = timestamp_col, payload_col, payload_keys
+        self.payload_col, self.payload_keys = payload_col, payload_keys
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
