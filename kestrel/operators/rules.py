@@ -36,6 +36,15 @@ DEFAULT_RULES = [
 ]
 
 
+# The two customer rules the documentation and the consumer-side
+# log fixture name (age_negative, invalid_email_format); the email pattern is
+# "something@something.something".
+DOCUMENTED_RULES = [
+    ("customers_silver", "age_negative", "age < 0"),
+    ("customers_silver", "invalid_email_format", "NOT email LIKE '%_@_%._%'"),
+]
+
+
 def _as_of_sql(as_of) -> str:
     if as_of is None:
         return "current_date()"

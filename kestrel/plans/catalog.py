@@ -718,3 +718,9 @@ def q_partitioned_log(spark, sf_dir):
     IO.write_partitioned_log(quality_log(spark, sf_dir).select("table_name", "run_id", "timestamp", "quality_score"),
                              path)
     return IO.read_log(spark, path).filter(F.col("table_name") == "sales_silver")
+
+
+@register("business_rules_documented")
+def q_business_rules_documented(spark, sf_dir):
+    """The documented customer rules (negative age, malformed email) as data, one pass."""
+    return R.business_rules(silver(spark, sf_dir, "customers"), "customers_silver", rules=R.DOCUMENTED_RULES)

@@ -594,3 +594,9 @@ UNION ALL
 SELECT table_name, NULL, quality_score, ai_summary, NULL, 'run_001', '2024-02-01T00:00:00' FROM quality""", _Q_CTES)
 oracle("partitioned_log", """SELECT table_name, 'run_001' AS run_id, '2024-02-01T00:00:00' AS timestamp, quality_score,
   DATE '2024-02-01' AS run_date FROM quality WHERE table_name = 'sales_silver'""", _Q_CTES)
+
+from kestrel.operators.rules import DOCUMENTED_RULES  # noqa: E402
+
+oracle("business_rules_documented", "\nUNION ALL ".join(
+    f"SELECT '{r}' AS rule_name, count(*) FILTER (WHERE {p}) AS violations FROM customers_silver"
+    for t, r, p in DOCUMENTED_RULES))

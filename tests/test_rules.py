@@ -29,3 +29,11 @@ def test_parse_and_evaluate_reference_rule(spark):
     assert res[("is_null", "amount")] == (1, None)
     assert res[("greater_than", "amount")] == (1, None)
     assert res[("is_null", "merchant_id")] == (None, "unknown column: merchant_id")
+
+
+def test_documented_rules(spark):
+    df = spark.createDataFrame([(-1, "a@b.co"), (5, "no-at-sign.example.com"), (7, "x@y"), (9, None), (3, "@b.c")],
+                               "age int, email string")
+    got = {r["rule_name"]: r["violations"] for r in
+           R.business_rules(df, "customers_silver", rules=R.DOCUMENTED_RULES).collect()}
+    assert got == {"age_negative": 1, "invalid_email_format": 3}   # NULL email is not a violation
