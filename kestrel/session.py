@@ -12,7 +12,7 @@ SCALE_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # Coalesce shuffle partitions toward 128 MB each (AQE); size scans the same way.
+    # AQE coalesces small shuffle partitions toward 128 MB each.
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 * 1024 * 1024),
     # Broadcast only sides that the planner *measured* below 32 MB.
     "spark.sql.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
