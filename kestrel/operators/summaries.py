@@ -127,6 +127,24 @@ def rule_based_generator(batch: pd.DataFrame) -> pd.DataFrame:
 
 
 
+def per_worker(factory: Callable[[], Generator]) -> Generator:
+    """Wrap a generator factory so each Python worker builds it once.
+
+    ``factory`` loads the model (weights, tokenizer) and returns a
+    ``batch -> texts`` function.  The cache lives in the closure that Spark
+    ships to each Python worker, so the load happens on the first batch a
+    worker sees and is reused for its later batches -- never per row.
+    """
+    state: dict[str, Generator] = {}
+
+    def gen(batch: pd.DataFrame) -> pd.DataFrame:
+        if "g" not in state:
+            state["g"] = factory()
+        return state["g"](batch)
+
+    return gen
+
+
 def generate(inputs: DataFrame, generator: Generator | None = None, dry_run: bool = False,
              model_name: str = "rule-based-v1", echo_prompt: bool = False) -> DataFrame:
     """Q13: three generated texts per input row (llm_raw_outputs).

@@ -84,3 +84,17 @@ def test_inputs_from_flat_json_log(spark):
         "outlier_summary string, schema_drift_summary string, business_rule_violations string")
     r = SUM.build_inputs(flat).first()
     assert (r["statistics"], r["null_summary"], r["business_rule_violations"]) == ('{"a":1}', "None", '{"rule":2}')
+
+
+def test_per_worker_generator_factory(spark):
+    import pandas as pd
+
+    def factory():
+        def gen(batch: pd.DataFrame) -> pd.DataFrame:
+            n = len(batch)
+            return pd.DataFrame({"anomaly_summary": ["a"] * n, "data_health": ["good."] * n,
+                                 "root_causes": ["- r"] * n}, index=batch.index)
+        return gen
+
+    out = SUM.generate(SUM.build_inputs(fixture(spark)), generator=SUM.per_worker(factory)).first()
+    assert (out["anomaly_summary"], out["data_health"], out["root_causes"]) == ("a", "good.", "- r")
