@@ -99,3 +99,15 @@ def test_stream_volume_alerts_match_batch_on_closed_windows(spark):
              for r in MON.volume_alerts(MON.volume_counts(ev, "event_time", "1 hour", "event_type")).collect()}
     for r in rows:
         assert (r["events"], r["is_alert"]) == batch[(r["event_type"], r["window_start"])]
+
+
+def test_payload_key_drift_is_flagged(spark):
+    paths = [SS.scratch(spark, n) for n in ("log2", "alerts2", "drift2")]
+    sink = SB.ProfileBatches("events", *paths, payload_col="props", payload_keys=["k", "gone"])
+    t0 = dt.datetime(2024, 1, 1)
+    batch = spark.createDataFrame([(1, t0, 1, "view", 1.0, '{"k": 1, "extra": 2}'),
+                                   (2, t0, 2, "view", 2.0, '{"k": 3}')], SS.EVENTS_SCHEMA)
+    sink(batch, 3)
+    r = spark.read.parquet(paths[2]).first()
+    assert r["has_drift"] and r["run_id"] == "batch_000003"
+    assert r["new_columns"] == ["extra"] and r["missing_columns"] == ["gone"]
