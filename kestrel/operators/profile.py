@@ -267,8 +267,9 @@ def outlier_examples(df: DataFrame, k: float = 3.0, n: int = 5) -> DataFrame:
     ])
     from kestrel.operators.gold import top_per_group
 
-    hits = (df.crossJoin(F.broadcast(stats)).select(F.explode(tagged).alias("h"))
-            .filter(F.col("h").isNotNull()).select("h.*"))
+    # Filter inside the array first: only outlying values are emitted, not one row per column per row.
+    hits = (df.crossJoin(F.broadcast(stats))
+            .select(F.explode(F.filter(tagged, lambda h: h.isNotNull())).alias("h")).select("h.*"))
     top = top_per_group(hits, ["column_name"], [F.col("value").desc()], n)
     return top.groupBy("column_name").agg(
         F.sort_array(F.collect_list("value"), asc=False).alias("examples"))
