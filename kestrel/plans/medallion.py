@@ -56,3 +56,31 @@ def run(spark: SparkSession, sf_dir: str, out_dir: str, run_id: str, timestamp:
     SummarizeNewRuns(f"{out_dir}/llm_summaries")(this_run, 0)
     out["llm_summaries"] = IO.read_path(spark, f"{out_dir}/llm_summaries", fmt)
     return out
+
+
+def main(argv: list[str] | None = None) -> None:
+    """Job entry point: ``python -m kestrel.plans.medallion <input_dir> <output_dir> <run_id> [timestamp]``.
+
+    The master, executors, shuffle partitions and ``spark.checkpoint.dir``
+    come from spark-submit / the cluster; only unset scale options are added.
+    """
+    import json
+    import sys
+    from datetime import datetime, timezone
+
+    from kestrel.session import get_session
+
+    args = list(sys.argv[1:] if argv is None else argv)
+    if len(args) < 3:
+        raise SystemExit("usage: medallion <input_dir> <output_dir> <run_id> [timestamp]")
+    in_dir, out_dir, run_id = args[:3]
+    ts = args[3] if len(args) > 3 else datetime.now(timezone.utc).strftime("%Y-%m-%dT%H:%M:%S")
+    spark = get_session()
+    out = run(spark, in_dir, out_dir, run_id, ts)
+    scores = {r["table_name"]: r["quality_score"]
+              for r in out["quality_log"].filter(f"run_id = '{run_id}'").select("table_name", "quality_score").collect()}
+    print(json.dumps({"run_id": run_id, "output": out_dir, "quality_scores": scores}))
+
+
+if __name__ == "__main__":
+    main()

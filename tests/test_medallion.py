@@ -70,3 +70,21 @@ def test_drift_against_stored_snapshot(spark):
     assert [(m["column"], m["baseline_type"], m["current_type"]) for m in d["type_mismatches"]] == [
         ("a", "IntegerType()", "LongType()")]
     assert row["quality_score"] == 100 - 30 - 10 - 20
+
+
+def test_job_entry_point(spark):
+    import json
+    import os
+    import subprocess
+    import sys
+    from pathlib import Path
+
+    root = Path(__file__).resolve().parents[1]
+    out = scratch(spark, "job-cli")
+    res = subprocess.run([sys.executable, "-m", "kestrel.plans.medallion", SF_SMALL, out, "cli_run",
+                          "2024-02-01T00:00:00"], capture_output=True, text=True, cwd=root, timeout=900,
+                         env={**os.environ, "PYTHONPATH": str(root)})
+    assert res.returncode == 0, res.stderr[-2000:]
+    rec = json.loads([l for l in res.stdout.splitlines() if l.startswith("{")][-1])
+    assert rec["run_id"] == "cli_run" and set(rec["quality_scores"]) == {
+        "customers_silver", "sales_silver", "transactions_silver"}
