@@ -2,8 +2,15 @@
 
 from __future__ import annotations
 
+from kestrel.llm.lines import OP5_SQL, op5_line_dedup
 from kestrel.llm.minhash import op2_minhash_near_dedup
+from kestrel.llm.mixing import OP6_SQL, op6_mix_sources
+from kestrel.llm.packing import op10_sequence_packing
+from kestrel.llm.tokens import op7_token_counts
+from kestrel.llm.windows import op8_substring_dedup
 
-REGISTRY = {f.__name__: f for f in (op2_minhash_near_dedup,)}
+REGISTRY = {f.__name__: f for f in (
+    op2_minhash_near_dedup, op5_line_dedup, op6_mix_sources, op7_token_counts, op8_substring_dedup, op10_sequence_packing,
+)}
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op5_line_dedup": OP5_SQL, "op6_mix_sources": OP6_SQL}
