@@ -14,12 +14,12 @@ Steps
  2. Documents with equal sets form one class; the smallest doc_id stands for it.
  3. A band value that a single class holds cannot be part of a shared key, so only
     repeated band values are combined into keys (lossless).
- 4. Keys are shuffled and streamed in sorted order: buckets of up to ``small``
-    classes give all their pairs, larger ones a star and a chain.  Candidate links are
-    estimated from the minhash values and confirmed on the full sets.
- 5. Buckets above ``small`` that still span several components go through blocks
-    of at most ``block`` classes: every pair of blocks is compared by minhash values,
-    and pairs that may be similar are confirmed too.  So no link between components is lost.
+ 4. Keys are shuffled and streamed in sorted order: the first ``small`` classes of a bucket give all
+    their pairs, the others a star and a chain, so candidates grow with the rows.  Pairs whose
+    minhash values rule the similarity out (``SLACK`` standard deviations) go.
+ 5. Candidates connect classes into families.  The likeliest candidate of every class is confirmed on the
+    full sets, which gives first components.  Pairs of different components inside a family are then
+    compared in bounded blocks, again confirmed on the full sets; only links that join components leave a block.
  6. Components of the confirmed links, by grouped minima.
 
 Defined results: a null or blank text has an empty set, is linked with nothing and
@@ -33,7 +33,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from kestrel.llm.common import U64, components, mix, store, text_chunks, word_hashes, word_spans
 
@@ -118,60 +118,68 @@ def band_values(classes: DataFrame, rows: int, side: int) -> DataFrame:
 
 
 def tensor_keys(classes: DataFrame, rows: int, side: int) -> DataFrame:
-    """(key, id): all pairs of a repeated first-collection band and a repeated second-collection band."""
+    """(key, near, id): all pairs of a repeated first-collection band and a repeated second-collection band.
+
+    ``near`` is a further band value: sorting a bucket by it puts like classes side by side.
+    """
     bands = band_values(classes, rows, side)
-    repeated = (bands.groupBy("band", "value").agg(F.count("*").alias("n"), F.max("id").alias("hi"), F.min("id").alias("lo"))
+    repeated = (bands.groupBy("band", "value").agg(F.max("id").alias("hi"), F.min("id").alias("lo"))
                 .where("hi <> lo").select("band", "value"))
     kept = bands.join(repeated, ["band", "value"], "left_semi")
     packed = kept.groupBy("id").agg(  # at most 2 * side values a class
-        F.collect_list(F.when(F.col("band") < side, F.xxhash64("band", "value"))).alias("xs"),
-        F.collect_list(F.when(F.col("band") >= side, F.xxhash64("band", "value"))).alias("ys"))
-    one = packed.select("id", F.explode("xs").alias("x"), "ys")
-    return one.select("id", "x", F.explode("ys").alias("y")).select(F.xxhash64("x", "y").alias("key"), "id")
+        F.sort_array(F.collect_list(F.when(F.col("band") < side, F.struct("band", "value")))).alias("xs"),
+        F.sort_array(F.collect_list(F.when(F.col("band") >= side, F.struct("band", "value")))).alias("ys"))
+    one = packed.select("id", F.explode("xs").alias("x"), "xs", "ys")
+    # the next band of the first collection that the class has (band numbers differ between buckets, not inside one)
+    after = F.filter("xs", lambda z: z["band"] > F.col("x.band"))
+    one = one.select("id", "x", F.coalesce(F.get(after, F.lit(0)), F.col("xs")[0]).alias("next"), "ys")
+    return one.select("id", "x", F.xxhash64("next").alias("near"), F.explode("ys").alias("y")).select(F.xxhash64("x", "y").alias("key"), "near", "id")
 
 
 def bucket_links(keys: DataFrame, small: int) -> DataFrame:
-    """Candidate links (a < b) of every bucket; the rows of a key are streamed in id order.
+    """Candidate links (a < b) of every bucket; the rows of a key are streamed in (near, id) order.
 
-    Only the first ``small`` ids of the running bucket are held, whatever its size.
+    The first ``small`` classes of a bucket give all their pairs, the others a star and a chain, so
+    the links grow with the rows, and no more than ``small`` ids are held, whatever the bucket's size.
     """
 
     def run(batches):
-        key, head, last, count = None, [], None, 0
+        key, head, last = None, [], None
         for batch in batches:
-            ks, ids = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            ks, ids = batch.column(0).to_numpy(), batch.column(2).to_numpy()
             if not len(ks):
                 continue
             cuts = np.concatenate([[0], np.flatnonzero(ks[1:] != ks[:-1]) + 1, [len(ks)]])
             a, b = [], []
             for i, j in zip(cuts[:-1], cuts[1:], strict=True):
-                if j - i == 1 and ks[i] != key and not (j == len(ks)):  # alone in its bucket
-                    continue
                 if ks[i] != key:
-                    key, head, last, count = ks[i], [], None, 0
-                for x in ids[i : min(j, i + max(0, small - count))].tolist():
+                    if j - i == 1 and j < len(ks):  # alone in its bucket
+                        continue
+                    key, head, last = ks[i], [], None
+                for x in ids[i : min(j, i + small - len(head))].tolist():
                     a += head
                     b += [x] * len(head)
                     head.append(x)
-                    last, count = x, count + 1
+                    last = x
                     i += 1
-                if j > i:  # beyond the head: a star and a chain
+                if j > i:  # beyond the head
                     rest = ids[i:j].tolist()
                     a += [head[0]] * len(rest) + [last, *rest[:-1]]
                     b += rest + rest
-                    last, count = rest[-1], count + len(rest)
+                    last = rest[-1]
             a, b = np.array(a, np.int64), np.array(b, np.int64)
-            ab = np.unique(np.stack([a, b], 1)[a != b], axis=0) if len(a) else np.empty((0, 2), np.int64)
+            ab = np.stack([np.minimum(a, b), np.maximum(a, b)], 1)
+            ab = np.unique(ab[a != b], axis=0)
             yield pa.RecordBatch.from_arrays([pa.array(ab[:, 0].copy()), pa.array(ab[:, 1].copy())], names=["a", "b"])
 
-    ordered = keys.repartition("key").sortWithinPartitions("key", "id")
+    ordered = keys.repartition("key").sortWithinPartitions("key", "near", "id")
     return ordered.mapInArrow(run, "a long, b long").distinct()
 
 
 def estimated(links: DataFrame, classes: DataFrame, least: float) -> DataFrame:
-    """Links whose minhash values and set sizes allow the wanted similarity."""
-    left = classes.select(F.col("id").alias("a"), F.col("sketch").alias("sa"), F.col("n_shingles").alias("na"))
-    right = classes.select(F.col("id").alias("b"), F.col("sketch").alias("sb"), F.col("n_shingles").alias("nb"))
+    """(a, b, likeness) of the links whose minhash values allow the wanted similarity."""
+    left = classes.select(F.col("id").alias("a"), F.col("sketch").alias("sa"))
+    right = classes.select(F.col("id").alias("b"), F.col("sketch").alias("sb"))
     both = links.join(left, "a").join(right, "b")
 
     def run(batches):
@@ -181,75 +189,126 @@ def estimated(links: DataFrame, classes: DataFrame, least: float) -> DataFrame:
                 continue
             sa = np.frombuffer(b"".join(batch.column("sa").to_pylist()), np.uint32).reshape(n, -1)
             sb = np.frombuffer(b"".join(batch.column("sb").to_pylist()), np.uint32).reshape(n, -1)
-            ok = pa.array((sa == sb).mean(1) >= least)
-            yield batch.select(["a", "b"]).filter(ok)
+            like = (sa == sb).mean(1)
+            out = pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(like)], names=["a", "b", "likeness"])
+            yield out.filter(pa.array(like >= least))
+
+    return both.select("a", "b", "sa", "sb").mapInArrow(run, "a long, b long, likeness double")
 
-    return both.select("a", "b", "sa", "sb").mapInArrow(run, "a long, b long")
 
+def nearest(candidates: DataFrame) -> DataFrame:
+    """The likeliest link of every class: at most one a class, so as many rows as classes."""
+    both = candidates.select("a", "b", "likeness").union(candidates.select(F.col("b").alias("a"), F.col("a").alias("b"), "likeness"))
+    best = both.groupBy("a").agg(F.max(F.struct("likeness", (-F.col("b")).alias("b"))).alias("best"))
+    return best.select(F.least("a", -F.col("best.b")).alias("a"), F.greatest("a", -F.col("best.b")).alias("b")).distinct()
 
-def confirmed(links: DataFrame, docs: DataFrame, classes: DataFrame, words: int, num: int, den: int) -> DataFrame:
-    """Links with den * intersection >= num * union, on the full shingle sets."""
-    wanted = links.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    texts = docs.join(classes.select("id", "set_a", "set_b").join(wanted, "id", "left_semi"), F.col("doc_id") == F.col("id"))
+
+def shingle_sets(docs: DataFrame, classes: DataFrame, ids: DataFrame, words: int) -> DataFrame:
+    """(id, shingles) of the classes in ``ids``: the sorted distinct shingle hashes as bytes."""
+    wanted = classes.select("id", "set_a").join(ids, "id", "left_semi")
+    texts = docs.join(wanted, F.col("doc_id") == F.col("id"))
 
     def sets(batches):
         for batch in batches:
             for i, j, data, offsets in text_chunks(batch.column(1)):
                 got = distinct_rows(*shingle_rows(data, offsets, words))
+                # rows may repeat a doc_id with other texts
                 match = [bool(len(s)) and int(mix(s).sum().astype(np.int64)) == c for s, c in zip(got, batch.column(2)[i:j].to_pylist(), strict=True)]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0)[i:j], pa.array([s.tobytes() for s in got], pa.large_binary())], names=["id", "shingles"]
-                ).filter(pa.array(match))
+                    [batch.column(0)[i:j], pa.array([s.tobytes() for s in got], pa.binary())], names=["id", "shingles"]
+                ).filter(pa.array(match, pa.bool_()))
+
+    return texts.select("id", "text", "set_a").mapInArrow(sets, "id long, shingles binary").dropDuplicates(["id"])
+
 
-    # one row a class, also where rows repeat a doc_id
-    full = store(texts.select("id", "text", "set_a").mapInArrow(sets, "id long, shingles binary").dropDuplicates(["id"]), "shingles")
-    pairs = (links.join(full.select(F.col("id").alias("b"), F.col("shingles").alias("tb")), "b")
-             .join(full.select(F.col("id").alias("a"), F.col("shingles").alias("ta")), "a").select("a", "b", "ta", "tb"))
+def linked(x: np.ndarray, y: np.ndarray, num: int, den: int) -> bool:
+    """den * intersection >= num * union of two sorted sets."""
+    if den * min(len(x), len(y)) < num * max(len(x), len(y)):
+        return False
+    at = np.searchsorted(y, x)
+    both = int((y[np.minimum(at, len(y) - 1)] == x).sum())
+    return den * both >= num * (len(x) + len(y) - both) and both > 0
+
+
+def confirmed(links: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+    """The links that hold on the full shingle sets."""
+    pairs = (links.join(sets.select(F.col("id").alias("b"), F.col("shingles").alias("tb")), "b")
+             .join(sets.select(F.col("id").alias("a"), F.col("shingles").alias("ta")), "a").select("a", "b", "ta", "tb"))
 
     def check(batches):
         for batch in batches:
-            ok = []
-            for x, y in zip(batch.column("ta"), batch.column("tb"), strict=True):
-                x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                both = len(np.intersect1d(x, y, assume_unique=True)) if den * min(len(x), len(y)) >= num * max(len(x), len(y)) else 0
-                ok.append(den * both >= num * (len(x) + len(y) - both) and both > 0)
+            ok = [linked(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), num, den)
+                  for x, y in zip(batch.column("ta").to_pylist(), batch.column("tb").to_pylist(), strict=True)]
             yield batch.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
     return pairs.mapInArrow(check, "a long, b long")
 
 
-def residual_links(keys: DataFrame, labels: DataFrame, classes: DataFrame, small: int, block: int, least: float) -> DataFrame:
-    """Pairs of different components that meet in a bucket of more than ``small`` classes and may be similar.
+def family_links(members: DataFrame, sketches: DataFrame, sets: DataFrame, block: int, least: float, num: int, den: int) -> DataFrame:
+    """Confirmed links that join different components inside a family.
 
-    ``labels`` (id, component) holds the classes that already have a link.  A bucket is dealt into
-    blocks of about ``block`` classes, and every pair of blocks is one bounded group.
+    ``members`` (family, id, component): families are connected by candidate links, components by confirmed ones.
+    Families of up to ``block`` classes share bounded groups; a larger one is dealt into blocks, with
+    blocks of their own for its large components, and every pair of blocks that is not of one component is a
+    group of at most about 2 * block classes.  A group tests its pairs of different components, likeliest first, skips
+    those joined meanwhile, and returns only links that join: fewer than its classes.
     """
-    big = keys.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > small)
-    rows = (keys.join(big, "key").join(labels, "id", "left")
-            .select("key", "n", "id", F.coalesce("component", "id").alias("component")))
-    open_ = (rows.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
-             .where("lo <> hi").select("key"))
-    rows = rows.join(open_, "key").withColumn("blocks", F.ceil(F.col("n") / block).cast("int"))
-    rows = rows.withColumn("mine", F.pmod(F.xxhash64("id", "key"), F.col("blocks")).cast("int"))
-    dealt = rows.select("key", "id", "component", "mine", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
-    dealt = dealt.select(F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "key", "id", "component", "mine")
-    dealt = dealt.join(classes.select("id", "sketch", "n_shingles"), "id")
-
-    def compare(batch: pa.Table) -> pa.Table:
+    sizes = members.groupBy("family").agg(F.count("*").alias("n"), F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi")
+    rows = members.join(sizes.select("family", "n"), "family")
+    few = rows.where(F.col("n") <= block)
+    pools = max(1, few.count() // block)
+    few = few.select(F.pmod(F.xxhash64("family"), F.lit(pools)).alias("g"), F.lit(False).alias("big"), F.lit(0).alias("i"), F.lit(0).alias("j"), F.lit(0).alias("mine"),
+                     "family", "id", "component")
+    many = rows.where(F.col("n") > block)
+    parts = many.groupBy("family", "component").agg(F.count("*").alias("m"))
+    own = F.when(F.col("m") > block, F.col("component"))
+    many = many.join(parts, ["family", "component"]).withColumn("own", own)
+    many = many.withColumn("slot", F.when(F.col("own").isNotNull(), F.pmod(F.xxhash64("id"), F.ceil(F.col("m") / block)))
+                           .otherwise(F.pmod(F.xxhash64("component"), F.ceil(F.col("n") / block))))
+    blocks = many.select("family", "own", "slot").distinct()
+    blocks = blocks.withColumn("mine", F.row_number().over(Window.partitionBy("family").orderBy("own", "slot")))  # one row a block
+    other = blocks.select(F.col("family").alias("family2"), F.col("own").alias("own2"), F.col("mine").alias("other"))
+    dealt = blocks.join(other, (F.col("family") == F.col("family2")) & ~F.coalesce(F.col("own") == F.col("own2"), F.lit(False)))
+    dealt = dealt.select("family", F.col("own").alias("own3"), F.col("slot").alias("slot3"), "mine", "other").withColumnsRenamed({"family": "family3"})
+    many = many.join(dealt, (F.col("family") == F.col("family3")) & F.col("own").eqNullSafe(F.col("own3")) & (F.col("slot") == F.col("slot3")))
+    many = many.select(F.col("family").alias("g"), F.lit(True).alias("big"), F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "mine",
+                       "family", "id", "component")
+    dealt = few.union(many).join(sketches.select("id", "sketch"), "id").join(sets, "id")
+
+    def compare(batch):
         n = batch.num_rows
         sk = np.frombuffer(b"".join(batch.column("sketch").to_pylist()), np.uint32).reshape(n, -1)
-        ids, comp, mine = (batch.column(c).to_numpy() for c in ("id", "component", "mine"))
+        ids, comp, fam, mine = (batch.column(c).to_numpy() for c in ("id", "component", "family", "mine"))
         i, j = batch.column("i")[0].as_py(), batch.column("j")[0].as_py()
-        a, b = [], []
+        full = [np.frombuffer(x, np.uint64) for x in batch.column("shingles").to_pylist()]
+        xs, ys, like = [], [], []
         for x in np.flatnonzero(mine == i):
-            like = (sk == sk[x]).mean(1) >= least
-            like &= (comp != comp[x]) & (mine == j) & (ids != ids[x])
-            a += [int(ids[x])] * int(like.sum())
-            b += ids[like].tolist()
-        a, b = np.array(a, np.int64), np.array(b, np.int64)
-        return pa.table({"a": np.minimum(a, b), "b": np.maximum(a, b)})
+            y = np.flatnonzero((fam == fam[x]) & (comp != comp[x]) & (mine == j) & ((i != j) | (ids > ids[x])))
+            p = (sk[y] == sk[x]).mean(1)
+            ok = p >= least
+            xs.append(np.full(int(ok.sum()), x))
+            ys.append(y[ok])
+            like.append(p[ok])
+        xs, ys, like = (np.concatenate(z) if z else np.empty(0, np.int64) for z in (xs, ys, like))
+        root = {c: c for c in comp.tolist()}
+
+        def find(c):
+            while root[c] != c:
+                root[c] = root[root[c]]
+                c = root[c]
+            return c
+
+        a, b = [], []
+        for k in np.argsort(-like, kind="stable"):
+            x, y = int(xs[k]), int(ys[k])
+            cx, cy = find(int(comp[x])), find(int(comp[y]))
+            if cx != cy and linked(full[x], full[y], num, den):
+                root[max(cx, cy)] = min(cx, cy)
+                a.append(min(int(ids[x]), int(ids[y])))
+                b.append(max(int(ids[x]), int(ids[y])))
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
-    return dealt.groupBy("key", "i", "j").applyInArrow(compare, "a long, b long").distinct()
+    return dealt.groupBy("g", "big", "i", "j").applyInArrow(compare, "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, words: int = 5, num: int = 80, den: int = 100, rows: int = 3, side: int = 16,
@@ -268,14 +327,15 @@ def near_duplicates(docs: DataFrame, words: int = 5, num: int = 80, den: int = 1
     classes = store(
         sign.select(F.col("doc_id").alias("id"), "set_a", "set_b", "n_shingles", "sketch").join(rep, ["id", "set_a", "set_b", "n_shingles"], "left_semi")
         .dropDuplicates(["id"]), "sketches")
-    keys = store(tensor_keys(classes, rows, side), "keys")
-    first = store(estimated(bucket_links(keys, small), classes, least), "candidates")
-    links = store(confirmed(first, docs, classes, words, num, den), "links")
+    found = bucket_links(tensor_keys(classes, rows, side), small)
+    candidates = store(estimated(found, classes, least), "candidates")
+    family = store(components(candidates, "families"), "families").select(F.col("node").alias("id"), F.col("component").alias("family"))
+    sets = store(shingle_sets(docs, classes, family.select("id"), words), "shingles")
+    links = store(confirmed(nearest(candidates), sets, num, den), "links")
+    comp = components(links, "components").select(F.col("node").alias("id"), "component")
+    members = store(family.join(comp, "id", "left").select("family", "id", F.coalesce("component", "id").alias("component")), "members")
+    links = links.union(store(family_links(members, classes, sets, block, least, num, den), "links"))
     comp = components(links, "components")
-    again = store(residual_links(keys, comp.withColumnsRenamed({"node": "id"}), classes, small, block, least).join(first, ["a", "b"], "left_anti"), "candidates")
-    if not again.isEmpty():
-        links = links.union(store(confirmed(again, docs, classes, words, num, den), "links"))
-        comp = components(links, "components")
     label = rep.join(comp.withColumnsRenamed({"node": "id"}), "id", "left").select(
         "set_a", "set_b", "n_shingles", F.coalesce("component", "id").alias("component_id"))
     return (sign.join(label, ["set_a", "set_b", "n_shingles"], "left")
