@@ -13,6 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from kestrel.sources.io import read_if_exists
+
 from kestrel.schemas import type_text
 
 SNAPSHOT_SCHEMA = "table_name string, column_name string, data_type string, ordinal int"
@@ -148,11 +150,9 @@ def store_snapshots(snapshots: DataFrame, path: str, run_id: str, fmt: str = "pa
     """
     spark = snapshots.sparkSession
     snap = snapshots.withColumns({"run_id": F.lit(run_id), "stored_at": F.current_timestamp()})
-    try:
-        done = spark.read.format(fmt).load(path).select("table_name", "run_id").distinct()
-        snap = snap.join(done, ["table_name", "run_id"], "left_anti")
-    except Exception:  # nothing stored yet
-        pass
+    stored = read_if_exists(spark, path, fmt)
+    if stored is not None:
+        snap = snap.join(stored.select("table_name", "run_id").distinct(), ["table_name", "run_id"], "left_anti")
     snap.write.mode("append").format(fmt).save(path)
 
 
@@ -161,9 +161,8 @@ def stored_baselines(spark: SparkSession, path: str, fmt: str = "parquet") -> di
 
     Read on the driver: one row per column of each table (schema-sized).
     """
-    try:
-        snaps = spark.read.format(fmt).load(path)
-    except Exception:
+    snaps = read_if_exists(spark, path, fmt)
+    if snaps is None:
         return {}
     first = snaps.groupBy("table_name").agg(F.min_by("run_id", F.struct("stored_at", "run_id")).alias("run_id"))
     rows = snaps.join(first, ["table_name", "run_id"]).select("table_name", "column_name", "data_type").collect()

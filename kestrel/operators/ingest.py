@@ -86,19 +86,18 @@ def quarantine(raw: DataFrame, feed: str, reason_checks: dict[str, Column] | Non
     (``name -> predicate that is TRUE for a bad row``).  A NULL predicate is
     not a violation (three-valued logic), matching the business rules.
     """
-    cleaned = CLEANERS[feed](raw)
+    return with_reason(CLEANERS[feed](raw), feed, reason_checks).filter(F.col("quarantine_reason") != "")
+
+
+def with_reason(cleaned: DataFrame, feed: str, reason_checks: dict[str, Column] | None = None) -> DataFrame:
+    """Cleaned rows with ``quarantine_reason``: comma-joined reasons, empty for a row that may enter silver.
+
+    Each row is in exactly one of the two tables split on it.
+    """
     key = schemas.KEYS[feed]
     checks = {f"{key}_is_null": F.col(key).isNull(), **(reason_checks or {})}
-    reasons = F.filter(
-        F.array(*[F.when(pred, F.lit(name)) for name, pred in checks.items()]),
-        lambda x: x.isNotNull(),
-    )
-    return (
-        cleaned.withColumn("quarantine_reasons", reasons)
-        .filter(F.size("quarantine_reasons") > 0)
-        .withColumn("quarantine_reason", F.array_join("quarantine_reasons", ","))
-        .drop("quarantine_reasons")
-    )
+    reasons = F.array_compact(F.array(*[F.when(pred, F.lit(name)) for name, pred in checks.items()]))
+    return cleaned.withColumn("quarantine_reason", F.array_join(reasons, ","))
 
 
 # Range checks for silver (docs: "validate numeric ranges, extract timestamps").

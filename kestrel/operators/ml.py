@@ -39,7 +39,7 @@ def train_test_split(df: DataFrame, key: str = "customer_id", train_pct: int = 8
 def classifier_pipeline(trees: int = 100, depth: int = 8, seed: int = 42) -> Pipeline:
     """M3: assembler + random forest (100 trees, depth 8, seed 42)."""
     return Pipeline(stages=[
-        VectorAssembler(inputCols=FEATURES, outputCol="features", handleInvalid="skip"),
+        VectorAssembler(inputCols=FEATURES, outputCol="features", handleInvalid="keep"),
         RandomForestClassifier(featuresCol="features", labelCol=LABEL, numTrees=trees, maxDepth=depth, seed=seed),
     ])
 
@@ -61,8 +61,14 @@ def fit_classifier(labelled: DataFrame, **kw) -> PipelineModel:
 
 
 def predict(model: PipelineModel, df: DataFrame) -> DataFrame:
-    """Batch (or streaming) scoring; works on a streaming DataFrame too."""
-    return model.transform(df).select(*[c for c in df.columns], F.col("prediction").cast("int").alias("prediction"))
+    """Batch (or streaming) scoring; works on a streaming DataFrame too.
+
+    Every row stays; one with a null feature has a null prediction.
+    """
+    known = F.lit(True)
+    for c in FEATURES:
+        known = known & F.col(c).isNotNull()
+    return model.transform(df).select(*df.columns, F.when(known, F.col("prediction").cast("int")).alias("prediction"))
 
 
 # ---------------------------------------------------------------- M6 / A19
@@ -82,19 +88,19 @@ def regression_features(gold_sales: DataFrame) -> DataFrame:
 
 def regressor_pipeline(trees: int = 100, depth: int = 8, seed: int = 42) -> Pipeline:
     return Pipeline(stages=[
-        VectorAssembler(inputCols=DATE_FEATURES, outputCol="features", handleInvalid="skip"),
+        VectorAssembler(inputCols=DATE_FEATURES, outputCol="features", handleInvalid="keep"),
         RandomForestRegressor(featuresCol="features", labelCol="total_spend", numTrees=trees, maxDepth=depth,
                               seed=seed),
     ])
 
 
 def regression_metrics(pred: DataFrame, label: str = "total_spend", prediction: str = "prediction") -> DataFrame:
-    """MAE, RMSE, R^2 in one aggregate (SST via sum of squares)."""
+    """MAE, RMSE, R^2 in one aggregate."""
     e = F.col(prediction) - F.col(label)
     y = F.col(label)
     m = pred.agg(F.count(F.lit(1)).alias("n"), F.avg(F.abs(e)).alias("mae"), F.avg(e * e).alias("mse"),
-                 F.sum(e * e).alias("sse"), F.sum(y).alias("sy"), F.sum(y * y).alias("syy"))
-    sst = F.col("syy") - F.col("sy") * F.col("sy") / F.col("n")
+                 F.sum(e * e).alias("sse"), F.var_pop(y).alias("variance"))
+    sst = F.col("variance") * F.col("n")  # var_pop updates centred moments: no cancellation
     return m.select("n", "mae", F.sqrt("mse").alias("rmse"),
                     F.when(sst > 0, 1 - F.col("sse") / sst).alias("r2"))
 

@@ -157,11 +157,13 @@ def _as_map(arr: Column, value_fields: list[str]) -> Column:
 
 def table_quality(df: DataFrame, table_name: str, run_id: str, timestamp: str,
                   baseline: T.StructType | dict[str, str] | None = None, rules=None, as_of=None,
-                  k: float = 3.0, threshold: float = 20.0, approx: bool = False,
+                  k: float = 3.0, threshold: float = 20.0, approx: bool = True,
                   summary_template: str = "master", distinct_chunk: int | None = None) -> DataFrame:
     """Q18 for one table: the full quality-log row, from two scans of ``df``.
 
-    ``distinct_chunk`` (very wide tables) computes exact distinct counts in
+    Distinct counts in the log are HyperLogLog++ estimates by default: exact ones would
+    multiply every row by the column count and shuffle every distinct value.
+    ``approx=False`` counts exactly; ``distinct_chunk`` (very wide tables) then takes
     extra passes of that many columns each.
     """
     rs = R.rules_for(table_name, rules, as_of)

@@ -371,10 +371,22 @@ def q_parse_rules(spark, sf_dir):
                     F.col("thresholds.max").alias("threshold_max"), "severity", "action")
 
 
+#: Rules that an analyst states beside the suggested ones.
+ANALYST_RULES = [
+    ("sales_silver", "Flag sales_silver rows where product_id is missing"),
+    ("sales_silver", "Flag sales_silver rows where quantity above 50"),
+    ("sales_silver", "Flag sales_silver rows where amount above 90,000"),
+    ("transactions_silver", "Flag transactions_silver rows where customer_id is missing"),
+    ("transactions_silver", "Flag transactions_silver rows where amount above 100"),
+]
+
+
 @register("evaluate_rules")
 def q_evaluate_rules(spark, sf_dir):
-    """Q11: checks implied by the parsed rules, counted on each silver table (one pass each)."""
-    parsed = R.parse_rules(suggestions(spark, sf_dir).select("table_name", "rule_text"), created_at=str(AS_OF))
+    """Q11: checks implied by the suggested and the stated rules, counted on each silver table (one pass each)."""
+    texts = suggestions(spark, sf_dir).select("table_name", "rule_text").unionByName(
+        spark.createDataFrame(ANALYST_RULES, "table_name string, rule_text string"))
+    parsed = R.parse_rules(texts, created_at=str(AS_OF))
     out = None
     for feed in FEEDS:
         name = schemas.SILVER_TABLE_NAMES[feed]
@@ -409,8 +421,10 @@ def q_metadata_summary(spark, sf_dir):
     meta, snap, nulls = None, None, None
     for feed in FEEDS:
         name = schemas.SILVER_TABLE_NAMES[feed]
-        df = silver(spark, sf_dir, feed)
-        m = IO.ingest_metadata(df, name)
+        path = SS.scratch(spark, f"ingest-{name}")
+        IO.write_path(silver(spark, sf_dir, feed), path)
+        df = IO.read_path(spark, path)
+        m = IO.ingest_metadata(df, name, path)
         n = P.null_anomalies(df).select(F.lit(name).alias("table_name"), "ordinal", "column_name", "null_percentage")
         s = D.schema_snapshot(spark, name, df)
         meta = m if meta is None else meta.unionByName(m)
@@ -423,8 +437,9 @@ def q_metadata_summary(spark, sf_dir):
 def q_rules_end_to_end(spark, sf_dir):
     """Q17: parse -> evaluate -> classify the violated checks, per table."""
     ev = q_evaluate_rules(spark, sf_dir)
+    # a check that no row violates is no finding
     text = F.concat(F.col("violations").cast("string"), F.lit(" rows violate rule: "), F.col("description"))
-    return DOC.classify(ev.filter(F.col("violations").isNotNull()).withColumn("anomaly_text", text), "anomaly_text")
+    return DOC.classify(ev.filter(F.col("violations") > 0).withColumn("anomaly_text", text), "anomaly_text")
 
 
 # ---------------------------------------------------------------- KPIs
@@ -564,17 +579,17 @@ def q_sessions(spark, sf_dir):
 from kestrel.streaming import batches as SB  # noqa: E402
 from kestrel.streaming import sources as SS  # noqa: E402
 
-STREAM_FILES = 4
-
-
-def _landed_events(spark, sf_dir):
-    path = SS.scratch(spark, "landing-events")
-    return SS.land(feeds.table(spark, sf_dir, "events"), path, STREAM_FILES, "ts")
+def _event_stream(spark, sf_dir):
+    """The given events table as a file stream."""
+    return SS.with_event_time(SS.read_stream(spark, f"{sf_dir.rstrip('/')}/events*.parquet", SS.EVENTS_SCHEMA,
+                                             max_files_per_trigger=None))
 
 
-def _event_stream(spark, sf_dir, max_files=1):
-    return SS.with_event_time(SS.read_stream(spark, _landed_events(spark, sf_dir), SS.EVENTS_SCHEMA,
-                                             max_files_per_trigger=max_files))
+def _complete(spark, df, name, transform=None):
+    """Drain a stateful query in complete mode: open windows and sessions are in its result."""
+    sink = SB.ReplaceResult(SS.scratch(spark, name), transform)
+    SS.drain(SS.run_foreach_batch(df, sink, SS.scratch(spark, f"{name}-ck"), mode="complete"))
+    return sink.read(spark)
 
 
 @register("stream_bronze")
@@ -587,20 +602,19 @@ def q_stream_bronze(spark, sf_dir):
 
 @register("stream_windows")
 def q_stream_windows(spark, sf_dir):
-    """T5 on a stream: watermark 1 hour, daily windows, append mode (closed windows only)."""
+    """T5 on a stream: daily windows in complete mode (state is one row a day)."""
     tx = feeds.transactions_from_events(_event_stream(spark, sf_dir), keep=("event_time",))
-    out, ck = SS.scratch(spark, "windows"), SS.scratch(spark, "windows-ck")
-    SS.drain(SS.write_files(MON.quality_windows(tx, "event_time", "1 day", watermark="1 hour"), out, ck))
-    return spark.read.parquet(out)
+    return edge(_complete(spark, MON.quality_windows(tx, "event_time", "1 day"), "windows"))
 
 
 @register("stream_sessions")
 def q_stream_sessions(spark, sf_dir):
-    """T10 on a stream: session windows with a watermark (closed sessions)."""
-    out, ck = SS.scratch(spark, "sessions"), SS.scratch(spark, "sessions-ck")
-    s = MON.sessions(_event_stream(spark, sf_dir), "event_time", "30 minutes", "user_id", watermark="1 hour")
-    SS.drain(SS.write_files(s, out, ck))
-    return spark.read.parquet(out)
+    """T10 on a stream: all sessions, the open ones too.
+
+    An endless stream passes a watermark and appends closed sessions (see ``monitors.sessions``).
+    """
+    s = MON.sessions(_event_stream(spark, sf_dir), "event_time", "30 minutes", "user_id")
+    return edge(_complete(spark, s, "sessions"))
 
 
 def _stream_profile_paths(spark, sf_dir):
@@ -650,18 +664,17 @@ def q_stream_incremental_summaries(spark, sf_dir):
 
 @register("stream_volume_alerts")
 def q_stream_volume_alerts(spark, sf_dir):
-    """T6 on a stream: hourly counts (watermarked, closed windows) scored per micro-batch."""
-    counts_path, alerts_path, ck = (SS.scratch(spark, n) for n in ("volume", "volume-alerts", "volume-ck"))
-    counts = MON.volume_counts(_event_stream(spark, sf_dir), "event_time", "1 hour", "event_type", "1 hour")
-    SS.drain(SS.run_foreach_batch(counts, SB.VolumeAlertBatches(counts_path, alerts_path, "event_type", 24, 3.0), ck))
-    return spark.read.parquet(alerts_path)
+    """T6 on a stream: hourly counts in complete mode, scored against the trailing windows."""
+    counts = MON.volume_counts(_event_stream(spark, sf_dir), "event_time", "1 hour", "event_type")
+    return edge(_complete(spark, counts, "volume", lambda c: MON.volume_alerts(c, "event_type", history=24, k=3.0)))
 
 
 @register("stream_predict")
 def q_stream_predict(spark, sf_dir):
     """A model fitted on gold scores gold rows as they land (streaming transform)."""
     model, _, lab = _fit(spark, sf_dir)
-    landing = SS.land(lab, SS.scratch(spark, "landing-gold"), STREAM_FILES, "customer_id")
+    landing = SS.scratch(spark, "landing-gold")
+    lab.write.parquet(landing)
     stream = SS.read_stream(spark, landing, lab.schema.simpleString()[len("struct<"):-1].replace(":", " "))
     out, ck = SS.scratch(spark, "predict"), SS.scratch(spark, "predict-ck")
     SS.drain(SS.write_files(ML.predict(model, stream), out, ck))

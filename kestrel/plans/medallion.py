@@ -1,6 +1,6 @@
 """The end-to-end job: raw feeds -> silver -> gold -> quality log -> summaries.
 
-Each layer is written once to storage and read back, so every later step
+Raw feeds are first stored as bronze (with ingest time and source).  Each layer is written once to storage and read back, so every later step
 works from the stored table (lineage cut at each layer; a lost executor
 recomputes from files, not from the raw sources), and profiling reads the
 stored silver twice instead of re-running its cleaning and dedup.  Silver
@@ -11,6 +11,7 @@ and gold are overwritten; the quality log and summaries only receive
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from kestrel import schemas
 from kestrel.operators import drift as D
@@ -24,14 +25,25 @@ FEEDS = ("customers", "sales", "transactions")
 
 
 def run(spark: SparkSession, sf_dir: str, out_dir: str, run_id: str, timestamp: str,
-        as_of=None, fmt: str = "parquet") -> dict[str, DataFrame]:
-    """Run every layer; returns the stored tables (as DataFrames over the files)."""
+        as_of=None, fmt: str = "parquet", raw_feeds=None) -> dict[str, DataFrame]:
+    """Run every layer; returns the stored tables (as DataFrames over the files).
+
+    Each feed is cleaned once; the stored result is split into silver and quarantine, which
+    together hold every cleaned row exactly once.  ``raw_feeds`` maps a feed to a function of
+    (spark, input folder) for other inputs, such as :func:`csv_feeds`.
+    """
     out: dict[str, DataFrame] = {}
     for feed in FEEDS:
         name = schemas.SILVER_TABLE_NAMES[feed]
-        raw = feeds.RAW_FEEDS[feed](spark, sf_dir)
-        IO.write_path(ingest.quarantine(raw, feed, ingest.silver_range_checks(feed)), f"{out_dir}/quarantine/{name}", fmt)
-        IO.write_path(ingest.silver(raw, feed), f"{out_dir}/silver/{name}", fmt)
+        raw = (raw_feeds or feeds.RAW_FEEDS)[feed](spark, sf_dir)
+        IO.write_path(IO.bronze(raw, feed, source_file=raw_feeds is not None), f"{out_dir}/bronze/{feed}", fmt)
+        stored = IO.read_path(spark, f"{out_dir}/bronze/{feed}", fmt).select(*raw.columns)
+        checks = ingest.silver_range_checks(feed, F.lit(as_of) if as_of is not None else None)
+        IO.write_path(ingest.with_reason(ingest.CLEANERS[feed](stored), feed, checks), f"{out_dir}/cleaned/{name}", fmt)
+        cleaned = IO.read_path(spark, f"{out_dir}/cleaned/{name}", fmt)
+        IO.write_path(cleaned.filter(F.col("quarantine_reason") != ""), f"{out_dir}/quarantine/{name}", fmt)
+        IO.write_path(cleaned.filter(F.col("quarantine_reason") == "").drop("quarantine_reason"), f"{out_dir}/silver/{name}", fmt)
+        out[f"quarantine_{name}"] = IO.read_path(spark, f"{out_dir}/quarantine/{name}", fmt)
         out[name] = IO.read_path(spark, f"{out_dir}/silver/{name}", fmt)
     sales, tx, cust = out["sales_silver"], out["transactions_silver"], out["customers_silver"]
     for name, df in (("gold_customer_sales", gold.customer_sales(sales, cust)),
@@ -58,6 +70,14 @@ def run(spark: SparkSession, sf_dir: str, out_dir: str, run_id: str, timestamp:
     return out
 
 
+def csv_feeds() -> dict:
+    """Raw feeds read as CSV files (header, all columns text) from ``<input>/<feed>``."""
+    def reader(feed):
+        return lambda spark, folder: IO.read_raw_csv(spark, f"{folder}/{feed}", schemas.SILVER[feed])
+
+    return {feed: reader(feed) for feed in FEEDS}
+
+
 def main(argv: list[str] | None = None) -> None:
     """Job entry point: ``python -m kestrel.plans.medallion <input_dir> <output_dir> <run_id> [timestamp]``.
 

@@ -472,7 +472,12 @@ SELECT table_name, rule_text AS description, 'rule_' || substring(sha1(rule_text
                                   lambda x: lower(x)), lambda x: trim(x) <> '') AS cols,
        CASE WHEN contains(lower(rule_text), 'missing') OR contains(lower(rule_text), 'null') THEN 'null_check' ELSE 'business_rule' END AS rule_type,
        TRY_CAST(NULLIF(replace(regexp_extract(rule_text, '(?i)(?:>|greater than|above)\s*([\d,]+)', 1), ',', ''), '') AS DOUBLE) AS thr
-FROM suggest"""
+FROM (SELECT table_name, rule_text FROM suggest UNION ALL
+      VALUES ('sales_silver', 'Flag sales_silver rows where product_id is missing'),
+             ('sales_silver', 'Flag sales_silver rows where quantity above 50'),
+             ('sales_silver', 'Flag sales_silver rows where amount above 90,000'),
+             ('transactions_silver', 'Flag transactions_silver rows where customer_id is missing'),
+             ('transactions_silver', 'Flag transactions_silver rows where amount above 100'))"""
 _CHECKS = """
 SELECT table_name, rule_id, description, CAST(i - 1 AS INTEGER) AS check_no, 'is_null' AS "check", cols[i] AS column_name,
        CAST(NULL AS DOUBLE) AS threshold
@@ -559,7 +564,7 @@ FROM (SELECT * EXCLUDE (l), CASE
   ELSE 'unknown' END AS anomaly_type
   FROM (SELECT *, CAST(violations AS VARCHAR) || ' rows violate rule: ' || description AS anomaly_text,
                lower(CAST(violations AS VARCHAR) || ' rows violate rule: ' || description) AS l
-        FROM evaluated WHERE violations IS NOT NULL))""", {"suggest": _SUGGEST, "parsed": _PARSED, "checks": _CHECKS,
+        FROM evaluated WHERE violations > 0))""", {"suggest": _SUGGEST, "parsed": _PARSED, "checks": _CHECKS,
                                                           "long_values": _long_sql(), "evaluated": ORACLES_EVAL})
 
 
@@ -600,3 +605,9 @@ from kestrel.operators.rules import DOCUMENTED_RULES  # noqa: E402
 oracle("business_rules_documented", "\nUNION ALL ".join(
     f"SELECT '{r}' AS rule_name, count(*) FILTER (WHERE {p}) AS violations FROM customers_silver"
     for t, r, p in DOCUMENTED_RULES))
+
+
+# ---------------------------------------------------------------- streams: the same result as the batch form
+for _stream, _batch in (("stream_windows", "rolling_quality"), ("stream_sessions", "sessions"), ("stream_volume_alerts", "volume_alerts")):
+    ORACLES[_stream] = ORACLES[_batch]
+oracle("stream_bronze", "SELECT event_id, ts, user_id, event_type, value, 'events' AS _source FROM events")

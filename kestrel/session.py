@@ -48,18 +48,17 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for checkpoints and materialised intermediate tables.
 
     The cluster names it in ``spark.checkpoint.dir``; only when that is unset
-    (local tests) do we pick a private scratch folder of our own.
+    on a local master (tests) do we pick a private scratch folder of our own.
+    Executors of a real cluster would not see such a folder, so there it is an error.
     """
-    configured = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    if not configured:
-        try:
-            configured = spark.conf.get("spark.checkpoint.dir", None)
-        except Exception:  # not readable as a session setting
-            configured = None
+    configured = (spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+                  or spark.conf.get("spark.checkpoint.dir", None))
     if configured:
         if not spark.sparkContext.getCheckpointDir():
             spark.sparkContext.setCheckpointDir(configured)
         return configured.rstrip("/")
+    if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     key = id(spark.sparkContext)
     if key not in _LOCAL_SCRATCH:
         local = tempfile.mkdtemp(prefix="kestrel-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))

@@ -32,8 +32,7 @@ def _lpad_key(c: Column, width: int, pad: str) -> Column:
 def customers_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw customers feed: untrimmed ids, mixed-case emails, null phones, bad ages."""
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
-    # nation is a fixed 25-row dimension, so broadcasting it is size-bounded.
-    n = F.broadcast(table(spark, sf_dir, "nation").select("n_nationkey", "n_name"))
+    n = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     k = F.col("c_custkey")
     return (
         c.join(n, F.col("c_nationkey") == F.col("n_nationkey"))

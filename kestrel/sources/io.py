@@ -8,6 +8,7 @@ default).
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -95,6 +96,19 @@ def write_partitioned_log(log: DataFrame, path: str, fmt: str = "parquet",
      .write.mode("append").format(fmt).partitionBy(*partition_cols).save(path))
 
 
+def read_if_exists(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame | None:
+    """The stored table, or None if nothing is stored there; any other failure is raised.
+
+    A storage hiccup must not be taken for an empty history.
+    """
+    try:
+        return spark.read.format(fmt).load(path)
+    except AnalysisException as e:
+        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise
+
+
 def append_new_runs(log: DataFrame, path: str, fmt: str = "parquet",
                     keys: tuple[str, ...] = ("table_name", "run_id")) -> None:
     """S7 made re-runnable: append only (table, run) rows the log does not hold yet.
@@ -102,11 +116,8 @@ def append_new_runs(log: DataFrame, path: str, fmt: str = "parquet",
     The stored key set is one row per table and run (small); a retried job
     therefore appends nothing twice.
     """
-    spark = log.sparkSession
-    try:
-        done = spark.read.format(fmt).load(path).select(*keys).distinct()
-    except Exception:  # first write: no log yet
-        done = None
+    stored = read_if_exists(log.sparkSession, path, fmt)
+    done = None if stored is None else stored.select(*keys).distinct()
     new = log.join(done, list(keys), "left_anti") if done is not None else log
     write_partitioned_log(new, path, fmt)
 
@@ -121,10 +132,12 @@ def union_evolving(old: DataFrame, new: DataFrame) -> DataFrame:
     return old.unionByName(new, allowMissingColumns=True)
 
 
-def bronze(raw: DataFrame, source: str) -> DataFrame:
-    """Raw copy plus ingest timestamp and source file."""
-    return raw.withColumns({"_ingest_ts": F.current_timestamp(), "_source_file": F.input_file_name(),
-                            "_source": F.lit(source)})
+def bronze(raw: DataFrame, source: str, source_file: bool = True) -> DataFrame:
+    """Raw copy plus ingest timestamp, source and (for a feed read from one source) source file."""
+    extra = {"_ingest_ts": F.current_timestamp(), "_source": F.lit(source)}
+    if source_file:
+        extra["_source_file"] = F.input_file_name()
+    return raw.withColumns(extra)
 
 
 def ctas(spark: SparkSession, name: str, path: str, fmt: str = "parquet") -> DataFrame:
@@ -155,20 +168,17 @@ def validate_output(df: DataFrame, expected: T.StructType) -> DataFrame:
 
 
 # ---------------------------------------------------------------- S20
-def ingest_metadata(df: DataFrame, table_name: str) -> DataFrame:
+def ingest_metadata(df: DataFrame, table_name: str, path: str) -> DataFrame:
     """(table_name, row_count, file_size_mb, files, schema_json) of an ingest.
 
-    Row count is an aggregate; file sizes come from the ``binaryFile``
-    source's ``length`` column -- file contents are never read.
+    ``path`` is where the table is stored.  Row count is an aggregate; file sizes
+    come from the ``binaryFile`` source's ``length`` column -- file contents
+    are never read, and no file list reaches the driver.
     """
     spark = df.sparkSession
-    files = df.inputFiles()
     rows = df.agg(F.count(F.lit(1)).alias("row_count"))
-    if files:
-        sizes = (spark.read.format("binaryFile").load(files)
-                 .agg(F.sum("length").alias("bytes"), F.count(F.lit(1)).alias("files")))
-    else:
-        sizes = spark.createDataFrame([(0, 0)], "bytes long, files long")
+    sizes = (spark.read.format("binaryFile").option("pathGlobFilter", "part-*").option("recursiveFileLookup", "true").load(path)
+             .agg(F.sum("length").alias("bytes"), F.count(F.lit(1)).alias("files")))
     return rows.crossJoin(sizes).select(
         F.lit(table_name).alias("table_name"), "row_count",
         F.round(F.coalesce(F.col("bytes"), F.lit(0)) / (1024 * 1024), 2).alias("file_size_mb"),

@@ -1,8 +1,9 @@
 """Per-micro-batch jobs for ``foreachBatch``.
 
-Every sink writes with dynamic partition overwrite keyed by the batch's
-run id, so a micro-batch replayed after a failure replaces its own output
-instead of duplicating it (idempotent, effectively exactly-once).
+Every sink writes with dynamic partition overwrite keyed by table and run id,
+and the run id names the stream, so a micro-batch replayed after a failure replaces its own
+output instead of duplicating it (idempotent, effectively exactly-once), and
+several tables or streams share a log without touching each other's rows.
 """
 
 from __future__ import annotations
@@ -15,16 +16,18 @@ from kestrel.operators import docs as DOC
 from kestrel.operators import drift as D
 from kestrel.operators import quality as Q
 from kestrel.operators import summaries as SUM
+from kestrel.sources.io import read_if_exists
 
 
-def run_id_of(batch_id: int) -> str:
-    return f"batch_{batch_id:06d}"
+def run_id_of(batch_id: int, stream: str = "batch") -> str:
+    """``stream`` tells streams (checkpoints) apart: batch numbers start anew with each."""
+    return f"{stream}_{batch_id:06d}"
 
 
 def write_run(df: DataFrame, path: str, fmt: str = "parquet") -> None:
-    """Replace exactly the partitions (run ids) present in ``df``."""
+    """Replace exactly the partitions (table, run id) present in ``df``."""
     (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .format(fmt).partitionBy("run_id").save(path))
+     .format(fmt).partitionBy("table_name", "run_id").save(path))
 
 
 class ProfileBatches:
@@ -37,16 +40,18 @@ class ProfileBatches:
 
     def __init__(self, table_name: str, log_path: str, alerts_path: str, drift_path: str,
                  prepare=None, baseline: T.StructType | None = None, as_of=None,
-                 payload_col: str | None = None, payload_keys: list[str] | None = None):
+                 payload_col: str | None = None, payload_keys: list[str] | None = None, stream: str = "batch"):
+        self.stream = stream
         self.table_name, self.log_path, self.alerts_path, self.drift_path = table_name, log_path, alerts_path, drift_path
         self.prepare, self.baseline, self.as_of = prepare, baseline, as_of
         self.payload_col, self.payload_keys = payload_col, payload_keys
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        run_id = run_id_of(batch_id)
+        run_id = run_id_of(batch_id, self.stream)
         df = self.prepare(batch) if self.prepare else batch
         df = df.persist()
+        log = None
         try:
             ts = f"batch-{batch_id:06d}"
             log = Q.table_quality(df, self.table_name, run_id, ts, self.baseline, as_of=self.as_of)
@@ -64,8 +69,9 @@ class ProfileBatches:
                                                  D.SNAPSHOT_SCHEMA)
                 drift = drift.unionByName(D.schema_drift(expected, seen))
             write_run(drift_status(drift, self.table_name, run_id), self.drift_path)
-            log.unpersist()
         finally:
+            if log is not None:
+                log.unpersist()
             df.unpersist()
 
 
@@ -82,6 +88,27 @@ def drift_status(drift: DataFrame, table_name: str, run_id: str) -> DataFrame:
              "new_columns", "type_mismatches", "drifted", (F.col("drifted") > 0).alias("has_drift"))
 
 
+class ReplaceResult:
+    """Sink for complete mode: every micro-batch writes the whole current result to a folder of its own.
+
+    ``read`` returns the last one, which holds open windows and sessions too,
+    so a drained stream equals the batch result.
+    """
+
+    def __init__(self, path: str, transform=None):
+        self.path, self.transform = path, transform
+
+    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        out = self.transform(batch) if self.transform else batch
+        out.withColumn("_batch", F.lit(batch_id)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
+            .partitionBy("_batch").parquet(self.path)
+
+    def read(self, spark) -> DataFrame:
+        stored = spark.read.parquet(self.path)
+        last = stored.agg(F.max("_batch").alias("_last"))
+        return stored.join(last, F.col("_batch") == F.col("_last")).drop("_batch", "_last")
+
+
 class SummarizeNewRuns:
     """T4: summarise only quality-log rows not summarised yet (left anti join).
 
@@ -94,11 +121,8 @@ class SummarizeNewRuns:
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        try:
-            done = spark.read.parquet(self.summaries_path).select("run_id", "table_name")
-        except Exception:  # first batch: nothing summarised yet
-            done = spark.createDataFrame([], "run_id string, table_name string")
-        new = batch.join(done, ["run_id", "table_name"], "left_anti")
+        stored = read_if_exists(spark, self.summaries_path)
+        new = batch if stored is None else batch.join(stored.select("run_id", "table_name"), ["run_id", "table_name"], "left_anti")
         out = SUM.clean_outputs(SUM.generate(SUM.build_inputs(new), self.generator))
         out.write.mode("append").parquet(self.summaries_path)
 
@@ -119,12 +143,9 @@ class VolumeAlertBatches:
         self.key, self.history, self.k = key, history, k
 
     def _append_new(self, df: DataFrame, path: str) -> None:
-        spark = df.sparkSession
-        try:
-            done = spark.read.parquet(path).select(self.key, "window_start")
-            df = df.join(done, [self.key, "window_start"], "left_anti")
-        except Exception:  # first batch
-            pass
+        stored = read_if_exists(df.sparkSession, path)
+        if stored is not None:
+            df = df.join(stored.select(self.key, "window_start"), [self.key, "window_start"], "left_anti")
         df.write.mode("append").parquet(path)
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:

@@ -23,27 +23,6 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_dir(spark)}/streams/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def land(df: DataFrame, path: str, files: int, order_col: str) -> str:
-    """Write ``df`` into a landing folder as ``files`` time slices, in time order.
-
-    A helper that stands in for an upstream writer (tests, demos, the
-    registered streaming queries); production streams read real arrivals.
-
-    The file source processes files by modification time, so the slices are
-    appended one after another (oldest first), the way an upstream writer
-    delivers them.  The data is range-partitioned and staged once; each
-    append then reads only its own staged partition.
-    """
-    staging = path.rstrip("/") + "-staging"
-    (df.repartitionByRange(files, F.col(order_col)).withColumn("_slice", F.spark_partition_id())
-     .write.mode("overwrite").partitionBy("_slice").parquet(staging))
-    staged = df.sparkSession.read.parquet(staging)
-    for i in range(files):
-        staged.filter(F.col("_slice") == i).drop("_slice").sortWithinPartitions(order_col) \
-            .coalesce(1).write.mode("append").parquet(path)
-    return path
-
-
 def read_stream(spark: SparkSession, path: str, schema: str, fmt: str = "parquet",
                 max_files_per_trigger: int | None = 1) -> DataFrame:
     """Continuous file ingest with a fixed schema."""
@@ -89,10 +68,6 @@ def run_foreach_batch(df: DataFrame, fn, checkpoint: str, mode: str = "append",
     return with_trigger(w, trigger).start()
 
 
-def drain(q: StreamingQuery, timeout_s: int = 600) -> None:
-    """Wait for an availableNow query to finish (raises its error, if any)."""
-    q.awaitTermination(timeout_s)
-    if q.isActive:
-        q.stop()
-    if q.exception() is not None:
-        raise RuntimeError(str(q.exception()))
+def drain(q: StreamingQuery) -> None:
+    """Wait, however long it takes, for an availableNow query to finish; its failure is raised."""
+    q.awaitTermination()

@@ -50,8 +50,10 @@ def test_ingest_metadata_and_validate(spark):
     from kestrel.plans import catalog
 
     df = catalog.silver(spark, SF_SMALL, "customers")
-    m = IO.ingest_metadata(df, "customers_silver").first()
-    assert m["row_count"] == 150 and m["file_size_mb"] >= 0 and m["files"] >= 1
+    path = scratch(spark, "ingest")
+    IO.write_path(df, path)
+    m = IO.ingest_metadata(IO.read_path(spark, path), "customers_silver", path).first()
+    assert m["row_count"] == 150 and m["file_size_mb"] > 0 and m["files"] >= 1
     v = IO.validate_output(df, schemas.CUSTOMERS_SILVER).first()
     assert v["schema_matches"] and v["row_count"] == 150
 

@@ -111,3 +111,32 @@ def test_payload_key_drift_is_flagged(spark):
     r = spark.read.parquet(paths[2]).first()
     assert r["has_drift"] and r["run_id"] == "batch_000003"
     assert r["new_columns"] == ["extra"] and r["missing_columns"] == ["gone"]
+
+
+def test_stream_over_landed_files_equals_batch(spark):
+    """Several micro-batches in complete mode give the batch result, open windows included."""
+    from tests.landing import land
+
+    ev = feeds.table(spark, SF_SMALL, "events")
+    path = land(ev, SS.scratch(spark, "landing"), 3, "ts")
+    stream = SS.with_event_time(SS.read_stream(spark, path, SS.EVENTS_SCHEMA))
+    sink = SB.ReplaceResult(SS.scratch(spark, "sessions"))
+    SS.drain(SS.run_foreach_batch(MON.sessions(stream, "event_time", "30 minutes"), sink, SS.scratch(spark, "ck"), mode="complete"))
+    got, want = sink.read(spark), MON.sessions(SS.with_event_time(ev), "event_time", "30 minutes")
+    assert got.count() == want.count() and got.drop("total_value").exceptAll(want.drop("total_value")).count() == 0
+
+
+def test_two_tables_share_a_log(spark):
+    path = SS.scratch(spark, "shared-log")
+    for name in ("a", "b"):
+        SB.write_run(spark.createDataFrame([(name, SB.run_id_of(0), 1)], "table_name string, run_id string, x int"), path)
+    assert sorted(r["table_name"] for r in spark.read.parquet(path).collect()) == ["a", "b"]
+
+
+def test_missing_table_is_told_from_a_failed_read(spark):
+    import pytest
+    from kestrel.sources.io import read_if_exists
+
+    assert read_if_exists(spark, SS.scratch(spark, "nothing")) is None
+    with pytest.raises(Exception):
+        read_if_exists(spark, SS.scratch(spark, "nothing"), "no_such_format")
