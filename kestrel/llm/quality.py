@@ -128,7 +128,7 @@ def train(v: View, y: np.ndarray, weight: np.ndarray, epochs: int = 80, rate: fl
     mean, dev = v.dense.mean(0), v.dense.std(0) + 1e-6
     dense = (v.dense - mean) / dev
     share = weight / np.where(y > 0.5, (weight * (y > 0.5)).sum(), (weight * (y <= 0.5)).sum()) / 2
-    row = np.repeat(np.arange(len(y)), np.diff(v.bounds))
+    row = np.repeat(np.arange(len(y), dtype=np.int32), np.diff(v.bounds))
     theta = np.zeros(v.size + dense.shape[1] + 1)
     m, s = np.zeros_like(theta), np.zeros_like(theta)
     model = Linear(theta[: v.size], theta[v.size : -1], 0.0, mean, dev)
@@ -208,7 +208,7 @@ def _views(batch: pa.RecordBatch) -> Iterator[tuple[int, int, View, View]]:
 NEEDED = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
-def fit_quality(docs: DataFrame, labels: DataFrame, labelled: int = 6000, unlabelled: int = 6000, rounds: int = 3,
+def fit_quality(docs: DataFrame, labels: DataFrame, labelled: int = 3000, unlabelled: int = 3000, rounds: int = 3,
                 share: float = 0.1, sure: float = 0.9) -> CoTrained | None:
     """The model, from bounded samples of ``docs`` and ``labels`` (doc_id, quality); None if labels do not hold both kinds."""
     y = labels.where("doc_id IS NOT NULL AND quality IS NOT NULL").groupBy("doc_id").agg((F.avg("quality") >= 0.5).cast("double").alias("y"))
@@ -229,9 +229,9 @@ def fit_quality(docs: DataFrame, labels: DataFrame, labelled: int = 6000, unlabe
 
     # both samples together are bounded by two parameters, so their ids may be broadcast and their features collected
     sample = (docs.select(*NEEDED).join(F.broadcast(wanted), "doc_id")
-              .mapInArrow(features, "doc_id long, y double, words array<int>, shapes array<double>, meta array<int>").toArrow())
-    order = np.lexsort([[str(x) for x in sample.column("words").to_pylist()], sample.column("doc_id").to_numpy()]) if sample.num_rows else []
-    sample = sample.take(pa.array(np.asarray(order, np.int64))).combine_chunks()
+              .mapInArrow(features, "doc_id long, y double, words array<int>, shapes array<double>, meta array<int>")
+              .dropDuplicates(["doc_id"]).toArrow())
+    sample = sample.sort_by([("doc_id", "ascending")]).combine_chunks()
     y = sample.column("y").to_numpy(zero_copy_only=False).astype(float)
     if len(set(y[~np.isnan(y)])) < 2:
         return None
