@@ -10,9 +10,9 @@ those of ``fan_in`` partitions, and what remains of such a group is cut into
 sequences whose lengths are powers of two, which need no padding.
 
 Token ids come from a public tokenizer file named by path (a parameter, present on
-every machine).  That tokenizer drops white space and never joins across it, so ids
-are looked up per white-space word in a bounded cache; unseen words of a chunk are
-encoded in one call and dealt back by their offsets.
+every machine).  That tokenizer lower-cases, drops white space and splits words at changes between
+letters, digits and marks, so ids are looked up per such unit in a bounded table, a megabyte of
+text at a time; unseen units are encoded by the tokenizer and its model.
 
 Defined results: a null or empty text has the end id alone.  Rows that repeat a
 doc_id are packed one by one.  A null doc_id stays null.  An empty table gives none.
@@ -23,58 +23,125 @@ from __future__ import annotations
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from kestrel.llm.common import store, table
+from kestrel.llm.common import store, table, text_chunks, word_hashes, word_spans
 
 END_ID = (1).to_bytes(4, "little")
-#: Words a worker remembers before it starts anew.
-CACHE_WORDS = 600_000
+#: Units a worker remembers before it starts anew.
+CACHE_UNITS = 2_000_000
 
-_ENCODERS: dict[str, WordEncoder] = {}
+# Byte classes: 0 white space, 1 letter, 2 digit, 3 mark, 4 anything that makes its word opaque
+# (other characters, apostrophes, which start contractions, and the bracket of special tokens).
+_CLASS = np.full(256, 4, np.uint8)
+_CLASS[[9, 10, 11, 12, 13, 32]] = 0
+_CLASS[[*range(65, 91), *range(97, 123)]] = 1
+_CLASS[48:58] = 2
+_CLASS[[c for c in range(33, 127) if chr(c) not in "'<|" and not chr(c).isalnum()]] = 3
 
+_ENCODERS: dict[str, UnitEncoder] = {}
 
-class WordEncoder:
-    """Token ids (little-endian uint32 bytes) of texts, by white-space word."""
+
+def units(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start and end byte of each unit, and the first unit of each row.
+
+    The tokenizer drops white space and splits words into runs of letters, single digits and runs of marks, none of which
+    affects another's ids.  A unit is such a run, or a whole word if it holds a byte of class 4.
+    """
+    if not len(data):
+        return np.empty(0, np.int64), np.empty(0, np.int64), np.zeros(len(offsets), np.int64)
+    starts, ends, _ = word_spans(data, offsets)
+    kind = _CLASS[data]
+    cut = kind == 2
+    cut[1:] |= kind[1:] != kind[:-1]
+    strange = np.flatnonzero(kind == 4)
+    if len(strange):
+        word = np.unique(np.searchsorted(starts, strange, "right") - 1)
+        edge = np.zeros(len(data) + 1, np.int8)
+        edge[starts[word]] += 1
+        edge[ends[word]] -= 1
+        cut &= np.cumsum(edge[:-1], dtype=np.int8) == 0
+    spaces = kind == 0
+    cut &= ~spaces
+    cut[starts] = True
+    # a unit ends where the next byte begins another or is white space
+    last = np.append(cut[1:] | spaces[1:], True) & ~spaces
+    begin = np.flatnonzero(cut)
+    return begin, np.flatnonzero(last) + 1, np.searchsorted(begin, offsets)
+
+
+class UnitEncoder:
+    """Token ids of texts, looked up by unit under 128 hash bits."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.cache: dict[bytes, bytes] = {}
-
-    def learn(self, words: list[bytes]) -> None:
-        if len(self.cache) + len(words) > CACHE_WORDS:
-            self.cache.clear()
-        texts = [w.decode("utf-8", "replace") for w in words]
-        lengths = np.fromiter(map(len, texts), np.int64, len(texts))
-        starts = np.concatenate([[0], np.cumsum(lengths + 1)])
-        got = self.tokenizer.encode(" ".join(texts), add_special_tokens=False)
-        ids = np.array(got.ids, "<u4")
-        at = np.fromiter((o[0] for o in got.offsets), np.int64, len(ids))
-        cuts = np.searchsorted(at, starts).tolist()
-        raw = ids.tobytes()
-        self.cache.update((w, raw[4 * i : 4 * j]) for w, i, j in zip(words, cuts[:-1], cuts[1:], strict=True))
-
-    def encode(self, texts: list[bytes]) -> Iterator[bytes]:
-        for i in range(0, len(texts), 256):
-            split = [t.split() for t in texts[i : i + 256]]
-            for words in split:
-                new = set(words).difference(self.cache)
-                if new:
-                    # the words of this text must be there together, also after the cache was emptied
-                    kept = [] if len(self.cache) + len(new) <= CACHE_WORDS else set(words)
-                    self.learn(list(kept or new))
-                yield b"".join(map(self.cache.__getitem__, words))
-
-
-def encoder(path: str) -> WordEncoder:
+        self.model = self.tokenizer.model
+        self.forget()
+
+    def forget(self) -> None:
+        self.key, self.check = np.empty(0, np.uint64), np.empty(0, np.uint64)  # sorted by key
+        self.start, self.count = np.empty(0, np.int64), np.empty(0, np.int64)
+        self.pool, self.filled = np.empty(1 << 16, "<u4"), 0
+
+    def learn(self, texts: list[bytes], key: np.ndarray, check: np.ndarray) -> None:
+        """Ids of new units: runs of plain lower-case letters from the model itself, all others by one call of the tokenizer."""
+        plain = [t.isalpha() and t.islower() for t in texts]  # bytes: ASCII letters only
+        lists: list = [[x.id for x in self.model.tokenize(t.decode())] if ok else None for t, ok in zip(texts, plain, strict=True)]
+        rest = [i for i, ok in enumerate(plain) if not ok]
+        shown = [texts[i].decode("utf-8", "replace") for i in rest]
+        begin = np.concatenate([[0], np.cumsum(np.fromiter(map(len, shown), np.int64, len(shown)) + 1)])
+        got = self.tokenizer.encode(" ".join(shown), add_special_tokens=False)
+        cuts = np.searchsorted(np.fromiter((o[0] for o in got.offsets), np.int64, len(got)), begin).tolist()
+        ids = got.ids
+        for i, a, b in zip(rest, cuts[:-1], cuts[1:], strict=True):
+            lists[i] = ids[a:b]
+        count = np.fromiter(map(len, lists), np.int64, len(lists))
+        flat = np.fromiter(chain.from_iterable(lists), "<u4", count.sum())
+        while self.filled + len(flat) > len(self.pool):
+            self.pool = np.concatenate([self.pool, np.empty_like(self.pool)])
+        self.pool[self.filled : self.filled + len(flat)] = flat
+        at = np.searchsorted(self.key, key)
+        self.key, self.check = np.insert(self.key, at, key), np.insert(self.check, at, check)
+        self.start, self.count = np.insert(self.start, at, self.filled + np.cumsum(count) - count), np.insert(self.count, at, count)
+        self.filled += len(flat)
+
+    def encode(self, texts: pa.Array) -> Iterator[bytes]:
+        for _, _, data, offsets in text_chunks(texts):
+            raw = data.tobytes()
+            # special tokens are matched before lower-casing, all else is lower-cased anyway
+            if b"<|" not in raw:
+                raw = raw.lower()
+                data = np.frombuffer(raw, np.uint8)
+            begin, stop, first = units(data, offsets)
+            check = word_hashes(data[::-1], len(data) - stop, len(data) - begin, lower=False)
+            key, at, unit = np.unique(word_hashes(data, begin, stop, lower=False), return_index=True, return_inverse=True)
+            if len(self.key) > CACHE_UNITS:
+                self.forget()
+            pos = np.searchsorted(self.key, key)
+            fresh = pos == len(self.key)
+            fresh[~fresh] = self.key[pos[~fresh]] != key[~fresh]
+            if fresh.any():
+                self.learn([raw[begin[i] : stop[i]] for i in at[fresh]], key[fresh], check[at[fresh]])
+                pos = np.searchsorted(self.key, key)
+            if (self.check[pos][unit] != check).any():
+                raise ValueError("two units share a 64-bit hash")
+            count = self.count[pos][unit]
+            bounds = np.concatenate([[0], np.cumsum(count)])
+            ids = self.pool[np.repeat(self.start[pos][unit] - bounds[:-1], count) + np.arange(bounds[-1])].tobytes()
+            rows = 4 * bounds[first]
+            yield from (ids[a:b] for a, b in zip(rows[:-1].tolist(), rows[1:].tolist(), strict=True))
+
+
+def encoder(path: str) -> UnitEncoder:
     if path not in _ENCODERS:
-        _ENCODERS[path] = WordEncoder(path)
+        _ENCODERS[path] = UnitEncoder(path)
     return _ENCODERS[path]
 
 
@@ -185,10 +252,8 @@ def pack(docs: DataFrame, tokenizer_path: str, size: int = 2048, open_windows: i
 
         for batch in batches:
             rows: list[tuple] = []
-            for i in range(0, batch.num_rows, 512):
-                texts = batch.column(1).slice(i, 512).cast(pa.binary()).fill_null(b"").to_pylist()
-                for doc_id, ids in zip(batch.column(0).slice(i, 512).to_pylist(), tok.encode(texts), strict=True):
-                    rows += packer.add(doc_id, ids + END_ID)
+            for doc_id, ids in zip(batch.column(0).to_pylist(), tok.encode(batch.column(1)), strict=True):
+                rows += packer.add(doc_id, ids + END_ID)
             yield batch_of(rows, [])
         rows, left = packer.close()
         yield batch_of(rows, [])
