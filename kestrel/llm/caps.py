@@ -99,7 +99,7 @@ def vectors(rows: DataFrame, id_col: str, vec_col: str) -> tuple[DataFrame, type
                 if x.is_valid and x.values is not None and len(x.values) and not x.values.null_count:
                     v = x.values.to_numpy(zero_copy_only=False).astype(dtype)
                     d = v.astype(np.float64)
-                    if not (np.isfinite(d).all() and 0 < d @ d < np.inf):
+                    if not (np.isfinite(d).all() and d.any()):
                         v = None
                 out.append(None if v is None else v.tobytes())
                 dims.append(None if v is None else len(v))
