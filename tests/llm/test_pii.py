@@ -1,0 +1,64 @@
+import hashlib
+
+import pytest
+
+from kestrel.llm.common import table
+from kestrel.llm.pii import KINDS, find_personal_data, op9_personal_data
+from tests.llm import brute
+
+TRICKY = [
+    "a@b.c@d.e.f x..y@z-1.q, <m_n%+.-@host.example.com>; @no.local a@b a@.c",
+    "1.2.3.4.5.6.7.8 256.1.1.1 0255.001.0.0 12.34 5.6.7.8. 1.2.3 999999999999999999999.1.1.1",
+    "4465758382889437 4465 7583 8288 9437 4465-7583-8288-9437x 4465758382889438 1 2 3 4 5 6 7 8 9 0 1 2 3 4 5 6 7 8 9 0",
+    "12345678901234567890 4111111111111111111 4465  758382889437 44657583-82889437 00000000000000 0000 0000 0000 00000000000",
+    "+1 (743) 555-3824 +12 +1234567 +123456789 +1 2 3 4 5 6 7 8 9 0 1 2 3 4 5 6 ++49(0)30-123456. +4 -(.).. 5",
+    "ü+49 30 1234567ü é@é.de 漢a@b.cc字 \n+1 222\n333 4444 5555 x@y.zz\ta@b.c",
+    "", None, "x" * 5000 + "@" + "y" * 10, " ".join(f"u{i}@mail{i}.example.org 10.{i % 300}.0.1" for i in range(700)),
+]
+
+
+@pytest.mark.parametrize("source", ["tricky", "documents"])
+def test_base_spans_equal_brute_force(spark, small_dir, source):
+    if source == "tricky":
+        docs = list(enumerate(TRICKY))
+        got = find_personal_data(spark.createDataFrame(docs, "doc_id long, text string"))
+    else:
+        df = table(spark, small_dir, "documents")
+        docs = [(r["doc_id"], r["text"]) for r in df.collect()]
+        got = find_personal_data(df)
+    got = {r["doc_id"]: r for r in got.collect()}
+    assert len(got) == len(docs)
+    for i, text in docs:
+        assert [(s["start"], s["rank"], s["kind"], s["stop"]) for s in got[i]["base"]] == brute.base_spans(text)
+        for s in got[i]["spans"]:
+            assert text[s["start"] : s["stop"]] == s["value"]
+        assert [s for s in got[i]["spans"] if s["base"]] == got[i]["base"]
+
+
+def test_query_digest(spark, small_dir):
+    texts = {r["doc_id"]: r["text"] for r in table(spark, small_dir, "documents").collect()}
+    for r in op9_personal_data(spark, small_dir).collect():
+        base = brute.base_spans(texts[r["doc_id"]])
+        line = ",".join(f"{k}:{a}:{b}" for a, _, k, b in base)
+        assert r["base_sha256"] == hashlib.sha256(line.encode()).hexdigest()
+        assert [r["n_" + k] for k in KINDS] == [sum(x[2] == k for x in base) for k in KINDS]
+
+
+def test_model_adds_spans_and_leaves_clean_text(spark):
+    """Obvious personal data beyond the patterns is accepted, numbers that merely look like it are not."""
+    docs = [(i, f"please mail user{i}@mail.example.com or call +1 (743) 555-{i:04d} soon") for i in range(60)]
+    docs += [(100 + i, f"contact by mail: jane{i} [at] example [dot] com") for i in range(20)]
+    docs += [(200 + i, f"invoice order 1234 5678 9012 34{i:02d} shipped") for i in range(20)]
+    docs += [(300, "nothing personal here, only 12 words and the year 2024")]
+    got = {r["doc_id"]: r for r in find_personal_data(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert all(len(got[i]["spans"]) == len(got[i]["base"]) == 2 for i in range(60))
+    assert sum(len(got[100 + i]["spans"]) for i in range(20)) == 20
+    luhn = [i for i in range(20) if brute.luhn([int(c) for c in f"12345678901234{i:02d}"])]
+    assert all(len(got[200 + i]["spans"]) == (i in luhn) for i in range(20))
+    assert got[300]["spans"] == []
+
+
+def test_edges(spark, edge, empty):
+    rows = find_personal_data(edge).collect()
+    assert len(rows) == edge.count() and all(r["spans"] == [] for r in rows)
+    assert find_personal_data(empty).count() == 0
