@@ -712,6 +712,59 @@ def q_quality_log_flat(spark, sf_dir):
                                              "schema_drift_json", "null_anomalies_json", "business_rules_json")
 
 
+# ---------------------------------------------------------------- a feed whose schema changed
+def _changed(customers):
+    """The customers feed after its producer dropped, added and retyped a column."""
+    return customers.drop("city").withColumn("loyalty_tier", F.upper(F.substring(F.trim("country"), 1, 1)))
+
+
+def _changed_types(spark, sf_dir):
+    feed = _changed(raw(spark, sf_dir, "customers")).withColumn("signup_date", F.date_format("signup_date", "dd/MM/yyyy"))
+    return D.infer_types(feed.select([F.col(c).cast("string").alias(c) for c in feed.columns]), "customers_silver")
+
+
+def _declared_customers(spark):
+    return D.schema_snapshot(spark, "customers_silver", schemas.SILVER["customers"])
+
+
+@register("changed_feed_drift")
+def q_changed_feed_drift(spark, sf_dir):
+    """Q3: a missing, a new and retyped columns against the declared contract, types inferred from the values."""
+    return D.schema_drift(_declared_customers(spark), _changed_types(spark, sf_dir))
+
+
+@register("changed_feed_report")
+def q_changed_feed_report(spark, sf_dir):
+    """Q3 text with all three blocks."""
+    names = spark.createDataFrame([("customers_silver",)], "table_name string")
+    return D.drift_report(q_changed_feed_drift(spark, sf_dir), names)
+
+
+@register("changed_feed_columns")
+def q_changed_feed_columns(spark, sf_dir):
+    """U1 with added and removed columns."""
+    return D.column_sets(_declared_customers(spark), _changed_types(spark, sf_dir))
+
+
+def _changed_log(spark, sf_dir):
+    table = _changed(silver(spark, sf_dir, "customers")).withColumn("signup_date", F.col("signup_date").cast("string"))
+    return Q.table_quality(table, "customers_silver", RUN_ID, RUN_TS, schemas.SILVER["customers"], as_of=AS_OF)
+
+
+@register("changed_feed_quality")
+def q_changed_feed_quality(spark, sf_dir):
+    """Q6/Q7/Q18 with drift: all three penalties and the drift line."""
+    return _changed_log(spark, sf_dir).select("table_name", "quality_score", "ai_summary", "schema_drift_json")
+
+
+@register("changed_feed_runs")
+def q_changed_feed_runs(spark, sf_dir):
+    """Q22: the run before the change and the run after it."""
+    before = Q.table_quality(silver(spark, sf_dir, "customers"), "customers_silver", "run_000", "2024-01-31T00:00:00",
+                             schemas.SILVER["customers"], as_of=AS_OF)
+    return Q.run_over_run(before.unionByName(_changed_log(spark, sf_dir)))
+
+
 # ---------------------------------------------------------------- log layout and evolution
 @register("log_schema_evolution")
 def q_log_schema_evolution(spark, sf_dir):

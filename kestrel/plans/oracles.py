@@ -188,7 +188,7 @@ _DRIFT_CTES = {"declared": _declared_sql(), "inferred": _INFERRED, "drift": _DRI
 
 oracle("inferred_schema", "SELECT * FROM inferred", _DRIFT_CTES)
 oracle("schema_drift", "SELECT * FROM drift", _DRIFT_CTES)
-oracle("schema_drift_report", r"""
+_REPORT = r"""
 SELECT t.table_name, '# Schema Drift Summary' || chr(10) || chr(10) ||
   CASE WHEN count(d.column_name) = 0 THEN 'No schema drift detected.' ELSE
     regexp_replace(
@@ -198,7 +198,8 @@ SELECT t.table_name, '# Schema Drift Summary' || chr(10) || chr(10) ||
       '\n$', '')
   END AS report
 FROM (SELECT DISTINCT table_name FROM declared) t LEFT JOIN drift d ON t.table_name = d.table_name
-GROUP BY t.table_name""", _DRIFT_CTES)
+GROUP BY t.table_name"""
+oracle("schema_drift_report", _REPORT, _DRIFT_CTES)
 
 
 # ---------------------------------------------------------------- quality score / summary
@@ -610,4 +611,45 @@ oracle("business_rules_documented", "\nUNION ALL ".join(
 # ---------------------------------------------------------------- streams: the same result as the batch form
 for _stream, _batch in (("stream_windows", "rolling_quality"), ("stream_sessions", "sessions"), ("stream_volume_alerts", "volume_alerts")):
     ORACLES[_stream] = ORACLES[_batch]
-oracle("stream_bronze", "SELECT event_id, ts, user_id, event_type, value, 'events' AS _source FROM events")
+
+
+# ---------------------------------------------------------------- a feed whose schema changed
+_CHANGED = f"""
+SELECT table_name, column_name, CASE WHEN column_name = 'signup_date' THEN 'StringType()' ELSE data_type END AS data_type, ordinal
+FROM ({_infer_sql("customers")}) WHERE column_name <> 'city'
+UNION ALL SELECT 'customers_silver', 'loyalty_tier', 'StringType()', 8"""
+_CHANGED_CTES = {"declared": f"SELECT * FROM ({_declared_sql()}) WHERE table_name = 'customers_silver'", "inferred": _CHANGED, "drift": _DRIFT}
+oracle("changed_feed_drift", "SELECT * FROM drift", _CHANGED_CTES)
+oracle("changed_feed_report", _REPORT, _CHANGED_CTES)
+oracle("changed_feed_columns", """
+SELECT 'customers_silver' AS table_name,
+  (SELECT list(column_name ORDER BY column_name) FROM inferred WHERE column_name NOT IN (SELECT column_name FROM declared)) AS added,
+  (SELECT list(column_name ORDER BY column_name) FROM declared WHERE column_name NOT IN (SELECT column_name FROM inferred)) AS removed,
+  (SELECT list(column_name ORDER BY column_name) FROM declared WHERE column_name IN (SELECT column_name FROM inferred)) AS common""", _CHANGED_CTES)
+_CQ = {
+    "old_n": f"SELECT * FROM ({nulls_sql('customers')})", "o": f"SELECT * FROM ({zscore_sql('customers')})",
+    "n": "SELECT ordinal, column_name, null_percentage FROM old_n WHERE column_name <> 'city' "
+         "UNION ALL SELECT 99, 'loyalty_tier', null_percentage FROM old_n WHERE column_name = 'country'",
+    "old_score": "SELECT 100 - 10 * (SELECT count(*) FROM old_n WHERE null_percentage > 20) - 5 * (SELECT count(*) FROM o WHERE outlier_count > 0) AS s",
+    "new_score": "SELECT 100 - 30 - 10 - 20 - 10 * (SELECT count(*) FROM n WHERE null_percentage > 20) - 5 * (SELECT count(*) FROM o WHERE outlier_count > 0) AS s",
+}
+oracle("changed_feed_quality", """
+SELECT 'customers_silver' AS table_name, CAST(greatest(s, 0) AS INTEGER) AS quality_score,
+  concat_ws(chr(10), '⚠ Schema drift detected in customers_silver. Please review structural changes.',
+    coalesce((SELECT '⚠ High null percentages found in: ' || string_agg(column_name, ', ' ORDER BY ordinal) || '.' FROM n WHERE null_percentage > 20 HAVING count(*) > 0),
+             '✔ No significant null anomalies detected in customers_silver.'),
+    coalesce((SELECT '⚠ Outliers detected in numeric columns: ' || string_agg(column_name, ', ' ORDER BY ordinal) || '.' FROM o WHERE outlier_count > 0 HAVING count(*) > 0),
+             '✔ No numeric outliers detected in customers_silver.'),
+    '✔ Overall, customers_silver looks healthy and ready for downstream use.') AS ai_summary,
+  '{"missing_columns":["city"],"new_columns":["loyalty_tier"],"type_mismatches":[{"column":"signup_date","baseline_type":"DateType()","current_type":"StringType()"}]}' AS schema_drift_json
+FROM new_score""", _CQ)
+oracle("changed_feed_runs", """
+SELECT 'customers_silver' AS table_name, 'run_001' AS run_id, '2024-02-01T00:00:00' AS timestamp, CAST(greatest(n.s, 0) AS INTEGER) AS quality_score,
+  'run_000' AS previous_run_id, CAST(greatest(n.s, 0) - greatest(o.s, 0) AS INTEGER) AS score_change,
+  ['city', 'loyalty_tier', 'signup_date'] AS newly_drifted_columns, []::VARCHAR[] AS new_high_null_columns, []::VARCHAR[] AS new_outlier_columns
+FROM new_score n, old_score o
+UNION ALL
+SELECT 'customers_silver', 'run_000', '2024-01-31T00:00:00', CAST(greatest(s, 0) AS INTEGER), NULL, NULL, []::VARCHAR[],
+  coalesce((SELECT list(column_name ORDER BY column_name) FROM old_n WHERE null_percentage > 20), []::VARCHAR[]),
+  coalesce((SELECT list(column_name ORDER BY column_name) FROM o WHERE outlier_count > 0), []::VARCHAR[])
+FROM old_score""", _CQ)
