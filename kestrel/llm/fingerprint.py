@@ -48,24 +48,24 @@ def add_fingerprint(df: DataFrame, text: str, out: str, k: int = 3, bins: int =
         raise ValueError("bins must be a power of two from 2 to 1024")
     rest = df.columns
     c = lambda x: f"{out}__{x}"
-    df = df.select(*rest, word_array(F.col(text)).alias(c("w")))
+    df = df.select(*rest, F.transform(word_array(F.col(text)), lambda x: F.xxhash64(x)).alias(c("w")))
     w = F.col(c("w"))
     none = F.array().cast("array<bigint>")
-    kmers = F.transform(F.sequence(F.lit(0), F.greatest(F.size(w) - k, F.lit(0))),
-                        lambda i: _packed(F.xxhash64(*(F.get(w, i + j) for j in range(k))), i))
+    kmers = F.transform(F.slice(w, 1, F.greatest(F.size(w) - (k - 1), F.lit(1))),
+                        lambda x, i: _packed(F.xxhash64(x, *(F.get(w, i + j) for j in range(1, k))), i))
     df = df.select(*rest, F.when(F.size(w) == 0, none).otherwise(F.sort_array(kmers)).alias(c("s")))
+    # the first occurrence of a k-mer hashes as the k-mer itself, a later one with its number
     s = F.col(c("s"))
+    first = F.filter(s, lambda x, i: (i == 0) | (_hash(x) != _hash(F.get(s, i - 1))))
+    df = df.select(*rest, c("s"), first.alias(c("f")))
+    f = F.col(c("f"))
+    # runs of equal k-mers as [start, end); only texts with repeats come here
     heads = F.filter(F.sequence(F.lit(0), F.size(s) - 1), lambda i: (i == 0) | (_hash(F.get(s, i)) != _hash(F.get(s, i - 1))))
-    df = df.select(*rest, c("s"), F.when(F.size(s) == 0, F.array().cast("array<int>")).otherwise(heads).alias(c("h")))
-    h = F.col(c("h"))
-    element = lambda i, nth: _packed(F.xxhash64(_hash(F.get(s, i)), nth), _pos(F.get(s, i)))
-    # runs of equal k-mers: the first occurrences, and the later ones of runs longer than one
-    first = F.transform(h, lambda i: element(i, F.lit(0)))
-    ends = F.transform(h, lambda i, j: F.struct(i.alias("a"), F.coalesce(F.get(h, j + 1), F.size(s)).alias("b")))
-    later = F.flatten(F.transform(F.filter(ends, lambda r: r["b"] > r["a"] + 1),
-                                  lambda r: F.transform(F.sequence(r["a"] + 1, r["b"] - 1), lambda i: element(i, i - r["a"]))))
-    later = F.when(F.size(h) == F.size(s), none).otherwise(later)
-    df = df.select(*rest, F.sort_array(F.concat(first, later)).alias(c("v")))
+    runs = F.flatten(F.transform(F.array(F.struct(heads.alias("h"))), lambda z: F.transform(
+        z["h"], lambda i, j: F.struct(i.alias("a"), F.coalesce(F.get(z["h"], j + 1), F.size(s)).alias("b")))))
+    later = F.flatten(F.transform(F.filter(runs, lambda r: r["b"] > r["a"] + 1), lambda r: F.transform(
+        F.sequence(r["a"] + 1, r["b"] - 1), lambda i: _packed(F.xxhash64(_hash(F.get(s, i)), i - r["a"]), _pos(F.get(s, i))))))
+    df = df.select(*rest, F.when(F.size(f) == F.size(s), s).otherwise(F.sort_array(F.concat(f, later))).alias(c("v")))
     shift = 64 - (bins.bit_length() - 1)
     part = lambda x: F.shiftright(x, shift)
     v = F.col(c("v"))
@@ -77,8 +77,11 @@ def add_fingerprint(df: DataFrame, text: str, out: str, k: int = 3, bins: int =
     members = F.transform(a, lambda i, j: F.slice(m, i + 1, F.coalesce(F.get(a, j + 1), F.size(m)) - i))
     in_order = F.transform(members, lambda t: F.transform(F.array_sort(F.transform(t, lambda x: F.struct(_pos(x).alias("p"), _hash(x).alias("u")))), lambda z: z["u"]))
     hashed = F.transform(in_order, lambda t: F.shiftright(F.xxhash64(t), 32).cast("int"))
-    df = df.select(*rest, hashed.alias(c("t")), F.transform(a, lambda i: part(F.get(m, i)).cast("int")).alias(c("b")))
-    at = F.transform(F.sequence(F.lit(-bins // 2), F.lit(bins // 2 - 1)), lambda b: F.get(F.col(c("t")), F.coalesce(F.array_position(F.col(c("b")), b), F.lit(0)).cast("int") - 1))
+    # bound by a one-element array: a plain column used in a lambda only could be inlined and computed for each part
+    found = F.array(F.struct(hashed.alias("t"), F.transform(a, lambda i: part(F.get(m, i)).cast("int")).alias("b")))
+    at = F.flatten(F.transform(found, lambda z: F.transform(
+        F.sequence(F.lit(-bins // 2), F.lit(bins // 2 - 1)),
+        lambda b: F.get(z["t"], F.coalesce(F.array_position(z["b"], b), F.lit(0)).cast("int") - 1))))
     return df.select(*rest, at.alias(out))
 
 
