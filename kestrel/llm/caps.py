@@ -237,3 +237,18 @@ def near_vectors(rows: DataFrame, id_col: str = "vec_id", vec_col: str = "embedd
 
 def op4_embedding_near_dedup(spark, sf_dir):
     return near_vectors(table(spark, sf_dir, "embeddings")).withColumnsRenamed({"id": "vec_id"})
+
+
+OP4_SQL = r"""
+WITH RECURSIVE v AS (
+  SELECT vec_id, embedding::DOUBLE[] AS x FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda z: z IS NULL OR NOT isfinite(z))) = 0 AND len(list_filter(embedding, lambda z: z <> 0)) > 0),
+l AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.x) = len(b.x)
+  WHERE list_dot_product(a.x, b.x) / (sqrt(list_dot_product(a.x, a.x)) * sqrt(list_dot_product(b.x, b.x))) >= 0.9),
+r AS (SELECT vec_id AS a, vec_id AS b FROM embeddings UNION SELECT r.a, l.b FROM r JOIN l ON r.b = l.a),
+c AS (SELECT a AS vec_id, min(b) AS component_id FROM r GROUP BY a),
+n AS (SELECT a AS vec_id, count(*) AS n FROM l GROUP BY a)
+SELECT e.vec_id, coalesce(n.n, 0)::BIGINT AS n_links, c.component_id, e.vec_id = c.component_id AS kept
+FROM embeddings e JOIN c USING (vec_id) LEFT JOIN n USING (vec_id)
+"""

@@ -182,3 +182,18 @@ def deduplicate_windows(docs: DataFrame, width: int = 50) -> DataFrame:
 
 def op8_substring_dedup(spark, sf_dir):
     return deduplicate_windows(table(spark, sf_dir, "documents"), 50).drop("intervals")
+
+
+OP8_SQL = r"""
+WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+t AS (SELECT doc_id, unnest(range(1, len(words) + 1)) AS pos, words FROM w),
+h AS (SELECT doc_id, pos, words[pos] AS word, CASE WHEN pos + 49 <= len(words) THEN md5(array_to_string(words[pos:pos + 49], ' ')) END AS win FROM t),
+f AS (SELECT win, min(doc_id) AS first FROM h WHERE win IS NOT NULL GROUP BY win),
+g AS (
+  SELECT h.doc_id, pos, word,
+         sum(CASE WHEN f.first < h.doc_id THEN 1 ELSE 0 END) OVER (PARTITION BY h.doc_id ORDER BY pos ROWS BETWEEN 49 PRECEDING AND CURRENT ROW) > 0 AS gone
+  FROM h LEFT JOIN f ON h.win = f.win)
+SELECT w.doc_id, len(w.words)::BIGINT AS n_words, count(*) FILTER (WHERE gone)::BIGINT AS n_removed,
+       sha256(coalesce(string_agg(word, ' ' ORDER BY pos) FILTER (WHERE NOT gone), '')) AS kept_sha256
+FROM w LEFT JOIN g ON g.doc_id = w.doc_id GROUP BY w.doc_id, len(w.words)
+"""
