@@ -230,6 +230,81 @@ def q_quarantine_null_keys(spark, sf_dir):
     return out
 
 
+@register("quarantine_keyless_transactions")
+def q_quarantine_keyless_transactions(spark, sf_dir):
+    """P3 where keys are NULL: the customer-less transactions lose their key too."""
+    t = raw(spark, sf_dir, "transactions")
+    t = t.withColumn("transaction_id", F.when(F.col("customer_id").isNotNull(), F.col("transaction_id")))
+    return ingest.quarantine(t, "transactions")
+
+
+# ---------------------------------------------------------------- ingest and sinks, round trip
+def _scratch(spark, name):
+    return SS.scratch(spark, name)
+
+
+@register("csv_ingest")
+def q_csv_ingest(spark, sf_dir):
+    """The customers feed as CSV files with a header, read as text, cleaned."""
+    from kestrel.sources import io as IO
+
+    path = _scratch(spark, "csv")
+    raw(spark, sf_dir, "customers").write.option("header", True).option("ignoreLeadingWhiteSpace", False) \
+        .option("ignoreTrailingWhiteSpace", False).csv(path)
+    return ingest.silver(IO.read_raw_csv(spark, path, schemas.SILVER["customers"]), "customers")
+
+
+@register("json_ingest")
+def q_json_ingest(spark, sf_dir):
+    """The sales feed as JSON lines, read as text, cleaned."""
+    from kestrel.sources import io as IO
+
+    path = _scratch(spark, "json")
+    raw(spark, sf_dir, "sales").write.json(path)
+    return ingest.silver(IO.read_raw_json(spark, path, schemas.SILVER["sales"]), "sales")
+
+
+@register("append_round_trip")
+def q_append_round_trip(spark, sf_dir):
+    """Two appends of the product gold table, read back by path."""
+    from kestrel.sources import io as IO
+
+    path = _scratch(spark, "append")
+    g = gold.product_sales(silver(spark, sf_dir, "sales"))
+    IO.append(g.filter(F.col("product_id").isNotNull()), path)
+    IO.append(g.filter(F.col("product_id").isNull()), path)
+    return edge(IO.read_path(spark, path))
+
+
+@register("drilldown_export")
+def q_drilldown_export(spark, sf_dir):
+    """The drill-down exported as CSV and read back."""
+    from kestrel.sources import io as IO
+
+    path = _scratch(spark, "drilldown")
+    df = q_customer_drilldown(spark, sf_dir)
+    IO.export_csv(df, path)
+    return spark.read.schema(df.schema).option("header", True).csv(path)
+
+
+@register("output_validation")
+def q_output_validation(spark, sf_dir):
+    """Row count and schema check of every silver table."""
+    from kestrel.sources import io as IO
+
+    out = None
+    for feed in FEEDS:
+        v = IO.validate_output(silver(spark, sf_dir, feed), schemas.SILVER[feed]).withColumn("table_name", F.lit(schemas.SILVER_TABLE_NAMES[feed]))
+        out = v if out is None else out.unionByName(v)
+    return out
+
+
+@register("event_parts")
+def q_event_parts(spark, sf_dir):
+    """P25: year, month and month start of the sale date."""
+    return ingest.with_event_parts(silver(spark, sf_dir, "sales").select("sale_id", "sale_date"), "sale_date")
+
+
 @register("silver_range_checks")
 def q_silver_range_checks(spark, sf_dir):
     """P25: rows quarantined by silver range checks, counted per table and reason."""
@@ -331,6 +406,14 @@ def q_clean_root_causes(spark, sf_dir):
     return c.select("conv_id", "turn", TF.clean_root_causes(F.col("text")).alias("bullets"))
 
 
+@register("clean_root_causes_documents")
+def q_clean_root_causes_documents(spark, sf_dir):
+    """F11/O4 where bullets occur and the cut at four is reached: every document line as a bullet."""
+    d = feeds.table(spark, sf_dir, "documents").select("doc_id", "text")
+    bullets = F.concat(F.lit("- "), F.replace(F.col("text"), F.lit("\n"), F.lit("\n- ")))
+    return d.select("doc_id", TF.clean_root_causes(bullets).alias("bullets"))
+
+
 # ---------------------------------------------------------------- findings / classification
 def findings(spark, sf_dir):
     return DOC.findings(history_log(spark, sf_dir))
@@ -478,7 +561,7 @@ def q_top_customers(spark, sf_dir):
 
 @register("customer_drilldown")
 def q_customer_drilldown(spark, sf_dir):
-    return edge(K.customer_drilldown(gold_sales(spark, sf_dir), 100000, F.lit(AS_OF)))
+    return edge(K.customer_drilldown(gold_sales(spark, sf_dir), 1_500_000, F.lit(AS_OF)))
 
 
 @register("sum_by_key")
@@ -505,20 +588,25 @@ def q_selector_values(spark, sf_dir):
 from kestrel.operators import ml as ML  # noqa: E402
 
 
+def labelled(spark, sf_dir):
+    """Labels with cuts that suit this feed's amounts, so that both classes occur (the defaults are 5000 and 200)."""
+    return ML.label_high_value(gold_sales(spark, sf_dir), spend=2_500_000, aov=41_000)
+
+
 @register("high_value_label")
 def q_high_value_label(spark, sf_dir):
-    return edge(ML.label_high_value(gold_sales(spark, sf_dir)))
+    return edge(labelled(spark, sf_dir))
 
 
 @register("train_test_split")
 def q_train_test_split(spark, sf_dir):
-    lab = ML.label_high_value(gold_sales(spark, sf_dir))
+    lab = labelled(spark, sf_dir)
     return lab.withColumn("split", F.when(ML.split_flag(F.col("customer_id")), "train").otherwise("test")) \
         .groupBy("split", ML.LABEL).agg(F.count(F.lit(1)).alias("rows"))
 
 
 def _fit(spark, sf_dir):
-    lab = ML.label_high_value(gold_sales(spark, sf_dir))
+    lab = labelled(spark, sf_dir)
     train, test = ML.train_test_split(lab)
     return ML.fit_classifier(train), test, lab
 

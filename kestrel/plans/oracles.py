@@ -381,12 +381,12 @@ oracle("top_customers", """SELECT customer_id, CAST(total_spend AS BIGINT) AS to
 oracle("customer_drilldown", f"""SELECT customer_id, CAST(total_spend AS BIGINT) AS total_spend, total_orders,
   round(avg_order_value, 4) AS avg_order_value, first_purchase_date, last_purchase_date,
   CAST(datediff('day', last_purchase_date, {AS_OF_SQL}) AS INTEGER) AS days_since_last_purchase
-  FROM gold_sales WHERE total_spend >= 100000""", _G)
+  FROM gold_sales WHERE total_spend >= 1500000""", _G)
 oracle("sum_by_key", """SELECT customer_id, CAST(sum(amount) AS BIGINT) AS total_amount FROM sales_silver
   WHERE amount > 50000 GROUP BY customer_id""")
 oracle("high_value_label", """SELECT customer_id, CAST(total_spend AS BIGINT) AS total_spend, total_orders,
   round(avg_order_value, 4) AS avg_order_value,
-  CAST(CASE WHEN total_spend >= 5000 OR avg_order_value >= 200 THEN 1 ELSE 0 END AS INTEGER) AS is_high_value
+  CAST(CASE WHEN total_spend >= 2500000 OR avg_order_value >= 41000 THEN 1 ELSE 0 END AS INTEGER) AS is_high_value
   FROM gold_sales WHERE total_spend IS NOT NULL AND total_orders IS NOT NULL AND avg_order_value IS NOT NULL""", _G)
 
 
@@ -653,3 +653,21 @@ SELECT 'customers_silver', 'run_000', '2024-01-31T00:00:00', CAST(greatest(s, 0)
   coalesce((SELECT list(column_name ORDER BY column_name) FROM old_n WHERE null_percentage > 20), []::VARCHAR[]),
   coalesce((SELECT list(column_name ORDER BY column_name) FROM o WHERE outlier_count > 0), []::VARCHAR[])
 FROM old_score""", _CQ)
+
+
+# ---------------------------------------------------------------- ingest and sinks, round trip
+oracle("csv_ingest", "SELECT * FROM customers_silver")
+oracle("json_ingest", "SELECT * FROM sales_silver")
+ORACLES["append_round_trip"] = ORACLES["gold_product_sales"]
+ORACLES["drilldown_export"] = ORACLES["customer_drilldown"]
+oracle("output_validation", "\nUNION ALL ".join(f"SELECT count(*) AS row_count, true AS schema_matches, '{_silver(f)}' AS table_name FROM {_silver(f)}" for f in FEEDS))
+oracle("event_parts", """SELECT sale_id, sale_date, CAST(year(sale_date) AS INTEGER) AS sale_date_year, CAST(month(sale_date) AS INTEGER) AS sale_date_month,
+  CAST(date_trunc('month', sale_date) AS DATE) AS sale_date_month_start FROM sales_silver""")
+oracle("quarantine_keyless_transactions", """
+SELECT DISTINCT CAST(NULL AS VARCHAR) AS transaction_id, CAST(NULL AS VARCHAR) AS customer_id, transaction_date, payment_method, status, amount,
+  'transaction_id_is_null' AS quarantine_reason FROM transactions_silver WHERE customer_id IS NULL""")
+oracle("clean_root_causes_documents", f"""
+SELECT doc_id, array_to_string(list_slice(list_filter(
+         list_transform(string_split('- ' || replace(text, chr(10), chr(10) || '- '), chr(10)), lambda x: {_STRIP('x')}),
+         lambda x: starts_with(x, '- ') AND NOT ({_SKIP})), 1, 4), chr(10)) AS bullets
+FROM documents""")
