@@ -78,5 +78,6 @@ def test_forest_fits_and_labels_are_deterministic_function(spark):
     m = catalog.q_rf_metrics(spark, SF_SMALL).first()
     assert m["n"] > 0 and m["accuracy"] >= 0.8
     lab = catalog.q_high_value_label(spark, SF_SMALL)
-    bad = lab.filter(((F.col("total_spend") >= 5000) | (F.col("avg_order_value") >= 200)) != (F.col("is_high_value") == 1))
+    assert {r[0] for r in lab.select("is_high_value").distinct().collect()} <= {0, 1}
+    bad = lab.filter(((F.col("total_spend") >= 2_500_000) | (F.col("avg_order_value") >= 41_000)) != (F.col("is_high_value") == 1))
     assert bad.count() == 0
