@@ -8,7 +8,7 @@
     key leave a partition as one row, so documents per key are counted with almost no shuffle.
  4. Keys found in ``min_docs`` documents join back to their lines (splittable when hot), which are gathered
     per document into a run-length compressed keep bitmap: lengths of kept and dropped runs
-    in turn, beginning with a kept run.  No text moves until a caller applies the bitmaps.
+    in turn, beginning and ending with a kept run.  No text moves until a caller applies the bitmaps.
 
 With ``keep_first`` the corpus-wide first line of such a key (smallest document, then position) stays.
 
@@ -49,7 +49,9 @@ def keep_bitmaps(docs: DataFrame, min_docs: int = 10, min_chars: int = 1, keep_f
     nth = F.row_number().over(Window.partitionBy("h1", "h2", "doc").orderBy("pos"))
     firsts = ordered.select("h1", "h2", "doc", "pos", nth.alias("nth")).where("nth = 1")
     keys = firsts.groupBy("h1", "h2").agg(F.count("*").alias("n"), F.min(F.struct("doc", "pos")).alias("first")).where(F.col("n") >= min_docs)
-    lost = rows.join(keys.select("h1", "h2", "first"), ["h1", "h2"])
+    # stored, so that the join below is dealt by Spark alone and a hot key can be split
+    keys = store(keys.select("h1", "h2", "first"), "line-keys")
+    lost = rows.join(keys, ["h1", "h2"])
     if keep_first:
         lost = lost.where(~(F.col("doc").eqNullSafe(F.col("first.doc")) & (F.col("pos") == F.col("first.pos"))))
     return lost.groupBy("doc", "digest").agg(F.sort_array(F.collect_set("pos")).alias("gone"))
