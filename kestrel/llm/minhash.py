@@ -15,7 +15,7 @@ Steps
  3. A band value that a single class holds cannot be part of a shared key, so only
     repeated band values are combined into keys (lossless).
  4. Keys are shuffled and streamed in sorted order: the first ``small`` classes of a bucket give all
-    their pairs, the others a star and a chain, so candidates grow with the rows.  Pairs whose
+    their pairs, the others one link each (to a like neighbour or the first), so candidates grow with the rows.  Pairs whose
     minhash values rule the similarity out (``SLACK`` standard deviations) go.
  5. Candidates connect classes into families.  The likeliest candidate of every class is confirmed on the
     full sets, which gives first components.  Pairs of different components inside a family are then
@@ -139,14 +139,15 @@ def tensor_keys(classes: DataFrame, rows: int, side: int) -> DataFrame:
 def bucket_links(keys: DataFrame, small: int) -> DataFrame:
     """Candidate links (a < b) of every bucket; the rows of a key are streamed in (near, id) order.
 
-    The first ``small`` classes of a bucket give all their pairs, the others a star and a chain, so
-    the links grow with the rows, and no more than ``small`` ids are held, whatever the bucket's size.
+    The first ``small`` classes of a bucket give all their pairs.  Of the others, each is linked with the one
+    before it if both have the same near value, else with the bucket's first: one link a row.
+    No more than ``small`` ids are held, whatever the bucket's size.
     """
 
     def run(batches):
-        key, head, last = None, [], None
+        key, head, last, like = None, [], None, None
         for batch in batches:
-            ks, ids = batch.column(0).to_numpy(), batch.column(2).to_numpy()
+            ks, nears, ids = (batch.column(c).to_numpy() for c in range(3))
             if not len(ks):
                 continue
             cuts = np.concatenate([[0], np.flatnonzero(ks[1:] != ks[:-1]) + 1, [len(ks)]])
@@ -155,18 +156,18 @@ def bucket_links(keys: DataFrame, small: int) -> DataFrame:
                 if ks[i] != key:
                     if j - i == 1 and j < len(ks):  # alone in its bucket
                         continue
-                    key, head, last = ks[i], [], None
+                    key, head, last, like = ks[i], [], None, None
                 for x in ids[i : min(j, i + small - len(head))].tolist():
                     a += head
                     b += [x] * len(head)
                     head.append(x)
-                    last = x
+                    last, like = x, nears[i]
                     i += 1
                 if j > i:  # beyond the head
-                    rest = ids[i:j].tolist()
-                    a += [head[0]] * len(rest) + [last, *rest[:-1]]
-                    b += rest + rest
-                    last = rest[-1]
+                    before, same = np.concatenate([[last], ids[i : j - 1]]), nears[i:j] == np.concatenate([[like], nears[i : j - 1]])
+                    a += np.where(same, before, head[0]).tolist()
+                    b += ids[i:j].tolist()
+                    last, like = ids[j - 1], nears[j - 1]
             a, b = np.array(a, np.int64), np.array(b, np.int64)
             ab = np.stack([np.minimum(a, b), np.maximum(a, b)], 1)
             ab = np.unique(ab[a != b], axis=0)
@@ -237,8 +238,8 @@ def confirmed(links: DataFrame, sets: DataFrame, num: int, den: int) -> DataFram
 
     def check(batches):
         for batch in batches:
-            ok = [linked(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), num, den)
-                  for x, y in zip(batch.column("ta").to_pylist(), batch.column("tb").to_pylist(), strict=True)]
+            ok = [linked(np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64), num, den)
+                  for x, y in zip(batch.column("ta"), batch.column("tb"), strict=True)]
             yield batch.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
     return pairs.mapInArrow(check, "a long, b long")
@@ -359,3 +360,22 @@ def op2_minhash_near_dedup(spark, sf_dir):
     from kestrel.llm.common import table
 
     return near_duplicates(table(spark, sf_dir, "documents"), words=4, num=80, den=100)
+
+
+OP2_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words
+  FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(words) >= 4 THEN list_transform(range(1, len(words) - 2), lambda i: array_to_string(words[i:i + 3], ' '))
+                                      WHEN len(words) > 0 THEN [array_to_string(words, ' ')] ELSE [] END) AS shingle
+  FROM w),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS shared FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY 1, 2),
+l AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * shared >= 80 * (x.n + y.n - shared)),
+e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+r AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT r.a, e.b FROM r JOIN e ON r.b = e.a),
+c AS (SELECT a AS doc_id, min(b) AS component_id FROM r GROUP BY a)
+SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, c.component_id, d.doc_id = c.component_id AS kept
+FROM documents d JOIN c USING (doc_id) LEFT JOIN n USING (doc_id)
+"""

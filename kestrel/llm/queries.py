@@ -2,20 +2,23 @@
 
 from __future__ import annotations
 
-from kestrel.llm.caps import op4_embedding_near_dedup
+from kestrel.llm.caps import OP4_SQL, op4_embedding_near_dedup
 from kestrel.llm.fingerprint import op3_order_minhash
 from kestrel.llm.lines import OP5_SQL, op5_line_dedup
-from kestrel.llm.minhash import op2_minhash_near_dedup
+from kestrel.llm.minhash import OP2_SQL, op2_minhash_near_dedup
 from kestrel.llm.mixing import OP6_SQL, op6_mix_sources
 from kestrel.llm.packing import op10_sequence_packing
 from kestrel.llm.pii import op9_personal_data
 from kestrel.llm.quality import op1_quality_classifier
 from kestrel.llm.tokens import op7_token_counts
-from kestrel.llm.windows import op8_substring_dedup
+from kestrel.llm.windows import OP8_SQL, op8_substring_dedup
 
 REGISTRY = {f.__name__: f for f in (
     op1_quality_classifier, op2_minhash_near_dedup, op3_order_minhash, op4_embedding_near_dedup, op5_line_dedup,
     op6_mix_sources, op7_token_counts, op8_substring_dedup, op9_personal_data, op10_sequence_packing,
 )}
 
-ORACLES: dict[str, str] = {"op5_line_dedup": OP5_SQL, "op6_mix_sources": OP6_SQL}
+ORACLES: dict[str, str] = {
+    "op2_minhash_near_dedup": OP2_SQL, "op4_embedding_near_dedup": OP4_SQL, "op5_line_dedup": OP5_SQL,
+    "op6_mix_sources": OP6_SQL, "op8_substring_dedup": OP8_SQL,
+}
