@@ -119,8 +119,9 @@ def repeated_windows(docs: DataFrame, width: int = 50) -> tuple[DataFrame, DataF
                     ], names=["hash", "doc_id", "cls", "pos"])
 
     windows = store(texts.mapInArrow(emit, "hash long, doc_id long, cls long, pos int"), "repeats")
-    firsts = (windows.groupBy("hash").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"))
-              .where("lo <> hi").select("hash", "lo"))
+    # stored, so that the join below is dealt by Spark alone and a hot window can be split
+    firsts = store(windows.groupBy("hash").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"))
+                   .where("lo <> hi").select("hash", "lo"), "first-windows")
     lost = (windows.join(firsts, "hash").where("lo < doc_id")
             .groupBy("doc_id", "cls").agg(F.collect_list("pos").alias("starts")))
     return summary, texts, lost
