@@ -2,16 +2,19 @@
 
 A text becomes its word k-mers (``k`` words; a shorter text is one k-mer), each with its occurrence
 number, so repeated k-mers are distinct elements.  Every element hashes to 64 bits; the hash range is cut into
-``bins`` equal parts (one permutation serves all components).  In each part the ``tuple_size`` smallest
-elements are kept, put back into text order, and hashed together: one component.  Texts with the same k-mers in
-another order share few components, so likeness follows edit distance rather than set overlap.
+``bins`` equal parts, one a component.  A component takes the ``tuple_size`` smallest elements of its own order of
+all elements: those of its part by hash, then all others by that hash mixed with the component's number.  So a part
+with too few elements is filled from the whole text, at any length.  The elements taken are put back into text order
+and hashed together.  Texts with the same k-mers in another order share few components, so likeness follows edit
+distance rather than set overlap.
 
 All of this is array expressions inside one row: linear apart from two sorts of long values, no shuffle.
 
 The query's next document needs one shuffle: documents are dealt by ranges of doc_id, each range is
 ordered, and gets a copy of the head of the range below, so that the successor is a plain lead().
 
-Defined results: null counts as the empty text.  A part without elements is a null component; likeness is the
+Defined results: null counts as the empty text.  A text without words has null components only, one with fewer than
+``tuple_size`` elements has all of them in every component; likeness is the
 share of equal components among those set in either fingerprint, and 1 if neither has any.  Documents that
 repeat a doc_id are ordered by a hash of their text; a null doc_id comes last.  Equal texts have equal fingerprints.
 """
@@ -40,7 +43,7 @@ def _pos(x: Column) -> Column:
 
 
 def add_fingerprint(df: DataFrame, text: str, out: str, k: int = 3, bins: int = 32, tuple_size: int = 2) -> DataFrame:
-    """``df`` with the array column ``out`` of ``bins`` components (int, or null for an empty part).
+    """``df`` with the array column ``out`` of ``bins`` components (int, or null for a text without words).
 
     Intermediate columns begin with ``out`` and a double underscore.
     """
@@ -69,19 +72,29 @@ def add_fingerprint(df: DataFrame, text: str, out: str, k: int = 3, bins: int =
     shift = 64 - (bins.bit_length() - 1)
     part = lambda x: F.shiftright(x, shift)
     v = F.col(c("v"))
-    df = df.select(*rest, F.filter(v, lambda x, i: (i < tuple_size) | (part(F.get(v, i - tuple_size)) != part(x))).alias(c("m")))
+    df = df.select(*rest, c("v"), F.filter(v, lambda x, i: (i < tuple_size) | (part(F.get(v, i - tuple_size)) != part(x))).alias(c("m")))
     m = F.col(c("m"))
     starts = F.filter(F.sequence(F.lit(0), F.size(m) - 1), lambda i: (i == 0) | (part(F.get(m, i)) != part(F.get(m, i - 1))))
-    df = df.select(*rest, c("m"), F.when(F.size(m) == 0, F.array().cast("array<int>")).otherwise(starts).alias(c("a")))
+    # the whole text goes on only where some part lacks elements
+    short = F.when(F.size(m) < bins * tuple_size, v).otherwise(none)
+    df = df.select(*rest, c("m"), short.alias(c("v")), F.when(F.size(m) == 0, F.array().cast("array<int>")).otherwise(starts).alias(c("a")))
     a = F.col(c("a"))
     members = F.transform(a, lambda i, j: F.slice(m, i + 1, F.coalesce(F.get(a, j + 1), F.size(m)) - i))
-    in_order = F.transform(members, lambda t: F.transform(F.array_sort(F.transform(t, lambda x: F.struct(_pos(x).alias("p"), _hash(x).alias("u")))), lambda z: z["u"]))
-    hashed = F.transform(in_order, lambda t: F.shiftright(F.xxhash64(t), 32).cast("int"))
+    in_order = lambda t: F.transform(F.array_sort(F.transform(t, lambda x: F.struct(_pos(x).alias("p"), _hash(x).alias("u")))), lambda z: z["u"])
+    hashed = lambda t: F.shiftright(F.xxhash64(in_order(t)), 32).cast("int")
+
+    def filled(own, b, every):
+        others = F.transform(F.filter(every, lambda x: part(x) != b), lambda x: F.struct(F.xxhash64(_hash(x), b).alias("h"), x.alias("x")))
+        return F.concat(own, F.transform(F.slice(F.sort_array(others), 1, F.lit(tuple_size) - F.size(own)), lambda o: o["x"]))
+
     # bound by a one-element array: a plain column used in a lambda only could be inlined and computed for each part
-    found = F.array(F.struct(hashed.alias("t"), F.transform(a, lambda i: part(F.get(m, i)).cast("int")).alias("b")))
-    at = F.flatten(F.transform(found, lambda z: F.transform(
+    found = F.array(F.struct(members.alias("g"), F.transform(a, lambda i: part(F.get(m, i)).cast("int")).alias("b"), F.col(c("v")).alias("v")))
+    own = lambda z, b: F.get(z["g"], F.coalesce(F.array_position(z["b"], b), F.lit(0)).cast("int") - 1)
+    at = F.flatten(F.transform(found, lambda z: F.when(F.size(z["v"]) == 0, F.when(F.size(z["b"]) == 0, F.array_repeat(F.lit(None).cast("int"), bins))
+                                                       .otherwise(F.transform(z["g"], hashed))).otherwise(F.transform(
         F.sequence(F.lit(-bins // 2), F.lit(bins // 2 - 1)),
-        lambda b: F.get(z["t"], F.coalesce(F.array_position(z["b"], b), F.lit(0)).cast("int") - 1))))
+        lambda b: F.get(F.transform(F.array(F.coalesce(own(z, b), none)), lambda t: hashed(
+            F.when(F.size(t) == tuple_size, t).otherwise(filled(t, b, z["v"])))), F.lit(0))))))
     return df.select(*rest, at.alias(out))
 
 
