@@ -114,12 +114,13 @@ def parse_rules(rules_text: DataFrame, text_col: str = "rule_text",
 
 # ---------------------------------------------------------------- Q11
 CHECK_ARRAY = "array<struct<check:string,column_name:string,threshold:double>>"
+NOT_CHECKABLE = "not checkable"
 
 def rule_checks(parsed: DataFrame) -> DataFrame:
     """The checks a parsed rule implies, one row each (rule_id, check, column_name, threshold).
 
     null_check rules check IS NULL on every listed column; a max threshold
-    checks ``first column > max``; a rule with neither yields no row.
+    checks ``first column > max``; a rule with neither yields one row without a check.
     """
     cols = tf.split_list(F.col("column"))
     nulls = F.when(F.col("rule_type") == "null_check",
@@ -130,7 +131,7 @@ def rule_checks(parsed: DataFrame) -> DataFrame:
                                    F.col("thresholds.max").alias("threshold"))))
     none = F.array().cast(CHECK_ARRAY)
     all_checks = F.concat(F.coalesce(nulls, none), F.coalesce(maxc, none))
-    return parsed.select("rule_id", "description", F.posexplode(all_checks).alias("check_no", "c")).select(
+    return parsed.select("rule_id", "description", F.posexplode_outer(all_checks).alias("check_no", "c")).select(
         "rule_id", "description", "check_no", "c.check", "c.column_name", "c.threshold")
 
 
@@ -139,7 +140,8 @@ def evaluate_rules(df: DataFrame, checks: DataFrame) -> DataFrame:
 
     ``checks`` (one row per check, bounded by the rule count) is read on the
     driver to build ``count_if`` columns.  A check on a column ``df`` lacks
-    yields ``violations = NULL`` and an error text instead of failing.
+    yields ``violations = NULL`` and an error text instead of failing, and so
+    does a rule without a check.
     """
     spec = checks.select("rule_id", "description", "check_no", "check", "column_name", "threshold").collect()
     have = set(df.columns)
@@ -152,11 +154,12 @@ def evaluate_rules(df: DataFrame, checks: DataFrame) -> DataFrame:
             aggs.append(F.count_if(pred).alias(f"chk{j}"))
         items.append(F.struct(
             F.lit(r["rule_id"]).alias("rule_id"), F.lit(r["description"]).alias("description"),
-            F.lit(r["check_no"]).alias("check_no"), F.lit(r["check"]).alias("check"),
-            F.lit(r["column_name"]).alias("column_name"),
+            F.lit(r["check_no"]).cast("int").alias("check_no"), F.lit(r["check"]).cast("string").alias("check"),
+            F.lit(r["column_name"]).cast("string").alias("column_name"),
             F.lit(r["threshold"]).cast("double").alias("threshold"),
             (F.col(f"chk{j}") if ok else F.lit(None).cast("long")).alias("violations"),
-            (F.lit(None).cast("string") if ok else F.lit(f"unknown column: {r['column_name']}")).alias("error"),
+            F.lit(None if ok else NOT_CHECKABLE if r["check"] is None else f"unknown column: {r['column_name']}")
+            .cast("string").alias("error"),
         ))
     schema = ("rule_id string, description string, check_no int, check string, column_name string, "
               "threshold double, violations bigint, error string")

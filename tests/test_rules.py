@@ -37,3 +37,14 @@ def test_documented_rules(spark):
     got = {r["rule_name"]: r["violations"] for r in
            R.business_rules(df, "customers_silver", rules=R.DOCUMENTED_RULES).collect()}
     assert got == {"age_negative": 1, "invalid_email_format": 3}   # NULL email is not a violation
+
+
+def test_rule_without_a_check_keeps_a_row(spark):
+    texts = ["Flag rows where email is malformed", "Flag rows where status is not one of a, b", "Flag rows where amount > 5"]
+    parsed = R.parse_rules(spark.createDataFrame([(t,) for t in texts], "rule_text string"), created_at="2024-02-01")
+    checks = R.rule_checks(parsed)
+    assert {r["description"] for r in checks.collect()} == set(texts)
+    res = {r["description"]: r for r in R.evaluate_rules(spark.createDataFrame([(6.0,)], "amount double"), checks).collect()}
+    for t in texts[:2]:
+        assert (res[t]["check_no"], res[t]["check"], res[t]["violations"], res[t]["error"]) == (None, None, None, "not checkable")
+    assert (res[texts[2]]["check"], res[texts[2]]["violations"], res[texts[2]]["error"]) == ("greater_than", 1, None)
