@@ -613,6 +613,11 @@ def _fit(spark, sf_dir):
     return ML.fit_classifier(train), test, lab
 
 
+def scored(spark, sf_dir):
+    """Every gold customer with the features; unlike the training frame, also those with a null feature."""
+    return gold_sales(spark, sf_dir).select("customer_id", *ML.FEATURES)
+
+
 @register("rf_metrics")
 def q_rf_metrics(spark, sf_dir):
     """M3 + M4: random forest on the train split, accuracy / F1 on the test split."""
@@ -623,8 +628,8 @@ def q_rf_metrics(spark, sf_dir):
 @register("rf_predictions")
 def q_rf_predictions(spark, sf_dir):
     """M5: batch scoring of every gold customer."""
-    model, _, lab = _fit(spark, sf_dir)
-    return ML.predict(model, lab)
+    model, _, _ = _fit(spark, sf_dir)
+    return ML.predict(model, scored(spark, sf_dir))
 
 
 @register("clv_regression_metrics")
@@ -765,10 +770,11 @@ def q_stream_volume_alerts(spark, sf_dir):
 @register("stream_predict")
 def q_stream_predict(spark, sf_dir):
     """A model fitted on gold scores gold rows as they land (streaming transform)."""
-    model, _, lab = _fit(spark, sf_dir)
+    model, _, _ = _fit(spark, sf_dir)
+    rows = scored(spark, sf_dir)
     landing = SS.scratch(spark, "landing-gold")
-    lab.write.parquet(landing)
-    stream = SS.read_stream(spark, landing, lab.schema.simpleString()[len("struct<"):-1].replace(":", " "))
+    rows.write.parquet(landing)
+    stream = SS.read_stream(spark, landing, rows.schema.simpleString()[len("struct<"):-1].replace(":", " "))
     out, ck = SS.scratch(spark, "predict"), SS.scratch(spark, "predict-ck")
     SS.drain(SS.write_files(ML.predict(model, stream), out, ck))
     return spark.read.parquet(out)

@@ -81,3 +81,22 @@ def test_forest_fits_and_labels_are_deterministic_function(spark):
     assert {r[0] for r in lab.select("is_high_value").distinct().collect()} <= {0, 1}
     bad = lab.filter(((F.col("total_spend") >= 2_500_000) | (F.col("avg_order_value") >= 41_000)) != (F.col("is_high_value") == 1))
     assert bad.count() == 0
+
+
+def test_customer_without_amounts_is_scored(spark, monkeypatch):
+    from kestrel.plans import catalog
+
+    silver = catalog.silver
+
+    def with_nobody(spark, sf_dir, feed):
+        df = silver(spark, sf_dir, feed)
+        if feed != "sales":
+            return df
+        odd = df.limit(1).withColumn("customer_id", F.lit("nobody").cast(df.schema["customer_id"].dataType))
+        return df.unionByName(odd.withColumn("amount", F.lit(None).cast(df.schema["amount"].dataType)))
+
+    monkeypatch.setattr(catalog, "silver", with_nobody)
+    for query in (catalog.q_rf_predictions, catalog.q_stream_predict):
+        rows = {r["customer_id"]: r["prediction"] for r in query(spark, SF_SMALL).collect()}
+        assert len(rows) == catalog.gold_sales(spark, SF_SMALL).count()
+        assert rows.pop("nobody") is None and set(rows.values()) <= {0, 1}
