@@ -10,12 +10,14 @@ from kestrel.llm.mixing import OP6_SQL, op6_mix_sources
 from kestrel.llm.packing import op10_sequence_packing
 from kestrel.llm.pii import op9_personal_data
 from kestrel.llm.quality import op1_quality_classifier
+from kestrel.llm.secrets import op11_secret_scan
 from kestrel.llm.tokens import op7_token_counts
 from kestrel.llm.windows import OP8_SQL, op8_substring_dedup
 
 REGISTRY = {f.__name__: f for f in (
     op1_quality_classifier, op2_minhash_near_dedup, op3_order_minhash, op4_embedding_near_dedup, op5_line_dedup,
     op6_mix_sources, op7_token_counts, op8_substring_dedup, op9_personal_data, op10_sequence_packing,
+    op11_secret_scan,
 )}
 
 ORACLES: dict[str, str] = {
