@@ -26,12 +26,26 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def store(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the shared checkpoint folder and read it back (cuts lineage, survives lost executors)."""
+def store(df: DataFrame, name: str, by: str | None = None) -> DataFrame:
+    """Write ``df`` to the shared checkpoint folder and read it back (cuts lineage, survives lost executors).
+
+    With ``by`` the table has a folder for each value of that column, so a filter on it reads only those files.
+    """
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    (df.write.partitionBy(by) if by else df.write).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.stored_at = path
+    return out
+
+
+def drop(df: DataFrame) -> None:
+    """Delete a stored table that nothing reads any more (only what ``store`` has written)."""
+    path = getattr(df, "stored_at", None)
+    if path:
+        jvm = df.sparkSession.sparkContext._jvm
+        where = jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
 
 
 def word_array(text: Column) -> Column:
