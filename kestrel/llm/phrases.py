@@ -233,7 +233,7 @@ def frequent_phrases(docs: DataFrame, least: int, shards: int = 4, slots: int =
     Rows with phrase '' and 0 words hold the number of all words of the language.
     """
     text = docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), F.coalesce("text", F.lit("")).alias("text"))
-    layout = store(text.withColumn("shard", F.pmod(F.xxhash64("text", "lang", F.spark_partition_id()), F.lit(shards)).cast("int")), "shards", by="shard")
+    layout = store(text.withColumn("shard", F.pmod(F.monotonically_increasing_id(), F.lit(shards)).cast("int")), "shards", by="shard")
     sc = docs.sparkSession.sparkContext
     known = sc.broadcast(frequent_slots(layout, shards, least, slots).tobytes())
     counts = spelled(layout, known).groupBy("lang", "phrase").agg(F.sum("n").alias("a")).where((F.col("a") >= least) | (F.col("phrase") == ""))
