@@ -29,6 +29,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -90,6 +91,15 @@ def starts_at(n: int, at: np.ndarray, shorter: np.ndarray, reached: np.ndarray)
     return np.maximum(known[at], known[at + 1])
 
 
+def packed(sc, reached: np.ndarray):
+    """The table for the workers (compressed: most of a sparse table is one value)."""
+    return sc.broadcast(zlib.compress(reached.tobytes(), 1))
+
+
+def unpacked(known) -> np.ndarray:
+    return np.frombuffer(zlib.decompress(known.value), np.uint8)
+
+
 def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
     salts: dict[str, int] = {}
     for batch in batches:
@@ -106,7 +116,7 @@ def counted(shard: DataFrame, step: int, shards: int, reached) -> DataFrame:
     """(len, start, key, n): partial counts of the phrases that are active in this step."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table_ = np.frombuffer(reached.value, np.uint8)
+        table_ = unpacked(reached)
         held: dict[int, list] = {}
         size = 0
 
@@ -137,7 +147,7 @@ def spelled(docs: DataFrame, reached) -> DataFrame:
     """(lang, phrase, n): partial counts of the phrases known to be frequent, by their words; '' counts all words of a language."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = np.frombuffer(reached.value, np.uint8) != NEVER
+        known = unpacked(reached) != NEVER
         texts: dict[int, tuple[str, str]] = {}
         counts: list[tuple[np.ndarray, np.ndarray]] = []
         total: dict[str, int] = {}
@@ -201,9 +211,9 @@ def frequent_slots(layout: DataFrame, shards: int, least: int, slots: int) -> np
     parts: list[DataFrame | None] = []
     step, last = 0, 0
     while step < last + shards:
-        known = sc.broadcast(reached.tobytes())
+        known = packed(sc, reached)
         parts.append(store(counted(layout.where(F.col("shard") == step % shards), step, shards, known), f"step{step}"))
-        known.unpersist()
+        known.destroy()  # the step's table is written
         early = parts[step].where("n > 1").groupBy("len", "key").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
         found = [early.select("len", "key")]
         if (begun := step - shards + 1) >= 0:  # these phrases have now seen every shard
@@ -235,11 +245,11 @@ def frequent_phrases(docs: DataFrame, least: int, shards: int = 4, slots: int =
     text = docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), F.coalesce("text", F.lit("")).alias("text"))
     layout = store(text.withColumn("shard", F.pmod(F.monotonically_increasing_id(), F.lit(shards)).cast("int")), "shards", by="shard")
     sc = docs.sparkSession.sparkContext
-    known = sc.broadcast(frequent_slots(layout, shards, least, slots).tobytes())
+    known = packed(sc, frequent_slots(layout, shards, least, slots))
     counts = spelled(layout, known).groupBy("lang", "phrase").agg(F.sum("n").alias("a")).where((F.col("a") >= least) | (F.col("phrase") == ""))
     words = F.when(F.col("phrase") == "", 0).otherwise(F.size(F.split("phrase", " ")))
     out = store(counts.select("lang", "phrase", words.alias("words"), "a"), "phrases")
-    known.unpersist()
+    known.destroy()
     drop(layout)
     return out
 
