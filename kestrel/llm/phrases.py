@@ -14,8 +14,9 @@ step after its activation until the cycle closes; then its total is final.
    After a step, keys whose partial counts above one alone make the threshold are known to reach it.  When the phrases
    of a start step have seen all shards, their partial counts are summed, which finds the rest; the tables that
    only they needed are dropped.
- * The last scan carries the words themselves: it counts the phrases whose slot reached the threshold by
-   (lang, phrase) and keeps those of ``least`` occurrences, so totals don't rest on hashes.
+ * The last scan carries the words themselves: it counts the phrases found frequent (told apart by a filter of
+   ``bits`` bits, again of fixed size, with two positions a phrase) by (lang, phrase) and keeps those of ``least``
+   occurrences, so totals don't rest on hashes.
 
 Scores, cuts and containment are joins and grouped extremes over the frequent phrases; numbers that
 may pass 64 bits are decimals.  The first ``top`` of a language are taken per block of its phrases, and then
@@ -31,6 +32,7 @@ import hashlib
 import re
 import zlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -143,11 +145,11 @@ def counted(shard: DataFrame, step: int, shards: int, reached) -> DataFrame:
     return shard.select("lang", "text").mapInArrow(run, "len byte, start short, key long, n long")
 
 
-def spelled(docs: DataFrame, reached) -> DataFrame:
+def spelled(docs: DataFrame, known, bits: int) -> DataFrame:
     """(lang, phrase, n): partial counts of the phrases known to be frequent, by their words; '' counts all words of a language."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = unpacked(reached) != NEVER
+        filter_ = unpacked(known)
         texts: dict[int, tuple[str, str]] = {}
         counts: list[tuple[np.ndarray, np.ndarray]] = []
         total: dict[str, int] = {}
@@ -166,7 +168,7 @@ def spelled(docs: DataFrame, reached) -> DataFrame:
                 total[langs[r]] = total.get(langs[r], 0) + int(n)
             raw = data.tobytes().lower()
             for n, at, keys, _ in phrase_keys(piece, words):
-                on = known[slot(keys, len(known))]
+                on = holds(filter_, keys, bits)
                 unique, first, found = np.unique(keys[on], return_index=True, return_counts=True)
                 counts.append((unique, found))
                 where = at[on][first]
@@ -182,62 +184,74 @@ def spelled(docs: DataFrame, reached) -> DataFrame:
     return docs.select("lang", "text").mapInArrow(run, "lang string, phrase string, n long")
 
 
-def mark(frequent: DataFrame, reached: np.ndarray, step: int) -> int:
-    """Enter the slots of ``frequent`` (len, key) at ``step``; returns how many new slots may activate longer phrases.
+def bitmap(rows: DataFrame, slots: int, *by: str) -> list:
+    """Rows (by, bucket, bits) of a bitmap over ``rows.slot``, built in Spark: at most slots / 8 bytes a group come back.
+
+    Spark numbers the values of a bitmap from 1, so bucket b holds the slots (b - 1) * 32768 to b * 32768 - 1."""
+    at = F.col("slot") + 1
+    return rows.groupBy(*by, F.bitmap_bucket_number(at).alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(at)).alias("bits")).collect()
+
 
-    What comes back is a bitmap of the slots, built in Spark: at most slots / 8 bytes a length class."""
-    at = F.pmod("key", F.lit(len(reached)))
-    rows = (frequent.select((F.col("len") == MAX_WORDS).alias("last"), at.alias("slot"))
-            .groupBy("last", F.bitmap_bucket_number("slot").alias("bucket"))
-            .agg(F.expr("bitmap_construct_agg(bitmap_bit_position(slot))").alias("bits")).collect())
+def mark(frequent: DataFrame, reached: np.ndarray, step: int) -> int:
+    """Enter the slots of ``frequent`` (len, key) at ``step``; returns how many new slots may activate longer phrases."""
     new = 0
-    for r in rows:
-        # bucket b holds the slots (b - 1) * 32768 + 1 to b * 32768, so slot 0 is the last bit of bucket 0
-        on = np.flatnonzero(np.unpackbits(np.frombuffer(r["bits"], np.uint8), bitorder="little")) + _first_slot(r["bucket"])
+    for r in bitmap(frequent.select((F.col("len") == MAX_WORDS).alias("last"), F.pmod("key", F.lit(len(reached))).alias("slot")), len(reached), "last"):
+        on = np.flatnonzero(np.unpackbits(np.frombuffer(r["bits"], np.uint8), bitorder="little")) + (r["bucket"] - 1) * 32768
         fresh = on[reached[on] == NEVER]
         reached[fresh] = step
         new += 0 if r["last"] else len(fresh)
     return new
 
 
-def _first_slot(bucket: int) -> int:
-    return (bucket - 1) * 32768 + 1 if bucket > 0 else 0
+def positions(keys: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    low = np.uint64(bits - 1)
+    return (keys & low).astype(np.int64), ((keys >> np.uint64(32)) & low).astype(np.int64)
+
+
+def filter_bits(frequent: DataFrame, bits: int) -> np.ndarray:
+    """The filter over the keys of ``frequent``, packed (bits / 8 bytes, or one block of 4096)."""
+    low = F.lit(bits - 1)
+    both = F.array(F.col("key").bitwiseAND(low), F.shiftrightunsigned("key", 32).bitwiseAND(low))
+    out = np.zeros(max(1, bits // 32768) * 4096, np.uint8)
+    for r in bitmap(frequent.select(F.explode(both).alias("slot")), bits):
+        out[(r["bucket"] - 1) * 4096 : r["bucket"] * 4096] = np.frombuffer(r["bits"], np.uint8)
+    return out
+
+
+def holds(filter_: np.ndarray, keys: np.ndarray, bits: int) -> np.ndarray:
+    a, b = positions(keys, bits)
+    return ((filter_[a >> 3] >> (a & 7).astype(np.uint8)) & (filter_[b >> 3] >> (b & 7).astype(np.uint8)) & 1).astype(bool)
 
 
-def frequent_slots(layout: DataFrame, shards: int, least: int, slots: int) -> np.ndarray:
-    """The counting itself: for every slot the step at which a phrase in it was known to be frequent."""
+def frequent_keys(layout: DataFrame, shards: int, least: int, slots: int) -> list[DataFrame]:
+    """The counting itself: stored tables (len, key) of the phrases that reach the threshold (a key may occur in several)."""
     sc = layout.sparkSession.sparkContext
     reached = np.full(slots, NEVER, np.uint8)
     parts: list[DataFrame | None] = []
+    tables: list[DataFrame] = []
     step, last = 0, 0
     while step < last + shards:
         known = packed(sc, reached)
         parts.append(store(counted(layout.where(F.col("shard") == step % shards), step, shards, known), f"step{step}"))
         known.destroy()  # the step's table is written
-        early = parts[step].where("n > 1").groupBy("len", "key").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
-        found = [early.select("len", "key")]
+        found = parts[step].where("n > 1").groupBy("len", "key").agg(F.sum("n").alias("n"))
         if (begun := step - shards + 1) >= 0:  # these phrases have now seen every shard
-            closed = [p.where(F.col("start") == begun).select("len", "key", "n") for p in parts[begun:]]
-            whole = closed[0]
-            for p in closed[1:]:
-                whole = whole.union(p)
-            found.append(whole.groupBy("len", "key").agg(F.sum("n").alias("n")).where(F.col("n") >= least).select("len", "key"))
-        new = mark(found[0] if len(found) == 1 else found[0].union(found[1]), reached, step + 1)
-        if new:
+            closed = reduce(DataFrame.union, [p.where(F.col("start") == begun).select("len", "key", "n") for p in parts[begun:]])
+            found = found.union(closed.groupBy("len", "key").agg(F.sum("n").alias("n")))
+        tables.append(store(found.where(F.col("n") >= least).select("len", "key"), f"frequent{step}"))
+        if mark(tables[-1], reached, step + 1):
             last = step + 1
         if begun >= 0:
             drop(parts[begun])
             parts[begun] = None
         step += 1
-        if step >= NEVER - shards:
-            raise RuntimeError("more steps than lengths and shards allow")
     for p in parts:
         if p is not None:
             drop(p)
-    return reached
+    return tables
 
 
-def frequent_phrases(docs: DataFrame, least: int, shards: int = 4, slots: int = 1 << 24) -> DataFrame:
+def frequent_phrases(docs: DataFrame, least: int, shards: int = 4, slots: int = 1 << 24, bits: int = 1 << 27) -> DataFrame:
     """(lang, phrase, words, a) of all phrases of 1 to MAX_WORDS words that occur ``least`` times in their language.
 
     Rows with phrase '' and 0 words hold the number of all words of the language.
@@ -245,12 +259,14 @@ def frequent_phrases(docs: DataFrame, least: int, shards: int = 4, slots: int =
     text = docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), F.coalesce("text", F.lit("")).alias("text"))
     layout = store(text.withColumn("shard", F.pmod(F.monotonically_increasing_id(), F.lit(shards)).cast("int")), "shards", by="shard")
     sc = docs.sparkSession.sparkContext
-    known = packed(sc, frequent_slots(layout, shards, least, slots))
-    counts = spelled(layout, known).groupBy("lang", "phrase").agg(F.sum("n").alias("a")).where((F.col("a") >= least) | (F.col("phrase") == ""))
+    tables = frequent_keys(layout, shards, least, slots)
+    known = packed(sc, filter_bits(reduce(DataFrame.union, tables), bits))
+    counts = spelled(layout, known, bits).groupBy("lang", "phrase").agg(F.sum("n").alias("a")).where((F.col("a") >= least) | (F.col("phrase") == ""))
     words = F.when(F.col("phrase") == "", 0).otherwise(F.size(F.split("phrase", " ")))
     out = store(counts.select("lang", "phrase", words.alias("words"), "a"), "phrases")
     known.destroy()
-    drop(layout)
+    for t in [layout, *tables]:
+        drop(t)
     return out
 
 

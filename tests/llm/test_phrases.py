@@ -45,13 +45,13 @@ def text(rng, words):
     return rng.choice([" ", "  ", "\t"]).join(out)
 
 
-@pytest.mark.parametrize("slots,shards", [(1 << 20, 4), (64, 3), (1 << 16, 1)])
-def test_equal_to_brute_force(spark, slots, shards):
+@pytest.mark.parametrize("slots,bits,shards", [(1 << 20, 1 << 20, 4), (64, 64, 3), (1 << 16, 1 << 15, 1)])
+def test_equal_to_brute_force(spark, slots, bits, shards):
     rng = random.Random(slots + shards)
     docs = [(rng.choice(["en", "de", None, "und"]), text(rng, rng.randint(0, 60))) for _ in range(150)]
     docs += [("en", None), (None, ""), ("fr", " \t ..;\n"), ("en", "new york city hall " * 3000), ("de", "one two"), ("de", "one two")]
     df = spark.createDataFrame([(i, *d, 0) for i, d in enumerate(docs)], "doc_id long, lang string, text string, phrase int").repartition(6)
-    got = P.collocations(df, least=8, top=15, slots=slots, shards=shards)
+    got = P.collocations(df, least=8, top=15, slots=slots, bits=bits, shards=shards)
     assert sorted(map(tuple, got.collect())) == sorted(brute(docs, 8, 15))
 
 
