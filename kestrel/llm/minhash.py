@@ -347,11 +347,12 @@ def near_duplicates(docs: DataFrame, words: int = 5, num: int = 80, den: int = 1
 def deduplicate(docs: DataFrame, **options) -> DataFrame:
     """The documents of ``docs`` that stand for their class, with all columns of ``docs``.
 
-    Of rows that repeat the kept doc_id exactly one stays; rows with a null doc_id all stay.
+    Of rows that repeat a kept doc_id and its text exactly one stays, and each other text under that doc_id
+    stays once; rows with a null doc_id all stay.
     """
     marks = near_duplicates(docs, **options).where("kept AND doc_id IS NOT NULL").select("doc_id").distinct()
     known = docs.where("doc_id IS NOT NULL")
-    return known.join(marks, "doc_id", "left_semi").dropDuplicates(["doc_id"]).unionByName(docs.where("doc_id IS NULL"))
+    return known.join(marks, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"]).unionByName(docs.where("doc_id IS NULL"))
 
 
 # ---------------------------------------------------------------- registered query

@@ -91,11 +91,13 @@ def mixed(docs: DataFrame, max_epochs: int = 3, seed: str = "mix") -> DataFrame:
 def _take(rows: DataFrame, plan: DataFrame) -> DataFrame:
     both = rows.withColumnsRenamed({"source": "source5"}).join(plan, F.col("source5").eqNullSafe(F.col("source")))
     out = ["row", "size", "source_size", "target"]
-    clear = both.where("bin <> edge").select(*out, (F.col("epochs") + (F.col("bin") < F.col("edge")).cast("int")).alias("copies"))
+    # whole epochs without a rest are all, also for documents of no words; a source of no words at all is taken once
+    more = (F.col("budget") > 0) | (F.col("epochs") == 0)
+    clear = both.where("bin <> edge").select(*out, (F.col("epochs") + (more & (F.col("bin") < F.col("edge"))).cast("int")).alias("copies"))
     run = Window.partitionBy("source").orderBy("rank_key", "row.doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
     before = F.col("spent") + F.coalesce(F.sum("size").over(run), F.lit(0))
     edge = (both.where("bin = edge").withColumn("before", before)
-            .select(*out, (F.col("epochs") + (F.col("before") + F.col("size") / 2 <= F.col("budget")).cast("int")).alias("copies")))
+            .select(*out, (F.col("epochs") + (more & (F.col("before") + F.col("size") / 2 <= F.col("budget"))).cast("int")).alias("copies")))
     return clear.unionByName(edge)
 
 

@@ -3,6 +3,8 @@
 import hashlib
 import re
 
+import xxhash
+
 SPACE = "\x20\x09-\x0d"
 WORD = re.compile(f"[^{SPACE}]+")
 AZ = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -83,3 +85,43 @@ def base_spans(text):
             out.append((m.start(), 2, "card", m.end()))
     out += [(m.start(), 3, "phone", m.end()) for m in re.finditer(r"\+[0-9][\x20().0-9-]+[0-9]", t) if 9 <= sum(c.isdigit() for c in m[0]) <= 15]
     return sorted(out)
+
+
+MASK = (1 << 64) - 1
+
+
+def signed(x):
+    return x - (1 << 64) if x >> 63 else x
+
+
+def h_text(s):
+    return signed(xxhash.xxh64_intdigest(s.encode(), 42))
+
+
+def h_longs(*xs):
+    seed = 42
+    for x in xs:
+        seed = xxhash.xxh64_intdigest((x & MASK).to_bytes(8, "little"), seed & MASK)
+    return signed(seed)
+
+
+def h_int(x, seed):
+    # a 4-byte value is hashed as 4 bytes
+    return signed(xxhash.xxh64_intdigest((x & 0xFFFFFFFF).to_bytes(4, "little"), seed & MASK))
+
+
+def fingerprint(text, k=3, bins=32, size=2):
+    """The elements of a part by hash, then all others by the hash mixed with the part's number."""
+    w = [h_text(x) for x in words(text)]
+    n = max(1, len(w) - k + 1) if w else 0
+    seen, items = {}, []
+    for h, i in sorted((h_longs(*w[i : i + k]) >> 27, i) for i in range(n)):
+        nth = seen.get(h, 0)
+        seen[h] = nth + 1
+        items.append((h if nth == 0 else h_int(nth, h_longs(h)) >> 27, i))
+    out = []
+    for b in range(-bins // 2, bins // 2):
+        part = sorted(x for x in items if x[0] >> (37 - 5) == b)[:size]
+        part += sorted((x for x in items if x[0] >> (37 - 5) != b), key=lambda x: (h_int(b, h_longs(x[0])), x))[: size - len(part)]
+        out.append(f"{(h_longs(*(u for u, _ in sorted(part, key=lambda x: x[1]))) >> 32) & 0xFFFFFFFF:08x}" if part else "--------")
+    return "".join(out)

@@ -1,58 +1,16 @@
 import hashlib
 import random
 
-import xxhash
-
 from kestrel.llm.common import table
 from kestrel.llm.fingerprint import fingerprints, op3_order_minhash, with_next
 from tests.llm import brute
 
-MASK = (1 << 64) - 1
-
-
-def signed(x):
-    return x - (1 << 64) if x >> 63 else x
-
-
-def h_text(s):
-    return signed(xxhash.xxh64_intdigest(s.encode(), 42))
-
-
-def h_longs(*xs):
-    seed = 42
-    for x in xs:
-        seed = xxhash.xxh64_intdigest((x & MASK).to_bytes(8, "little"), seed & MASK)
-    return signed(seed)
-
-
-def h_int(x, seed):
-    # a 4-byte value is hashed as 4 bytes
-    return signed(xxhash.xxh64_intdigest((x & 0xFFFFFFFF).to_bytes(4, "little"), seed & MASK))
-
-
-def brute_fingerprint(text, k=3, bins=32, size=2):
-    """Order MinHash by sorting: numbered k-mers, the smallest of each part, in text order."""
-    w = [h_text(x) for x in brute.words(text)]
-    n = max(1, len(w) - k + 1) if w else 0
-    seen, items = {}, []
-    for h, i in sorted((h_longs(*w[i : i + k]) >> 27, i) for i in range(n)):
-        nth = seen.get(h, 0)
-        seen[h] = nth + 1
-        u = h if nth == 0 else h_int(nth, h_longs(h)) >> 27
-        items.append((u, i))
-    out = []
-    for b in range(-bins // 2, bins // 2):
-        part = sorted(x for x in items if x[0] >> (37 - 5) == b)[:size]
-        out.append(f"{(h_longs(*(u for u, _ in sorted(part, key=lambda x: x[1]))) >> 32) & 0xFFFFFFFF:08x}" if part else "--------")
-    return "".join(out)
-
-
 def test_fingerprints_equal_brute_force(spark, small_dir):
     docs = {r["doc_id"]: r["text"] for r in table(spark, small_dir, "documents").collect()}
     docs |= {-1: "a a a a a a b a a a b", -2: "x", -3: "", -4: None, -5: "x y", -6: " ".join("ab"[i % 2] for i in range(300))}
     df = spark.createDataFrame(list(docs.items()), "doc_id long, text string")
     got = {r["doc_id"]: r["fingerprint"] for r in fingerprints(df).collect()}
-    assert got == {i: brute_fingerprint(t) for i, t in docs.items()}
+    assert got == {i: brute.fingerprint(t) for i, t in docs.items()}
 
 
 def test_query_against_brute_force(spark, small_dir):
@@ -69,7 +27,7 @@ def test_query_against_brute_force(spark, small_dir):
         nxt, r = docs[(k + 1) % len(docs)], rows[i]
         edited = text[: len(text) - len(text) // 2] + nxt[1][: len(text) // 2]
         assert (r["n_chars"], r["edited_sha256"]) == (len(text), hashlib.sha256(edited.encode()).hexdigest())
-        assert r["fingerprint"] == brute_fingerprint(text) and r["edited_fingerprint"] == brute_fingerprint(edited)
+        assert r["fingerprint"] == brute.fingerprint(text) and r["edited_fingerprint"] == brute.fingerprint(edited)
         assert abs(r["near_edited"] - likeness(r["fingerprint"], r["edited_fingerprint"])) < 1e-12
         assert abs(r["near_next"] - likeness(r["fingerprint"], rows[nxt[0]]["fingerprint"])) < 1e-12
 

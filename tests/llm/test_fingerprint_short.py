@@ -5,25 +5,7 @@ import random
 import pytest
 
 from kestrel.llm.fingerprint import fingerprints
-from tests.llm import brute
-from tests.llm.test_fingerprint import h_int, h_longs, h_text
-
-
-def brute_filled(text, k=3, bins=32, size=2):
-    """The elements of a part by hash, then all others by the hash mixed with the part's number."""
-    w = [h_text(x) for x in brute.words(text or "")]
-    n = max(1, len(w) - k + 1) if w else 0
-    seen, items = {}, []
-    for h, i in sorted((h_longs(*w[i : i + k]) >> 27, i) for i in range(n)):
-        nth = seen.get(h, 0)
-        seen[h] = nth + 1
-        items.append((h if nth == 0 else h_int(nth, h_longs(h)) >> 27, i))
-    out = []
-    for b in range(-bins // 2, bins // 2):
-        part = sorted(x for x in items if x[0] >> (37 - 5) == b)[:size]
-        part += sorted((x for x in items if x[0] >> (37 - 5) != b), key=lambda x: (h_int(b, h_longs(x[0])), x))[: size - len(part)]
-        out.append(f"{(h_longs(*(u for u, _ in sorted(part, key=lambda x: x[1]))) >> 32) & 0xFFFFFFFF:08x}" if part else "--------")
-    return "".join(out)
+from tests.llm.brute import fingerprint
 
 
 def test_every_length_against_brute_force(spark):
@@ -32,7 +14,7 @@ def test_every_length_against_brute_force(spark):
     texts += [" ".join(f"w{rng.randrange(50)}" for _ in range(n)) for n in [*range(1, 90), 150, 400, 2000]]
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     got = {r["doc_id"]: r["fingerprint"] for r in fingerprints(df).collect()}
-    assert got == {i: brute_filled(t) for i, t in enumerate(texts)}
+    assert got == {i: fingerprint(t) for i, t in enumerate(texts)}
 
 
 @pytest.mark.parametrize("words", [20, 40, 60])
