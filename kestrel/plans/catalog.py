@@ -466,7 +466,9 @@ ANALYST_RULES = [
 
 @register("evaluate_rules")
 def q_evaluate_rules(spark, sf_dir):
-    """Q11: checks implied by the suggested and the stated rules, counted on each silver table (one pass each)."""
+    """Q11: checks implied by the suggested and the stated rules, counted on each silver table (one pass each).
+
+    A rule that implies no check has a row of its own, with the error 'not checkable'."""
     texts = suggestions(spark, sf_dir).select("table_name", "rule_text").unionByName(
         spark.createDataFrame(ANALYST_RULES, "table_name string, rule_text string"))
     parsed = R.parse_rules(texts, created_at=str(AS_OF))
@@ -475,8 +477,6 @@ def q_evaluate_rules(spark, sf_dir):
         name = schemas.SILVER_TABLE_NAMES[feed]
         checks = R.rule_checks(parsed.filter(F.col("table_name") == name))
         e = R.evaluate_rules(silver(spark, sf_dir, feed), checks).withColumn("table_name", F.lit(name))
-        # the SQL of this query lists checks only; the operator also returns the rules that cannot be checked
-        e = e.filter(~F.col("error").eqNullSafe(R.NOT_CHECKABLE))
         out = e if out is None else out.unionByName(e)
     return out
 
@@ -520,11 +520,12 @@ def q_metadata_summary(spark, sf_dir):
 
 @register("rules_end_to_end")
 def q_rules_end_to_end(spark, sf_dir):
-    """Q17: parse -> evaluate -> classify the violated checks, per table."""
+    """Q17: parse -> evaluate -> classify the violated checks and the rules that could not be checked, per table."""
     ev = q_evaluate_rules(spark, sf_dir)
     # a check that no row violates is no finding
-    text = F.concat(F.col("violations").cast("string"), F.lit(" rows violate rule: "), F.col("description"))
-    return DOC.classify(ev.filter(F.col("violations") > 0).withColumn("anomaly_text", text), "anomaly_text")
+    text = F.when(F.col("error").isNotNull(), F.concat(F.col("error"), F.lit(": "), F.col("description"))).otherwise(
+        F.concat(F.col("violations").cast("string"), F.lit(" rows violate rule: "), F.col("description")))
+    return DOC.classify(ev.filter((F.col("violations") > 0) | F.col("error").isNotNull()).withColumn("anomaly_text", text), "anomaly_text")
 
 
 # ---------------------------------------------------------------- KPIs

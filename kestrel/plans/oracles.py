@@ -503,7 +503,10 @@ SELECT k.rule_id, k.description, k.check_no, k."check", k.column_name, k.thresho
        count(*) FILTER (WHERE (k."check" = 'is_null' AND l.isn) OR (k."check" = 'greater_than' AND l.v > k.threshold)) AS violations,
        CAST(NULL AS VARCHAR) AS error, k.table_name
 FROM checks k JOIN long_values l ON k.table_name = l.table_name AND k.column_name = l.column_name
-GROUP BY ALL"""
+GROUP BY ALL
+UNION ALL
+SELECT rule_id, description, NULL, NULL, NULL, NULL, NULL, 'not checkable', table_name
+FROM parsed WHERE len(cols) = 0 OR (rule_type <> 'null_check' AND thr IS NULL)"""
 oracle("evaluate_rules", "SELECT * FROM evaluated",
        {"suggest": _SUGGEST, "parsed": _PARSED, "checks": _CHECKS, "long_values": _long_sql(), "evaluated": ORACLES_EVAL})
 
@@ -563,9 +566,10 @@ FROM (SELECT * EXCLUDE (l), CASE
   WHEN contains(l, 'distribution') OR contains(l, 'skew') OR contains(l, 'drift') THEN 'distribution_shift'
   WHEN contains(l, 'rule') OR contains(l, 'violation') OR contains(l, 'constraint') THEN 'business_rule_violation'
   ELSE 'unknown' END AS anomaly_type
-  FROM (SELECT *, CAST(violations AS VARCHAR) || ' rows violate rule: ' || description AS anomaly_text,
-               lower(CAST(violations AS VARCHAR) || ' rows violate rule: ' || description) AS l
-        FROM evaluated WHERE violations > 0))""", {"suggest": _SUGGEST, "parsed": _PARSED, "checks": _CHECKS,
+  FROM (SELECT *, lower(anomaly_text) AS l FROM (
+          SELECT *, CASE WHEN error IS NOT NULL THEN error || ': ' || description
+                         ELSE CAST(violations AS VARCHAR) || ' rows violate rule: ' || description END AS anomaly_text
+          FROM evaluated WHERE violations > 0 OR error IS NOT NULL)))""", {"suggest": _SUGGEST, "parsed": _PARSED, "checks": _CHECKS,
                                                           "long_values": _long_sql(), "evaluated": ORACLES_EVAL})
 
 
