@@ -10,13 +10,14 @@ step after its activation until the cycle closes; then its total is final.
    phrase hash, which every scan gets (its size does not depend on the corpus).  Two phrases may share a slot: that activates a
    phrase early or needlessly, never late, and both start and end of its cycle follow from the same table,
    so every total covers each shard once whatever the collisions.
- * A scan hashes all phrases of whole Arrow batches, counts the active ones per task, and stores (length, start, key, count).
-   After a step, keys whose partial counts above one alone make the threshold are known to reach it.  When the phrases
-   of a start step have seen all shards, their partial counts are summed, which finds the rest; the tables that
-   only they needed are dropped.
- * The last scan carries the words themselves: it counts the phrases found frequent (told apart by a filter of
-   ``bits`` bits, again of fixed size, with two positions a phrase) by (lang, phrase) and keeps those of ``least``
-   occurrences, so totals don't rest on hashes.
+ * A scan hashes all phrases of whole Arrow batches, counts the active ones per task, and stores (length, start, key, count,
+   a document that holds it).  After a step, keys whose partial counts above one alone make the threshold are known
+   to reach it.  When the phrases of a start step have seen all shards, their partial counts are summed: these totals
+   are final, and the tables that only they needed are dropped.
+ * Each frequent phrase is then spelled once, by the first document that holds it.
+
+Keys have 64 bits and carry the language, so with N different phrases in the corpus two share a key with a probability of
+about N * N / 2**65.
 
 Scores, cuts and containment are joins and grouped extremes over the frequent phrases; numbers that
 may pass 64 bits are decimals.  The first ``top`` of a language are taken per block of its phrases, and then
@@ -43,8 +44,8 @@ from kestrel.llm.common import drop, mix, rolling, store, table, text_chunks, wo
 MAX_WORDS = 4
 NEVER = 255
 BUFFER = 4_000_000
-TEXTS = 200_000
 GAP = re.compile(rb"[ \t]+")
+WORD = r"[^\x20\x09.,;:!?\x0A-\x0D]+"
 
 #: What a byte is: part of a word, a gap between words (1), the end of a piece (2).
 _KIND = np.zeros(256, np.uint8)
@@ -103,6 +104,7 @@ def unpacked(known) -> np.ndarray:
 
 
 def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+    """(batch, first row, end row, bytes, pieces()) of the batches' texts (columns lang, text, and any others)."""
     salts: dict[str, int] = {}
     for batch in batches:
         langs = batch.column(0).to_pylist()
@@ -111,11 +113,11 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         salt = np.array([salts[x] for x in langs], np.uint64)
         for i, j, data, offsets in text_chunks(batch.column(1)):
             if len(data):
-                yield langs[i:j], data, pieces(data, offsets, salt[i:j])
+                yield batch, i, j, data, pieces(data, offsets, salt[i:j])
 
 
 def counted(shard: DataFrame, step: int, shards: int, reached) -> DataFrame:
-    """(len, start, key, n): partial counts of the phrases that are active in this step."""
+    """(len, start, key, n, doc): partial counts of the phrases that are active in this step, and a document with each."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table_ = unpacked(reached)
@@ -124,64 +126,50 @@ def counted(shard: DataFrame, step: int, shards: int, reached) -> DataFrame:
 
         def flush():
             for n, parts in held.items():
-                keys, first, counts = np.unique(np.concatenate([k for k, _ in parts]), return_index=True, return_counts=True)
-                begun = np.concatenate([s for _, s in parts])[first]
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), n, np.int8)), pa.array(begun.astype(np.int16)), pa.array(keys.view(np.int64)), pa.array(counts.astype(np.int64))],
-                                                 names=["len", "start", "key", "n"])
+                keys, first, counts = np.unique(np.concatenate([k for k, _, _ in parts]), return_index=True, return_counts=True)
+                begun, doc = (np.concatenate([p[c] for p in parts])[first] for c in (1, 2))
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), n, np.int8)), pa.array(begun.astype(np.int16)), pa.array(keys.view(np.int64)), pa.array(counts.astype(np.int64)), pa.array(doc)],
+                                                 names=["len", "start", "key", "n", "doc"])
             held.clear()
 
-        for _, _, (_, _, _, piece, words) in _chunks(batches):
+        for batch, i, j, _, (_, _, row, piece, words) in _chunks(batches):
+            docs = batch.column(2).to_numpy()[i:j]
             for n, at, keys, shorter in phrase_keys(piece, words):
                 begun = starts_at(n, at, shorter, table_)
                 on = (begun <= step) & (step < begun.astype(np.int64) + shards)
                 if on.any():
-                    held.setdefault(n, []).append((keys[on], begun[on]))
+                    held.setdefault(n, []).append((keys[on], begun[on], docs[row[at[on]]]))
                     size += int(on.sum())
             if size > BUFFER:
                 yield from flush()
                 size = 0
         yield from flush()
 
-    return shard.select("lang", "text").mapInArrow(run, "len byte, start short, key long, n long")
+    return shard.select("lang", "text", "doc").mapInArrow(run, "len byte, start short, key long, n long, doc long")
 
 
-def spelled(docs: DataFrame, known, bits: int) -> DataFrame:
-    """(lang, phrase, n): partial counts of the phrases known to be frequent, by their words; '' counts all words of a language."""
+def spelled(layout: DataFrame, frequent: DataFrame) -> DataFrame:
+    """(lang, phrase, words, a) of the rows (key, a, doc) of ``frequent``: each document spells the phrases assigned to it."""
+    own = frequent.groupBy("doc").agg(F.collect_list(F.struct("key", "a")).alias("own"))  # at most four a word of the document
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        filter_ = unpacked(known)
-        texts: dict[int, tuple[str, str]] = {}
-        counts: list[tuple[np.ndarray, np.ndarray]] = []
-        total: dict[str, int] = {}
-
-        def flush():
-            if counts:
-                keys, back = np.unique(np.concatenate([k for k, _ in counts]), return_inverse=True)
-                n = np.bincount(back, np.concatenate([c for _, c in counts])).astype(np.int64)
-                named = [texts[k] for k in keys.tolist()]
-                yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in named], pa.string()), pa.array([x for _, x in named], pa.string()), pa.array(n)], names=["lang", "phrase", "n"])
-            texts.clear()
-            counts.clear()
-
-        for langs, data, (starts, ends, row, piece, words) in _chunks(batches):
-            for r, n in zip(*np.unique(row, return_counts=True), strict=True):
-                total[langs[r]] = total.get(langs[r], 0) + int(n)
-            raw = data.tobytes().lower()
+        for batch, i, j, data, (starts, ends, row, piece, words) in _chunks(batches):
+            raw, langs = data.tobytes().lower(), batch.column(0).slice(i, j - i).to_pylist()
+            lists = batch.column(2).slice(i, j - i)
+            flat = lists.flatten()
+            wanted, total = flat.field("key").to_numpy().view(np.uint64), flat.field("a").to_numpy()
+            order = np.argsort(wanted, kind="stable")  # a phrase is assigned to one document only
+            owner = np.repeat(np.arange(j - i), lists.value_lengths().to_numpy())[order]
+            wanted, total = wanted[order], total[order]
             for n, at, keys, _ in phrase_keys(piece, words):
-                on = holds(filter_, keys, bits)
-                unique, first, found = np.unique(keys[on], return_index=True, return_counts=True)
-                counts.append((unique, found))
-                where = at[on][first]
-                for k, i in zip(unique.tolist(), where.tolist(), strict=True):
-                    if k not in texts:
-                        texts[k] = langs[row[i]], GAP.sub(b" ", raw[starts[i] : ends[i + n - 1]]).decode("utf-8", "replace")
-            if len(texts) > TEXTS:
-                yield from flush()
-        yield from flush()
-        if total:
-            yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.string()), pa.array([""] * len(total)), pa.array(list(total.values()), pa.int64())], names=["lang", "phrase", "n"])
+                keys, first = np.unique(keys, return_index=True)
+                _, here, there = np.intersect1d(keys, wanted, assume_unique=True, return_indices=True)
+                where = at[first[here]]
+                names = [GAP.sub(b" ", raw[starts[w] : ends[w + n - 1]]).decode("utf-8", "replace") for w in where.tolist()]
+                yield pa.RecordBatch.from_arrays([pa.array([langs[r] for r in owner[there].tolist()], pa.string()), pa.array(names, pa.string()),
+                                                  pa.array(np.full(len(here), n, np.int32)), pa.array(total[there])], names=["lang", "phrase", "words", "a"])
 
-    return docs.select("lang", "text").mapInArrow(run, "lang string, phrase string, n long")
+    return layout.join(own, "doc").select("lang", "text", "own").mapInArrow(run, "lang string, phrase string, words int, a long")
 
 
 def bitmap(rows: DataFrame, slots: int, *by: str) -> list:
@@ -203,28 +191,8 @@ def mark(frequent: DataFrame, reached: np.ndarray, step: int) -> int:
     return new
 
 
-def positions(keys: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
-    low = np.uint64(bits - 1)
-    return (keys & low).astype(np.int64), ((keys >> np.uint64(32)) & low).astype(np.int64)
-
-
-def filter_bits(frequent: DataFrame, bits: int) -> np.ndarray:
-    """The filter over the keys of ``frequent``, packed (bits / 8 bytes, or one block of 4096)."""
-    low = F.lit(bits - 1)
-    both = F.array(F.col("key").bitwiseAND(low), F.shiftrightunsigned("key", 32).bitwiseAND(low))
-    out = np.zeros(max(1, bits // 32768) * 4096, np.uint8)
-    for r in bitmap(frequent.select(F.explode(both).alias("slot")), bits):
-        out[(r["bucket"] - 1) * 4096 : r["bucket"] * 4096] = np.frombuffer(r["bits"], np.uint8)
-    return out
-
-
-def holds(filter_: np.ndarray, keys: np.ndarray, bits: int) -> np.ndarray:
-    a, b = positions(keys, bits)
-    return ((filter_[a >> 3] >> (a & 7).astype(np.uint8)) & (filter_[b >> 3] >> (b & 7).astype(np.uint8)) & 1).astype(bool)
-
-
 def frequent_keys(layout: DataFrame, shards: int, least: int, slots: int) -> list[DataFrame]:
-    """The counting itself: stored tables (len, key) of the phrases that reach the threshold (a key may occur in several)."""
+    """The counting itself: stored tables (key, a, doc) of the phrases that reach the threshold, each in one of them."""
     sc = layout.sparkSession.sparkContext
     reached = np.full(slots, NEVER, np.uint8)
     parts: list[DataFrame | None] = []
@@ -234,12 +202,13 @@ def frequent_keys(layout: DataFrame, shards: int, least: int, slots: int) -> lis
         known = packed(sc, reached)
         parts.append(store(counted(layout.where(F.col("shard") == step % shards), step, shards, known), f"step{step}"))
         known.destroy()  # the step's table is written
-        found = parts[step].where("n > 1").groupBy("len", "key").agg(F.sum("n").alias("n"))
+        found = parts[step].where("n > 1").groupBy("len", "key").agg(F.sum("n").alias("n")).where(F.col("n") >= least).select("len", "key")
         if (begun := step - shards + 1) >= 0:  # these phrases have now seen every shard
-            closed = reduce(DataFrame.union, [p.where(F.col("start") == begun).select("len", "key", "n") for p in parts[begun:]])
-            found = found.union(closed.groupBy("len", "key").agg(F.sum("n").alias("n")))
-        tables.append(store(found.where(F.col("n") >= least).select("len", "key"), f"frequent{step}"))
-        if mark(tables[-1], reached, step + 1):
+            closed = reduce(DataFrame.union, [p.where(F.col("start") == begun).select("len", "key", "n", "doc") for p in parts[begun:]])
+            closed = closed.groupBy("len", "key").agg(F.sum("n").alias("a"), F.min("doc").alias("doc")).where(F.col("a") >= least)
+            tables.append(store(closed, f"frequent{step}"))
+            found = found.union(tables[-1].select("len", "key"))
+        if mark(found, reached, step + 1):
             last = step + 1
         if begun >= 0:
             drop(parts[begun])
@@ -251,20 +220,18 @@ def frequent_keys(layout: DataFrame, shards: int, least: int, slots: int) -> lis
     return tables
 
 
-def frequent_phrases(docs: DataFrame, least: int, shards: int = 4, slots: int = 1 << 24, bits: int = 1 << 27) -> DataFrame:
+def frequent_phrases(docs: DataFrame, least: int, shards: int = 4, slots: int = 1 << 24) -> DataFrame:
     """(lang, phrase, words, a) of all phrases of 1 to MAX_WORDS words that occur ``least`` times in their language.
 
     Rows with phrase '' and 0 words hold the number of all words of the language.
     """
     text = docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), F.coalesce("text", F.lit("")).alias("text"))
-    layout = store(text.withColumn("shard", F.pmod(F.monotonically_increasing_id(), F.lit(shards)).cast("int")), "shards", by="shard")
-    sc = docs.sparkSession.sparkContext
+    text = text.withColumn("doc", F.monotonically_increasing_id())
+    layout = store(text.withColumn("shard", F.pmod("doc", F.lit(shards)).cast("int")), "shards", by="shard")
     tables = frequent_keys(layout, shards, least, slots)
-    known = packed(sc, filter_bits(reduce(DataFrame.union, tables), bits))
-    counts = spelled(layout, known, bits).groupBy("lang", "phrase").agg(F.sum("n").alias("a")).where((F.col("a") >= least) | (F.col("phrase") == ""))
-    words = F.when(F.col("phrase") == "", 0).otherwise(F.size(F.split("phrase", " ")))
-    out = store(counts.select("lang", "phrase", words.alias("words"), "a"), "phrases")
-    known.destroy()
+    phrases = spelled(layout, reduce(DataFrame.union, tables).select("key", "a", "doc"))
+    every = layout.groupBy("lang").agg(F.sum(F.regexp_count("text", F.lit(WORD)).cast("long")).alias("a"))
+    out = store(phrases.union(every.select("lang", F.lit(""), F.lit(0), "a")), "phrases")
     for t in [layout, *tables]:
         drop(t)
     return out
