@@ -768,6 +768,86 @@ def q_stream_volume_alerts(spark, sf_dir):
     return edge(_complete(spark, counts, "volume", lambda c: MON.volume_alerts(c, "event_type", history=24, k=3.0)))
 
 
+# many batches: every delivery of the feed resumes the query from its checkpoint
+from kestrel.streaming import slices as SL  # noqa: E402
+
+DELIVERIES, DELAY, NTH = 4, "1 hour", 50
+
+
+def _feed(spark, sf_dir, replayed=False):
+    """The events in four deliveries by time; one in fifty arrives two deliveries late."""
+    dealt = SL.deal(feeds.table(spark, sf_dir, "events"), "ts", DELIVERIES, nth=None if replayed else NTH)
+    if replayed:  # the next delivery repeats every fifth event, and its own first event is delivered twice
+        again = dealt.where("event_id % 5 = 0").withColumn("_slice", F.least(F.col("_slice") + 1, F.lit(DELIVERIES - 1)))
+        dealt = dealt.unionByName(again)
+    return SL.Feed(dealt, DELIVERIES)
+
+
+def _appended(spark, feed, build, name, first=0, last=None, out=None, ck=None):
+    """Drain the closed rows of ``build(stream)`` into a file sink, delivery by delivery."""
+    out, ck = out or SS.scratch(spark, name), ck or SS.scratch(spark, f"{name}-ck")
+    reports = feed.drain(lambda: SS.write_files(build(feed.stream("ts")), out, ck), first, last)
+    return out, ck, reports
+
+
+def _plain_times(df):
+    return df.select(*(F.col(f.name).cast("timestamp_ntz").alias(f.name) if isinstance(f.dataType, T.TimestampType) else f.name for f in df.schema.fields))
+
+
+def _closed_windows(stream):
+    return MON.volume_counts(stream, "event_time", "1 day", "event_type", watermark=DELAY)
+
+
+@register("stream_closed_windows")
+def q_stream_closed_windows(spark, sf_dir):
+    """T5 + T11: daily counts over four resumed batches, appended as the watermark closes them; late rows are not in them."""
+    out, _, _ = _appended(spark, _feed(spark, sf_dir), _closed_windows, "closed-windows")
+    return edge(_plain_times(spark.read.parquet(out)))
+
+
+@register("stream_late_rows")
+def q_stream_late_rows(spark, sf_dir):
+    """The rows that came after their daily window was closed, set aside in a table."""
+    feed = _feed(spark, sf_dir)
+    sink = SL.LateRows(SS.scratch(spark, "late"), "ts", lambda t: F.date_trunc("day", t) + F.expr("INTERVAL 1 DAY"), 3_600_000_000)
+    ck = SS.scratch(spark, "late-ck")
+    feed.drain(lambda: SS.run_foreach_batch(feed.stream("ts").drop("event_time"), sink, ck))
+    return sink.read(spark)
+
+
+@register("stream_closed_sessions")
+def q_stream_closed_sessions(spark, sf_dir):
+    """30-minute sessions over four resumed batches, appended and evicted once the watermark has passed their end."""
+    out, _, _ = _appended(spark, _feed(spark, sf_dir), lambda s: MON.sessions(s, "event_time", "30 minutes", "user_id", watermark=DELAY), "closed-sessions")
+    return edge(_plain_times(spark.read.parquet(out)))
+
+
+@register("stream_dedupe")
+def q_stream_dedupe(spark, sf_dir):
+    """Events replayed by the next delivery pass once; keys expire with the watermark (a delivery's span and a day)."""
+    feed = _feed(spark, sf_dir, replayed=True)
+    low, high = feeds.table(spark, sf_dir, "events").agg(F.min(SL.micros(F.col("ts"))), F.max(SL.micros(F.col("ts")))).first()
+    span = f"{(high - low) // DELIVERIES // 1_000_000 + 86_400} seconds" if low is not None else "1 day"
+    out, _, _ = _appended(spark, feed, lambda s: MON.dedupe_events(s, "event_id", "event_time", span).drop("event_time"), "deduped")
+    return spark.read.parquet(out)
+
+
+@register("stream_resume")
+def q_stream_resume(spark, sf_dir):
+    """T11 + T14: a query on a processing-time trigger is stopped after two deliveries; another one resumes from its checkpoint."""
+    feed = _feed(spark, sf_dir)
+    out, ck = SS.scratch(spark, "resumed"), SS.scratch(spark, "resumed-ck")
+    q = SS.write_files(_closed_windows(feed.stream("ts")), out, ck, trigger="1 second")
+    try:
+        for i in range(2):
+            feed.land(i)
+            q.processAllAvailable()
+    finally:
+        q.stop()
+    _appended(spark, feed, _closed_windows, "resumed", 2, None, out, ck)
+    return edge(_plain_times(spark.read.parquet(out)))
+
+
 @register("stream_predict")
 def q_stream_predict(spark, sf_dir):
     """A model fitted on gold scores gold rows as they land (streaming transform)."""

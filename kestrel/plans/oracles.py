@@ -617,6 +617,35 @@ for _stream, _batch in (("stream_windows", "rolling_quality"), ("stream_sessions
     ORACLES[_stream] = ORACLES[_batch]
 
 
+# ---------------------------------------------------------------- streams over four deliveries
+_DEALT = """
+SELECT *, CASE WHEN event_id % 50 = 7 AND own + 2 < 4 THEN own + 2 ELSE own END AS delivery
+FROM (SELECT e.*, ((epoch_us(ts) - low) * 4) // (high - low + 1) AS own
+      FROM events e, (SELECT min(epoch_us(ts)) AS low, max(epoch_us(ts)) AS high FROM events))"""
+#: The watermark while a delivery is read: the latest time of the deliveries before it, in milliseconds, less an hour.
+_MARKED = """
+SELECT d.*, m.mark FROM dealt d LEFT JOIN (
+  SELECT k.delivery, max(date_trunc('millisecond', d.ts)) - INTERVAL 1 HOUR AS mark
+  FROM (SELECT DISTINCT delivery FROM dealt) k JOIN dealt d ON d.delivery < k.delivery GROUP BY k.delivery) m ON d.delivery = m.delivery"""
+_LAST = "(SELECT max(date_trunc('millisecond', ts)) - INTERVAL 1 HOUR FROM events)"
+_SLICES = {"dealt": _DEALT, "marked": _MARKED}
+oracle("stream_closed_windows", f"""
+SELECT event_type, date_trunc('day', ts) AS window_start, date_trunc('day', ts) + INTERVAL 1 DAY AS window_end, count(*) AS events
+FROM marked WHERE mark IS NULL OR date_trunc('day', ts) + INTERVAL 1 DAY > mark
+GROUP BY 1, 2, 3 HAVING date_trunc('day', ts) + INTERVAL 1 DAY <= {_LAST}""", _SLICES)
+ORACLES["stream_resume"] = ORACLES["stream_closed_windows"]
+oracle("stream_late_rows", """
+SELECT event_id, ts, user_id, event_type, value, props FROM marked WHERE date_trunc('day', ts) + INTERVAL 1 DAY <= mark""", _SLICES)
+oracle("stream_closed_sessions", f"""
+SELECT user_id, min(ts) AS session_start, max(ts) + INTERVAL 30 MINUTE AS session_end, count(*) AS events, round(sum(value), 4) AS total_value
+FROM (SELECT *, sum(CASE WHEN prev IS NULL OR ts >= prev + INTERVAL 30 MINUTE THEN 1 ELSE 0 END)
+                  OVER (PARTITION BY user_id ORDER BY ts, event_id) AS sid
+      FROM (SELECT *, lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS prev
+            FROM marked WHERE mark IS NULL OR ts + INTERVAL 30 MINUTE > mark))
+GROUP BY user_id, sid HAVING max(ts) + INTERVAL 30 MINUTE <= {_LAST}""", _SLICES)
+oracle("stream_dedupe", "SELECT DISTINCT event_id, ts, user_id, event_type, value, props FROM events")
+
+
 # ---------------------------------------------------------------- a feed whose schema changed
 _CHANGED = f"""
 SELECT table_name, column_name, CASE WHEN column_name = 'signup_date' THEN 'StringType()' ELSE data_type END AS data_type, ordinal
