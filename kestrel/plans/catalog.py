@@ -848,6 +848,94 @@ def q_stream_resume(spark, sf_dir):
     return edge(_plain_times(spark.read.parquet(out)))
 
 
+from kestrel.operators import sketches as SK  # noqa: E402
+
+
+@register("merged_profile")
+def q_merged_profile(spark, sf_dir):
+    """T3 + Q18: sketches stored by each of four micro-batches, merged; the estimate is held against the exact distinct count."""
+    feed = _feed(spark, sf_dir)
+    sink = SK.SketchBatches(SS.scratch(spark, "sketches"), ["event_id", "user_id", "value"])
+    ck = SS.scratch(spark, "sketches-ck")
+    feed.drain(lambda: SS.run_foreach_batch(feed.stream("ts"), sink, ck))
+    events = feeds.table(spark, sf_dir, "events")
+    exact = events.agg(*(F.count_distinct(c).alias(c) for c in sink.columns)).select(
+        F.inline(F.array(*(F.struct(F.lit(c).alias("column_name"), F.col(c).alias("distinct_count")) for c in sink.columns))))
+    close = F.abs(F.col("distinct_estimate") - F.col("distinct_count")) <= 0.03 * F.col("distinct_count")
+    return edge(SK.merged(sink.read(spark)).join(exact, "column_name").select(
+        "column_name", "runs", "rows", "nulls", "mean", "stddev", "low", "high", "distinct_count", close.alias("within_3_percent")))
+
+
+# ---------------------------------------------------------------- catalog tables, layout, stored models
+def _table_name(kind):
+    return f"kestrel_{kind}_{SS.uuid.uuid4().hex[:12]}"
+
+
+def catalog_tables(spark, sf_dir, buckets=8):
+    """Silver sales and deduplicated customers as bucketed catalog tables; sales are created twice (overwrite) and once by CTAS."""
+    from kestrel.sources import io as IO
+
+    sales, customers = silver(spark, sf_dir, "sales"), silver(spark, sf_dir, "customers")
+    names = {k: _table_name(k) for k in ("sales", "customers", "ctas")}
+    first = IO.table_or_empty(spark, names["sales"], sales.schema)  # no table yet: typed and empty
+    where = SS.scratch(spark, names["sales"])
+    IO.save_bucketed(first, names["sales"], ["customer_id"], buckets, where)
+    IO.save_bucketed(sales, names["sales"], ["customer_id"], buckets, where)
+    IO.ctas(spark, names["ctas"], where, location=SS.scratch(spark, names["ctas"]))
+    IO.save_bucketed(ingest.dedupe_on_key(customers, "customer_id"), names["customers"], ["customer_id"], buckets, SS.scratch(spark, names["customers"]))
+    return names
+
+
+@register("catalog_enriched_sales")
+def q_catalog_enriched_sales(spark, sf_dir):
+    """S3 + S4 + S6 + S11 + J1: the enrichment join over bucketed catalog tables, without a shuffle."""
+    from kestrel.sources import io as IO
+
+    names = catalog_tables(spark, sf_dir)
+    return gold.enrich_sales(IO.read_table(spark, names["sales"]), IO.read_table(spark, names["customers"]), dedupe=False)
+
+
+@register("catalog_ctas")
+def q_catalog_ctas(spark, sf_dir):
+    """S14 + S11: silver sales through CREATE TABLE AS SELECT."""
+    from kestrel.sources import io as IO
+
+    return IO.read_table(spark, catalog_tables(spark, sf_dir)["ctas"])
+
+
+@register("zorder_ranges")
+def q_zorder_ranges(spark, sf_dir):
+    """Events clustered by (user_id, ts) in 64 files; a range of either column is found in a fraction of them."""
+    from kestrel.sources import layout
+
+    path = SS.scratch(spark, "zorder")
+    events = feeds.table(spark, sf_dir, "events")
+    layout.z_ordered(events, ["user_id", "ts"], files=64).write.parquet(path)
+    stored = spark.read.parquet(path)
+    tenth = events.agg(F.expr("max(user_id) div 10")).first()[0]
+    ranges = {"user_id": F.col("user_id") <= F.lit(tenth), "ts": F.col("ts") < F.lit("2024-01-03").cast("timestamp_ntz")}
+    out = None
+    for name, cond in ranges.items():
+        one = layout.files_with(stored, cond).select(F.lit(name).alias("by"), "rows", (F.col("files_hit") <= F.col("files") * 0.4).alias("skips"))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+@register("model_round_trip")
+def q_model_round_trip(spark, sf_dir):
+    """M7: a fitted model stored in the shared folder and loaded again; importances as a table, predictions compared."""
+    model, _, _ = _fit(spark, sf_dir)
+    path = SS.scratch(spark, "model")
+    ML.save_model(model, path)
+    again = ML.load_model(path)
+    rows = scored(spark, sf_dir)
+    a, b = ML.predict(model, rows), ML.predict(again, rows)
+    differ = a.select("customer_id", "prediction").exceptAll(b.select("customer_id", "prediction")).agg(F.count(F.lit(1)).alias("differing"))
+    imp = spark.createDataFrame(ML.feature_importances(again, ML.FEATURES), "feature string, importance double")
+    total = imp.agg((F.abs(F.sum("importance") - 1) < 1e-9).alias("sums_to_one"))
+    return imp.crossJoin(total).crossJoin(differ).select("feature", (F.col("importance") > 0).alias("used"), "sums_to_one", "differing")
+
+
 @register("stream_predict")
 def q_stream_predict(spark, sf_dir):
     """A model fitted on gold scores gold rows as they land (streaming transform)."""

@@ -646,6 +646,21 @@ GROUP BY user_id, sid HAVING max(ts) + INTERVAL 30 MINUTE <= {_LAST}""", _SLICES
 oracle("stream_dedupe", "SELECT DISTINCT event_id, ts, user_id, event_type, value, props FROM events")
 
 
+# ---------------------------------------------------------------- merged profiles, catalog tables, layout, stored models
+oracle("merged_profile", " UNION ALL ".join(f"""
+SELECT '{c}' AS column_name, 4 AS runs, count(*) AS rows, count(*) - count({c}) AS nulls, round(avg({c}), 4) AS mean, round(stddev_samp({c}), 4) AS stddev,
+       round(min({c})::DOUBLE, 4) AS low, round(max({c})::DOUBLE, 4) AS high, count(DISTINCT {c}) AS distinct_count, TRUE AS within_3_percent FROM events"""
+                                             for c in ("event_id", "user_id", "value")))
+ORACLES["catalog_enriched_sales"] = ORACLES["customer_sales_enriched"]
+ORACLES["catalog_ctas"] = ORACLES["clean_sales"]
+oracle("zorder_ranges", """
+SELECT 'user_id' AS "by", count(*) AS rows, TRUE AS skips FROM events WHERE user_id <= (SELECT max(user_id) // 10 FROM events)
+UNION ALL SELECT 'ts', count(*), TRUE FROM events WHERE ts < TIMESTAMP '2024-01-03'""")
+oracle("model_round_trip", """
+SELECT feature, TRUE AS used, TRUE AS sums_to_one, 0 AS differing
+FROM (VALUES ('total_spend'), ('total_orders'), ('avg_order_value')) f(feature)""")
+
+
 # ---------------------------------------------------------------- a feed whose schema changed
 _CHANGED = f"""
 SELECT table_name, column_name, CASE WHEN column_name = 'signup_date' THEN 'StringType()' ELSE data_type END AS data_type, ordinal

@@ -69,6 +69,17 @@ def save_table(df: DataFrame, name: str, fmt: str = "parquet", mode: str = "over
     df.write.mode(mode).format(fmt).saveAsTable(name)
 
 
+def save_bucketed(df: DataFrame, name: str, columns: list[str], buckets: int, path: str, fmt: str = "parquet") -> DataFrame:
+    """Overwrite a catalog table stored at ``path``, bucketed and sorted by ``columns``.
+
+    Tables with equal buckets join and group on these columns without a shuffle.  A hot key makes its bucket
+    large, so this is for keys of bounded frequency (customers of a dimension), not for skewed facts.
+    """
+    (df.repartition(buckets, *columns).write.mode("overwrite").format(fmt).option("path", path)
+     .bucketBy(buckets, *columns).sortBy(*columns).saveAsTable(name))
+    return df.sparkSession.table(name)
+
+
 def append(df: DataFrame, target: str, fmt: str = "parquet", by_path: bool = True,
            merge_schema: bool = True) -> None:
     """Append, letting new columns extend the stored schema."""
@@ -140,9 +151,10 @@ def bronze(raw: DataFrame, source: str, source_file: bool = True) -> DataFrame:
     return raw.withColumns(extra)
 
 
-def ctas(spark: SparkSession, name: str, path: str, fmt: str = "parquet") -> DataFrame:
-    """CREATE TABLE ... AS SELECT from a path."""
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} USING {fmt} AS SELECT * FROM {fmt}.`{path}`")
+def ctas(spark: SparkSession, name: str, path: str, fmt: str = "parquet", location: str | None = None) -> DataFrame:
+    """CREATE TABLE ... AS SELECT from a path (stored at ``location``, else in the warehouse)."""
+    where = f" LOCATION '{location}'" if location else ""
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} USING {fmt}{where} AS SELECT * FROM {fmt}.`{path}`")
     return spark.table(name)
 
 
