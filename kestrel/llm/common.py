@@ -160,8 +160,10 @@ def components(edges: DataFrame, name: str) -> DataFrame:
     ``component`` is the smallest node reachable.  Alternating large-star and
     small-star steps turn every component into a star around its smallest node in
     a logarithmic number of rounds; every round is a grouped minimum (combined
-    before the shuffle) joined back to the edges, and is written to the shared
-    folder.  Hubs sit on plain equi-joins, which adaptive execution can split.
+    before the shuffle) joined back to the edges.  The minima are written to the
+    shared folder before they are joined: with two plain scans under the join,
+    adaptive execution can split a hub that holds a third of all edges.  A
+    round's tables are deleted once the next round is written.
     """
     e = edges.where("a IS NOT NULL AND b IS NOT NULL AND a <> b")
     e = store(e.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), name)
@@ -172,11 +174,14 @@ def components(edges: DataFrame, name: str) -> DataFrame:
             break
         seen = state
         both = e.union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.min("v").alias("m"))
-        large = (both.where("v > u").join(low, "u")
-                 .select(F.col("v").alias("u"), F.least("u", "m").alias("v")).distinct())
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        e = store(small.union(low.select("u", F.col("m").alias("v"))).distinct(), name)
+        low = store(both.groupBy("u").agg(F.min("v").alias("m")), name)
+        large = store(both.where("v > u").join(low, "u")
+                      .select(F.col("v").alias("u"), F.least("u", "m").alias("v")).distinct(), name)
+        least = store(large.groupBy("u").agg(F.min("v").alias("m")), name)
+        small = large.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        after = store(small.union(least.select("u", F.col("m").alias("v"))).distinct(), name)
+        for old in (e, low, large, least):
+            drop(old)
+        e = after
     star = e.select(F.col("u").alias("node"), F.col("v").alias("component"))
     return star.union(star.select(F.col("component").alias("node"), "component").distinct())

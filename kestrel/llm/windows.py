@@ -168,8 +168,9 @@ def deduplicate_windows(docs: DataFrame, width: int = 50) -> DataFrame:
     cuts = (texts.withColumn("cls", cls).join(lost, ["doc_id", "cls"]).select("doc_id", "text", "sha", "starts")
             .mapInArrow(cut, "doc_id long, sha string, n_removed long, kept string, intervals array<struct<start:int,end:int>>")
             .dropDuplicates(["doc_id", "sha"]))
-    classes = (summary.where(F.col("doc_id").isNotNull() & (F.col("n_words") >= width))
-               .groupBy("sha").agg(F.min("doc_id").alias("first")))
+    # stored, so that a text that a third of all documents repeat can be split in the join
+    classes = store(summary.where(F.col("doc_id").isNotNull() & (F.col("n_words") >= width))
+                    .groupBy("sha").agg(F.min("doc_id").alias("first")), "first-copies")
     whole = F.coalesce(F.col("first") < F.col("doc_id"), F.lit(False))
     span = F.array(F.struct(F.lit(0).alias("start"), F.col("n_words").cast("int").alias("end")))
     return (summary.drop("anchors").join(classes, "sha", "left").join(cuts, ["doc_id", "sha"], "left")
