@@ -27,6 +27,18 @@ def schema_snapshot(spark: SparkSession, table_name: str, schema: T.StructType |
     return spark.createDataFrame(rows, SNAPSHOT_SCHEMA)
 
 
+def payload_snapshot(df: DataFrame, json_col: str, table_name: str) -> DataFrame:
+    """The keys of a JSON object column with their types merged over all rows, as a snapshot (one row a key).
+
+    Types merge as in ``schema_of_variant_agg``: numbers widen, a null fits any type, and others become VARIANT.
+    Null and malformed text and values that are no objects give no key.  Merging starts before the shuffle.
+    """
+    payloads = df.select(F.try_parse_json(json_col).alias("_payload"))
+    fields = payloads.lateralJoin(df.sparkSession.tvf.variant_explode(F.col("_payload").outer()))
+    types = fields.where("key IS NOT NULL").groupBy("key").agg(F.schema_of_variant_agg("value").alias("data_type"))
+    return types.select(F.lit(table_name).alias("table_name"), F.col("key").alias("column_name"), "data_type", F.lit(0).alias("ordinal"))
+
+
 def schema_drift(baseline: DataFrame, current: DataFrame) -> DataFrame:
     """(table_name, column_name, change_type, baseline_type, current_type).
 

@@ -27,8 +27,9 @@ def label_high_value(gold_sales: DataFrame, spend: float = 5000, aov: float = 20
 
 
 def split_flag(key: Column, train_pct: int = 80, seed: int = 42) -> Column:
-    """M2: stable train flag from a hash of the key (independent of partitioning)."""
-    return F.pmod(F.xxhash64(key, F.lit(seed)), F.lit(100)) < train_pct
+    """M2: stable train flag from the MD5 of ``key:seed`` (independent of partitioning, and other engines can repeat it)."""
+    digest = F.md5(F.concat_ws(":", key.cast("string"), F.lit(str(seed))))
+    return F.conv(F.substring(digest, 1, 8), 16, 10).cast("long") % 100 < train_pct
 
 
 def train_test_split(df: DataFrame, key: str = "customer_id", train_pct: int = 80, seed: int = 42):
@@ -71,6 +72,17 @@ def predict(model: PipelineModel, df: DataFrame) -> DataFrame:
     return model.transform(df).select(*df.columns, F.when(known, F.col("prediction").cast("int")).alias("prediction"))
 
 
+def midpoint_predictions(train: DataFrame, test: DataFrame, feature: str = "total_spend") -> DataFrame:
+    """``test`` with ``prediction``: 1 above the middle of the two classes' training means of one feature.
+
+    The simple model that the forest is held against.  The middle is one row, so its broadcast has a proven size;
+    where a class has no training row the prediction is null.
+    """
+    y = F.col(LABEL)
+    middle = train.agg(((F.avg(F.when(y == 1, F.col(feature))) + F.avg(F.when(y == 0, F.col(feature)))) / 2).alias("_middle"))
+    return test.crossJoin(F.broadcast(middle)).withColumn("prediction", (F.col(feature) >= F.col("_middle")).cast("int")).drop("_middle")
+
+
 # ---------------------------------------------------------------- M6 / A19
 DATE_FEATURES = ["total_orders", "avg_order_value", "first_purchase_day", "last_purchase_day", "active_days"]
 
@@ -105,6 +117,12 @@ def regression_metrics(pred: DataFrame, label: str = "total_spend", prediction:
                     F.when(sst > 0, 1 - F.col("sse") / sst).alias("r2"))
 
 
+def ratio_predictions(train: DataFrame, test: DataFrame, target: str = "total_spend", size: str = "total_orders") -> DataFrame:
+    """``test`` with ``prediction``: ``size`` times the training rows' target per unit of size (null without training rows)."""
+    ratio = train.agg((F.sum(target) / F.sum(size)).alias("_ratio"))
+    return test.crossJoin(F.broadcast(ratio)).withColumn("prediction", F.col("_ratio") * F.col(size)).drop("_ratio")
+
+
 def feature_importances(model: PipelineModel, names: list[str]) -> list[tuple[str, float]]:
     """M7: (feature, importance) of the fitted forest (model metadata, tiny)."""
     imp = model.stages[-1].featureImportances

@@ -608,6 +608,18 @@ def q_train_test_split(spark, sf_dir):
         .groupBy("split", ML.LABEL).agg(F.count(F.lit(1)).alias("rows"))
 
 
+@register("baseline_classifier_metrics")
+def q_baseline_classifier_metrics(spark, sf_dir):
+    """M2 + A18: accuracy and F1 of the midpoint model on the test split, which the forest is held against."""
+    return edge(ML.classification_metrics(ML.midpoint_predictions(*ML.train_test_split(labelled(spark, sf_dir)))))
+
+
+@register("baseline_regression_metrics")
+def q_baseline_regression_metrics(spark, sf_dir):
+    """M2 + F19 + A19: MAE, RMSE and R^2 of the ratio model on the test split, which the forest is held against."""
+    return edge(ML.regression_metrics(ML.ratio_predictions(*ML.train_test_split(ML.regression_features(gold_sales(spark, sf_dir))))))
+
+
 def _fit(spark, sf_dir):
     lab = labelled(spark, sf_dir)
     train, test = ML.train_test_split(lab)
@@ -848,6 +860,35 @@ def q_stream_resume(spark, sf_dir):
     return edge(_plain_times(spark.read.parquet(out)))
 
 
+@register("stream_trailing_alerts")
+def q_stream_trailing_alerts(spark, sf_dir):
+    """Closed hourly counts over four resumed batches, each scored against the last 24 counts a key kept as state."""
+    feed = _feed(spark, sf_dir)
+    sink, ck = SB.TrailingAlertBatches(SS.scratch(spark, "trailing")), SS.scratch(spark, "trailing-ck")
+    hourly = lambda: MON.volume_counts(feed.stream("ts"), "event_time", "1 hour", "event_type", watermark=DELAY)
+    feed.drain(lambda: SS.run_foreach_batch(hourly(), sink, ck))
+    return edge(_plain_times(sink.read(spark)))
+
+
+def _changing_payloads(spark, sf_dir):
+    """Four deliveries of the events; their producer adds a key to the second, drops one from the third and retypes one in the fourth."""
+    dealt = SL.deal(feeds.table(spark, sf_dir, "events"), "ts", DELIVERIES)
+    k, channel = F.get_json_object("props", "$.k"), F.col("event_type").alias("channel")
+    props = (F.when(F.col("_slice") == 1, F.to_json(F.struct(k.cast("long").alias("k"), channel)))
+             .when(F.col("_slice") == 2, F.to_json(F.struct(channel)))
+             .when(F.col("_slice") == 3, F.to_json(F.struct(k.alias("k")))).otherwise(F.col("props")))
+    return SL.Feed(dealt.withColumn("props", props), DELIVERIES)
+
+
+@register("stream_payload_drift")
+def q_stream_payload_drift(spark, sf_dir):
+    """A new, a missing and a retyped payload key, each found in the batch in which it first arrives."""
+    feed = _changing_payloads(spark, sf_dir)
+    sink, ck = SB.PayloadDriftBatches(SS.scratch(spark, "payload"), "events", "props", {"k": "BIGINT"}, "payload"), SS.scratch(spark, "payload-ck")
+    feed.drain(lambda: SS.run_foreach_batch(feed.stream("ts"), sink, ck))
+    return sink.read(spark)
+
+
 from kestrel.operators import sketches as SK  # noqa: E402
 
 

@@ -390,6 +390,28 @@ oracle("high_value_label", """SELECT customer_id, CAST(total_spend AS BIGINT) AS
   FROM gold_sales WHERE total_spend IS NOT NULL AND total_orders IS NOT NULL AND avg_order_value IS NOT NULL""", _G)
 
 
+_SPLIT = "('0x' || substr(md5(customer_id || ':42'), 1, 8))::BIGINT % 100 < 80 AS train"
+_LABELLED = {**_G, "labelled": f"""
+SELECT customer_id, total_spend, total_orders, avg_order_value, {_SPLIT},
+  CASE WHEN total_spend >= 2500000 OR avg_order_value >= 41000 THEN 1 ELSE 0 END AS is_high_value
+FROM gold_sales WHERE total_spend IS NOT NULL AND total_orders IS NOT NULL AND avg_order_value IS NOT NULL"""}
+oracle("train_test_split", """SELECT CASE WHEN train THEN 'train' ELSE 'test' END AS split, CAST(is_high_value AS INTEGER) AS is_high_value,
+  count(*) AS rows FROM labelled GROUP BY 1, 2""", _LABELLED)
+oracle("baseline_classifier_metrics", """
+SELECT tp, fp, fn, tn, tp + fp + fn + tn AS n, round((tp + tn) / (tp + fp + fn + tn), 4) AS accuracy,
+  round(CASE WHEN 2 * tp + fp + fn > 0 THEN 2 * tp / (2 * tp + fp + fn) ELSE 0 END, 4) AS f1
+FROM (SELECT count(*) FILTER (y = 1 AND p) AS tp, count(*) FILTER (y = 0 AND p) AS fp, count(*) FILTER (y = 1 AND NOT p) AS fn, count(*) FILTER (y = 0 AND NOT p) AS tn
+      FROM (SELECT is_high_value AS y, total_spend >= middle AS p FROM labelled,
+              (SELECT (avg(total_spend) FILTER (is_high_value = 1) + avg(total_spend) FILTER (is_high_value = 0)) / 2 AS middle FROM labelled WHERE train)
+            WHERE NOT train))""", _LABELLED)
+oracle("baseline_regression_metrics", f"""
+SELECT count(*) AS n, round(avg(abs(p - y)), 4) AS mae, round(sqrt(avg((p - y) * (p - y))), 4) AS rmse,
+  round(1 - sum((p - y) * (p - y)) / (var_pop(y) * count(*)), 4) AS r2
+FROM (SELECT total_spend::DOUBLE AS y, ratio * total_orders AS p FROM rows,
+        (SELECT sum(total_spend)::DOUBLE / sum(total_orders) AS ratio FROM rows WHERE train) WHERE NOT train)""",
+       {**_G, "rows": f"SELECT *, {_SPLIT} FROM gold_sales WHERE total_spend IS NOT NULL AND avg_order_value IS NOT NULL AND first_purchase_date IS NOT NULL"})
+
+
 # ---------------------------------------------------------------- windowed monitors (batch forms)
 _TX_EVENTS = TRANSACTIONS_RAW_WITH_TS = """
 SELECT ts, CASE WHEN event_id % 90 = 0 THEN NULL ELSE 'C' || lpad(CAST(user_id AS VARCHAR), 6, '0') END AS customer_id,
@@ -643,6 +665,28 @@ FROM (SELECT *, sum(CASE WHEN prev IS NULL OR ts >= prev + INTERVAL 30 MINUTE TH
       FROM (SELECT *, lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS prev
             FROM marked WHERE mark IS NULL OR ts + INTERVAL 30 MINUTE > mark))
 GROUP BY user_id, sid HAVING max(ts) + INTERVAL 30 MINUTE <= {_LAST}""", _SLICES)
+oracle("stream_trailing_alerts", f"""
+SELECT *, CASE WHEN is_alert THEN CASE WHEN events > trailing_mean THEN 'spike' ELSE 'drop' END END AS direction FROM (
+  SELECT event_type, window_start, window_end, events, round(trailing_mean, 4) AS trailing_mean,
+         round(trailing_sd, 4) AS trailing_sd, trailing_n,
+         coalesce(trailing_n >= 3 AND trailing_sd IS NOT NULL AND trailing_sd > 0
+                  AND abs(events - trailing_mean) > 3 * trailing_sd, false) AS is_alert
+  FROM (SELECT *, avg(events) OVER w AS trailing_mean, stddev_samp(events) OVER w AS trailing_sd, count(events) OVER w AS trailing_n
+        FROM (SELECT event_type, date_trunc('hour', ts) AS window_start, date_trunc('hour', ts) + INTERVAL 1 HOUR AS window_end, count(*) AS events
+              FROM marked WHERE mark IS NULL OR date_trunc('hour', ts) + INTERVAL 1 HOUR > mark
+              GROUP BY 1, 2, 3 HAVING date_trunc('hour', ts) + INTERVAL 1 HOUR <= {_LAST})
+        WINDOW w AS (PARTITION BY event_type ORDER BY window_start ROWS BETWEEN 24 PRECEDING AND 1 PRECEDING)))""", _SLICES)
+oracle("stream_payload_drift", """
+SELECT 'events' AS table_name, column_name, CASE WHEN current_type IS NULL THEN 'missing' WHEN baseline_type IS NULL THEN 'new' ELSE 'type_mismatch' END AS change_type,
+       baseline_type, current_type, 'payload_00000' || delivery AS run_id
+FROM (SELECT own AS delivery, 'k' AS column_name, 'BIGINT' AS baseline_type FROM (SELECT DISTINCT own FROM dealt))
+FULL JOIN (SELECT delivery, column_name, max(data_type) AS current_type FROM (
+  SELECT delivery, column_name, CASE json_type(props, '$.' || column_name) WHEN 'VARCHAR' THEN 'STRING' ELSE 'BIGINT' END AS data_type
+  FROM (SELECT delivery, props, unnest(json_keys(props)) AS column_name FROM (
+    SELECT own AS delivery, CASE own WHEN 1 THEN json_object('k', json_extract(props, '$.k'), 'channel', event_type)
+      WHEN 2 THEN json_object('channel', event_type) WHEN 3 THEN json_object('k', json_extract_string(props, '$.k')) ELSE props::JSON END AS props FROM dealt)))
+  GROUP BY 1, 2) USING (delivery, column_name)
+WHERE baseline_type IS DISTINCT FROM current_type""", _SLICES)
 oracle("stream_dedupe", "SELECT DISTINCT event_id, ts, user_id, event_type, value, props FROM events")
 
 

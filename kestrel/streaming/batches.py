@@ -8,7 +8,7 @@ several tables or streams share a log without touching each other's rows.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -160,3 +160,62 @@ class VolumeAlertBatches:
             self._append_new(fresh.withColumn("batch_id", F.lit(batch_id)), self.alerts_path)
         finally:
             batch.unpersist()
+
+
+class TrailingAlertBatches:
+    """T6 on an endless stream: closed window counts in, alerts out, with bounded state.
+
+    The state is the last ``history`` counts of every key.  A batch reads the state that the batch before it has left and
+    its own windows, never older counts, so what it reads does not grow with the stream's age.  Two state folders
+    take turns: a replayed batch finds its predecessor's untouched and overwrites its own, as it does its alerts.
+    Windows must arrive in the order of their start within a key, as appended windows of one size do.
+    """
+
+    def __init__(self, path: str, key: str = "event_type", history: int = 24, k: float = 3.0):
+        self.path, self.key, self.history, self.k = path, key, history, k
+
+    def state_path(self, batch_id: int) -> str:
+        return f"{self.path}/state-{batch_id % 2}"
+
+    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        from kestrel.streaming.monitors import volume_alerts
+
+        batch = batch.select(self.key, "window_start", "window_end", "events")
+        counts = batch.withColumn("_new", F.lit(True))
+        if batch_id:
+            state = batch.sparkSession.read.schema(batch.schema).parquet(self.state_path(batch_id - 1))
+            counts = counts.unionByName(state.withColumn("_new", F.lit(False)))
+        counts = counts.persist()
+        try:
+            scored = volume_alerts(counts, self.key, self.history, self.k).where("_new").drop("_new")
+            scored.write.mode("overwrite").parquet(f"{self.path}/alerts/batch={batch_id}")
+            newest = Window.partitionBy(self.key).orderBy(F.col("window_start").desc())
+            last = counts.drop("_new").withColumn("_nth", F.row_number().over(newest)).where(F.col("_nth") <= self.history).drop("_nth")
+            last.write.mode("overwrite").parquet(self.state_path(batch_id))
+        finally:
+            counts.unpersist()
+
+    def read(self, spark) -> DataFrame:
+        return spark.read.parquet(f"{self.path}/alerts").drop("batch")
+
+
+class PayloadDriftBatches:
+    """Each micro-batch's JSON payload, keys and merged types, against the expected ones (``{key: type}``).
+
+    One row per missing, new or retyped key, stored per batch; a replayed batch replaces its rows.
+    A batch without rows has no payload to compare and gives none.
+    """
+
+    def __init__(self, path: str, table_name: str, payload_col: str, expected: dict[str, str], stream: str = "batch"):
+        self.path, self.table_name, self.payload_col, self.expected, self.stream = path, table_name, payload_col, expected, stream
+
+    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        rows = [(self.table_name, k, t, 0) for k, t in self.expected.items()]
+        expected = spark.createDataFrame(rows if not batch.isEmpty() else [], D.SNAPSHOT_SCHEMA)
+        drift = D.schema_drift(expected, D.payload_snapshot(batch, self.payload_col, self.table_name))
+        run_id = run_id_of(batch_id, self.stream)
+        drift.withColumn("run_id", F.lit(run_id)).write.mode("overwrite").parquet(f"{self.path}/batch={batch_id}")
+
+    def read(self, spark) -> DataFrame:
+        return spark.read.parquet(self.path).drop("batch")
