@@ -75,12 +75,14 @@ def predict(model: PipelineModel, df: DataFrame) -> DataFrame:
 def midpoint_predictions(train: DataFrame, test: DataFrame, feature: str = "total_spend") -> DataFrame:
     """``test`` with ``prediction``: 1 above the middle of the two classes' training means of one feature.
 
-    The simple model that the forest is held against.  The middle is one row, so its broadcast has a proven size;
-    where a class has no training row the prediction is null.
+    The simple model that the forest is held against.  The middle is one row, so its broadcast has a proven size.
+    Where only one class has training rows, that class is predicted; without any the prediction is null.
     """
     y = F.col(LABEL)
-    middle = train.agg(((F.avg(F.when(y == 1, F.col(feature))) + F.avg(F.when(y == 0, F.col(feature)))) / 2).alias("_middle"))
-    return test.crossJoin(F.broadcast(middle)).withColumn("prediction", (F.col(feature) >= F.col("_middle")).cast("int")).drop("_middle")
+    middle = train.agg(((F.avg(F.when(y == 1, F.col(feature))) + F.avg(F.when(y == 0, F.col(feature)))) / 2).alias("_middle"),
+                       F.max(y).alias("_only"))
+    return test.crossJoin(F.broadcast(middle)).withColumn(
+        "prediction", F.coalesce((F.col(feature) >= F.col("_middle")).cast("int"), F.col("_only"))).drop("_middle", "_only")
 
 
 # ---------------------------------------------------------------- M6 / A19

@@ -398,11 +398,12 @@ FROM gold_sales WHERE total_spend IS NOT NULL AND total_orders IS NOT NULL AND a
 oracle("train_test_split", """SELECT CASE WHEN train THEN 'train' ELSE 'test' END AS split, CAST(is_high_value AS INTEGER) AS is_high_value,
   count(*) AS rows FROM labelled GROUP BY 1, 2""", _LABELLED)
 oracle("baseline_classifier_metrics", """
-SELECT tp, fp, fn, tn, tp + fp + fn + tn AS n, round((tp + tn) / (tp + fp + fn + tn), 4) AS accuracy,
+SELECT tp, fp, fn, tn, tp + fp + fn + tn AS n, CASE WHEN tp + fp + fn + tn > 0 THEN round((tp + tn) / (tp + fp + fn + tn), 4) END AS accuracy,
   round(CASE WHEN 2 * tp + fp + fn > 0 THEN 2 * tp / (2 * tp + fp + fn) ELSE 0 END, 4) AS f1
 FROM (SELECT count(*) FILTER (y = 1 AND p) AS tp, count(*) FILTER (y = 0 AND p) AS fp, count(*) FILTER (y = 1 AND NOT p) AS fn, count(*) FILTER (y = 0 AND NOT p) AS tn
-      FROM (SELECT is_high_value AS y, total_spend >= middle AS p FROM labelled,
-              (SELECT (avg(total_spend) FILTER (is_high_value = 1) + avg(total_spend) FILTER (is_high_value = 0)) / 2 AS middle FROM labelled WHERE train)
+      FROM (SELECT is_high_value AS y, coalesce(total_spend >= middle, only_class = 1) AS p FROM labelled,
+              (SELECT (avg(total_spend) FILTER (is_high_value = 1) + avg(total_spend) FILTER (is_high_value = 0)) / 2 AS middle, max(is_high_value) AS only_class
+               FROM labelled WHERE train)
             WHERE NOT train))""", _LABELLED)
 oracle("baseline_regression_metrics", f"""
 SELECT count(*) AS n, round(avg(abs(p - y)), 4) AS mae, round(sqrt(avg((p - y) * (p - y))), 4) AS rmse,

@@ -96,5 +96,6 @@ def test_forest_beats_the_simple_models(spark):
 
 def test_simple_models_without_training_rows(spark):
     df = spark.createDataFrame([("a", 5, 1, 5.0, 1)], "customer_id string, total_spend long, total_orders long, avg_order_value double, is_high_value int")
-    assert ML.midpoint_predictions(df, df).first().prediction is None
+    assert ML.midpoint_predictions(df, df).first().prediction == 1
+    assert ML.midpoint_predictions(df.where("false"), df).first().prediction is None
     assert ML.ratio_predictions(df.where("false"), df).first().prediction is None
