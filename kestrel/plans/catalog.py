@@ -616,7 +616,7 @@ def q_baseline_classifier_metrics(spark, sf_dir):
 
 @register("baseline_regression_metrics")
 def q_baseline_regression_metrics(spark, sf_dir):
-    """M2 + F19 + A19: MAE, RMSE and R^2 of the ratio model on the test split, which the forest is held against."""
+    """M2 + A19: MAE, RMSE and R^2 of the ratio model on the test split, which the forest is held against."""
     return edge(ML.regression_metrics(ML.ratio_predictions(*ML.train_test_split(ML.regression_features(gold_sales(spark, sf_dir))))))
 
 
