@@ -15,11 +15,13 @@ Steps
  3. A band value that a single class holds cannot be part of a shared key, so only
     repeated band values are combined into keys (lossless).
  4. Keys are shuffled and streamed in sorted order: the first ``small`` classes of a bucket give all
-    their pairs, the others one link each (to a like neighbour or the first), so candidates grow with the rows.  Pairs whose
-    minhash values rule the similarity out (``SLACK`` standard deviations) go.
- 5. Candidates connect classes into families.  The likeliest candidate of every class is confirmed on the
-    full sets, which gives first components.  Pairs of different components inside a family are then
-    compared in bounded blocks, again confirmed on the full sets; only links that join components leave a block.
+    their pairs, the others one link each (to a like neighbour or the first), so links grow with the rows.  Links whose
+    minhash values rule the similarity out (``SLACK`` standard deviations) are no candidates.
+ 5. Candidates, and all links of hot buckets (more than ``small`` classes) whether likely or not, connect classes into
+    families, so two classes that share a key are a candidate or in one family.  The likeliest candidate of every
+    class is confirmed on the full sets, which gives first components.  Pairs of different components inside a
+    family are then compared in bounded blocks: first by minhash values alone, then, for the classes that have
+    a likely partner in their block, on the full sets.  Only links that join components leave a block.
  6. Components of the confirmed links, by grouped minima.
 
 Defined results: a null or blank text has an empty set, is linked with nothing and
@@ -137,10 +139,11 @@ def tensor_keys(classes: DataFrame, rows: int, side: int) -> DataFrame:
 
 
 def bucket_links(keys: DataFrame, small: int) -> DataFrame:
-    """Candidate links (a < b) of every bucket; the rows of a key are streamed in (near, id) order.
+    """Links (a, b, hot), a < b, of every bucket; the rows of a key are streamed in (near, id) order.
 
     The first ``small`` classes of a bucket give all their pairs.  Of the others, each is linked with the one
-    before it if both have the same near value, else with the bucket's first: one link a row.
+    before it if both have the same near value, else with the bucket's first: one link a row.  These links, and
+    those of the first ``small`` with the first, are hot: they connect all classes of a bucket too large for all its pairs.
     No more than ``small`` ids are held, whatever the bucket's size.
     """
 
@@ -151,7 +154,7 @@ def bucket_links(keys: DataFrame, small: int) -> DataFrame:
             if not len(ks):
                 continue
             cuts = np.concatenate([[0], np.flatnonzero(ks[1:] != ks[:-1]) + 1, [len(ks)]])
-            a, b = [], []
+            a, b, hot = [], [], []
             for i, j in zip(cuts[:-1], cuts[1:], strict=True):
                 if ks[i] != key:
                     if j - i == 1 and j < len(ks):  # alone in its bucket
@@ -160,6 +163,7 @@ def bucket_links(keys: DataFrame, small: int) -> DataFrame:
                 for x in ids[i : min(j, i + small - len(head))].tolist():
                     a += head
                     b += [x] * len(head)
+                    hot += [False] * len(head)
                     head.append(x)
                     last, like = x, nears[i]
                     i += 1
@@ -167,18 +171,21 @@ def bucket_links(keys: DataFrame, small: int) -> DataFrame:
                     before, same = np.concatenate([[last], ids[i : j - 1]]), nears[i:j] == np.concatenate([[like], nears[i : j - 1]])
                     a += np.where(same, before, head[0]).tolist()
                     b += ids[i:j].tolist()
+                    a += head[:1] * (len(head) - 1)
+                    b += head[1:]
+                    hot += [True] * (j - i + len(head) - 1)
                     last, like = ids[j - 1], nears[j - 1]
             a, b = np.array(a, np.int64), np.array(b, np.int64)
-            ab = np.stack([np.minimum(a, b), np.maximum(a, b)], 1)
-            ab = np.unique(ab[a != b], axis=0)
-            yield pa.RecordBatch.from_arrays([pa.array(ab[:, 0].copy()), pa.array(ab[:, 1].copy())], names=["a", "b"])
+            rows = np.stack([np.minimum(a, b), np.maximum(a, b), np.array(hot, np.int64)], 1)
+            rows = np.unique(rows[a != b], axis=0)
+            yield pa.RecordBatch.from_arrays([pa.array(rows[:, 0].copy()), pa.array(rows[:, 1].copy()), pa.array(rows[:, 2] == 1)], names=["a", "b", "hot"])
 
     ordered = keys.repartition("key").sortWithinPartitions("key", "near", "id")
-    return ordered.mapInArrow(run, "a long, b long").distinct()
+    return ordered.mapInArrow(run, "a long, b long, hot boolean").groupBy("a", "b").agg(F.max("hot").alias("hot"))
 
 
 def estimated(links: DataFrame, classes: DataFrame, least: float) -> DataFrame:
-    """(a, b, likeness) of the links whose minhash values allow the wanted similarity."""
+    """(a, b, likeness) of the links that are hot or whose minhash values allow the wanted similarity."""
     left = classes.select(F.col("id").alias("a"), F.col("sketch").alias("sa"))
     right = classes.select(F.col("id").alias("b"), F.col("sketch").alias("sb"))
     both = links.join(left, "a").join(right, "b")
@@ -192,9 +199,9 @@ def estimated(links: DataFrame, classes: DataFrame, least: float) -> DataFrame:
             sb = np.frombuffer(b"".join(batch.column("sb").to_pylist()), np.uint32).reshape(n, -1)
             like = (sa == sb).mean(1)
             out = pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(like)], names=["a", "b", "likeness"])
-            yield out.filter(pa.array(like >= least))
+            yield out.filter(pa.array((like >= least) | np.asarray(batch.column("hot").to_pylist(), bool)))
 
-    return both.select("a", "b", "sa", "sb").mapInArrow(run, "a long, b long, likeness double")
+    return both.select("a", "b", "hot", "sa", "sb").mapInArrow(run, "a long, b long, likeness double")
 
 
 def nearest(candidates: DataFrame) -> DataFrame:
@@ -251,7 +258,9 @@ def family_links(members: DataFrame, sketches: DataFrame, sets: DataFrame, block
     ``members`` (family, id, component): families are connected by candidate links, components by confirmed ones.
     Families of up to ``block`` classes share bounded groups; a larger one is dealt into blocks, with
     blocks of their own for its large components, and every pair of blocks that is not of one component is a
-    group of at most about 2 * block classes.  A group tests its pairs of different components, likeliest first, skips
+    group of at most about 2 * block classes.  A group is read twice.  First with minhash values alone: classes without a
+    likely partner of another component leave it, so unlike texts over one template never carry their sets into the
+    blocks.  Then it tests its likely pairs of different components on the sets, likeliest first, skips
     those joined meanwhile, and returns only links that join: fewer than its classes.
     """
     sizes = members.groupBy("family").agg(F.count("*").alias("n"), F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi")
@@ -274,14 +283,13 @@ def family_links(members: DataFrame, sketches: DataFrame, sets: DataFrame, block
     many = many.join(dealt, (F.col("family") == F.col("family3")) & F.col("own").eqNullSafe(F.col("own3")) & (F.col("slot") == F.col("slot3")))
     many = many.select(F.col("family").alias("g"), F.lit(True).alias("big"), F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "mine",
                        "family", "id", "component")
-    dealt = few.union(many).join(sketches.select("id", "sketch"), "id").join(sets, "id")
+    dealt = few.union(many).join(sketches.select("id", "sketch"), "id")
 
-    def compare(batch):
-        n = batch.num_rows
-        sk = np.frombuffer(b"".join(batch.column("sketch").to_pylist()), np.uint32).reshape(n, -1)
+    def likely(batch):
+        """Row numbers and likeness of the pairs of different components that the minhash values allow."""
+        sk = np.frombuffer(b"".join(batch.column("sketch").to_pylist()), np.uint32).reshape(batch.num_rows, -1)
         ids, comp, fam, mine = (batch.column(c).to_numpy() for c in ("id", "component", "family", "mine"))
         i, j = batch.column("i")[0].as_py(), batch.column("j")[0].as_py()
-        full = [np.frombuffer(x, np.uint64) for x in batch.column("shingles").to_pylist()]
         xs, ys, like = [], [], []
         for x in np.flatnonzero(mine == i):
             y = np.flatnonzero((fam == fam[x]) & (comp != comp[x]) & (mine == j) & ((i != j) | (ids > ids[x])))
@@ -290,7 +298,20 @@ def family_links(members: DataFrame, sketches: DataFrame, sets: DataFrame, block
             xs.append(np.full(int(ok.sum()), x))
             ys.append(y[ok])
             like.append(p[ok])
-        xs, ys, like = (np.concatenate(z) if z else np.empty(0, np.int64) for z in (xs, ys, like))
+        return (np.concatenate(z) if z else np.empty(0, np.int64) for z in (xs, ys, like))
+
+    def partnered(batch):
+        xs, ys, _ = likely(batch)
+        return batch.take(pa.array(np.union1d(xs, ys).astype(np.int64)))
+
+    group = ("g", "big", "i", "j")
+    dealt = dealt.select(*group, "mine", "family", "id", "component", "sketch")
+    dealt = store(dealt.groupBy(*group).applyInArrow(partnered, dealt.schema), "partners").join(sets, "id")
+
+    def compare(batch):
+        ids, comp = (batch.column(c).to_numpy() for c in ("id", "component"))
+        full = [np.frombuffer(x, np.uint64) for x in batch.column("shingles").to_pylist()]
+        xs, ys, like = likely(batch)
         root = {c: c for c in comp.tolist()}
 
         def find(c):
@@ -309,7 +330,7 @@ def family_links(members: DataFrame, sketches: DataFrame, sets: DataFrame, block
                 b.append(max(int(ids[x]), int(ids[y])))
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
-    return dealt.groupBy("g", "big", "i", "j").applyInArrow(compare, "a long, b long")
+    return dealt.groupBy(*group).applyInArrow(compare, "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, words: int = 5, num: int = 80, den: int = 100, rows: int = 3, side: int = 16,
@@ -332,7 +353,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, num: int = 80, den: int = 1
     candidates = store(estimated(found, classes, least), "candidates")
     family = store(components(candidates, "families"), "families").select(F.col("node").alias("id"), F.col("component").alias("family"))
     sets = store(shingle_sets(docs, classes, family.select("id"), words), "shingles")
-    links = store(confirmed(nearest(candidates), sets, num, den), "links")
+    links = store(confirmed(nearest(candidates.where(F.col("likeness") >= least)), sets, num, den), "links")
     comp = components(links, "components").select(F.col("node").alias("id"), "component")
     members = store(family.join(comp, "id", "left").select("family", "id", F.coalesce("component", "id").alias("component")), "members")
     links = links.union(store(family_links(members, classes, sets, block, least, num, den), "links"))

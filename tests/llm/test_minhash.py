@@ -3,7 +3,7 @@ import random
 import pytest
 
 from kestrel.llm.common import components, table
-from kestrel.llm.minhash import deduplicate, near_duplicates, op2_minhash_near_dedup
+from kestrel.llm.minhash import bucket_links, deduplicate, near_duplicates, op2_minhash_near_dedup
 from tests.llm import brute
 
 
@@ -35,6 +35,47 @@ def test_large_family_needs_blocks(spark):
     assert as_dict(near_duplicates(df, words=4, small=3, block=16)) == brute.near(docs)
 
 
+def template_texts(n, pairs, seed):
+    """``n`` mutually unlike texts over one template, and for the first ``pairs`` of them a near copy."""
+    rng = random.Random(seed)
+    base = [f"w{i}" for i in range(150)]
+    texts = []
+    for i in range(n):
+        start = rng.randrange(150)  # the edited third is one run, so that most shingles stay the template's
+        texts.append([f"x{i}y{k}" if (k - start) % 150 < 40 else w for k, w in enumerate(base)])
+    docs = [(i, " ".join(w)) for i, w in enumerate(texts)]
+    for i in range(pairs):
+        w = list(texts[i])
+        at = rng.randrange(5, 145)
+        w[at] = f"z{i}"
+        docs.append((n + i, " ".join(w)))
+    return docs
+
+
+def test_hot_buckets_lose_no_pair(spark):
+    """Buckets far beyond ``small`` classes, most links proposed there unlike: each near copy is still found."""
+    n, pairs = 1500, 300
+    docs = template_texts(n, pairs, 11)
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(4)
+    got = {i: c for i, (_, c) in as_dict(near_duplicates(df, words=4, small=2, block=128, side=4)).items()}
+    rows = {n + i: i for i in range(pairs)}
+    lost = [i for i, c in rows.items() if got[i] != c]
+    assert not lost and all(got[i] == i for i in range(n))
+
+
+def test_hot_bucket_connects_all_its_classes(spark):
+    """Every class of a bucket beyond ``small`` is reachable over hot links, those of its head too."""
+    keys = spark.createDataFrame([(1, i % 3, i) for i in range(40)] + [(2, 0, 100), (2, 0, 101), (3, 0, 200)], "key long, near long, id long")
+    rows = bucket_links(keys, 4).collect()
+    u = brute.Union()
+    for r in rows:
+        assert r["a"] < r["b"]
+        if r["hot"]:
+            u.join(r["a"], r["b"])
+    assert {u.find(i) for i in range(40)} == {0}
+    assert [(r["a"], r["b"], r["hot"]) for r in rows if r["a"] >= 100] == [(100, 101, False)]
+
+
 def test_edges(spark, edge, empty):
     got = near_duplicates(edge, words=4).collect()
     assert len(got) == edge.count()
