@@ -1,12 +1,13 @@
 """Personal data by weak supervision, with DataFrame functions alone.
 
 Base spans are the four patterns of the contract.  Beyond them, wider patterns propose candidates
-(obfuscated addresses, phone numbers without a plus sign, grouped card numbers whose check digit fails).
+(obfuscated addresses, phone numbers without a plus sign, grouped card numbers whose check digit fails, and, as the
+kind ``secret``, a person's credentials: assigned passwords, tokens and keys, access key ids).
 Labelers vote on every span, base or not, +1, -1 or 0:
 
- * format (regular expression): the strict pattern matches,
- * checksum or range: Luhn, parts up to 255, 9 to 15 digits, an alphabetic top-level domain,
- * gazetteer: known top-level domains, issuer prefixes, country codes, public address ranges,
+ * format (regular expression): the strict pattern matches (a secret: 16 characters or more with a digit),
+ * checksum or range: Luhn, parts up to 255, 9 to 15 digits, an alphabetic top-level domain, mixed letters and digits,
+ * gazetteer: known top-level domains, issuer prefixes, country codes, public address ranges, forms of known keys,
  * context: cue words shortly before the span, for or against,
  * surroundings: the span stands free, or sticks to letters or digits.
 
@@ -14,7 +15,7 @@ Spans with the same votes and features are counted together (map-side), which le
 bounded by the number of vote and feature combinations, not by the corpus.  Expectation-maximisation over that
 table estimates how reliable each labeler is and how likely each vote pattern is personal data;
 these soft labels train the final classifier, a naive Bayes model over features that no labeler sees.
-Both read all spans of all documents.  Spans beyond the base ones are accepted where votes and
+Both read all spans of all documents; texts are read once, their judged spans are stored without them.  Spans beyond the base ones are accepted where votes and
 classifier together give a probability of at least ``accept``, and only where they overlap no base span.
 
 Offsets are code points, end exclusive.  A span's offset is the running length of the pieces
@@ -33,6 +34,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from kestrel.llm.common import store, table
 
 KINDS = ("email", "ip", "card", "phone")
+ALL_KINDS = (*KINDS, "secret")  # the last has no base spans
 
 # Patterns of the base spans.  An anchored start with possessive repeats finds the same matches in linear time.
 EMAIL = r"(?:(?<![A-Za-z0-9._%+-])|\G)[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+"
@@ -46,7 +48,21 @@ WIDE = {
     "email": r"(?i)(?<![A-Za-z0-9._%+@-])[A-Za-z0-9._%+-]{2,64}+ ?(?:\[at\]|\(at\)|\{at\}) ?[A-Za-z0-9-]{1,63}(?: ?(?:\[dot\]|\(dot\)|\{dot\}|\.) ?[A-Za-z0-9-]{2,63}){1,4}",
     "phone": r"(?<![0-9+.-])(?<![0-9+] )(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![0-9.-])(?! [0-9])",
     "card": r"(?<![0-9])(?<![0-9][ -])[0-9]{4}([ -])[0-9]{4}\1[0-9]{4}\1[0-9]{4}(?![ -]?[0-9])",
+    "secret": r"(?<![A-Za-z0-9])(?:(?i:password|passwd|secret|token|api_?key)[\"']? {0,8}[:=] {0,8}[\"']?[A-Za-z0-9+/_.=-]{8,}+|AKIA[A-Z0-9]{16,}+)",
 }
+# Cheap conditions that a text with such a candidate meets.
+NEEDS = {"email": r"(?i)[\[({]at[\])}]", "phone": r"[0-9]{3}[ .-][0-9]{4}", "card": r"[0-9]{4}([ -])[0-9]{4}\1[0-9]{4}\1[0-9]{4}",
+         "secret": r"[:=] {0,8}[\"']?[A-Za-z0-9+/_.=-]{8}|AKIA[A-Z0-9]{16}"}
+
+# Strict forms, whole spans.
+STRICT = {
+    "email": r"^[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+$",
+    "ip": r"^[0-9]+(\.[0-9]+){3}$",
+    "card": r"^[0-9]([ -]?[0-9]){11,18}$",
+    "phone": r"^\+[0-9][ ().0-9-]+[0-9]$",
+    "secret": r"[0-9][A-Za-z0-9+/_.=-]*$",
+}
+KNOWN_KEYS = r"^([0-9A-Fa-f]{32}|[0-9A-Fa-f]{40}|[0-9A-Fa-f]{64}|AKIA[A-Z0-9]{16}|gh[pousr]_[A-Za-z0-9]{36}|sk[-_][A-Za-z0-9_-]{20,}|eyJ[A-Za-z0-9_-]+\..+)$"
 
 # Gazetteers and cue words.
 DOMAINS = "com|org|net|edu|gov|info|io|dev|co|biz|uk|de|fr|es|it|nl|eu|us|ca|au|ch|at|be|pl|jp|br|in|mx"
@@ -57,6 +73,7 @@ CUES = {
     "ip": ("ip|address|host|server|client|login|from|adresse|direcci", "version|release|section|chapter|v\\."),
     "card": ("card|visa|master|amex|credit|debit|pay|karte|carte|tarjeta", "isbn|order|invoice|tracking|serial|part no"),
     "phone": ("phone|tel|call|mobile|cell|fax|contact|whatsapp|anruf|appel|llam", "isbn|order|invoice|tracking|serial|part no"),
+    "secret": ("login|auth|credential|account|config|export|header|user", "example of|dummy|placeholder|sample|syntax|pattern"),
 }
 
 BLOCK = 64
@@ -74,7 +91,7 @@ def _found(text: Column, pattern: str, kind: str, valid, base: bool) -> Column:
     pieces = F.split(text, pattern, -1)
     # code points from the start of the text to the end of each match
     steps = F.zip_with(hits, F.slice(pieces, 1, F.size(hits)), lambda m, p: (F.char_length(p) + F.char_length(m)).cast("long"))
-    rank = KINDS.index(kind)
+    rank = ALL_KINDS.index(kind)
 
     def spans(z):  # z: hits and steps, bound once
         blocks = F.transform(F.sequence(F.lit(0), F.floor((F.size(z["steps"]) - 1) / BLOCK).cast("int")),
@@ -120,8 +137,7 @@ def base_spans(text: Column) -> Column:
 
 def wide_spans(text: Column, base: Column) -> Column:
     """Candidates of the wider patterns that overlap no base span."""
-    found = [F.when(text.rlike(need), _found(text, WIDE[k], k, lambda v: F.lit(True), False)).otherwise(_no_spans())
-             for k, need in (("email", r"(?i)[\[({]at[\])}]"), ("phone", r"[0-9]{3}[ .-][0-9]{4}"), ("card", r"[0-9]{4}([ -])[0-9]{4}\1[0-9]{4}\1[0-9]{4}"))]
+    found = [F.when(text.rlike(NEEDS[k]), _found(text, WIDE[k], k, lambda v: F.lit(True), False)).otherwise(_no_spans()) for k in WIDE]
     # a phone-like piece of a card-like candidate is part of it
     free = F.filter(F.concat(*found), lambda s: ~F.exists(base, lambda b: (b["start"] < s["stop"]) & (s["start"] < b["stop"])))
     return F.sort_array(free)
@@ -135,24 +151,30 @@ def judged(spans: Column, text: Column) -> Column:
     """Each span with its votes (format, check, list, cue, free) and its features."""
     def one(s):
         v, kind = s["value"], s["kind"]
-        by = lambda cases: reduce(lambda acc, k: acc.when(kind == k, cases[k]), KINDS[1:], F.when(kind == KINDS[0], cases[KINDS[0]]))
+        by = lambda cases: reduce(lambda acc, k: acc.when(kind == k, cases[k]), ALL_KINDS[1:], F.when(kind == ALL_KINDS[0], cases[ALL_KINDS[0]]))
         n = F.char_length(digits(v))
+        key = F.regexp_extract(v, r"([A-Za-z0-9+/_.-]*=*)$", 1)  # a secret without its keyword and quote
+        key = F.when(v.rlike("^AKIA[A-Z0-9]+$"), v).otherwise(key)
+        mixed = key.rlike("[0-9]") & key.rlike("[A-Za-z]")
+        strict = by({k: v.rlike(STRICT[k]) if k != "secret" else (F.char_length(key) >= 16) & key.rlike(STRICT[k]) for k in ALL_KINDS})
         tail = F.lower(F.regexp_extract(v, r"([A-Za-z]+)$", 1))
         check = by({"email": _vote(F.char_length(tail) >= 2, F.char_length(tail) < 2), "ip": _vote(v.rlike(IP_VALID), ~v.rlike(IP_VALID)),
-                    "card": _vote(luhn(v), ~luhn(v)), "phone": _vote(n.between(9, 15), ~n.between(9, 15))})
+                    "card": _vote(luhn(v), ~luhn(v)), "phone": _vote(n.between(9, 15), ~n.between(9, 15)),
+                    "secret": _vote(mixed & (F.char_length(key) >= 12), ~mixed)})
         listed = by({"email": _vote(tail.rlike(f"^({DOMAINS})$"), ~tail.rlike(f"^({DOMAINS})$")),
                      "ip": _vote(~v.rlike(r"^(0|10|127|192\.168|22[4-9]|2[3-5][0-9])\."), v.rlike(r"^0\.")),
                      "card": _vote(digits(v).rlike(ISSUERS), ~digits(v).rlike(ISSUERS)),
-                     "phone": _vote(v.rlike(COUNTRY), ~v.rlike(r"^[+(0-9]"))})
+                     "phone": _vote(v.rlike(COUNTRY), ~v.rlike(r"^[+(0-9]")),
+                     "secret": _vote(key.rlike(KNOWN_KEYS), ~key.rlike("[0-9]"))})
         before = F.lower(F.substring(text, F.greatest(F.lit(1).cast("long"), s["start"] + 1 - CONTEXT).cast("int"), F.least(F.lit(CONTEXT).cast("long"), s["start"]).cast("int")))
-        cue = by({k: _vote(before.rlike(CUES[k][0]), before.rlike(CUES[k][1])) for k in KINDS})
+        cue = by({k: _vote(before.rlike(CUES[k][0]), before.rlike(CUES[k][1])) for k in ALL_KINDS})
         left = F.when(s["start"] == 0, F.lit(" ")).otherwise(F.substring(text, s["start"].cast("int"), F.lit(1)))
         right = F.substring(text, (s["stop"] + 1).cast("int"), F.lit(1))
         stuck = left.rlike("[A-Za-z0-9]") | right.rlike("[A-Za-z0-9]")
         features = F.array(kind, F.concat(kind, F.lit(":length:"), F.least(F.floor(F.char_length(v) / 4), F.lit(8)).cast("string")),
                            F.concat(kind, F.lit(":digits:"), F.floor(F.lit(4) * n / F.char_length(v)).cast("string")),
                            F.concat(kind, F.lit(":marks:"), F.least(F.lit(3), F.char_length(F.regexp_replace(v, "[A-Za-z0-9]", ""))).cast("string")))
-        votes = F.array(_vote(s["base"], ~s["base"]), check, listed, cue, _vote(~stuck, stuck))
+        votes = F.array(_vote(strict, ~strict), check, listed, cue, _vote(~stuck, stuck))
         return F.struct(s.alias("span"), votes.alias("votes"), features.alias("features"))
 
     return F.transform(spans, one)
@@ -206,7 +228,8 @@ def find_personal_data(docs: DataFrame, rounds: int = 8, prior: float = 0.5, acc
     texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     texts = texts.select("doc_id", "text", base_spans(F.col("text")).alias("base"))
     texts = texts.select("doc_id", "text", "base", wide_spans(F.col("text"), F.col("base")).alias("wide"))
-    every = texts.select(F.explode(judged(F.concat("base", "wide"), F.col("text"))).alias("j"))
+    spans = store(texts.select("doc_id", "base", judged(F.concat("base", "wide"), F.col("text")).alias("judged")), "spans")
+    every = spans.select(F.explode("judged").alias("j"))
     counts = store(every.groupBy("j.votes", "j.features").agg(F.count("*").alias("n")), "votes")
     odds, weights, start = fit(counts, rounds, prior)
     known = F.create_map(*(F.lit(x) for kv in weights.items() for x in kv)) if weights else F.create_map().cast("map<string,double>")
@@ -215,11 +238,10 @@ def find_personal_data(docs: DataFrame, rounds: int = 8, prior: float = 0.5, acc
         # the votes and the classifier are two views of the span: their mean log-odds decides
         votes = _votes_odds(j["votes"], odds, start)
         model = F.aggregate(j["features"], F.lit(start), lambda acc, f: acc + F.coalesce(F.element_at(known, f), F.lit(0.0)))
-        return (votes > 0) & (votes + model >= 2 * math.log(accept / (1 - accept)))
+        return ~j["span"]["base"] & (votes > 0) & (votes + model >= 2 * math.log(accept / (1 - accept)))
 
-    more = F.when(F.size("wide") == 0, _no_spans()).otherwise(
-        F.transform(F.filter(judged(F.col("wide"), F.col("text")), accepted), lambda j: j["span"]))
-    return texts.select("doc_id", "base", more.alias("more")).select("doc_id", "base", F.sort_array(F.concat("base", "more")).alias("spans"))
+    more = F.transform(F.filter("judged", accepted), lambda j: j["span"])
+    return spans.select("doc_id", "base", more.alias("more")).select("doc_id", "base", F.sort_array(F.concat("base", "more")).alias("spans"))
 
 
 def span_text(spans: Column) -> Column:
