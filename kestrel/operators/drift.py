@@ -107,6 +107,31 @@ DEC_RE = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\z"
 DATE_RE = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}\z"
 
 
+# What a present value rules out; PRESENT alone would be a value of every type.
+NOT_INT, NOT_LONG, NOT_DOUBLE, NOT_DATE, PRESENT = 1, 2, 4, 8, 16
+
+
+def type_mask(v: F.Column) -> F.Column:
+    """The types that a trimmed text rules out, as bits; 0 for null or blank.
+
+    A failing cast raises inside the task, which costs more than all else, so casts are tried only on texts
+    of the right form, and texts that cannot begin a number or date meet no pattern.
+    """
+    real = F.lit(PRESENT | NOT_INT | NOT_LONG | NOT_DATE)
+    as_long = v.try_cast("long")
+    whole = (F.when(F.length(v) <= 9, F.lit(PRESENT | NOT_DATE))
+             .when(as_long.between(-2**31, 2**31 - 1), F.lit(PRESENT | NOT_DATE))
+             .when(as_long.isNotNull(), F.lit(PRESENT | NOT_DATE | NOT_INT)).otherwise(real))
+    none = F.lit(PRESENT | NOT_INT | NOT_LONG | NOT_DOUBLE | NOT_DATE)
+    return (F.when(v.isNull() | (v == ""), F.lit(0))
+            .when((v < "+") | (v >= ":"), none)
+            .when(v.rlike(INT_RE), whole)
+            .when(v.rlike(DEC_RE), real)
+            .when(v.rlike(DATE_RE), F.when(v.try_cast("date").isNotNull(), F.lit(PRESENT | NOT_INT | NOT_LONG | NOT_DOUBLE))
+                  .otherwise(none))
+            .otherwise(none))
+
+
 def infer_types(df: DataFrame, table_name: str) -> DataFrame:
     """Infer a type for every text column from its values, in one aggregate.
 
@@ -115,31 +140,20 @@ def infer_types(df: DataFrame, table_name: str) -> DataFrame:
     date if ``yyyy-MM-dd``, else string.  Output is a snapshot frame, so it
     plugs straight into :func:`schema_drift`.
     """
-    aggs, cols = [], []
-    for i, f in enumerate(df.schema.fields):
-        v = F.trim(F.col(f"`{f.name}`").cast("string"))
-        present = v.isNotNull() & (v != "")
-        as_long = v.try_cast("long")
-        aggs += [
-            F.count_if(present).alias(f"n{i}"),
-            F.count_if(present & v.rlike(INT_RE) & as_long.between(-2**31, 2**31 - 1)).alias(f"i{i}"),
-            F.count_if(present & v.rlike(INT_RE) & as_long.isNotNull()).alias(f"l{i}"),
-            F.count_if(present & v.rlike(DEC_RE)).alias(f"d{i}"),
-            F.count_if(present & v.rlike(DATE_RE) & v.try_cast("date").isNotNull()).alias(f"t{i}"),
-        ]
-        cols.append((i, f.name))
+    names = df.columns
     items = []
-    for i, name in cols:
-        n = F.col(f"n{i}")
-        t = (F.when(n == 0, F.lit("StringType()"))
-             .when(F.col(f"i{i}") == n, F.lit("IntegerType()"))
-             .when(F.col(f"l{i}") == n, F.lit("LongType()"))
-             .when(F.col(f"d{i}") == n, F.lit("DoubleType()"))
-             .when(F.col(f"t{i}") == n, F.lit("DateType()"))
+    for i, name in enumerate(names):
+        m = F.coalesce(F.col(f"m{i}"), F.lit(0))
+        t = (F.when(m == 0, F.lit("StringType()"))
+             .when(m.bitwiseAND(NOT_INT) == 0, F.lit("IntegerType()"))
+             .when(m.bitwiseAND(NOT_LONG) == 0, F.lit("LongType()"))
+             .when(m.bitwiseAND(NOT_DOUBLE) == 0, F.lit("DoubleType()"))
+             .when(m.bitwiseAND(NOT_DATE) == 0, F.lit("DateType()"))
              .otherwise(F.lit("StringType()")))
         items.append(F.struct(F.lit(table_name).alias("table_name"), F.lit(name).alias("column_name"),
                               t.alias("data_type"), F.lit(i).alias("ordinal")))
-    return df.agg(*aggs).select(F.inline(F.array(*items)))
+    masks = [F.bit_or(type_mask(F.trim(F.col(f"`{name}`").cast("string")))).alias(f"m{i}") for i, name in enumerate(names)]
+    return df.agg(*masks).select(F.inline(F.array(*items)))
 
 
 def column_sets(baseline: DataFrame, current: DataFrame) -> DataFrame:
