@@ -440,11 +440,16 @@ def q_anomaly_severity(spark, sf_dir):
     return edge(DOC.severity(DOC.classify(findings(spark, sf_dir))))
 
 
-def suggestions(spark, sf_dir):
+def stored_silver(spark, sf_dir):
+    return {feed: stored(spark, silver(spark, sf_dir, feed), f"silver-{feed}") for feed in FEEDS}
+
+
+def suggestions(spark, tables):
+    """T9 over stored silver tables, whose profiles (one row a column) are stored too: the rules read both several times."""
     out = None
-    for feed in FEEDS:
-        df = silver(spark, sf_dir, feed)
-        s = DOC.suggested_rules(P.column_profile(df), schemas.SILVER_TABLE_NAMES[feed], df, max_set=5)
+    for feed, df in tables.items():
+        profile = stored(spark, P.column_profile(df), f"profile-{feed}")
+        s = DOC.suggested_rules(profile, schemas.SILVER_TABLE_NAMES[feed], df, max_set=5)
         out = s if out is None else out.unionByName(s)
     return out
 
@@ -452,13 +457,13 @@ def suggestions(spark, sf_dir):
 @register("suggested_rules")
 def q_suggested_rules(spark, sf_dir):
     """Rules suggested from the silver profiles."""
-    return suggestions(spark, sf_dir)
+    return suggestions(spark, stored_silver(spark, sf_dir))
 
 
 @register("parse_rules")
 def q_parse_rules(spark, sf_dir):
     """Q10 over the suggested rule texts (flattened structs)."""
-    p = R.parse_rules(suggestions(spark, sf_dir).select("table_name", "rule_text"), created_at=str(AS_OF))
+    p = R.parse_rules(suggestions(spark, stored_silver(spark, sf_dir)).select("table_name", "rule_text"), created_at=str(AS_OF))
     return p.select("table_name", "rule_id", "description", "column", "rule_type",
                     F.col("thresholds.max").alias("threshold_max"), "severity", "action")
 
@@ -478,14 +483,15 @@ def q_evaluate_rules(spark, sf_dir):
     """Q11: checks implied by the suggested and the stated rules, counted on each silver table (one pass each).
 
     A rule that implies no check has a row of its own, with the error 'not checkable'."""
-    texts = suggestions(spark, sf_dir).select("table_name", "rule_text").unionByName(
+    tables = stored_silver(spark, sf_dir)
+    texts = suggestions(spark, tables).select("table_name", "rule_text").unionByName(
         spark.createDataFrame(ANALYST_RULES, "table_name string, rule_text string"))
-    parsed = R.parse_rules(texts, created_at=str(AS_OF))
+    parsed = stored(spark, R.parse_rules(texts, created_at=str(AS_OF)), "parsed-rules")
     out = None
     for feed in FEEDS:
         name = schemas.SILVER_TABLE_NAMES[feed]
         checks = R.rule_checks(parsed.filter(F.col("table_name") == name))
-        e = R.evaluate_rules(silver(spark, sf_dir, feed), checks).withColumn("table_name", F.lit(name))
+        e = R.evaluate_rules(tables[feed], checks).withColumn("table_name", F.lit(name))
         out = e if out is None else out.unionByName(e)
     return out
 
