@@ -74,13 +74,9 @@ def split_on_key(df: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
 
 
 def silver(raw: DataFrame, feed: str) -> DataFrame:
-    """Clean + enforce + keep only rows that honour the non-null key.
-
-    A trimmed text is null just where the text is, so the key is tested as it
-    arrives, before cleaning builds it.
-    """
-    good, _ = split_on_key(raw, schemas.KEYS[feed])
-    return CLEANERS[feed](good)
+    """Clean + enforce + keep only rows that honour the non-null key."""
+    good, _ = split_on_key(CLEANERS[feed](raw), schemas.KEYS[feed])
+    return good
 
 
 def quarantine(raw: DataFrame, feed: str, reason_checks: dict[str, Column] | None = None) -> DataFrame:

@@ -67,8 +67,7 @@ def sales_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     The duplicate copy is produced by exploding a one- or two-element array,
     so lineitem and orders are scanned and joined once (not once per copy).
-    What an order's lines share is built once per order, before the join; the id is
-    null where one of its parts is, written so that a test for null reads only the parts.
+    What an order's lines share is built once per order, before the join.
     """
     li = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_extendedprice")
@@ -78,15 +77,15 @@ def sales_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("S"), k.cast("string"), F.lit("-")).alias("_order"),
         F.concat(F.lit(" C"), _lpad_key(F.col("o_custkey"), 6, "0")).alias("customer_id"),
         F.col("o_orderdate").cast("date").alias("sale_date"))
-    n, p = F.col("l_linenumber"), F.col("l_partkey")
+    p = F.col("l_partkey")
     q = F.col("l_quantity")
     joined = li.join(o, F.col("l_orderkey") == F.col("o_orderkey"))
     copies = F.when(F.col("l_orderkey") % 50 == 0, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
     return (
         joined.withColumn("_copy", F.explode(copies))
         .select(
-            F.when(n.isNotNull() & p.isNotNull(),
-                   F.concat_ws("", F.col("_order"), n.cast("string"), F.lit("-"), p.cast("string"), F.lit(" "))).alias("sale_id"),
+            F.concat(F.col("_order"), F.col("l_linenumber").cast("string"), F.lit("-"),
+                     p.cast("string"), F.lit(" ")).alias("sale_id"),
             F.col("customer_id"),
             F.when(p % 40 == 0, F.lit(None).cast("string"))
             .otherwise(F.concat(F.lit("P"), p.cast("string"))).alias("product_id"),
